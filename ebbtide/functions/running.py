@@ -5,6 +5,9 @@ bins along the ordering, at quantiles of the data, so that a key holding a third
 spread over about a third of the bins. The window runs inside (key, bin); what earlier bins of
 the key add is a second window over at most `bins` rows per key. Where the cuts fall affects
 speed only, never the result.
+
+The input is read three times (cuts, bin totals, rows). It is therefore written to the shared
+folder once, unless the caller says that it is a stored table already.
 """
 
 from __future__ import annotations
@@ -14,6 +17,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..session import cut_lineage
+
 DEFAULT_BINS = 64
 
 _AGGREGATE = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -44,12 +49,14 @@ def running(
     totals: Mapping[str, tuple[str, Column]],
     inclusive: bool = True,
     bins: int = DEFAULT_BINS,
+    stored: bool = False,
 ) -> DataFrame:
     """Add `totals` = {name: (sum|max|min, column)} accumulated along `order` inside `keys`.
 
     `bin_on` is a double column that never decreases along `order`. Rows with equal order
     values are peers only if the caller made them one row; give a total order.
     """
+    df = df if stored else cut_lineage(df, "running")
     binned = with_bin(df, bin_on.cast("double"), bins)
     group = [*keys, "_bin"]
     per_bin = binned.groupBy(*group).agg(
@@ -92,7 +99,9 @@ def exact_percentiles(
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    ranked = running(counts, keys, [F.col("_v")], F.col("_v"), {"_upto": ("sum", F.col("_n"))}, bins=bins)
+    counts = cut_lineage(counts, "value-counts")
+    upto = {"_upto": ("sum", F.col("_n"))}
+    ranked = running(counts, keys, [F.col("_v")], F.col("_v"), upto, bins=bins, stored=True)
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     if keys:
         same = reduce(lambda a, b: a & b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])

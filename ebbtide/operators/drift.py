@@ -10,6 +10,7 @@ from ..constants import (
     CRITICAL_WEIGHT, DISTRIBUTION_WEIGHT, DRIFT_STEP, HIGH_IMPORTANCE_FEATURES, RETRAIN_SCORE, RETRAIN_VIOLATIONS,
 )
 from ..functions.running import running
+from ..session import cut_lineage
 from .profile import long_form, long_text
 
 
@@ -52,9 +53,10 @@ def ks_p_value(distance: Column, n: Column, m: Column, terms: int = 100) -> Colu
 def ks_two_sample(base: DataFrame, live: DataFrame, features: Sequence[str], alpha: float = 0.05) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per numeric feature, from counts of distinct values."""
     counts = _two_counts(long_form(base, features), long_form(live, features), ["feature", "value"]).where(F.col("value").isNotNull())
+    counts = cut_lineage(counts, "value-counts")
     upto = running(
         counts, ["feature"], [F.col("value")], F.col("value"),
-        {"c_base": ("sum", F.col("n_base")), "c_live": ("sum", F.col("n_live"))},
+        {"c_base": ("sum", F.col("n_base")), "c_live": ("sum", F.col("n_live"))}, stored=True,
     )
     # Shares need the totals, which are the largest running counts; distances are taken after that.
     totals = counts.groupBy("feature").agg(F.sum("n_base").alias("t_base"), F.sum("n_live").alias("t_live"))
@@ -69,7 +71,7 @@ def ks_two_sample(base: DataFrame, live: DataFrame, features: Sequence[str], alp
 
 def chi_squared(base: DataFrame, live: DataFrame, features: Sequence[str]) -> DataFrame:
     """Chi-squared homogeneity statistic of categories between baseline and live, with degrees of freedom."""
-    counts = _two_counts(long_text(base, features), long_text(live, features), ["feature", "category"])
+    counts = cut_lineage(_two_counts(long_text(base, features), long_text(live, features), ["feature", "category"]), "category-counts")
     totals = counts.groupBy("feature").agg(
         F.sum("n_base").alias("t_base"), F.sum("n_live").alias("t_live"), (F.count(F.lit(1)) - 1).alias("degrees")
     )

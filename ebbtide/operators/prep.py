@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import CATEGORICAL_FEATURES, CUSTOMER, LABEL, NUMERIC_FEATURES
 from ..functions.running import dense_index, running
+from ..session import cut_lineage
 
 UNKNOWN = "unknown"
 
@@ -20,8 +21,8 @@ def fill_missing(df: DataFrame, numeric: Sequence[str] = tuple(NUMERIC_FEATURES)
 
 
 def fit_encoder(train: DataFrame, column: str) -> DataFrame:
-    """Category to number in sorted order, from the training rows."""
-    return dense_index(train, column, f"{column}_encoded")
+    """Category to number in sorted order, from the training rows; stored, like every fitted part."""
+    return cut_lineage(dense_index(train, column, f"{column}_encoded"), f"encoder-{column}")
 
 
 def encode(df: DataFrame, encoder: DataFrame, column: str) -> DataFrame:
@@ -34,11 +35,12 @@ def encode(df: DataFrame, encoder: DataFrame, column: str) -> DataFrame:
 
 
 def fit_scaler(train: DataFrame, columns: Sequence[str] = tuple(NUMERIC_FEATURES)) -> DataFrame:
-    """One row with mean and population deviation per column."""
-    return train.agg(
+    """One stored row with mean and population deviation per column."""
+    fitted = train.agg(
         *[F.avg(c).alias(f"mean_{c}") for c in columns],
         *[F.stddev_pop(c).alias(f"std_{c}") for c in columns],
     )
+    return cut_lineage(fitted, "scaler")
 
 
 def scale(df: DataFrame, scaler: DataFrame, columns: Sequence[str] = tuple(NUMERIC_FEATURES)) -> DataFrame:
@@ -65,9 +67,9 @@ def stratified_split(
     The places come from a binned running count, so a label that holds nearly all rows is not
     sorted in one task.
     """
-    hashed = df.withColumn("_hash", split_hash(F.col(key), seed))
+    hashed = cut_lineage(df.withColumn("_hash", split_hash(F.col(key), seed)), "hashed")
     placed = running(
-        hashed, [label], [F.col("_hash"), F.col(key)], F.col("_hash").cast("double"), {"_place": ("sum", F.lit(1))}
+        hashed, [label], [F.col("_hash"), F.col(key)], F.col("_hash").cast("double"), {"_place": ("sum", F.lit(1))}, stored=True
     )
     sizes = hashed.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_size"))
     n_test = F.floor(F.col("_size") * F.lit(test) + 0.5)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import sigmoid
+from ..functions.scalars import half_up, sigmoid
 
 
 def missing_features(df: DataFrame, required: Sequence[str]) -> list[str]:
@@ -73,5 +73,5 @@ def ensemble(first: DataFrame, second: DataFrame, key: str = "customer_id", thre
     other = second.select(key, F.col("churn_probability").alias("_other"))
     mean = (F.col("churn_probability") + F.col("_other")) / 2
     return first.select(key, "churn_probability").join(other, key).select(
-        key, F.round(mean, 6).alias("churn_probability"), (mean >= threshold).alias("churn_prediction")
+        key, half_up(mean, 6).alias("churn_probability"), (mean >= threshold).alias("churn_prediction")
     )

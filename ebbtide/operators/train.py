@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import LABEL
+from ..session import cut_lineage
 from . import prep
 
 # Defaults of the boosted trees.
@@ -41,11 +42,13 @@ def balanced(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def fit_inputs(split: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
-    """Model inputs of all rows, with scaler and encoders fitted on the training rows only."""
+    """Model inputs of all rows, stored, with scaler and encoders fitted on the training rows only."""
+    split = cut_lineage(split, "split")
     train = prep.fill_missing(split.where(F.col("split") == "train"))
     scaler = prep.fit_scaler(train)
     encoders = {c: prep.fit_encoder(train, c) for c in prep.CATEGORICAL_FEATURES}
-    return prep.assemble(prep.prepare_inputs(split, scaler, encoders)), scaler, encoders
+    inputs = prep.assemble(prep.prepare_inputs(split, scaler, encoders))
+    return cut_lineage(inputs, "inputs"), scaler, encoders
 
 
 def train_boosted(inputs: DataFrame, seed: int = 42, **params):

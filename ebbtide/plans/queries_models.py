@@ -8,7 +8,8 @@ from ..constants import NUMERIC_FEATURES
 from ..operators import evaluate as E, prep as Q, reuse as U, score as S, train as T
 from . import adapter as A
 from .adapter import SCORED_SQL, r, with_sql
-from .queries_features import FEATURES_SQL, features
+from ..session import cut_lineage
+from .queries_features import FEATURES_SQL, features as built_features
 from .registry import query
 
 SPLIT_SQL = FEATURES_SQL + """,
@@ -20,6 +21,11 @@ split AS (
 )"""
 
 
+def features(spark, sf):
+    """The snapshot as a stored table, which is what every step after the feature job reads."""
+    return cut_lineage(built_features(spark, sf), "features")
+
+
 def _split(spark, sf):
     return Q.stratified_split(features(spark, sf))
 

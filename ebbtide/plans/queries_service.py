@@ -205,10 +205,10 @@ def _(spark, sf):
 
 
 @query("obs14_busy_nodes", with_sql(SAMPLES_SQL, f"""
-SELECT node, slot, {r("utilisation", "utilisation")}, {held("utilisation > 0.5", "node", "slot", 900, 300)} AS firing
+SELECT node, slot, {r("utilisation", "utilisation")}, {held("utilisation > 0.51234", "node", "slot", 900, 300)} AS firing
 FROM (SELECT node, {SLOTTED} AS slot, avg(1 - idle) AS utilisation FROM samples GROUP BY 1, 2)"""))
 def _(spark, sf):
-    return H.busy_nodes(_samples(spark, sf), limit=0.5)
+    return H.busy_nodes(_samples(spark, sf), limit=0.51234)
 
 
 @query("obs15_gateway_alarms", with_sql(REQUESTS_SQL, f"""

@@ -60,5 +60,5 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def cut_lineage(df, name: str):
     """Write `df` to the shared folder and read it back: survives lost executors."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
