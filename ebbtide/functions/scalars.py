@@ -75,6 +75,11 @@ def names_where(checks: Sequence[tuple[str, Column]]) -> Column:
     return F.filter(flagged, lambda name: name.isNotNull())
 
 
+def listed(checks: Sequence[tuple[str, Column]]) -> Column:
+    """The names whose condition holds as one text; empty when none does."""
+    return F.concat_ws(", ", *[F.when(condition, F.lit(name)) for name, condition in checks])
+
+
 def prediction_key(customer: Column, features: Sequence[str]) -> Column:
     """Stable key of a customer and its feature values; the order of `features` does not matter."""
     payload = F.to_json(

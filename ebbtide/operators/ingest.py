@@ -5,27 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import REQUIRED_FIELDS
-from ..functions.scalars import event_time, names_where
+from ..functions.scalars import event_time, listed, names_where
 
 OK, DROPPED, FAILED = "Ok", "Dropped", "ProcessingFailed"
 
-# JSON scalars and containers that count as "no value" for a required field.
-_EMPTY_JSON = ["", "0", "0.0", "-0.0", "false", "[]", "{}"]
+# Texts of JSON numbers, booleans and containers that count as "no value".
+_EMPTY_JSON = ["0", "0.0", "-0.0", "false", "[]", "{}"]
 
+# Every field is read as text first: a value of another type is then a value to judge, not a broken line.
+_WIRE_FIELDS = [
+    "event_id", "customer_id", "event_type", "timestamp", "device", "session_id", "session_duration", "transaction_amount",
+    "feature_flags", "cohort", "plan", "customer_state", "metadata",
+]
+_WIRE_SCHEMA = ", ".join(f"{name} STRING" for name in _WIRE_FIELDS)
 
-def _text(path: str) -> Column:
-    return F.try_variant_get("_json", path, "string")
 
+def _variant(value: Column, field: str, kind: str) -> Column:
+    """A field with its JSON type; costly, so only evaluated where the text alone leaves a doubt."""
+    return F.try_variant_get(F.try_parse_json(value), f"$.{field}", kind)
 
-def _kind(path: str) -> Column:
-    """Type name of the value at a path, NULL when absent."""
-    return F.schema_of_variant(F.try_variant_get("_json", path, "variant"))
 
-
-def _missing(field: str) -> Column:
+def _missing(value: Column, field: str) -> Column:
     """Absent, null, or a value that counts as empty. The text "0" is a value, the number 0 is not."""
-    text, kind = _text(f"$.{field}"), _kind(f"$.{field}")
-    return text.isNull() | (text == "") | ((kind != "STRING") & text.isin(_EMPTY_JSON))
+    text = F.col(f"_json.{field}")
+    doubtful = F.schema_of_variant(_variant(value, field, "variant")) != "STRING"
+    return F.when(text.isNull() | (text == ""), True).when(text.isin(_EMPTY_JSON), doubtful).otherwise(False)
+
+
+def _whole_number(value: Column, field: str) -> Column:
+    """Text of a whole number, or a JSON number cut to its whole part; the text "12.7" is neither."""
+    text = F.col(f"_json.{field}")
+    plain = text.rlike(r"^\s*[+-]?\d+\s*$")
+    return F.when(text.isNull(), F.lit(None)).when(plain, text.try_cast("int")).otherwise(_variant(value, field, "int"))
 
 
 def decode_frames(frames: DataFrame, data: str = "data") -> DataFrame:
@@ -40,49 +51,59 @@ def route_events(lines: DataFrame, value: str = "value") -> DataFrame:
     records, unreadable time, values that cannot be coerced. Columns of the input are kept, so
     the original text can be quarantined.
     """
-    readable = F.is_valid_utf8(F.col(value))
-    parsed = lines.withColumn("_json", F.when(readable, F.try_parse_json(value)))
-    is_object = F.coalesce(F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False))
-    time_text = F.when(_kind("$.timestamp") == "STRING", _text("$.timestamp"))
-    typed = parsed.select(
+    text = F.col(value)
+    # Put in brackets, the text of exactly one object is an array of length one; counting builds no values.
+    one_value = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    readable = F.is_valid_utf8(text) & F.ltrim(text).startswith("{") & one_value
+    # One explode of a one-element array: a filter on the result is not pushed below it, which would
+    # put a copy of the parsing into every expression that the filter refers to.
+    once = F.explode(F.array(F.struct(
+        F.coalesce(readable, F.lit(False)).alias("object"), F.from_json(value, _WIRE_SCHEMA).alias("fields")
+    )))
+    parsed = lines.select("*", once.alias("_parsed")).select(
+        *lines.columns, F.col("_parsed.object").alias("_object"), F.col("_parsed.fields").alias("_json")
+    )
+    raw = {name: F.col(f"_json.{name}") for name in _WIRE_FIELDS}
+    coerced = parsed.withColumns({
+        "_session_duration": _whole_number(text, "session_duration"),
+        "_transaction_amount": raw["transaction_amount"].try_cast("double"),
+    })
+    typed = coerced.select(
         *lines.columns,
-        is_object.alias("_object"),
-        names_where([(f, _missing(f)) for f in REQUIRED_FIELDS]).alias("_absent"),
-        (_text("$.metadata.source") == "smoke-test").alias("_smoke"),
-        names_where([
-            ("session_duration", _text("$.session_duration").isNotNull()
-             & F.try_variant_get("_json", "$.session_duration", "int").isNull()),
-            ("transaction_amount", _text("$.transaction_amount").isNotNull()
-             & F.try_variant_get("_json", "$.transaction_amount", "double").isNull()),
+        "_object",
+        listed([(f, _missing(text, f)) for f in REQUIRED_FIELDS]).alias("_absent"),
+        (F.get_json_object(raw["metadata"], "$.source") == "smoke-test").alias("_smoke"),
+        listed([
+            (f, raw[f].isNotNull() & F.col(f"_{f}").isNull()) for f in ("session_duration", "transaction_amount")
         ]).alias("_uncoerced"),
-        _text("$.event_id").alias("event_id"),
-        _text("$.customer_id").alias("customer_id"),
-        _text("$.event_type").alias("event_type"),
-        event_time(time_text).alias("timestamp"),
-        _text("$.device").alias("device"),
-        _text("$.session_id").alias("session_id"),
-        F.try_variant_get("_json", "$.session_duration", "int").alias("session_duration"),
-        F.try_variant_get("_json", "$.transaction_amount", "double").alias("transaction_amount"),
-        F.coalesce(_text("$.feature_flags"), F.lit("{}")).alias("feature_flags"),
-        _text("$.cohort").alias("cohort"),
-        _text("$.plan").alias("plan"),
-        _text("$.customer_state").alias("customer_state"),
-        F.coalesce(_text("$.metadata.schema_version"), F.lit("1.0")).alias("_schema_version"),
+        raw["event_id"].alias("event_id"),
+        raw["customer_id"].alias("customer_id"),
+        raw["event_type"].alias("event_type"),
+        event_time(raw["timestamp"]).alias("timestamp"),
+        raw["device"].alias("device"),
+        raw["session_id"].alias("session_id"),
+        F.col("_session_duration").alias("session_duration"),
+        F.col("_transaction_amount").alias("transaction_amount"),
+        F.coalesce(raw["feature_flags"], F.lit("{}")).alias("feature_flags"),
+        raw["cohort"].alias("cohort"),
+        raw["plan"].alias("plan"),
+        raw["customer_state"].alias("customer_state"),
+        F.coalesce(F.get_json_object(raw["metadata"], "$.schema_version"), F.lit("1.0")).alias("_schema_version"),
     )
     unreadable = ~F.col("_object")
-    absent = F.size("_absent") > 0
+    absent = F.col("_absent") != ""
     no_time = F.col("timestamp").isNull()
-    uncoerced = F.size("_uncoerced") > 0
+    uncoerced = F.col("_uncoerced") != ""
     smoke = F.coalesce(F.col("_smoke"), F.lit(False))
     result = (
         F.when(unreadable | absent, FAILED).when(smoke, DROPPED).when(no_time | uncoerced, FAILED).otherwise(OK)
     )
     reason = (
         F.when(unreadable, "invalid_json")
-        .when(absent, F.concat(F.lit("missing_fields: "), F.concat_ws(", ", "_absent")))
+        .when(absent, F.concat(F.lit("missing_fields: "), F.col("_absent")))
         .when(smoke, "smoke_test")
         .when(no_time, "invalid_timestamp")
-        .when(uncoerced, F.concat(F.lit("invalid_value: "), F.concat_ws(", ", "_uncoerced")))
+        .when(uncoerced, F.concat(F.lit("invalid_value: "), F.col("_uncoerced")))
     )
     return typed.withColumns({"result": result, "reason": reason}).drop("_object", "_absent", "_smoke", "_uncoerced")
 
