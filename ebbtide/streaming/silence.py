@@ -1,38 +1,20 @@
-"""A source that has stopped sending, noticed by a timer in the stream."""
+"""A source that has stopped sending, noticed in the stream."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def silent_sources(events: DataFrame, source: str, time: str = "event_timestamp", minutes: int = 15, delay: str = "1 minute") -> DataFrame:
-    """One row per source and silence: the last minute in which it was heard.
+    """One row per source and silence, with the last time it was heard.
 
-    Events are first counted per source and minute, combined before the shuffle, so that the state
-    function of a busy source sees one row per minute instead of all its events.
+    A silence is the end of a session whose gap is the tolerated time; it is known once the
+    watermark, which the other sources push on, has passed it. The state is one open session per
+    source, and the sessions of a batch are merged before the shuffle.
     """
-    span_ms = minutes * 60_000
-
-    def watch(key, frames, state: GroupState):
-        if state.hasTimedOut:
-            (last,) = state.get
-            state.remove()
-            yield pd.DataFrame({"source": [key[0]], "last_seen_ms": [last]})
-            return
-        last = state.get[0] if state.exists else 0
-        for frame in frames:
-            last = max(last, int(frame["ms"].max()))
-        state.update((last,))
-        state.setTimeoutTimestamp(max(last + span_ms, state.getCurrentWatermarkMs() + 1))
-
-    per_minute = (
+    return (
         events.withWatermark(time, delay)
-        .groupBy(F.col(source).cast("string").alias("source"), F.window(time, "1 minute").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("source", F.window_time("w").alias("minute_end"), F.unix_millis(F.col("w.start")).alias("ms"))
-    )
-    return per_minute.groupBy("source").applyInPandasWithState(
-        watch, "source string, last_seen_ms long", "last long", "append", GroupStateTimeout.EventTimeTimeout
+        .groupBy(F.col(source).alias("source"), F.session_window(time, f"{minutes} minutes").alias("s"))
+        .agg(F.max(time).alias("last_seen"))
+        .select("source", "last_seen")
     )
