@@ -1,13 +1,14 @@
-"""Exact running totals, ranks and percentiles that never put one key into one task.
+"""Exact running totals, ranks and percentiles that never put one large key into one task.
 
-A plain window over a key sends all rows of the key to one task. Here the rows are cut into
-bins along the ordering, at quantiles of the data, so that a key holding a third of all rows is
-spread over about a third of the bins. The window runs inside (key, bin); what earlier bins of
+A plain window over a key sends all rows of the key to one task. Up to `ROWS_PER_BIN` rows in
+total that is fine, whatever the keys are, and a plain window is used. Beyond it the rows are cut
+into bins along the ordering, at quantiles of the data, so that a key holding a third of all rows
+is spread over about a third of the bins. The window runs inside (key, bin); what earlier bins of
 the key add is a second window over at most `bins` rows per key. Where the cuts fall affects
 speed only, never the result.
 
-The input is read three times (cuts, bin totals, rows). It is therefore written to the shared
-folder once, unless the caller says that it is a stored table already.
+The input is read several times (count, cuts, bin totals, rows). It is therefore written to the
+shared folder once, unless the caller says that it is a stored table already.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import cut_lineage
 
-DEFAULT_BINS = 64
+ROWS_PER_BIN = 1_000_000
+MAX_BINS = 4096
 
 _AGGREGATE = {"sum": F.sum, "max": F.max, "min": F.min}
 _COMBINE = {
@@ -29,16 +31,21 @@ _COMBINE = {
 }
 
 
-def with_bin(df: DataFrame, bin_on: Column, bins: int, name: str = "_bin") -> DataFrame:
-    """Number the rows' bin along `bin_on`: one more than the count of cut points below the value."""
-    cuts = df.agg(
-        F.coalesce(
-            F.percentile_approx(bin_on, [i / bins for i in range(1, bins)], 1000),
-            F.array().cast("array<double>"),
-        ).alias("cuts")
-    ).scalar()
-    place = F.array_position(F.sort_array(F.concat(cuts, F.array(bin_on))), bin_on)
-    return df.withColumn(name, F.coalesce(place, F.lit(0)).cast("int"))
+def bins_for(stored: DataFrame) -> int:
+    """Number of bins for a stored table; its rows are counted from file footers."""
+    return max(1, min(MAX_BINS, -(-stored.count() // ROWS_PER_BIN)))
+
+
+def with_bin(stored: DataFrame, bin_on: Column, bins: int) -> DataFrame:
+    """Add `_bin`, the place of `bin_on` among the quantiles of the table."""
+    from pyspark.ml.feature import QuantileDiscretizer
+
+    # A NULL sorts first, like in the windows' ordering.
+    placed = stored.withColumn("_bin_on", F.coalesce(bin_on.cast("double"), F.lit(float("-inf"))))
+    cutter = QuantileDiscretizer(
+        numBuckets=bins, inputCol="_bin_on", outputCol="_bin", relativeError=1 / (8 * bins), handleInvalid="keep"
+    )
+    return cutter.fit(placed).transform(placed).drop("_bin_on").withColumn("_bin", F.col("_bin").cast("int"))
 
 
 def running(
@@ -48,16 +55,24 @@ def running(
     bin_on: Column,
     totals: Mapping[str, tuple[str, Column]],
     inclusive: bool = True,
-    bins: int = DEFAULT_BINS,
+    bins: int | None = None,
     stored: bool = False,
 ) -> DataFrame:
     """Add `totals` = {name: (sum|max|min, column)} accumulated along `order` inside `keys`.
 
-    `bin_on` is a double column that never decreases along `order`. Rows with equal order
-    values are peers only if the caller made them one row; give a total order.
+    `bin_on` is a numeric column that never decreases along `order`. Rows with equal order values
+    are peers only if the caller made them one row; give a total order.
     """
     df = df if stored else cut_lineage(df, "running")
-    binned = with_bin(df, bin_on.cast("double"), bins)
+    bins = bins or bins_for(df)
+    upto = W.currentRow if inclusive else -1
+    if bins == 1:
+        whole = W.partitionBy(*(keys or [F.lit(0)])).orderBy(*order).rowsBetween(W.unboundedPreceding, upto)
+        plain = {name: _AGGREGATE[how](col).over(whole) for name, (how, col) in totals.items()}
+        return df.select("*", *[
+            (F.coalesce(col, F.lit(0)) if totals[name][0] == "sum" else col).alias(name) for name, col in plain.items()
+        ])
+    binned = with_bin(df, bin_on, bins)
     group = [*keys, "_bin"]
     per_bin = binned.groupBy(*group).agg(
         *[_AGGREGATE[how](col).alias(f"_b_{name}") for name, (how, col) in totals.items()]
@@ -67,9 +82,7 @@ def running(
     before = per_bin.select(
         *group, *[_AGGREGATE[how](f"_b_{name}").over(across).alias(f"_b_{name}") for name, (how, _) in totals.items()]
     )
-    inside = W.partitionBy(*group).orderBy(*order).rowsBetween(
-        W.unboundedPreceding, W.currentRow if inclusive else -1
-    )
+    inside = W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, upto)
     local = binned.select(
         "*", *[_AGGREGATE[how](col).over(inside).alias(f"_l_{name}") for name, (how, col) in totals.items()]
     )
@@ -86,7 +99,7 @@ def exact_percentiles(
     keys: Sequence[str],
     value: str,
     probabilities: Mapping[str, float],
-    bins: int = DEFAULT_BINS,
+    bins: int | None = None,
 ) -> DataFrame:
     """Linear-interpolation percentiles per key, from counts of distinct values.
 
@@ -124,7 +137,7 @@ def exact_percentiles(
     return ranked.groupBy(*keys).agg(*picked).select(*keys, *result)
 
 
-def dense_index(df: DataFrame, column: str, name: str, bins: int = DEFAULT_BINS) -> DataFrame:
+def dense_index(df: DataFrame, column: str, name: str, bins: int | None = None) -> DataFrame:
     """Distinct values of a string column with their zero-based place in binary order."""
     distinct = df.select(column).where(F.col(column).isNotNull()).distinct().withColumn("_one", F.lit(1))
     # The first six bytes as a number: never decreases along the binary order of the text.

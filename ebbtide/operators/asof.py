@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.running import running
+from ..session import cut_lineage
 
 
 def asof_latest(
@@ -24,10 +25,6 @@ def asof_latest(
     """
     others = [c for c in preds.columns if c != by]
     made = preds.where(F.col(by).isNotNull() & F.col(left_time).isNotNull())
-    # One prediction per customer and moment: the greatest `tie` among equals.
-    latest = made.groupBy(by, F.col(left_time).alias("_made")).agg(
-        F.max(F.struct(F.col(tie).alias("_tie"), *[c for c in others if c != tie])).alias("_p")
-    )
     asked = outcomes.where(F.col(by).isNotNull() & F.col(right_time).isNotNull())
     moments = asked.select(by, F.unix_micros(right_time).alias("_at"), F.lit(1).alias("_asked")).distinct()
     times = made.select(by, F.unix_micros(left_time).alias("_at"), F.lit(0).alias("_asked")).distinct()
@@ -40,7 +37,13 @@ def asof_latest(
         by, F.timestamp_micros("_at").alias(right_time), F.timestamp_micros("_seen").alias("_made")
     )
     oldest = F.make_dt_interval(days=F.lit(max_age_days))
-    recent = hit.where(F.col("_made") >= F.col(right_time) - oldest)
+    recent = cut_lineage(hit.where(F.col("_made") >= F.col(right_time) - oldest), "asof-hits")
+    # Only predictions that some outcome asks for are fetched whole, one per customer and moment:
+    # the greatest `tie` among equals.
+    needed = made.withColumn("_made", F.col(left_time)).join(recent.select(by, "_made").distinct(), [by, "_made"], "left_semi")
+    latest = needed.groupBy(by, "_made").agg(
+        F.max(F.struct(F.col(tie).alias("_tie"), *[c for c in others if c != tie])).alias("_p")
+    )
     found = asked.join(recent, [by, right_time]).join(latest, [by, "_made"])
     return found.select(
         *outcomes.columns,

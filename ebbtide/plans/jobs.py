@@ -28,12 +28,22 @@ def events_table(spark: SparkSession, path: str) -> VersionedTable:
     return VersionedTable(spark, path, schemas.CURATED_EVENT, EVENT_PARTITIONS)
 
 
-def curate(spark: SparkSession, raw_path: str, curated_path: str, start: dt.datetime, end: dt.datetime, etl_ts: dt.datetime) -> DataFrame:
-    """Raw range to curated table; returns the load metrics."""
+def curate(
+    spark: SparkSession, raw_path: str, curated_path: str, start: dt.datetime, end: dt.datetime, etl_ts: dt.datetime,
+    times_are_final: bool = False,
+) -> DataFrame:
+    """Raw range to curated table; returns the load metrics.
+
+    With `times_are_final` an event id never comes again with another time, so the table need not
+    be searched for it outside the days of the range.
+    """
     prepare(spark)
     rows = raw.read_raw(spark, raw_path, _ts(start), _ts(end))
     curated = cut_lineage(C.curate(rows, _ts(start), _ts(end), _ts(etl_ts), "curate"), "curated")
-    events_table(spark, curated_path).upsert(curated, "event_id", "_etl_timestamp", etl_ts, f"curate-{etl_ts.isoformat()}")
+    events_table(spark, curated_path).upsert(
+        curated, "event_id", "_etl_timestamp", etl_ts, f"curate-{etl_ts.isoformat()}",
+        keys_may_move=not times_are_final, stored=True,
+    )
     return C.load_metrics(rows, curated)
 
 

@@ -87,20 +87,27 @@ class VersionedTable:
         """Distinct partition values; bounded by the number of partitions."""
         return {tuple(row) for row in df.select(*self.partitions).distinct().collect()}
 
-    def upsert(self, incoming: DataFrame, key: str, version_column: str, at: dt.datetime, batch: str | None = None) -> int | None:
+    def upsert(
+        self, incoming: DataFrame, key: str, version_column: str, at: dt.datetime, batch: str | None = None,
+        keys_may_move: bool = True, stored: bool = False,
+    ) -> int | None:
         """Merge rows by key; only partitions that hold a touched key, before or after, are rewritten.
 
         A key whose partition has changed is found by its key in the whole table (a scan of one
-        column), so it cannot end up in two partitions. A batch that was committed already is skipped.
+        column), so it cannot end up in two partitions. Where a key's partition never changes,
+        `keys_may_move=False` leaves that scan out and reads the incoming partitions only. A batch
+        that was committed already is skipped.
         """
         if batch is not None and self.has_batch(batch):
             return None
-        rows = cut_lineage(incoming.select(*self.schema.fieldNames()), "incoming")
+        rows = incoming.select(*self.schema.fieldNames())
+        rows = rows if stored else cut_lineage(rows, "incoming")
         touched = self._partitions_of(rows)
         if not touched:
             return None
-        held = self.read().select(key, *self.partitions).join(rows.select(key).distinct(), key, "left_semi")
-        touched |= self._partitions_of(held)
+        if keys_may_move:
+            held = self.read().select(key, *self.partitions).join(rows.select(key).distinct(), key, "left_semi")
+            touched |= self._partitions_of(held)
         merged = merge_events(self.read(only=list(touched)), rows, key, version_column)
         return self.commit(merged, sorted(touched), at, batch)
 

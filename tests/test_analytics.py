@@ -21,6 +21,12 @@ def lit(text):
     return F.lit(text).cast("timestamp")
 
 
+@pytest.fixture(params=[R.ROWS_PER_BIN, 20], ids=["one window", "bins"])
+def both_ways(request, monkeypatch):
+    """Run a test with one window per key, and again with bins of a few rows."""
+    monkeypatch.setattr(R, "ROWS_PER_BIN", request.param)
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """A third of the rows in one key, with few and with many distinct values."""
@@ -51,7 +57,7 @@ def test_percentiles_against_brute_force(skewed):
             assert row[name] == pytest.approx(np.percentile(values, p), abs=1e-12)
 
 
-def test_percentiles_of_nothing(spark):
+def test_percentiles_of_nothing(spark, both_ways):
     empty = spark.createDataFrame([], "k string, v double")
     assert R.exact_percentiles(empty, ["k"], "v", {"p": 0.5}).count() == 0
     one = spark.createDataFrame([("a", 3.0), ("a", None)], "k string, v double")
@@ -177,7 +183,7 @@ def test_drift_score(spark, violations, score, retrain):
     assert row["violation_count"] == len(violations)
 
 
-def test_ks_by_hand(spark):
+def test_ks_by_hand(spark, both_ways):
     base = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4)], "x double")
     live = spark.createDataFrame([(float(v),) for v in (3, 4, 5, 6)], "x double")
     row = D.ks_two_sample(base, live, ["x"]).first()
@@ -203,7 +209,7 @@ def auc(spark, data):
     return E.roc_auc(spark.createDataFrame(data, SCORED)).first()["auc"]
 
 
-def test_auc(spark):
+def test_auc(spark, both_ways):
     rng = random.Random(3)
     data = [(int(rng.random() < 0.3), round(rng.random(), 2)) for _ in range(300)]
     pos, neg = ([p for y, p in data if y == c] for c in (1, 0))
@@ -237,7 +243,7 @@ def test_gates(spark):
     assert (result["passed"], result["failures"]) == (False, "p99_latency_ms,recall")
 
 
-def test_asof_against_brute_force(spark):
+def test_asof_against_brute_force(spark, both_ways):
     rng = random.Random(11)
     start = ts("2024-01-01")
     preds = [("hot" if i % 3 == 0 else f"c{i % 5}", f"p{i}", start + dt.timedelta(hours=rng.randrange(600)), i) for i in range(300)]
@@ -253,7 +259,7 @@ def test_asof_against_brute_force(spark):
     assert got == want and want
 
 
-def test_split_is_a_partition_with_equal_rates(spark):
+def test_split_is_a_partition_with_equal_rates(spark, both_ways):
     df = spark.range(1000).select(F.concat(F.lit("c"), "id").alias("customer_id"), (F.col("id") % 10 == 0).cast("int").alias("is_churned"))
     split = Q.stratified_split(df)
     counts = {(r["split"], r["is_churned"]): r["count"] for r in split.groupBy("split", "is_churned").count().collect()}
