@@ -39,20 +39,25 @@ EVENT_TYPES = {"click": "feature_usage", "view": "session_start", "signup": "log
 DEVICES = {0: "mobile", 1: "desktop"}
 
 
-def _with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with their customer's attributes and the number `k` out of `props`."""
-    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events under short names, with the number `k` out of `props`."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), "user_id",
+        F.col("event_type").alias("kind"), "value", F.get_json_object("props", "$.k").cast("int").alias("k"),
+    )
+
+
+def with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their customer's attributes. How to join is left to the planner, which knows the sizes."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     attributes = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", F.col("n_name").alias("cohort"), F.col("c_mktsegment").alias("plan")
     )
     bucket = F.col("user_id") % 20
-    return events.join(attributes, F.col("user_id") == F.col("c_custkey")).select(
-        F.col("event_id").alias("id"), "ts", "user_id", F.col("event_type").alias("kind"), "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"), "cohort", "plan",
-        F.when(bucket == 0, "churned").when(bucket <= 2, "churning").when(bucket <= 7, "at_risk")
-        .otherwise("healthy").alias("customer_state"),
+    state = F.when(bucket == 0, "churned").when(bucket <= 2, "churning").when(bucket <= 7, "at_risk").otherwise("healthy")
+    return events(spark, sf_dir).join(attributes, F.col("user_id") == F.col("c_custkey")).select(
+        "id", "ts", "user_id", "kind", "value", "k", "cohort", "plan", state.alias("customer_state"),
     )
 
 
@@ -67,7 +72,7 @@ def _session_id() -> Column:
 
 def curated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean curated events: one per row of `events`."""
-    return _with_customer(spark, sf_dir).select(
+    return with_customer(spark, sf_dir).select(
         F.col("id").cast("string").alias("event_id"),
         F.concat(F.lit("cust_"), F.col("user_id")).alias("customer_id"),
         _event_type().alias("event_type"),
@@ -111,7 +116,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events with irregular values; every tenth one is delivered twice."""
     i = F.col("id")
     deliveries = F.explode(F.sequence(F.lit(1), F.when(i % 10 == 0, 2).otherwise(1)))
-    source = _with_customer(spark, sf_dir).select("*", deliveries.alias("copy"))
+    source = with_customer(spark, sf_dir).select("*", deliveries.alias("copy"))
     shouted = i % 7 == 0
     duration = F.floor("value").cast("int")
     return source.select(
@@ -166,7 +171,7 @@ raw AS (
 def wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON text lines (column `value`), with the damage a wire can do."""
     i = F.col("id")
-    source = _with_customer(spark, sf_dir)
+    source = with_customer(spark, sf_dir)
     record = F.struct(
         F.when(i % 61 != 0, i.cast("string")).alias("event_id"),
         F.when(i % 29 == 0, "").when(i % 61 != 0, F.concat(F.lit("cust_"), F.col("user_id"))).alias("customer_id"),
@@ -221,7 +226,7 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scoring request per event, a month squeezed into half a day."""
     k, user = F.col("k"), F.col("user_id")
     squeezed = F.floor((F.unix_micros("ts") - EPOCH_START) / 60).cast("long") + F.lit(EPOCH_START)
-    return _with_customer(spark, sf_dir).select(
+    return events(spark, sf_dir).select(
         F.col("id").alias("request_id"),
         F.timestamp_micros(squeezed).alias("ts"),
         F.when(F.col("id") % 10 < 8, "prod").otherwise("dev").alias("env"),
@@ -269,7 +274,7 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One audit record per event."""
     k = F.col("k")
     names = F.array(*[F.lit(n) for n in IAM_EVENTS])
-    return _with_customer(spark, sf_dir).select(
+    return events(spark, sf_dir).select(
         F.col("ts").alias("eventTime"),
         F.when(k < 7, F.get(names, k)).otherwise(_cases(k, OTHER_EVENTS, "DescribeInstances")).alias("eventName"),
         F.when(k < 7, "iam.amazonaws.com").when(k == 11, "s3.amazonaws.com").when(k == 13, "kms.amazonaws.com")

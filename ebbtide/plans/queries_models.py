@@ -223,14 +223,14 @@ def _(spark, sf):
 KEYED = ["total_events_30d", "support_tickets_30d"]
 STORE_SQL = FEATURES_SQL + f""",
 numbered AS (SELECT *, CAST(substr(customer_id, 6) AS INTEGER) AS no FROM features),
-store AS (SELECT customer_id, no, TIMESTAMP '{A.AS_OF}' - to_minutes(no % 10) AS scored_at FROM numbered WHERE no % 10 < 8)"""
+store AS (SELECT customer_id, no, TIMESTAMP '{A.AS_OF}' - to_minutes(no % 10) AS scored_at FROM numbered)"""
 
 
 def _store(spark, sf, rows):
-    """Predictions made up to seven minutes ago, for customers whose number does not end in 8 or 9."""
+    """A stored prediction for every customer, made up to nine minutes ago."""
     no = F.substring("customer_id", 6, 20).cast("int")
     stored = S.stamped(U.keyed(rows, KEYED), F.lit(0.25), 0.5, "1", "stored")
-    return stored.where(no % 10 < 8).withColumn("scored_at", A.as_of() - F.make_dt_interval(mins=no % 10))
+    return stored.withColumn("scored_at", A.as_of() - F.make_dt_interval(mins=no % 10))
 
 
 def _incremental(spark, sf):

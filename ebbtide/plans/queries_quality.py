@@ -351,7 +351,7 @@ scores AS (
 
 
 def _log(spark, sf):
-    base = A._with_customer(spark, sf)
+    base = A.events(spark, sf)
     names, checks = F.array(*[F.lit(n) for n in NAMES]), F.array(*[F.lit(c) for c in CHECKS])
     return base.select(
         F.concat(F.lit("sched_"), F.col("user_id") % 50).alias("schedule"),

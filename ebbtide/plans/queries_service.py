@@ -188,7 +188,7 @@ samples AS (SELECT q.request_id, 'node_' || (b.user_id % 5) AS node, q.ts, b.k A
 
 
 def _samples(spark, sf):
-    log, base = A.request_log(spark, sf).select("request_id", "ts"), A._with_customer(spark, sf).select("id", "user_id", "k")
+    log, base = A.request_log(spark, sf).select("request_id", "ts"), A.events(spark, sf).select("id", "user_id", "k")
     return log.join(base, F.col("request_id") == F.col("id")).select(
         "request_id", F.concat(F.lit("node_"), F.col("user_id") % 5).alias("node"), "ts", F.col("k").alias("restarts"),
         (F.col("k") / 100.0).alias("idle"))

@@ -107,8 +107,8 @@ def _(spark, sf):
 SELECT customer_id, churned, outcome_date FROM outcomes WHERE outcome_date BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-14'"""))
 def _(spark, sf):
     path, rows = scratch_dir(spark, "outcomes"), cut_lineage(A.outcomes(spark, sf), "outcomes")
-    for day in [dt.date(2024, 1, 8) + dt.timedelta(days=i) for i in range(9)]:
-        rows.where(F.to_date("outcome_date") == F.lit(day)).write.parquet(f"{path}/{day:%Y/%m/%d}")
+    for row in rows.select(F.to_date("outcome_date").alias("day")).distinct().collect():
+        rows.where(F.to_date("outcome_date") == F.lit(row["day"])).write.parquet(f"{path}/{row['day']:%Y/%m/%d}")
     return L.read_outcomes(spark, path, dt.date(2024, 1, 10), dt.date(2024, 1, 14))
 
 
@@ -259,7 +259,7 @@ def _(spark, sf):
 
 
 def _segment_calls(spark, sf):
-    base, k = A._with_customer(spark, sf), F.col("k")
+    base, k = A.with_customer(spark, sf), F.col("k")
     types = F.array(*[F.lit(t) for t in ("track", "identify", "page", "screen", "group", "alias")])
     kind = F.get(types, k % 7)
     return base.select("id", F.to_json(F.struct(
@@ -293,7 +293,7 @@ def _(spark, sf):
 
 def _amplitude_calls(spark, sf):
     """Calls with one to three events each."""
-    base, k = A._with_customer(spark, sf), F.col("k")
+    base, k = A.with_customer(spark, sf), F.col("k")
 
     def event(i):
         return F.struct(
