@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,19 +18,49 @@ from ..functions.scalars import seconds_between
 FAILURE, WARNING = "failure", "warning"
 
 
-def check(name: str, column: str, severity: str, metric: Column, threshold: float | None, passed: Column, message: Column) -> Column:
-    """One check as a struct; an undecidable condition counts as passed."""
-    return F.struct(
-        F.lit(name).alias("check"), F.lit(column).alias("column"), F.lit(severity).alias("severity"),
-        metric.cast("double").alias("metric"), F.lit(threshold).cast("double").alias("threshold"),
-        F.coalesce(passed, F.lit(True)).alias("passed"),
-        F.when(~F.coalesce(passed, F.lit(True)), message).alias("message"),
-    )
+class Check(NamedTuple):
+    """A number of the metrics row and what it must satisfy."""
+
+    name: str
+    column: str
+    severity: str
+    metric: Column
+    op: str
+    threshold: float | None
+    complaint: str
+    # Whether a number that could not be computed is acceptable.
+    null_passes: bool = True
+
+
+_HOLDS = {
+    ">=": lambda m, t: m >= t, "<=": lambda m, t: m <= t, ">": lambda m, t: m > t, "!=": lambda m, t: m != t,
+}
 
 
-def as_rows(single: DataFrame, checks: Sequence[Column]) -> DataFrame:
-    """The structs of a one-row frame as rows."""
-    return single.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
+def as_rows(single: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Judge a one-row frame: one row per check. The numbers become rows first, so one expression judges them all."""
+
+    def listed(values, kind: str) -> Column:
+        return F.array(*[F.lit(v).cast(kind) for v in values])
+
+    arrays = single.select(
+        listed([c.name for c in checks], "string").alias("check"), listed([c.column for c in checks], "string").alias("column"),
+        listed([c.severity for c in checks], "string").alias("severity"),
+        F.array(*[c.metric.cast("double") for c in checks]).alias("metric"),
+        listed([c.threshold for c in checks], "double").alias("threshold"), listed([c.op for c in checks], "string").alias("op"),
+        listed([c.complaint for c in checks], "string").alias("complaint"),
+        listed([c.null_passes for c in checks], "boolean").alias("null_passes"),
+    )
+    rows = arrays.select(F.explode(F.arrays_zip(*arrays.columns)).alias("c")).select("c.*")
+    holds = None
+    for op, compare in _HOLDS.items():
+        branch = compare(F.col("metric"), F.col("threshold"))
+        holds = F.when(F.col("op") == op, branch) if holds is None else holds.when(F.col("op") == op, branch)
+    number = F.coalesce(F.round("metric", 3).cast("string"), F.lit("unknown"))
+    message = F.concat_ws(" ", F.concat("complaint", F.lit(":")), number, F.lit("is not"), "op", F.col("threshold").cast("string"))
+    return rows.withColumn("passed", F.coalesce(holds, F.col("null_passes"))).select(
+        "check", "column", "severity", "metric", "threshold", "passed", F.when(~F.col("passed"), message).alias("message")
+    )
 
 
 def _present(features: DataFrame, names: Sequence[str]) -> list[str]:
@@ -54,67 +85,48 @@ def metrics(features: DataFrame, as_of: Column, columns: Sequence[str] = tuple(N
     return single
 
 
-def schema_check(features: DataFrame) -> Column:
+def schema_check(features: DataFrame) -> Check:
     """Decided by the schema alone."""
     missing = [c for c in REQUIRED_COLUMNS if c not in features.columns]
-    return check(
-        "schema", "", FAILURE, F.lit(len(missing)), 0, F.lit(not missing), F.lit(f"Missing columns: {', '.join(missing)}")
-    )
+    return Check("schema", "", FAILURE, F.lit(len(missing)), "<=", 0, f"Missing columns [{', '.join(missing)}]")
 
 
-def freshness_check(features: DataFrame, max_age_h: float) -> Column:
-    if "snapshot_date" not in features.columns:
-        return check("freshness", "snapshot_date", FAILURE, F.lit(None), max_age_h, F.lit(False), F.lit("snapshot_date is missing"))
-    age = F.col("age_h")
-    return check(
-        "freshness", "snapshot_date", FAILURE, age, max_age_h, age <= max_age_h,
-        F.format_string(f"Latest snapshot is %.1fh old (max {max_age_h})", age),
-    )
+def freshness_check(features: DataFrame, max_age_h: float) -> Check:
+    age = F.col("age_h") if "snapshot_date" in features.columns else F.lit(None)
+    return Check("freshness", "snapshot_date", FAILURE, age, "<=", max_age_h, "Hours since the latest snapshot", False)
 
 
-def volume_checks(features: DataFrame, min_rows: int) -> list[Column]:
+def volume_checks(features: DataFrame, min_rows: int) -> list[Check]:
     n = F.col("n")
     churned = F.col("churned") if LABEL in features.columns else F.lit(0)
     counts = [("total", n, min_rows), ("churned", churned, min_rows // 2), ("active", n - churned, min_rows)]
-    return [
-        check("volume", name, FAILURE, count, least, count >= least, F.format_string(f"Too few {name} rows: %d < {least}", count))
-        for name, count, least in counts
-    ]
+    return [Check("volume", name, FAILURE, count, ">=", least, f"Number of {name} rows") for name, count, least in counts]
 
 
-def target_checks(features: DataFrame, low: float, high: float) -> list[Column]:
+def target_checks(features: DataFrame, low: float, high: float) -> list[Check]:
     if LABEL not in features.columns:
-        return [check("target", LABEL, FAILURE, F.lit(None), None, F.lit(False), F.lit(f"{LABEL} is missing"))]
-    rate = F.col("rate")
+        return [Check("target", LABEL, FAILURE, F.lit(None), ">=", None, "Churn rate", False)]
     return [
-        check("target_low", LABEL, FAILURE, rate, low, rate >= low, F.format_string(f"Churn rate too low: %.3f < {low}", rate)),
-        check("target_high", LABEL, FAILURE, rate, high, rate <= high, F.format_string(f"Churn rate too high: %.3f > {high}", rate)),
+        Check("target_low", LABEL, FAILURE, F.col("rate"), ">=", low, "Churn rate"),
+        Check("target_high", LABEL, FAILURE, F.col("rate"), "<=", high, "Churn rate"),
     ]
 
 
-def null_checks(features: DataFrame, max_rate: float, columns: Sequence[str] = tuple(NUMERIC_FEATURES)) -> list[Column]:
+def null_checks(features: DataFrame, max_rate: float, columns: Sequence[str] = tuple(NUMERIC_FEATURES)) -> list[Check]:
     return [
-        check("null_rate", c, FAILURE, F.col(f"null_{c}"), max_rate, F.col(f"null_{c}") <= max_rate,
-              F.format_string(f"High NULL rate in {c}: %.3f > {max_rate}", f"null_{c}"))
-        for c in _present(features, columns)
+        Check("null_rate", c, FAILURE, F.col(f"null_{c}"), "<=", max_rate, f"NULL rate of {c}") for c in _present(features, columns)
     ]
 
 
-def variance_checks(features: DataFrame, columns: Sequence[str] = tuple(NUMERIC_FEATURES)) -> list[Column]:
+def variance_checks(features: DataFrame, columns: Sequence[str] = tuple(NUMERIC_FEATURES)) -> list[Check]:
     """A single row has no sample deviation and is not flagged."""
-    return [
-        check("zero_variance", c, WARNING, F.col(f"std_{c}"), 0, F.col(f"std_{c}") != 0, F.lit(f"Constant column: {c}"))
-        for c in _present(features, columns)
-    ]
+    return [Check("zero_variance", c, WARNING, F.col(f"std_{c}"), "!=", 0, f"Deviation of {c}") for c in _present(features, columns)]
 
 
-def duplicate_check(max_share: float = 0.01) -> Column:
+def duplicate_check(max_share: float = 0.01) -> Check:
     """Rows beyond the distinct customers; a NULL customer counts as one of them."""
-    extra = F.col("n") - F.col("customers")
-    return check(
-        "duplicates", CUSTOMER, FAILURE, F.try_divide(extra, F.col("n")), max_share, extra <= F.col("n") * max_share,
-        F.format_string("Too many duplicate customers: %d", extra),
-    )
+    share = F.try_divide(F.col("n") - F.col("customers"), F.col("n"))
+    return Check("duplicates", CUSTOMER, FAILURE, share, "<=", max_share, "Share of duplicate customers")
 
 
 def validate(
@@ -205,9 +217,7 @@ def raw_freshness(raw: DataFrame, now: Column, max_hours: float = 2, ingested: s
     """Is the newest raw record recent enough; an empty table is an issue too."""
     newest = raw.agg(F.max(ingested).alias("newest"))
     age = seconds_between(F.col("newest"), now) / 3600
-    passed = F.coalesce(age <= max_hours, F.lit(False))
-    message = F.coalesce(F.format_string("Newest raw record is %.1fh old", age), F.lit("No raw records"))
-    return as_rows(newest, [check("raw_freshness", ingested, FAILURE, age, max_hours, passed, message)])
+    return as_rows(newest, [Check("raw_freshness", ingested, FAILURE, age, "<=", max_hours, "Hours since the newest raw record", False)])
 
 
 def arrival_health(
@@ -220,9 +230,8 @@ def arrival_health(
         F.count(F.lit(1)).alias("records"), F.coalesce(F.max(seconds_between(F.col(event), F.col(ingested))), F.lit(0.0)).alias("lag")
     )
     return as_rows(single, [
-        check("records_arriving", ingested, FAILURE, F.col("records"), 0, F.col("records") > 0, F.lit(f"No records in the last {minutes} minutes")),
-        check("arrival_lag", ingested, FAILURE, F.col("lag"), max_lag_s, F.col("lag") <= max_lag_s,
-              F.format_string("Records lag %.0fs behind", F.col("lag"))),
+        Check("records_arriving", ingested, FAILURE, F.col("records"), ">", 0, f"Records of the last {minutes} minutes"),
+        Check("arrival_lag", ingested, FAILURE, F.col("lag"), "<=", max_lag_s, "Seconds records lag behind"),
     ])
 
 

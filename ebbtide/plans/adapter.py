@@ -48,15 +48,19 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with their customer's attributes. How to join is left to the planner, which knows the sizes."""
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    attributes = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", F.col("n_name").alias("cohort"), F.col("c_mktsegment").alias("plan")
-    )
+    """Events with their customer's attributes. How to join is left to the planner, which knows the sizes.
+
+    The nation's name is joined last: the size of customers joined to nations first would be
+    overestimated, and the events taken for the smaller side.
+    """
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("plan"))
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("cohort"))
     bucket = F.col("user_id") % 20
     state = F.when(bucket == 0, "churned").when(bucket <= 2, "churning").when(bucket <= 7, "at_risk").otherwise("healthy")
-    return events(spark, sf_dir).join(attributes, F.col("user_id") == F.col("c_custkey")).select(
+    joined = events(spark, sf_dir).join(customer, F.col("user_id") == F.col("c_custkey")).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    return joined.select(
         "id", "ts", "user_id", "kind", "value", "k", "cohort", "plan", state.alias("customer_state"),
     )
 
