@@ -73,4 +73,4 @@ def append_drift_summaries(summaries: DataFrame, path: str, environment: str) ->
 def append_check_results(results: DataFrame, path: str, suite: str, run_at: Column) -> None:
     """Rows of a check suite or of quality gates, by suite and date."""
     rows = results.withColumns({"suite": F.lit(suite), "run_at": run_at, "date": F.to_date(run_at)})
-    rows.write.mode("append").option("mergeSchema", True).partitionBy("suite", "date").parquet(path)
+    rows.write.mode("append").partitionBy("suite", "date").parquet(path)
