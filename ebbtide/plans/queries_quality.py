@@ -461,7 +461,7 @@ def _(spark, sf):
 @query("mq1_model_quality", with_sql(MERGED_SQL, f"""
 SELECT metric, {r("value", "value")}, minimum, coalesce(value < minimum, TRUE) AS violated FROM (
   SELECT unnest(['precision', 'recall', 'f1', 'accuracy']) AS metric, unnest([0.75, 0.70, 0.72, 0.30])::DOUBLE AS minimum,
-         unnest([tp / nullif(tp + fp, 0), tp / nullif(tp + fn, 0), 2 * tp / nullif(2 * tp + fp + fn, 0), (tp + tn) / (tp + tn + fp + fn)]) AS value
+         unnest([coalesce(tp / nullif(tp + fp, 0), 0), coalesce(tp / nullif(tp + fn, 0), 0), coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), (tp + tn) / (tp + tn + fp + fn)]) AS value
   FROM (SELECT CAST(count(*) FILTER (WHERE label = 1 AND prediction = 1) AS DOUBLE) AS tp, CAST(count(*) FILTER (WHERE label = 0 AND prediction = 1) AS DOUBLE) AS fp,
                CAST(count(*) FILTER (WHERE label = 0 AND prediction = 0) AS DOUBLE) AS tn, CAST(count(*) FILTER (WHERE label = 1 AND prediction = 0) AS DOUBLE) AS fn FROM merged))"""))
 def _(spark, sf):
