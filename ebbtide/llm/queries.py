@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, radix, simhash, token_counts
-from .common import documents
+from . import bpe, decision_list, mixing, radix, simhash, token_counts
+from .common import documents, labels
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -17,10 +17,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decision_list.quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(WORD_FILE))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_documents(documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.exact_groups(documents(spark, sf_dir))
 
@@ -49,7 +58,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
     "op5_token_counts": op5_token_counts,
+    "op6_mixing": op6_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_bpe": op10_bpe,
 }
