@@ -2,8 +2,8 @@
 
 Every document of a source is to be copied target / source_size times. The whole part is certain; the fraction is settled by
 the pivotal method: two documents meet, mass moves at random from one to the other until one has 0 or 1, the other goes on.
-Documents meet in blocks of bounded size, in order of size, so that mass moves between documents of like length; what is
-left of a block is one document with a fraction, and these meet in blocks of the next level, until a source has one left.
+Documents of a source are put in order of size and cut into blocks, so that mass moves between documents of like length; what
+is left of a block is one document with a fraction, and these meet in blocks of the next level, until a source has one left.
 Expected copies are exact and each source's copies differ from their sum by less than one. Only DataFrame functions are used.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions.running import dense_index
+from ebbtide.functions.running import dense_index, running
 
 from .common import Scratch, session
 
@@ -28,13 +28,13 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, tables: Scratch, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """Per source: source_size, n (documents), target.
+    """Per source: source_size, target.
 
     Sources in code-point order, null last, weigh `weights` in turn and share the sum of all sizes. A target stops at `most`
     times its source's size; what exceeds it goes to the others by weight. So targets are min(cap, level * weight) with the
     level at which they sum up; it only rises from round to round, and a round is one aggregate.
     """
-    sums = tables.write(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")), "sums")
+    sums = tables.write(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "sums")
     places = dense_index(sums, "source", "place")
     weighted = sums.join(places, "source", "left").withColumn("place", F.coalesce("place", F.lit(places.count())))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
@@ -51,7 +51,7 @@ def source_targets(sizes: DataFrame, tables: Scratch, weights=WEIGHTS, most: int
         rounds, level = count, (total - capped) / open_weight
     # Written once more: its known size lets the planner broadcast it where it is small.
     target = F.least(F.col("cap"), F.lit(level) * F.col("weight"))
-    return tables.write(weighted.select("source", "source_size", "n", target.alias("target")), "targets")
+    return tables.write(weighted.select("source", "source_size", target.alias("target")), "targets")
 
 
 def _uniform(a: Column, b: Column, level: int) -> Column:
@@ -88,29 +88,23 @@ def mix(rows: DataFrame, tables: Scratch, weights=WEIGHTS, most: int = MOST_COPI
     targets = source_targets(rows, tables, weights, most)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     same = F.col("t.source").eqNullSafe(F.col("r.source"))
-    planned = rows.alias("r").join(targets.alias("t"), same, "left").select("r.*", "t.source_size", "t.target", "t.n", ratio.alias("ratio"))
+    planned = rows.alias("r").join(targets.alias("t"), same, "left").select("r.*", "t.source_size", "t.target", ratio.alias("ratio"))
     whole = F.floor(F.col("ratio") + NEAR)
     planned = planned.withColumn("whole", whole).withColumn("p", F.greatest(F.col("ratio") - whole, F.lit(0.0)))
-    units = planned.filter(f"p >= {NEAR} AND size > 0").select("source", "n", "size", F.xxhash64("key", "size", F.lit(SEED)).alias("h"), "row", "p")
+    units = planned.filter(f"p >= {NEAR} AND size > 0").select("source", "size", F.xxhash64("key", "size", F.lit(SEED)).alias("h"), "row", "p")
 
+    # Documents of a source in order of size, cut into blocks; later levels put neighbouring blocks together.
+    placed = running(tables.write(units, "units"), ["source"], [F.col(c) for c in ("size", "h", "row")], {"place": ("sum", F.lit(1))}, stored=True)
+    units = placed.withColumn("block", F.expr(f"(place - 1) div {BLOCK}")).drop("place")
     picked, level = [], 0
     while True:
-        blocks = F.ceil(F.col("n") / BLOCK)
-        units = units.withColumn("block", F.pmod(F.xxhash64("h", F.lit(level)), blocks))
-        # Many rows with one key and size would meet in one block: such a block is divided by row.
-        full = tables.write(units.groupBy("source", "block").agg(F.count(F.lit(1)).alias("in_block")).filter(f"in_block > {4 * BLOCK}"), f"full{level}")
-        at = F.col("u.source").eqNullSafe(F.col("f.source")) & (F.col("u.block") == F.col("f.block"))
-        part = F.pmod(F.xxhash64("row", F.lit(level)), F.coalesce(F.ceil(F.col("in_block") / BLOCK), F.lit(1)))
-        dealt = units.alias("u").join(full.alias("f"), at, "left").select("u.*", part.alias("part"))
-        met = dealt.groupBy("source", "block", "part").agg(F.sort_array(F.collect_list(F.struct("size", "h", "row", "p"))).alias("units"))
-        met = tables.write(met.select("source", _meet(F.col("units"), level).alias("met")), f"met{level}")
+        met = units.groupBy("source", "block").agg(F.sort_array(F.collect_list(F.struct("size", "h", "row", "p"))).alias("units"))
+        met = tables.write(met.select("source", "block", _meet(F.col("units"), level).alias("met")), f"met{level}")
         picked.append(met.select(F.explode("met.ones").alias("row")))
-        units = met.select("source", "met.left.*").filter(f"p >= {NEAR}")
-        counts = tables.write(units.groupBy("source").agg(F.count(F.lit(1)).alias("n")), f"counts{level}")
-        if (counts.agg(F.max("n")).first()[0] or 0) <= 1:
+        units = met.select("source", "met.left.*", "block").filter(f"p >= {NEAR}")
+        if (met.agg(F.max("block")).first()[0] or 0) == 0:
             break
-        on = F.col("u.source").eqNullSafe(F.col("c.source"))
-        units = units.alias("u").join(counts.alias("c"), on).select("u.*", "c.n")
+        units = units.withColumn("block", F.expr(f"block div {BLOCK}"))
         level += 1
     # One document per source has a fraction left: drawn by itself.
     picked.append(units.filter((_uniform(F.col("h"), F.lit(0), level + 1) < F.col("p")) | (F.col("p") > 1 - NEAR)).select("row"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decision_list, mixing, radix, simhash, token_counts
+from . import bpe, decision_list, language, mixing, radix, secret_spans, simhash, token_counts
 from .common import documents, labels
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -21,6 +21,19 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.quality(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans.secret_spans(documents(spark, sf_dir), keep=["doc_id"])
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(secret_spans.listed(base), 256).alias("base_sha256"),
+        secret_spans.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(WORD_FILE))
 
@@ -30,6 +43,17 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    own = language.held_out(F.col("doc_id"), 5, 0)
+    found = language.identify(docs, docs.filter(~own).select("lang", "text"), keep=["doc_id"])
+    first = F.try_element_at("languages", F.lit(1))
+    return found.select(
+        "doc_id", own.alias("held_out"), F.coalesce(first["lang"], F.lit(language.UNKNOWN)).alias("lang_pred"), F.coalesce(first["share"], F.lit(0.0)).alias("score"),
+        F.transform("languages", lambda x: x["lang"]).alias("languages"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.exact_groups(documents(spark, sf_dir))
 
@@ -59,8 +83,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
+    "op3_secrets": op3_secrets,
     "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,
+    "op7_language": op7_language,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_bpe": op10_bpe,
 }
