@@ -1,14 +1,13 @@
 """Exact running totals, ranks and percentiles that never put one large key into one task.
 
-A plain window over a key sends all rows of the key to one task. Up to `ROWS_PER_BIN` rows in
-total that is fine, whatever the keys are, and a plain window is used. Beyond it the rows are cut
-into bins along the ordering, at quantiles of the data, so that a key holding a third of all rows
-is spread over about a third of the bins. The window runs inside (key, bin); what earlier bins of
-the key add is a second window over at most `bins` rows per key. Where the cuts fall affects
-speed only, never the result.
-
-The input is read several times (count, cuts, bin totals, rows). It is therefore written to the
-shared folder once, unless the caller says that it is a stored table already.
+A plain window over a key sends all rows of the key to one task. Here the rows are cut into bins
+along (keys, ordering) by range partitioning, so that a key holding a third of all rows is spread
+over about a third of the bins, whatever the type or shape of its values. The window runs inside
+(bin, key); what earlier bins of the key add is a second window over at most `bins` rows per key.
+Where the cuts fall affects speed only, never the result. The number of bins is the session's
+number of shuffle partitions, which is sized with the cluster.
+
+The cut rows are written to the shared folder once, since both windows read them.
 """
 
 from __future__ import annotations
@@ -20,9 +19,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import cut_lineage
 
-ROWS_PER_BIN = 1_000_000
-MAX_BINS = 4096
-
 _AGGREGATE = {"sum": F.sum, "max": F.max, "min": F.min}
 _COMBINE = {
     "sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)),
@@ -31,28 +27,22 @@ _COMBINE = {
 }
 
 
-def bins_for(stored: DataFrame) -> int:
-    """Number of bins for a stored table; its rows are counted from file footers."""
-    return max(1, min(MAX_BINS, -(-stored.count() // ROWS_PER_BIN)))
-
+def binned(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bins: int | None = None, stored: bool = False) -> DataFrame:
+    """`df` cut along (keys, order), with the number of the cut in `_bin`, and stored.
 
-def with_bin(stored: DataFrame, bin_on: Column, bins: int) -> DataFrame:
-    """Add `_bin`, the place of `bin_on` among the quantiles of the table."""
-    from pyspark.ml.feature import QuantileDiscretizer
-
-    # A NULL sorts first, like in the windows' ordering.
-    placed = stored.withColumn("_bin_on", F.coalesce(bin_on.cast("double"), F.lit(float("-inf"))))
-    cutter = QuantileDiscretizer(
-        numBuckets=bins, inputCol="_bin_on", outputCol="_bin", relativeError=1 / (8 * bins), handleInvalid="keep"
-    )
-    return cutter.fit(placed).transform(placed).drop("_bin_on").withColumn("_bin", F.col("_bin").cast("int"))
+    Finding the cuts reads the input once more, so it is written first unless the caller says that
+    it is a stored table already.
+    """
+    df = df if stored else cut_lineage(df, "running")
+    bins = bins or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(bins, *[F.col(k) for k in keys], *order)
+    return cut_lineage(ranged.withColumn("_bin", F.spark_partition_id()), "bins")
 
 
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    bin_on: Column,
     totals: Mapping[str, tuple[str, Column]],
     inclusive: bool = True,
     bins: int | None = None,
@@ -60,21 +50,12 @@ def running(
 ) -> DataFrame:
     """Add `totals` = {name: (sum|max|min, column)} accumulated along `order` inside `keys`.
 
-    `bin_on` is a numeric column that never decreases along `order`. Rows with equal order values
-    are peers only if the caller made them one row; give a total order.
+    Rows with equal order values are peers only if the caller made them one row; give a total order.
     """
-    df = df if stored else cut_lineage(df, "running")
-    bins = bins or bins_for(df)
     upto = W.currentRow if inclusive else -1
-    if bins == 1:
-        whole = W.partitionBy(*(keys or [F.lit(0)])).orderBy(*order).rowsBetween(W.unboundedPreceding, upto)
-        plain = {name: _AGGREGATE[how](col).over(whole) for name, (how, col) in totals.items()}
-        return df.select("*", *[
-            (F.coalesce(col, F.lit(0)) if totals[name][0] == "sum" else col).alias(name) for name, col in plain.items()
-        ])
-    binned = with_bin(df, bin_on, bins)
+    cut = binned(df, keys, order, bins, stored)
     group = [*keys, "_bin"]
-    per_bin = binned.groupBy(*group).agg(
+    per_bin = cut.groupBy(*group).agg(
         *[_AGGREGATE[how](col).alias(f"_b_{name}") for name, (how, col) in totals.items()]
     )
     # At most `bins` rows per key, whatever the size of the input.
@@ -83,7 +64,7 @@ def running(
         *group, *[_AGGREGATE[how](f"_b_{name}").over(across).alias(f"_b_{name}") for name, (how, _) in totals.items()]
     )
     inside = W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, upto)
-    local = binned.select(
+    local = cut.select(
         "*", *[_AGGREGATE[how](col).over(inside).alias(f"_l_{name}") for name, (how, col) in totals.items()]
     )
     same = reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in group])
@@ -114,7 +95,7 @@ def exact_percentiles(
     )
     counts = cut_lineage(counts, "value-counts")
     upto = {"_upto": ("sum", F.col("_n"))}
-    ranked = running(counts, keys, [F.col("_v")], F.col("_v"), upto, bins=bins, stored=True)
+    ranked = running(counts, keys, [F.col("_v")], upto, bins=bins, stored=True)
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     if keys:
         same = reduce(lambda a, b: a & b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
@@ -140,9 +121,5 @@ def exact_percentiles(
 def dense_index(df: DataFrame, column: str, name: str, bins: int | None = None) -> DataFrame:
     """Distinct values of a string column with their zero-based place in binary order."""
     distinct = df.select(column).where(F.col(column).isNotNull()).distinct().withColumn("_one", F.lit(1))
-    # The first six bytes as a number: never decreases along the binary order of the text.
-    head = F.rpad(F.hex(F.substring(F.encode(F.col(column), "UTF-8"), 1, 6)), 12, "0")
-    numbered = running(
-        distinct, [], [F.col(column)], F.conv(head, 16, 10).cast("double"), {name: ("sum", F.col("_one"))}, bins=bins
-    )
+    numbered = running(distinct, [], [F.col(column)], {name: ("sum", F.col("_one"))}, bins=bins)
     return numbered.select(column, (F.col(name) - 1).cast("int").alias(name))

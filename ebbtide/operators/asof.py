@@ -30,7 +30,7 @@ def asof_latest(
     times = made.select(by, F.unix_micros(left_time).alias("_at"), F.lit(0).alias("_asked")).distinct()
     line = times.unionByName(moments)
     seen = running(
-        line, [by], [F.col("_at"), F.col("_asked")], F.col("_at"),
+        line, [by], [F.col("_at"), F.col("_asked")],
         {"_seen": ("max", F.when(F.col("_asked") == 0, F.col("_at")))},
     )
     hit = seen.where((F.col("_asked") == 1) & F.col("_seen").isNotNull()).select(

@@ -55,7 +55,7 @@ def ks_two_sample(base: DataFrame, live: DataFrame, features: Sequence[str], alp
     counts = _two_counts(long_form(base, features), long_form(live, features), ["feature", "value"]).where(F.col("value").isNotNull())
     counts = cut_lineage(counts, "value-counts")
     upto = running(
-        counts, ["feature"], [F.col("value")], F.col("value"),
+        counts, ["feature"], [F.col("value")],
         {"c_base": ("sum", F.col("n_base")), "c_live": ("sum", F.col("n_live"))}, stored=True,
     )
     # Shares need the totals, which are the largest running counts; distances are taken after that.

@@ -60,7 +60,7 @@ def _per_score(scored: DataFrame, probability: str) -> DataFrame:
 def roc_auc(scored: DataFrame, probability: str = "probability") -> DataFrame:
     """Probability that a positive outranks a negative, ties counting half; NULL with one class only."""
     counts = _per_score(scored, probability)
-    upto = running(counts, [], [F.col("score")], F.col("score"), {"neg_upto": ("sum", F.col("neg"))}, stored=True)
+    upto = running(counts, [], [F.col("score")], {"neg_upto": ("sum", F.col("neg"))}, stored=True)
     wins = F.col("pos").cast("double") * (F.col("neg_upto") - F.col("neg") + F.col("neg") / 2)
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return upto.agg(F.try_divide(F.sum(wins), pairs).alias("auc"))
@@ -70,7 +70,7 @@ def curve_points(scored: DataFrame, probability: str = "probability") -> DataFra
     """ROC and precision-recall coordinates at every distinct score used as threshold."""
     counts = _per_score(scored, probability)
     upto = running(
-        counts, [], [F.col("score").desc()], -F.col("score"), {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}, stored=True
+        counts, [], [F.col("score").desc()], {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}, stored=True
     )
     totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
     return upto.select(

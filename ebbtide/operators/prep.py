@@ -64,24 +64,25 @@ def stratified_split(
 ) -> DataFrame:
     """Add `split` with exact shares per label: rows in hash order, cut at the shares.
 
-    The places come from a binned running count, so a label that holds nearly all rows is not
-    sorted in one task.
+    Only (label, hash, key) is ranked, in bins; the row at each of the two cuts gives a bound per
+    label, and whole rows are compared with it where they are. Rows with the same label and key
+    fall on the same side of a cut.
     """
-    hashed = cut_lineage(df.withColumn("_hash", split_hash(F.col(key), seed)), "hashed")
-    placed = running(
-        hashed, [label], [F.col("_hash"), F.col(key)], F.col("_hash").cast("double"), {"_place": ("sum", F.lit(1))}, stored=True
-    )
-    sizes = hashed.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_size"))
+    narrow = cut_lineage(df.select(F.col(label).alias("_label"), split_hash(F.col(key), seed).alias("_hash"), F.col(key).alias("_key")), "hashed")
+    placed = running(narrow, ["_label"], [F.col("_hash"), F.col("_key")], {"_place": ("sum", F.lit(1))}, stored=True)
+    sizes = narrow.groupBy(F.col("_label").alias("_of")).agg(F.count(F.lit(1)).alias("_size"))
     n_test = F.floor(F.col("_size") * F.lit(test) + 0.5)
     n_val = F.floor(F.col("_size") * F.lit(val) + 0.5)
-    split = F.when(F.col("_place") <= n_test, "test").when(F.col("_place") <= n_test + n_val, "validation").otherwise("train")
-    joined = placed.join(F.broadcast(sizes) if _few_labels(label) else sizes, F.col(label).eqNullSafe(F.col("_label")))
-    return joined.withColumn("split", split).select(*df.columns, "split")
-
-
-def _few_labels(label: str) -> bool:
-    """The binary label has two values by contract; any other column is left to the planner."""
-    return label == LABEL
+    at = F.struct("_hash", "_key")
+    cuts = cut_lineage(
+        placed.join(sizes, F.col("_label").eqNullSafe(F.col("_of"))).groupBy("_of").agg(
+            F.max(F.when(F.col("_place") <= n_test, at)).alias("_test"), F.max(F.when(F.col("_place") <= n_test + n_val, at)).alias("_val")
+        ),
+        "cuts",
+    )
+    row = F.struct(split_hash(F.col(key), seed).alias("_hash"), F.col(key).alias("_key"))
+    split = F.when(row <= F.col("_test"), "test").when(row <= F.col("_val"), "validation").otherwise("train")
+    return df.join(cuts, F.col(label).eqNullSafe(F.col("_of"))).select(*df.columns, split.alias("split"))
 
 
 def hash_split(df: DataFrame, key: str = CUSTOMER, test: float = 0.2, val: float = 0.1, seed: int = 42) -> DataFrame:

@@ -21,12 +21,6 @@ def lit(text):
     return F.lit(text).cast("timestamp")
 
 
-@pytest.fixture(params=[R.ROWS_PER_BIN, 20], ids=["one window", "bins"])
-def both_ways(request, monkeypatch):
-    """Run a test with one window per key, and again with bins of a few rows."""
-    monkeypatch.setattr(R, "ROWS_PER_BIN", request.param)
-
-
 @pytest.fixture(scope="module")
 def skewed(spark):
     """A third of the rows in one key, with few and with many distinct values."""
@@ -39,7 +33,7 @@ def skewed(spark):
 @pytest.mark.parametrize("inclusive", [True, False])
 def test_running_against_brute_force(skewed, bins, inclusive):
     data, df = skewed
-    got = R.running(df, ["key"], [F.col("v"), F.col("i")], F.col("v"), {"n": ("sum", F.lit(1)), "top": ("max", F.col("i"))}, inclusive, bins)
+    got = R.running(df, ["key"], [F.col("v"), F.col("i")], {"n": ("sum", F.lit(1)), "top": ("max", F.col("i"))}, inclusive, bins)
     for row in got.collect():
         before = [d for d in data if d[0] == row["key"] and ((d[1], d[2]) <= (row["v"], row["i"]) if inclusive else (d[1], d[2]) < (row["v"], row["i"]))]
         assert row["n"] == len(before)
@@ -57,7 +51,7 @@ def test_percentiles_against_brute_force(skewed):
             assert row[name] == pytest.approx(np.percentile(values, p), abs=1e-12)
 
 
-def test_percentiles_of_nothing(spark, both_ways):
+def test_percentiles_of_nothing(spark):
     empty = spark.createDataFrame([], "k string, v double")
     assert R.exact_percentiles(empty, ["k"], "v", {"p": 0.5}).count() == 0
     one = spark.createDataFrame([("a", 3.0), ("a", None)], "k string, v double")
@@ -71,6 +65,13 @@ def test_dense_index_is_sorted(spark):
     assert got == {w: i for i, w in enumerate(sorted(set(words), key=lambda w: w.encode()))}
 
 
+def test_long_common_prefix_is_spread(spark):
+    """Values that differ only behind a long prefix, most rows in one key: no bin holds them all."""
+    df = spark.range(3000).select(F.lit("k").alias("k"), F.concat(F.lit("customer_" * 5), F.lpad(F.col("id").cast("string"), 6, "0")).alias("v"))
+    sizes = [r["n"] for r in R.binned(df, ["k"], [F.col("v")], bins=8).groupBy("_bin").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 6 and max(sizes) < 1000 and sum(sizes) == 3000
+
+
 EVENT = "customer_id string, event_id string, event_type string, event_timestamp timestamp, session_id string, session_duration int, transaction_amount double, device string, cohort string, plan string, customer_state string"
 
 
@@ -183,7 +184,7 @@ def test_drift_score(spark, violations, score, retrain):
     assert row["violation_count"] == len(violations)
 
 
-def test_ks_by_hand(spark, both_ways):
+def test_ks_by_hand(spark):
     base = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 4)], "x double")
     live = spark.createDataFrame([(float(v),) for v in (3, 4, 5, 6)], "x double")
     row = D.ks_two_sample(base, live, ["x"]).first()
@@ -209,7 +210,7 @@ def auc(spark, data):
     return E.roc_auc(spark.createDataFrame(data, SCORED)).first()["auc"]
 
 
-def test_auc(spark, both_ways):
+def test_auc(spark):
     rng = random.Random(3)
     data = [(int(rng.random() < 0.3), round(rng.random(), 2)) for _ in range(300)]
     pos, neg = ([p for y, p in data if y == c] for c in (1, 0))
@@ -243,7 +244,7 @@ def test_gates(spark):
     assert (result["passed"], result["failures"]) == (False, "p99_latency_ms,recall")
 
 
-def test_asof_against_brute_force(spark, both_ways):
+def test_asof_against_brute_force(spark):
     rng = random.Random(11)
     start = ts("2024-01-01")
     preds = [("hot" if i % 3 == 0 else f"c{i % 5}", f"p{i}", start + dt.timedelta(hours=rng.randrange(600)), i) for i in range(300)]
@@ -259,7 +260,7 @@ def test_asof_against_brute_force(spark, both_ways):
     assert got == want and want
 
 
-def test_split_is_a_partition_with_equal_rates(spark, both_ways):
+def test_split_is_a_partition_with_equal_rates(spark):
     df = spark.range(1000).select(F.concat(F.lit("c"), "id").alias("customer_id"), (F.col("id") % 10 == 0).cast("int").alias("is_churned"))
     split = Q.stratified_split(df)
     counts = {(r["split"], r["is_churned"]): r["count"] for r in split.groupBy("split", "is_churned").count().collect()}
