@@ -4,7 +4,8 @@ Documents are split by their leading bytes, groups of several by the bytes that
 single document or when its texts have ended. Each round is one aggregation by (group, next bytes) and one join back, both
 over all executors, so a group of any size is spread: copies collapse before the shuffle, and the join's skewed partitions
 are split by adaptive execution. The number of bytes per round grows fourfold, so rounds grow with the logarithm of the
-longest text among copies.
+longest text among copies. The first bytes are enough to tell most documents apart behind a common head line. Joins that
+move texts are merge joins at every size: their skewed partitions are split, and nothing has to fit into memory.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, Scratch, session
 
-FIRST_BYTES, GROWTH = 64, 4
+FIRST_BYTES, GROWTH = 256, 4
 
 ROW, GROUP = "__row", "__group"
 
@@ -49,7 +50,7 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
         "digits",
     )
     rows = tables.write(
-        source.join(shared, "__digit", "left").select(
+        source.join(shared.hint("merge"), "__digit", "left").select(
             F.monotonically_increasing_id().alias(ROW),
             "__key",
             "__chars",
@@ -74,7 +75,7 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
             f"digits{step}",
         )
         ended = F.octet_length("__digit") < size
-        joined = split.join(groups, (F.col(GROUP) == F.col("__from")) & (F.col("__digit") == F.col("__by"))).select(
+        joined = split.join(groups.hint("merge"), (F.col(GROUP) == F.col("__from")) & (F.col("__digit") == F.col("__by"))).select(
             ROW, F.col("__next").alias(GROUP), ended.alias("__ended"), F.when(~ended, F.col("__rest")).alias("__rest")
         )
         level = tables.write(joined, f"level{step}")
