@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decision_list, language, mixing, radix, secret_spans, simhash, token_counts
+from . import bpe, decision_list, language, mixing, radix, repeats, secret_spans, simhash, token_counts, toxicity
 from .common import documents, labels
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -34,6 +34,17 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOXIC_FROM = 0.7
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = language.held_out(F.col("doc_id"), 3, 1)
+    scored = toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir).filter(~own), keep=["doc_id"])
+    return scored.select(
+        "doc_id", own.alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= TOXIC_FROM).cast("int").alias("predicted"), "toxic_words"
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(WORD_FILE))
 
@@ -54,6 +65,14 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.exact_groups(documents(spark, sf_dir))
 
@@ -84,9 +103,11 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
+    "op4_toxicity": op4_toxicity,
     "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,
     "op7_language": op7_language,
+    "op8_repeats": op8_repeats,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_bpe": op10_bpe,
 }
