@@ -36,6 +36,14 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session(spark).read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, with underscores in front until no column of `df` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def map_texts(
     df: DataFrame,
     text: str,
@@ -50,10 +58,12 @@ def map_texts(
     counts as empty. A kept column with the name of an output is replaced by it.
     """
     session(df.sparkSession)
-    names = [n for n, _ in outputs]
+    names = {n for n, _ in outputs}
     kept = [c for c in keep if c not in names]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(f"`{text}`"), F.lit(empty)).alias(TEXT))
-    schema = T.StructType([f for f in source.schema.fields if f.name != TEXT] + [T.StructField(n, t, True) for n, t in outputs])
+    # A kept text travels once.
+    source = df.select(*[F.col(f"`{c}`") for c in kept], *([] if text in kept else [F.col(f"`{text}`").alias(TEXT)]))
+    at = kept.index(text) if text in kept else len(kept)
+    schema = T.StructType([*source.schema.fields[: len(kept)], *[T.StructField(n, t, True) for n, t in outputs]])
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
@@ -61,7 +71,7 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            columns = work(batch.column(len(kept)).to_pylist())
+            columns = work([empty if t is None else t for t in batch.column(at).to_pylist()])
             arrays = [batch.column(i).cast(arrow.field(i).type) for i in range(len(kept))]
             arrays += [pa.array(c, type=arrow.field(len(kept) + i).type) for i, c in enumerate(columns)]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
@@ -102,4 +112,4 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
-__all__ = ["BATCH_ROWS", "SPACES", "SPACE_CLASS", "Scratch", "cut_lineage", "documents", "labels", "map_texts", "per_process", "session"]
+__all__ = ["BATCH_ROWS", "SPACES", "SPACE_CLASS", "Scratch", "cut_lineage", "documents", "labels", "map_texts", "per_process", "session", "unused"]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, map_texts, session
+from .common import Scratch, map_texts, session, unused
 from .components import connected_components
 from .gray_index import Forest, gray_rank, near_pairs
 
@@ -53,13 +53,13 @@ def fingerprint(text: str, width: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * total > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Columns `keep` (all by default) and `fp`, the fingerprint as a signed long; null and empty texts have 0."""
+def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None, out: str = "fp") -> DataFrame:
+    """Columns `keep` (all by default) and `out`, the fingerprint as a signed long; null and empty texts have 0."""
 
     def make():
         return lambda texts: [np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)]
 
-    return map_texts(docs, text, docs.columns if keep is None else keep, [("fp", T.LongType())], make)
+    return map_texts(docs, text, docs.columns if keep is None else keep, [(out, T.LongType())], make)
 
 
 def _signed(mask: int) -> int:
@@ -139,6 +139,14 @@ def fingerprint_links(prints: DataFrame, tables: Scratch) -> DataFrame:
     return groups.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(_links, "a long, b long")
 
 
+def components_of_prints(prints: DataFrame, tables: Scratch) -> DataFrame:
+    """(fp, label) for every distinct fingerprint of column `fp`: equal labels are linked."""
+    distinct = tables.write(prints.select("fp").distinct(), "distinct")
+    labels = connected_components(fingerprint_links(distinct, tables), tables)
+    found = distinct.join(labels.select(F.col("node").alias("fp"), "label"), "fp", "left")
+    return found.withColumn("label", F.coalesce("label", "fp"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per input row: `key`, fp (signed long), component_id: the smallest key of all documents that can be reached.
 
@@ -149,9 +157,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     spark = session(docs.sparkSession)
     tables = Scratch(spark, "simhash")
     prints = tables.write(fingerprints(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")), keep=["key"]), "prints")
-    distinct = tables.write(prints.groupBy("fp").agg(F.min("key").alias("first")), "distinct")
-    labels = connected_components(fingerprint_links(distinct, tables), tables)
-    labelled = distinct.join(labels.select(F.col("node").alias("fp"), "label"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    labelled = prints.groupBy("fp").agg(F.min("key").alias("first")).join(components_of_prints(prints, tables), "fp")
+    labelled = tables.write(labelled, "labelled")
     first = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     by_print = labelled.select("fp", "label").join(first, "label").select("fp", "component_id")
     return prints.join(by_print, "fp").select(F.col("key").alias(key), "fp", "component_id")
+
+
+def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest key (null last), any of several such rows."""
+    spark = session(docs.sparkSession)
+    tables = Scratch(spark, "simhash")
+    row, fp = unused(docs, "row"), unused(docs, "fp")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    whole = tables.write(fingerprints(numbered, text, out=fp), "documents")
+    prints = whole.select(F.col(f"`{fp}`").alias("fp"), F.struct(F.col(f"`{key}`").isNull().alias("a"), F.col(f"`{key}`").alias("b"), F.col(f"`{row}`").alias("c")).alias("at"))
+    labels = components_of_prints(prints, tables)
+    best = prints.groupBy("fp").agg(F.min("at").alias("at")).join(labels, "fp").groupBy("label").agg(F.min("at").alias("at"))
+    staying = tables.write(best.select(F.col("at.c").alias(row)), "staying")
+    return whole.join(staying.hint("merge"), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

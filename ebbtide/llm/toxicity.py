@@ -254,13 +254,14 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, odds)))), sorted(own)
 
 
-def toxicity(docs: DataFrame, labelled: DataFrame, text: str = "text", keep: list[str] | None = None, key: str = "doc_id", fit_rows: int = FIT_ROWS) -> DataFrame:
+def toxicity(docs: DataFrame, labelled: DataFrame, text: str = "text", keep: list[str] | None = None, key: str = "doc_id", fit_rows: int = FIT_ROWS, out: tuple[str, str] = ("toxic_score", "toxic_words")) -> DataFrame:
     """Columns `keep` (all by default) with toxic_score (0 to 1) and toxic_words (restored words that speak for it).
 
     `labelled` (`key`, toxic) is what weights are learned from: at most about `fit_rows` rows of each class, chosen by a hash
     of the key, joined to the documents' texts. The character model covers all documents. Null and empty texts get the score
     of a text without any such word; so does every text when one class has no labelled document. Rows without a label, and
-    null labels or keys, teach nothing. Repeated rows each give a row. Input columns with these names are replaced.
+    null labels or keys, teach nothing. Repeated rows each give a row. `out` names the two columns; input
+    columns with these names are replaced.
     """
     spark = session(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(TEXT))
@@ -289,4 +290,4 @@ def toxicity(docs: DataFrame, labelled: DataFrame, text: str = "text", keep: lis
 
         return work
 
-    return map_texts(docs, text, docs.columns if keep is None else keep, [("toxic_score", T.DoubleType()), ("toxic_words", T.ArrayType(T.StringType()))], make)
+    return map_texts(docs, text, docs.columns if keep is None else keep, [(out[0], T.DoubleType()), (out[1], T.ArrayType(T.StringType()))], make)
