@@ -105,10 +105,10 @@ class Condition:
 
     def column(self) -> Column:
         c = F.col(self.statistic)
-        return c >= F.lit(self.threshold) if self.above else c < F.lit(self.threshold)
+        return c >= F.lit(self.threshold) if self.above else c <= F.lit(self.threshold)
 
     def __str__(self) -> str:
-        return f"{self.statistic} {'>=' if self.above else '<'} {self.threshold!r}"
+        return f"{self.statistic} {'>=' if self.above else '<='} {self.threshold!r}"
 
 
 Rule = tuple[Condition, ...]
@@ -136,7 +136,7 @@ def learn(labelled: DataFrame, tables: Scratch) -> list[Rule]:
 
     binned = tables.write(labelled.select("*", *[place(s).alias(f"bin_{s}") for s in STATISTICS]), "binned")
 
-    def best_condition(rows: DataFrame) -> tuple[float, Condition] | None:
+    def best_condition(rows: DataFrame) -> Condition | None:
         """The condition with the most information gained for bad rows."""
         melted = rows.select("bad", F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.col(f"bin_{s}").alias("b")) for s in STATISTICS])).alias("m"))
         counts = melted.groupBy("m.s", "m.b").agg(F.count_if("bad").alias("bad"), F.count(F.lit(1)).alias("n")).collect()
@@ -153,8 +153,14 @@ def learn(labelled: DataFrame, tables: Scratch) -> list[Rule]:
                     if p >= LEAST_SUPPORT and m < n:
                         gain = p * (math.log2(p / m) - before)
                         if found is None or gain > found[0] + 1e-9:
-                            found = gain, Condition(s, above, edge)
-        return found
+                            found = gain, s, above, edge
+        if found is None or found[0] <= 0:
+            return None
+        # The threshold is moved up to the nearest bad row, so that rows beyond all bad ones are not judged by it.
+        _, s, above, edge = found
+        side = F.col(s) >= edge if above else F.col(s) < edge
+        nearest = rows.filter(F.col("bad") & side).agg((F.min if above else F.max)(s)).first()[0]
+        return Condition(s, above, float(nearest))
 
     rules: list[Rule] = []
     rest = binned
@@ -163,10 +169,10 @@ def learn(labelled: DataFrame, tables: Scratch) -> list[Rule]:
         rows = rest.filter("part < 2")
         while len(grown) < MOST_CONDITIONS:
             found = best_condition(rows)
-            if not found or found[0] <= 0:
+            if found is None:
                 break
-            grown.append(found[1])
-            rows = rows.filter(found[1].column())
+            grown.append(found)
+            rows = rows.filter(found.column())
         if not grown:
             break
         # The shortest beginning of the conjunction that judges unseen rows best.

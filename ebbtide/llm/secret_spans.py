@@ -103,8 +103,8 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in log))
 
 
-def character_class(c: str) -> int:
-    return 0 if c in DIGIT else 1 if c in LOWER else 2 if c in UPPER else 3
+def character_class(c: str) -> int | None:
+    return 0 if c in DIGIT else 1 if c in LOWER else 2 if c in UPPER else None
 
 
 def randomness(token: str) -> float | None:
@@ -116,8 +116,10 @@ def randomness(token: str) -> float | None:
     place = {c: i for i, c in enumerate(alphabet)}
     if min(battery([place[c] for c in token], len(alphabet))) * 3 < REJECT:
         return None
+    # Signs part words in ordinary tokens: only neighbours that are letters or digits count.
     classes = [character_class(c) for c in token]
-    return max(binomial_tail(sum(x != y for x, y in zip(classes, classes[1:])), len(token) - 1, ORDINARY_CHANGES), 1e-300)
+    pairs = [(x, y) for x, y in zip(classes, classes[1:]) if x is not None and y is not None]
+    return max(binomial_tail(sum(x != y for x, y in pairs), len(pairs), ORDINARY_CHANGES), 1e-300)
 
 
 def find(text: str) -> list[tuple[str, int, int, float | None]]:
