@@ -62,6 +62,26 @@ def counter_increase(samples: DataFrame, keys: Sequence[str], ts: str, value: st
 _COMPARE = {">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b, "==": lambda a, b: a == b}
 
 
+# The shipped alert rules as (alert, metric, op, threshold, for seconds, step seconds, severity).
+SHIPPED_RULES = [
+    ("InferenceHighErrorRate", "error_ratio", ">", 0.05, 300, 30, "critical"),
+    ("InferenceHighLatency", "p99_seconds", ">", 0.3, 600, 30, "warning"),
+    ("InferenceServiceDown", "absent_requests", "==", 1.0, 300, 30, "critical"),
+    ("InferenceLowCacheHitRatio", "hit_ratio", "<", 0.30, 900, 30, "warning"),
+    ("InferencePredictionRateAnomaly", "positive_ratio", ">", 0.50, 1800, 30, "warning"),
+    ("AirflowDAGFailed", "dag_parse_increase", "==", 0.0, 0, 60, "warning"),
+    ("AirflowSchedulerNotRunning", "absent_scheduler_heartbeat", "==", 1.0, 300, 60, "critical"),
+    ("FeaturePipelineSLABreach", "feature_pipeline_seconds", ">", 7200.0, 0, 60, "warning"),
+    ("DataQualityCheckFailed", "data_quality_issues", ">", 0.0, 0, 60, "warning"),
+    ("PodCrashLooping", "container_restarts_15m", ">", 3.0, 0, 30, "critical"),
+    ("PodOOMKilled", "oom_killed", "==", 1.0, 0, 30, "warning"),
+    ("PodNotReady", "pod_not_ready", "==", 1.0, 600, 30, "warning"),
+    ("NodeHighCPU", "node_cpu", ">", 0.85, 900, 60, "warning"),
+    ("NodeHighMemory", "node_memory", ">", 0.85, 900, 60, "warning"),
+    ("PVCUsageHigh", "volume_usage", ">", 0.80, 600, 60, "warning"),
+]
+
+
 def rule_table(spark, rules: Sequence[tuple[str, str, str, float, int, int, str]]) -> DataFrame:
     """(alert, metric, op, threshold, for_s, step_s, severity) as a frame."""
     return spark.createDataFrame(
@@ -93,6 +113,7 @@ def _name_is(*names: str) -> Column:
 
 def audit_rules() -> list[tuple[str, Column]]:
     """The seven security rules over audit records."""
+    # The names of calls and sources that the rules look for.
     source = F.col("eventSource")
     return [
         ("root_account_usage", (F.col("userIdentity.type") == "Root") & (F.col("eventType") != "AwsServiceEvent")),

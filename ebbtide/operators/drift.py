@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import (
-    CRITICAL_WEIGHT, DISTRIBUTION_WEIGHT, DRIFT_STEP, HIGH_IMPORTANCE_FEATURES, RETRAIN_SCORE, RETRAIN_VIOLATIONS,
+    CRITICAL_WEIGHT, DISTRIBUTION_WEIGHT, DRIFT_STEP, RETRAIN_SCORE, RETRAIN_VIOLATIONS,
 )
 from ..functions.running import running
 from ..session import cut_lineage
-from .profile import long_form, long_text
+from .profile import category_counts, value_counts
 
 
 def constraint_violations(live: DataFrame, constraints: DataFrame, sigmas: float = 3.0) -> DataFrame:
@@ -34,9 +34,12 @@ def constraint_violations(live: DataFrame, constraints: DataFrame, sigmas: float
 
 
 def _two_counts(base: DataFrame, live: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Occurrences per value on both sides, combined before the shuffle."""
+    """Counts (by, n) of both sides next to each other."""
     both = base.withColumn("_live", F.lit(0)).unionByName(live.withColumn("_live", F.lit(1)))
-    return both.groupBy(*by).agg(F.count_if(F.col("_live") == 0).alias("n_base"), F.count_if(F.col("_live") == 1).alias("n_live"))
+    return both.groupBy(*by).agg(
+        F.coalesce(F.sum(F.when(F.col("_live") == 0, F.col("n"))), F.lit(0)).alias("n_base"),
+        F.coalesce(F.sum(F.when(F.col("_live") == 1, F.col("n"))), F.lit(0)).alias("n_live"),
+    )
 
 
 def ks_p_value(distance: Column, n: Column, m: Column, terms: int = 100) -> Column:
@@ -52,8 +55,12 @@ def ks_p_value(distance: Column, n: Column, m: Column, terms: int = 100) -> Colu
 
 def ks_two_sample(base: DataFrame, live: DataFrame, features: Sequence[str], alpha: float = 0.05) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per numeric feature, from counts of distinct values."""
-    counts = _two_counts(long_form(base, features), long_form(live, features), ["feature", "value"]).where(F.col("value").isNotNull())
-    counts = cut_lineage(counts, "value-counts")
+    return ks_of_counts(value_counts(base, features), value_counts(live, features), alpha)
+
+
+def ks_of_counts(base: DataFrame, live: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """The same from (feature, value, n) of both sides, such as a stored baseline's."""
+    counts = cut_lineage(_two_counts(base, live, ["feature", "value"]), "value-counts")
     upto = running(
         counts, ["feature"], [F.col("value")],
         {"c_base": ("sum", F.col("n_base")), "c_live": ("sum", F.col("n_live"))}, stored=True,
@@ -71,7 +78,12 @@ def ks_two_sample(base: DataFrame, live: DataFrame, features: Sequence[str], alp
 
 def chi_squared(base: DataFrame, live: DataFrame, features: Sequence[str]) -> DataFrame:
     """Chi-squared homogeneity statistic of categories between baseline and live, with degrees of freedom."""
-    counts = cut_lineage(_two_counts(long_text(base, features), long_text(live, features), ["feature", "category"]), "category-counts")
+    return chi_squared_of_counts(category_counts(base, features), category_counts(live, features))
+
+
+def chi_squared_of_counts(base: DataFrame, live: DataFrame) -> DataFrame:
+    """The same from (feature, category, n) of both sides."""
+    counts = cut_lineage(_two_counts(base, live, ["feature", "category"]), "category-counts")
     totals = counts.groupBy("feature").agg(
         F.sum("n_base").alias("t_base"), F.sum("n_live").alias("t_live"), (F.count(F.lit(1)) - 1).alias("degrees")
     )
@@ -86,6 +98,39 @@ def chi_squared(base: DataFrame, live: DataFrame, features: Sequence[str]) -> Da
     return counts.join(totals, "feature").groupBy("feature", "degrees").agg(F.sum(parts).alias("statistic"))
 
 
+# One-sided normal quantiles by level, for the critical values below.
+NORMAL_QUANTILE = {0.10: 1.2815515655446004, 0.05: 1.6448536269514722, 0.01: 2.3263478740408408, 0.001: 3.090232306167813}
+
+
+def chi_squared_critical(degrees: Column, alpha: float = 0.05) -> Column:
+    """Critical value of the chi-squared distribution: its cube root is nearly normal (Wilson and Hilferty)."""
+    spread = F.lit(2.0) / (9.0 * degrees)
+    return degrees * F.pow(1.0 - spread + NORMAL_QUANTILE[alpha] * F.sqrt(spread), F.lit(3.0))
+
+
+def distribution_violations(
+    base_values: DataFrame, live_values: DataFrame, base_categories: DataFrame, live_categories: DataFrame,
+    alpha: float = 0.05, share_tolerance: float = 0.20,
+) -> DataFrame:
+    """Features whose distribution has moved, one row per broken rule, from stored counts.
+
+    Numbers by the Kolmogorov-Smirnov test, categories by the chi-squared test, and any category whose share moved by more
+    than `share_tolerance` of its share in the baseline. A feature that one side lacks is a matter of the constraints.
+    """
+    numbers = ks_of_counts(base_values, live_values, alpha).where("drifted").select("feature", F.lit("numeric_distribution_check").alias("rule"))
+    tested = chi_squared_of_counts(base_categories, live_categories).where(F.col("degrees") > 0)
+    texts = tested.where(F.col("statistic") > chi_squared_critical(F.col("degrees"), alpha)).select(
+        "feature", F.lit("categorical_distribution_check").alias("rule"))
+    counts = _two_counts(base_categories, live_categories, ["feature", "category"])
+    totals = counts.groupBy("feature").agg(F.sum("n_base").alias("t_base"), F.sum("n_live").alias("t_live"))
+    joined = counts.join(totals, "feature").where((F.col("t_base") > 0) & (F.col("t_live") > 0))
+    base_share, live_share = F.col("n_base") / F.col("t_base"), F.col("n_live") / F.col("t_live")
+    shares = joined.where(F.abs(live_share - base_share) > share_tolerance * base_share).select(
+        "feature", F.lit("categorical_share_check").alias("rule")).distinct()
+    return numbers.unionByName(texts).unionByName(shares).select(
+        F.col("feature").alias("feature_name"), F.col("rule").alias("constraint_check_type"))
+
+
 def category_shift(base: DataFrame, live: DataFrame, feature: str, tolerance: float = 0.20) -> DataFrame:
     """Share of each category on both sides and whether it moved by more than `tolerance` of the baseline share."""
 
@@ -98,7 +143,7 @@ def category_shift(base: DataFrame, live: DataFrame, feature: str, tolerance: fl
     return both.withColumn("violated", moved)
 
 
-def drift_score(violations: DataFrame, high_importance: Sequence[str] = tuple(HIGH_IMPORTANCE_FEATURES), by: Sequence[str] = ()) -> DataFrame:
+def drift_score(violations: DataFrame, high_importance: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Weighted score in [0, 1], number of violations and the important features among them."""
     important = F.col("feature_name").isin(list(high_importance))
     of_distribution = F.lower("constraint_check_type").rlike("distribution|baseline")

@@ -141,11 +141,11 @@ def missing_fields(events: DataFrame, fields: list[str]) -> DataFrame:
     return events.withColumn("missing", names_where([(f, F.coalesce(F.col(f) == "", F.lit(True))) for f in fields]))
 
 
-def keyed_by_customer(events: DataFrame, time: str = "event_timestamp", slices: int = 16) -> DataFrame:
-    """Rows of a customer in time order inside each partition, one day of a customer per partition slice.
+def keyed_by_customer(events: DataFrame, time: str = "event_timestamp", slices: int = 1) -> DataFrame:
+    """All rows of a customer in one partition, in time order.
 
-    A customer is spread over at most `slices` partitions by day, so one very active customer
-    does not fill a single task; within a day its order is kept.
+    With `slices` above one a customer is spread over up to so many partitions by day, so that a
+    very active customer does not fill a single task; order is then kept within a day only.
     """
     slice_no = F.pmod(F.datediff(F.to_date(time), F.lit("1970-01-01")), F.lit(slices))
     return (

@@ -55,6 +55,27 @@ def profile(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return single.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def split_kinds(df: DataFrame, features: Sequence[str]) -> tuple[list[str], list[str]]:
+    """(numeric, text) columns among `features` that the frame has."""
+    kinds = {c: inferred_type(t) for c, t in df.dtypes}
+    there = [c for c in features if c in kinds]
+    return [c for c in there if kinds[c] != TEXT], [c for c in there if kinds[c] == TEXT]
+
+
+def value_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, value, n) of numeric columns without NULL; the counting is combined before the shuffle."""
+    if not features:
+        return df.sparkSession.createDataFrame([], "feature string, value double, n long")
+    return long_form(df, features).where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def category_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, category, n) of text columns; NULL is a category."""
+    if not features:
+        return df.sparkSession.createDataFrame([], "feature string, category string, n long")
+    return long_text(df, features).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"))
+
+
 def categories(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Count and share of each category; the counting is combined before the shuffle."""
     counts = long_text(df, features).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("count"))
@@ -65,31 +86,31 @@ def categories(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, profiled: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """Rows per equal-width bin between the profile's minimum and maximum; outside values go to the end bins.
 
-    The profile has one row per feature, so it is joined by broadcast whatever the size of the data.
+    The profile should be a stored one; it has one row per feature, so the planner sees its size. The edges stay with the
+    rows up to the result.
     """
     edges = profiled.where(F.col("feature").isin(list(features))).select("feature", "min", "max")
-    placed = long_form(df, features).where(F.col("value").isNotNull()).join(F.broadcast(edges), "feature")
+    placed = long_form(df, features).where(F.col("value").isNotNull()).join(edges, "feature")
     width = F.col("max") - F.col("min")
     raw_bin = F.when(width > 0, F.floor((F.col("value") - F.col("min")) / width * bins)).otherwise(F.lit(0))
     bin_no = F.least(F.greatest(raw_bin, F.lit(0)), F.lit(bins - 1)).cast("int")
-    return placed.groupBy("feature", bin_no.alias("bin")).agg(
-        F.count(F.lit(1)).alias("count")
-    ).join(F.broadcast(edges), "feature").select(
+    return placed.groupBy("feature", "min", "max", bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("count")).select(
         "feature", "bin", (F.col("min") + width * F.col("bin") / bins).alias("lower"),
         (F.col("min") + width * (F.col("bin") + 1) / bins).alias("upper"), "count",
     )
 
 
-def suggest_constraints(profiled: DataFrame, tight_completeness: float = 0.95) -> DataFrame:
-    """Limits for live data: the observed completeness, or `tight_completeness` where that is zero.
+def suggest_constraints(profiled: DataFrame, min_completeness: float = 0.95) -> DataFrame:
+    """Limits for live data: a feature complete in the baseline may miss up to 1 - `min_completeness`, another no more than it did.
 
-    Fractional features get limits for mean and deviation, whole numbers and text do not.
+    A feature that the baseline never saw has to be there from now on. Fractional features get limits for mean and
+    deviation, whole numbers and text do not.
     """
     fractional = F.col("inferred_type") == FRACTIONAL
+    seen = F.coalesce(F.col("completeness"), F.lit(0.0))
     return profiled.select(
         "feature", "inferred_type",
-        F.when(F.coalesce(F.col("completeness"), F.lit(0.0)) == 0, F.lit(tight_completeness))
-        .otherwise(F.col("completeness")).alias("min_completeness"),
+        F.when(seen == 0, F.lit(min_completeness)).otherwise(F.least(seen, F.lit(min_completeness))).alias("min_completeness"),
         F.when(F.col("min") >= 0, True).otherwise(False).alias("non_negative"),
         F.when(fractional, F.col("mean")).alias("mean"), F.when(fractional, F.col("std_dev")).alias("std_dev"),
     )

@@ -38,27 +38,35 @@ def _shaped(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in schemas.NORMALISED_EVENT.fields])
 
 
+def _text(call: Column, path: str) -> Column:
+    return F.try_variant_get(call, path, "string")
+
+
+def _value(call: Column, *paths: str, default: str) -> Column:
+    """The first of the paths that is there, as the JSON value it is; a null is a value."""
+    return F.coalesce(*[F.try_variant_get(call, path, "variant") for path in paths], F.parse_json(F.lit(default)))
+
+
 def normalize_segment(calls: DataFrame, received_at: Column, value: str = "value") -> DataFrame:
     """One event per call."""
-    raw = calls.select(F.col(value).alias("_text"), F.from_json(value, schemas.SEGMENT_WEBHOOK).alias("e"))
-    kind = F.coalesce("e.type", F.lit("track"))
-    props, context = F.col("e.properties"), F.col("e.context")
-    event_type = F.when(kind == "track", F.coalesce("e.event", F.lit(DEFAULT_TYPE))).otherwise(
+    raw = calls.select(F.col(value).alias("_text"), F.try_parse_json(value).alias("e")).where(F.col("e").isNotNull())
+    e = F.col("e")
+    kind = F.coalesce(_text(e, "$.type"), F.lit("track"))
+    event_type = F.when(kind == "track", F.coalesce(_text(e, "$.event"), F.lit(DEFAULT_TYPE))).otherwise(
         F.coalesce(_lookup(kind, SEGMENT_TYPES), F.lit(DEFAULT_TYPE))
     )
-    no_flags = F.from_json(F.lit("{}"), schemas.FLAGS)
     return _shaped(raw, {
-        "event_id": _stable_id(F.col("e.messageId"), F.col("_text")),
-        "customer_id": F.coalesce(present(F.col("e.userId")), F.col("e.anonymousId"), F.lit("anonymous")),
+        "event_id": _stable_id(_text(e, "$.messageId"), F.col("_text")),
+        "customer_id": F.coalesce(present(_text(e, "$.userId")), _text(e, "$.anonymousId"), F.lit("anonymous")),
         "event_type": event_type,
-        "timestamp": F.coalesce("e.timestamp", F.date_format(received_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")),
-        "device": F.coalesce(context["device"]["type"], F.lit("unknown")),
-        "session_id": context["sessionId"],
-        "session_duration": F.coalesce(props["session_duration"], F.lit(0)),
-        "transaction_amount": F.coalesce(props["revenue"], props["transaction_amount"], F.lit(0.0)),
-        "feature_flags": F.coalesce(props["feature_flags"], no_flags),
-        "cohort": context["traits"]["cohort"],
-        "plan": context["traits"]["plan"],
+        "timestamp": F.coalesce(_text(e, "$.timestamp"), F.date_format(received_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")),
+        "device": F.coalesce(_text(e, "$.context.device.type"), F.lit("unknown")),
+        "session_id": _text(e, "$.context.sessionId"),
+        "session_duration": _value(e, "$.properties.session_duration", default="0"),
+        "transaction_amount": _value(e, "$.properties.revenue", "$.properties.transaction_amount", default="0.0"),
+        "feature_flags": _value(e, "$.properties.feature_flags", default="{}"),
+        "cohort": _text(e, "$.context.traits.cohort"),
+        "plan": _text(e, "$.context.traits.plan"),
         "customer_state": F.lit(None),
         "metadata": _metadata("segment", kind),
     })
@@ -66,27 +74,25 @@ def normalize_segment(calls: DataFrame, received_at: Column, value: str = "value
 
 def normalize_amplitude(calls: DataFrame, value: str = "value") -> DataFrame:
     """One event per element of a call's batch."""
-    raw = calls.select(
-        F.col(value).alias("_text"), F.posexplode(F.from_json(value, schemas.AMPLITUDE_WEBHOOK)["events"]).alias("_pos", "e")
-    )
-    named = F.replace(F.lower(F.coalesce("e.event_type", F.lit(DEFAULT_TYPE))), F.lit(" "), F.lit("_"))
-    props = F.col("e.event_properties")
-    no_flags = F.from_json(F.lit("{}"), schemas.FLAGS)
-    moment = F.timestamp_millis(F.coalesce("e.time", F.lit(0)))
+    events = F.try_variant_get(F.try_parse_json(value), "$.events", "array<variant>")
+    raw = calls.select(F.col(value).alias("_text"), F.posexplode(events).alias("_pos", "e"))
+    e = F.col("e")
+    named = F.replace(F.lower(F.coalesce(_text(e, "$.event_type"), F.lit(DEFAULT_TYPE))), F.lit(" "), F.lit("_"))
+    moment = F.timestamp_millis(F.coalesce(F.try_variant_get(e, "$.time", "bigint"), F.lit(0)))
     return _shaped(raw, {
-        "event_id": _stable_id(F.col("e.event_id"), F.concat_ws("#", "_text", "_pos")),
-        "customer_id": F.coalesce(present(F.col("e.user_id")), F.col("e.device_id"), F.lit("anonymous")),
+        "event_id": _stable_id(_text(e, "$.event_id"), F.concat_ws("#", "_text", "_pos")),
+        "customer_id": F.coalesce(present(_text(e, "$.user_id")), _text(e, "$.device_id"), F.lit("anonymous")),
         "event_type": F.coalesce(_lookup(named, AMPLITUDE_ALIASES), named),
         "timestamp": F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
-        "device": F.lower(F.coalesce("e.platform", F.lit("unknown"))),
-        "session_id": F.col("e.session_id"),
-        "session_duration": F.coalesce(props["session_duration"], F.lit(0)),
-        "transaction_amount": F.coalesce(props["revenue"], F.lit(0.0)),
-        "feature_flags": F.coalesce(props["feature_flags"], no_flags),
-        "cohort": F.col("e.user_properties.cohort"),
-        "plan": F.col("e.user_properties.plan"),
+        "device": F.lower(F.coalesce(_text(e, "$.platform"), F.lit("unknown"))),
+        "session_id": _text(e, "$.session_id"),
+        "session_duration": _value(e, "$.event_properties.session_duration", default="0"),
+        "transaction_amount": _value(e, "$.event_properties.revenue", default="0.0"),
+        "feature_flags": _value(e, "$.event_properties.feature_flags", default="{}"),
+        "cohort": _text(e, "$.user_properties.cohort"),
+        "plan": _text(e, "$.user_properties.plan"),
         "customer_state": F.lit(None),
-        "metadata": _metadata("amplitude", F.col("e.event_type")),
+        "metadata": _metadata("amplitude", _text(e, "$.event_type")),
     })
 
 

@@ -6,13 +6,14 @@ The clock is always an argument. Every job can be run again for the same moment.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators import curate as C, drift as D, evaluate as E, features as X, labels as B, prep as Q, profile as P
 from ..operators import reports as R, validate as V
-from ..session import cut_lineage, prepare
+from ..session import cut_lineage, few_rows, owned_scratch, prepare
 from ..sinks import writers as W
 from ..sinks.tables import VersionedTable
 from ..sources import labels as L, raw, snapshots as N
@@ -24,10 +25,22 @@ def _ts(moment: dt.datetime):
     return F.lit(moment).cast("timestamp")
 
 
+def job(run):
+    """A job removes the intermediate tables it makes; what it returns stands by itself."""
+
+    @functools.wraps(run)
+    def owned(*args, **named):
+        with owned_scratch(SparkSession.getActiveSession()):
+            return run(*args, **named)
+
+    return owned
+
+
 def events_table(spark: SparkSession, path: str) -> VersionedTable:
     return VersionedTable(spark, path, schemas.CURATED_EVENT, EVENT_PARTITIONS)
 
 
+@job
 def curate(
     spark: SparkSession, raw_path: str, curated_path: str, start: dt.datetime, end: dt.datetime, etl_ts: dt.datetime,
     times_are_final: bool = False,
@@ -41,12 +54,13 @@ def curate(
     rows = raw.read_raw(spark, raw_path, _ts(start), _ts(end))
     curated = cut_lineage(C.curate(rows, _ts(start), _ts(end), _ts(etl_ts), "curate"), "curated")
     events_table(spark, curated_path).upsert(
-        curated, "event_id", "_etl_timestamp", etl_ts, f"curate-{etl_ts.isoformat()}",
+        curated, "event_id", "_etl_timestamp", etl_ts, f"curate-{start.isoformat()}-{end.isoformat()}-{etl_ts.isoformat()}",
         keys_may_move=not times_are_final, stored=True,
     )
-    return C.load_metrics(rows, curated)
+    return few_rows(C.load_metrics(rows, curated))
 
 
+@job
 def features(spark: SparkSession, curated_path: str, out_path: str, as_of: dt.datetime) -> DataFrame:
     """Feature snapshot of a moment, replacing the snapshot of that day."""
     prepare(spark)
@@ -61,6 +75,7 @@ def features(spark: SparkSession, curated_path: str, out_path: str, as_of: dt.da
     return N.read_features(spark, out_path).where(F.col("snapshot_date") == F.lit(as_of.date()))
 
 
+@job
 def splits(spark: SparkSession, features_path: str, out_path: str, as_of: dt.datetime) -> DataFrame:
     """Stratified train, validation and test sets of a snapshot; returns rows and churn rate of each."""
     prepare(spark)
@@ -68,27 +83,37 @@ def splits(spark: SparkSession, features_path: str, out_path: str, as_of: dt.dat
     return W.write_splits(Q.stratified_split(snapshot), out_path, as_of.date().isoformat())
 
 
-def validate(spark: SparkSession, features_path: str, results_path: str, as_of: dt.datetime, **limits) -> DataFrame:
-    """Check a snapshot, record the results, return the verdict."""
+@job
+def validate(
+    spark: SparkSession, features_path: str, results_path: str, as_of: dt.datetime, moment: dt.datetime | None = None, **limits
+) -> DataFrame:
+    """Check the snapshot of a day at a moment (the day's own unless given), record the results, return the verdict."""
+    moment = moment or as_of
     prepare(spark)
     snapshot = N.read_features(spark, features_path).where(F.col("snapshot_date") == F.lit(as_of.date()))
-    checks = cut_lineage(V.validate(snapshot, _ts(as_of), **limits), "checks")
-    W.append_check_results(checks, results_path, "features", _ts(as_of))
-    return V.verdict(checks)
+    checks = cut_lineage(V.validate(snapshot, _ts(moment), **limits), "checks")
+    W.append_check_results(checks, results_path, "features", _ts(moment))
+    return few_rows(V.verdict(checks))
 
 
+@job
 def evaluate(scored: DataFrame, threshold: float, p99_latency_ms: float) -> tuple[DataFrame, DataFrame]:
     """(metrics, gates) of labelled scores; the latency is measured elsewhere."""
-    metrics = cut_lineage(E.evaluation(scored, threshold).withColumn("p99_latency_ms", F.lit(p99_latency_ms)), "metrics")
+    metrics = few_rows(E.evaluation(scored, threshold).withColumn("p99_latency_ms", F.lit(p99_latency_ms)))
     return metrics, E.quality_gates(metrics)
 
 
-def score(features_df: DataFrame, out_path: str, scored_at: dt.datetime, apply) -> None:
-    """Score a snapshot with `apply` (frame to frame) and append the predictions by date."""
+@job
+def score(features_df: DataFrame, out_path: str, scored_at: dt.datetime, apply, run: str | None = None) -> None:
+    """Score a snapshot with `apply` (frame to frame) and add the predictions by date and run.
+
+    A run is named by its moment unless a name is given; repeated, it replaces its own predictions and no others.
+    """
     rows = apply(features_df).withColumns({"scored_at": _ts(scored_at), "date": F.to_date(_ts(scored_at))})
-    W.overwrite_partitions(rows, out_path, ["date"])
+    W.append_predictions(rows, out_path, run or f"{scored_at:%Y%m%dT%H%M%S}")
 
 
+@job
 def ground_truth(
     spark: SparkSession, capture_path: str, outcomes_path: str, out_path: str, end: dt.datetime, outcome_days: int = 7, lookback_days: int = 90
 ) -> DataFrame:
@@ -99,30 +124,44 @@ def ground_truth(
     outcomes = L.read_outcomes(spark, outcomes_path, start.date(), end.date())
     merged = cut_lineage(B.merged_labels(preds, outcomes, _ts(end), outcome_days, lookback_days), "merged")
     W.write_merged_labels(merged, out_path, end.date().isoformat())
-    return B.merge_summary(merged)
+    return few_rows(B.merge_summary(merged))
 
 
-def baseline(training: DataFrame, columns: list[str], out_path: str, model_version: str) -> DataFrame:
-    """Profile and constraints of the training rows, stored under the model version."""
+@job
+def baseline(training: DataFrame, columns: list[str], out_path: str, model_version: str, **limits) -> DataFrame:
+    """What live data is compared with, stored under the model version: profile, constraints, counts of values and categories."""
     profiled = cut_lineage(P.profile(training, columns), "profile")
-    constraints = P.suggest_constraints(profiled)
-    for name, frame in (("profile", profiled), ("constraints", constraints)):
+    numbers, texts = P.split_kinds(training, columns)
+    stored = {
+        "profile": profiled, "constraints": P.suggest_constraints(profiled, **limits),
+        "values": P.value_counts(training, numbers), "categories": P.category_counts(training, texts),
+    }
+    for name, frame in stored.items():
         frame.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out_path}/{model_version}/{name}")
-    return constraints
+    return training.sparkSession.read.parquet(f"{out_path}/{model_version}/constraints")
 
 
+@job
 def drift(
     live: DataFrame, columns: list[str], baseline_path: str, summaries_path: str, environment: str, schedule: str, at: dt.datetime,
-    monitoring_type: str = "data_quality", high_importance: list[str] | None = None,
+    high_importance: list[str], monitoring_type: str = "data_quality", **limits,
 ) -> DataFrame:
-    """Check live rows against a stored baseline, append the summary, return it with the decision."""
-    constraints = live.sparkSession.read.parquet(f"{baseline_path}/constraints")
-    violations = D.constraint_violations(P.profile(live, columns), constraints)
-    important = {} if high_importance is None else {"high_importance": high_importance}
-    decided = D.with_decision(D.drift_score(violations, **important))
+    """Check live rows against a stored baseline, record the summary, return it with the decision.
+
+    Profiles are held against the constraints, and the distributions of numbers and categories against those of the
+    baseline. `high_importance` names the features whose drift alone asks for a new training, such as the model's most
+    important ones.
+    """
+    read = live.sparkSession.read.parquet
+    broken = D.constraint_violations(P.profile(live, columns), read(f"{baseline_path}/constraints"))
+    numbers, texts = P.split_kinds(live, columns)
+    moved = D.distribution_violations(
+        read(f"{baseline_path}/values"), P.value_counts(live, numbers), read(f"{baseline_path}/categories"), P.category_counts(live, texts), **limits
+    )
+    decided = D.with_decision(D.drift_score(broken.unionByName(moved), high_importance))
     summary = cut_lineage(D.drift_summary(decided, _ts(at), schedule, monitoring_type, baseline_path), "drift-summary")
     W.append_drift_summaries(summary, summaries_path, environment)
-    return summary
+    return few_rows(summary)
 
 
 def register_views(events: DataFrame, snapshots: DataFrame, as_of: dt.datetime) -> None:

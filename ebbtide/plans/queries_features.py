@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..constants import NUMERIC_FEATURES
 from ..functions import running as R, scalars as S
 from ..operators import features as X, reports as P, selection as L
+from ..session import cut_lineage
 from ..sources import snapshots as N
 from . import adapter as A
 from .adapter import CURATED_SQL, r, with_sql
@@ -119,11 +120,11 @@ def _(spark, sf):
     return X.static_features(A.curated_events(spark, sf))
 
 
-@query("jn1_joined_features", with_sql(CURATED_SQL + "," + windows_sql(A.HALF_TIME, (3, 7), 91), f"""
+@query("jn1_joined_features", with_sql(CURATED_SQL + "," + windows_sql(A.AS_OF, (7, 30, 90), 91), f"""
 SELECT customer_id, cohort, current_plan, customer_state, last_seen_at, first_seen_at, total_events_all_time,
-       {window_columns((3, 7))} FROM windows"""))
+       {window_columns((7, 30, 90))} FROM windows"""))
 def _(spark, sf):
-    return X.joined_features(A.curated_events(spark, sf), F.lit(A.HALF_TIME).cast("timestamp"), (3, 7))
+    return X.joined_features(A.curated_events(spark, sf), A.as_of(), (7, 30, 90))
 
 
 @query("fea0_build_features", with_sql(FEATURES_SQL, f"SELECT {pick(X.SNAPSHOT_COLUMNS)} FROM features"))
@@ -196,9 +197,34 @@ FROM (SELECT cohort, current_plan, count(*) AS total_customers,
 ORDER BY churn_rate_pct DESC, cohort, current_plan"""
 
 
+def stored_features(spark, sf):
+    """The snapshot as a stored table, which is what every step after the feature job reads."""
+    return cut_lineage(features(spark, sf), "features")
+
+
 @query("agg4_churn_risk_by_cohort", with_sql(FEATURES_SQL, CHURN_RISK))
 def _(spark, sf):
-    return P.churn_risk_by_cohort(features(spark, sf))
+    return P.churn_risk_by_cohort(stored_features(spark, sf))
+
+
+@query("srt1_churn_risk_order", with_sql(FEATURES_SQL, f"""
+SELECT CAST(row_number() OVER (ORDER BY churn_rate_pct DESC, cohort, current_plan) AS INTEGER) AS place, cohort, current_plan, churn_rate_pct
+FROM ({CHURN_RISK.replace("ORDER BY churn_rate_pct DESC, cohort, current_plan", "")})"""))
+def _(spark, sf):
+    """The order of the report itself: places are counted along its rows as they come."""
+    rows = P.churn_risk_by_cohort(stored_features(spark, sf)).select("cohort", "current_plan", "churn_rate_pct")
+    written = cut_lineage(rows.coalesce(1).withColumn("no", F.monotonically_increasing_id()), "report")
+    return written.select((F.row_number().over(Window.orderBy("no"))).alias("place"), "cohort", "current_plan", "churn_rate_pct")
+
+
+@query("srt1_daily_counts_order", with_sql(CURATED_SQL, f"""
+SELECT CAST(row_number() OVER (ORDER BY event_date DESC, n DESC, event_type) AS INTEGER) AS place, event_date, event_type, n AS event_count
+FROM (SELECT CAST(event_timestamp AS DATE) AS event_date, event_type, count(*) AS n FROM curated
+      WHERE event_timestamp >= CAST(CAST(TIMESTAMP '{A.AS_OF}' AS DATE) - 7 AS TIMESTAMP) AND event_timestamp < TIMESTAMP '{A.AS_OF}' GROUP BY ALL)"""))
+def _(spark, sf):
+    rows = P.daily_event_counts(A.curated_events(spark, sf), A.as_of()).select("event_date", "event_type", "event_count")
+    written = cut_lineage(rows.coalesce(1).withColumn("no", F.monotonically_increasing_id()), "report")
+    return written.select((F.row_number().over(Window.orderBy("no"))).alias("place"), "event_date", "event_type", "event_count")
 
 
 @query("agg5_conditional_counts", with_sql(CURATED_SQL, """

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..constants import LOOKBACK_HOURS
 from ..functions import scalars as S
 from ..schemas import FLAGS
+from ..session import cut_lineage
 from ..operators import curate as C, ingest as I, merge as M
 from . import adapter as A
 from .adapter import CURATED_SQL, RAW_SQL, WIRE_SQL, r, with_sql
@@ -82,6 +83,19 @@ def _(spark, sf):
 
 
 @query("ing12_keyed_by_customer", with_sql(CURATED_SQL, """
+SELECT customer_id, count(*) AS events, TRUE AS together, TRUE AS in_order FROM curated GROUP BY customer_id"""))
+def _(spark, sf):
+    """All events of a customer lie in one partition, one behind the other, in time order."""
+    keyed = I.keyed_by_customer(A.curated_events(spark, sf)).select(
+        "customer_id", "event_timestamp", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("no"))
+    before = F.lag("event_timestamp").over(Window.partitionBy("customer_id").orderBy("no"))
+    placed = cut_lineage(keyed, "keyed").withColumn("ok", F.coalesce(F.col("event_timestamp") >= before, F.lit(True)))
+    return placed.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("events"), ((F.count_distinct("part") == 1) & (F.max("no") - F.min("no") == F.count(F.lit(1)) - 1)).alias("together"),
+        F.bool_and("ok").alias("in_order"))
+
+
+@query("ing12_keyed_by_customer_and_day", with_sql(CURATED_SQL, """
 SELECT customer_id, count(*) AS events, count(DISTINCT CAST(event_timestamp AS DATE)) AS day_slices
 FROM curated GROUP BY customer_id"""))
 def _(spark, sf):

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..constants import NUMERIC_FEATURES
 from ..operators import evaluate as E, prep as Q, reuse as U, score as S, train as T
-from . import adapter as A
+from ..session import cut_lineage, scratch_dir
+from ..sinks import writers as W
+from ..sources import raw
+from . import adapter as A, jobs
 from .adapter import SCORED_SQL, r, with_sql
-from ..session import cut_lineage
-from .queries_features import FEATURES_SQL, features as built_features
+from .queries_features import FEATURES_SQL, stored_features as features
 from .registry import query
 
 SPLIT_SQL = FEATURES_SQL + """,
@@ -21,11 +25,6 @@ split AS (
 )"""
 
 
-def features(spark, sf):
-    """The snapshot as a stored table, which is what every step after the feature job reads."""
-    return cut_lineage(built_features(spark, sf), "features")
-
-
 def _split(spark, sf):
     return Q.stratified_split(features(spark, sf))
 
@@ -56,17 +55,17 @@ def _(spark, sf):
     return Q.encode(rows, encoder, "cohort").select("customer_id", "cohort", "cohort_encoded")
 
 
-SCALED = ["total_events_30d", "avg_session_duration_30d", "total_transaction_amount_90d", "days_since_last_login"]
+FITTED_SQL = SPLIT_SQL + ", fitted AS (SELECT " + ", ".join(
+    f"avg(coalesce({c}, 0)) AS m_{c}, CASE WHEN stddev_pop(coalesce({c}, 0)) = 0 THEN 1 ELSE stddev_pop(coalesce({c}, 0)) END AS s_{c}" for c in NUMERIC_FEATURES
+) + " FROM split WHERE split = 'train')"
 
 
-@query("prep3_scale", with_sql(SPLIT_SQL, "SELECT customer_id, " + ", ".join(
-    r(f"(coalesce({c}, 0) - (SELECT avg(coalesce({c}, 0)) FROM split WHERE split = 'train')) / "
-      f"(SELECT CASE WHEN stddev_pop(coalesce({c}, 0)) = 0 THEN 1 ELSE stddev_pop(coalesce({c}, 0)) END FROM split WHERE split = 'train')", c)
-    for c in SCALED) + " FROM split"))
+@query("prep3_scale", with_sql(FITTED_SQL, "SELECT customer_id, " + ", ".join(
+    r(f"(coalesce({c}, 0) - m_{c}) / s_{c}", c, 4) for c in NUMERIC_FEATURES) + " FROM split, fitted"))
 def _(spark, sf):
-    rows = Q.fill_missing(_split(spark, sf))
-    scaler = Q.fit_scaler(rows.where(F.col("split") == "train"), SCALED)
-    return Q.scale(rows, scaler, SCALED).select("customer_id", *SCALED)
+    rows = cut_lineage(Q.fill_missing(_split(spark, sf)), "filled")
+    scaled = Q.scale(rows, Q.fit_scaler(rows.where(F.col("split") == "train")))
+    return scaled.select("customer_id", *[F.round(F.col(c).cast("decimal(30,10)"), 4).cast("double").alias(c) for c in NUMERIC_FEATURES])
 
 
 @query("prep4_stratified_split", with_sql(SPLIT_SQL, "SELECT customer_id, is_churned, split FROM split"))
@@ -97,7 +96,7 @@ def _(spark, sf):
     return Q.split_summary(_split(spark, sf))
 
 
-@query("prep5_assemble")
+@query("prep5_assemble", with_sql(FEATURES_SQL, "SELECT customer_id, 27 AS width FROM features"))
 def _(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
@@ -220,7 +219,7 @@ def _(spark, sf):
     return S.ensemble(S.score_linear(rows, WEIGHTS, 0.1), second)
 
 
-KEYED = ["total_events_30d", "support_tickets_30d"]
+KEYED = list(WEIGHTS)
 STORE_SQL = FEATURES_SQL + f""",
 numbered AS (SELECT *, CAST(substr(customer_id, 6) AS INTEGER) AS no FROM features),
 store AS (SELECT customer_id, no, TIMESTAMP '{A.AS_OF}' - to_minutes(no % 10) AS scored_at FROM numbered)"""
@@ -233,11 +232,23 @@ def _store(spark, sf, rows):
     return stored.withColumn("scored_at", A.as_of() - F.make_dt_interval(mins=no % 10))
 
 
+def _written_store(spark, sf, rows):
+    """The store as files by date and run; a run of another month lies beside it."""
+    path = scratch_dir(spark, "store")
+    stored = _store(spark, sf, rows).withColumn("cached", F.lit(False))
+    held = stored.select("prediction_key", "customer_id", *U.PREDICTION, "scored_at", F.to_date("scored_at").alias("date"))
+    W.append_predictions(held, path, "stored")
+    U.write_store(stored.drop("scored_at"), path, F.lit("2023-12-01").cast("timestamp"), "old")
+    return path
+
+
 def _incremental(spark, sf):
     rows = features(spark, sf)
-    requests = rows.select("customer_id", *WEIGHTS, *KEYED)
-    return U.incremental_score(
-        requests, _store(spark, sf, rows), lambda df: S.score_linear(df, WEIGHTS, 0.1, version="3"), KEYED, A.as_of())
+    path = _written_store(spark, sf, rows)
+    store = U.read_store(spark, path, dt.datetime.fromisoformat(A.AS_OF))
+    scored = U.incremental_score(
+        rows.select("customer_id", *WEIGHTS), store, lambda df: S.score_linear(df, WEIGHTS, 0.1, version="3"), KEYED, A.as_of())
+    return path, scored
 
 
 @query("jn5_incremental_score", with_sql(STORE_SQL, f"""
@@ -245,13 +256,46 @@ SELECT n.customer_id, s.customer_id IS NOT NULL AS cached, {r(f"CASE WHEN s.cust
        CASE WHEN s.customer_id IS NOT NULL THEN '1' ELSE '3' END AS model_version
 FROM numbered n LEFT JOIN store s ON n.customer_id = s.customer_id AND s.scored_at > TIMESTAMP '{A.AS_OF}' - INTERVAL 300 SECOND"""))
 def _(spark, sf):
-    return _incremental(spark, sf).select("customer_id", "cached", "churn_probability", "model_version")
+    return _incremental(spark, sf)[1].select("customer_id", "cached", "churn_probability", "model_version")
 
 
 @query("scr3_rows_to_store", with_sql(STORE_SQL, f"""
 SELECT customer_id, TIMESTAMP '{A.AS_OF}' AS scored_at, DATE '2024-01-31' AS date FROM numbered WHERE no % 10 >= 5"""))
 def _(spark, sf):
-    return U.to_store(_incremental(spark, sf), A.as_of()).select("customer_id", "scored_at", "date")
+    """What was scored now, written twice as the same run and read back."""
+    path, scored = _incremental(spark, sf)
+    for _ in range(2):
+        U.write_store(scored, path, A.as_of(), "now")
+    return U.read_store(spark, path, dt.datetime.fromisoformat(A.AS_OF)).where("run = 'now'").select("customer_id", "scored_at", "date")
+
+
+@query("scr2_missing_features", "SELECT count(*) AS customers, 'no_such_input' AS missing, 'c_acctbal' AS present FROM customer")
+def _(spark, sf):
+    rows = A.table(spark, sf, "customer")
+    missing = S.missing_features(rows, ["c_acctbal", "no_such_input"])
+    S.require_features(rows, ["c_acctbal"])
+    return rows.agg(F.count(F.lit(1)).alias("customers")).select("customers", F.lit(",".join(missing)).alias("missing"), F.lit("c_acctbal").alias("present"))
+
+
+@query("src10_schema_diff", """SELECT 'c_note' AS "column", 'added' AS change, count(*) AS customers FROM customer""")
+def _(spark, sf):
+    """The table's own schema against one that lacks a column and has another."""
+    rows = A.table(spark, sf, "customer").withColumn("c_note", F.lit("x"))
+    known = A.table(spark, sf, "customer").schema
+    diff = raw.schema_diff(spark, known, rows.schema)
+    return diff.select("column", "change").withColumn("customers", rows.agg(F.count(F.lit(1))).scalar())
+
+
+@query("job_score", with_sql(FEATURES_SQL, """
+SELECT CASE WHEN CAST(substr(customer_id, 6) AS INTEGER) % 2 = 0 THEN TIMESTAMP '2024-01-31 06:00:00' ELSE TIMESTAMP '2024-01-31 18:00:00' END AS scored_at, count(*) AS predictions
+FROM features GROUP BY 1"""))
+def _(spark, sf):
+    """Two runs on one day, the first of them repeated: both stay, once."""
+    rows, path = features(spark, sf), scratch_dir(spark, "scores")
+    even = F.substring("customer_id", 6, 20).cast("int") % 2 == 0
+    for hour, mine in ((6, even), (18, ~even), (6, even)):
+        jobs.score(rows.where(mine), path, dt.datetime(2024, 1, 31, hour), lambda df: S.score_linear(df, WEIGHTS, 0.1))
+    return spark.read.parquet(path).groupBy("scored_at").agg(F.count(F.lit(1)).alias("predictions"))
 
 
 @query("scr4_invalidated", with_sql(STORE_SQL, """
@@ -266,31 +310,44 @@ def _inputs(spark, sf):
     return T.fit_inputs(_split(spark, sf))[0]
 
 
-def _model_rows(spark, sf, fit, threshold, name):
-    inputs = _inputs(spark, sf)
-    return S.score_pipeline(inputs, fit(inputs), threshold, "1", name).select("customer_id", "is_churned", "split", *U.PREDICTION)
+# What holds of any trained model: every customer is scored, with a probability, better than by chance where it learned.
+TRAINED_SQL = with_sql(FEATURES_SQL, "SELECT count(*) AS scored, TRUE AS in_range, TRUE AS better_than_chance FROM features")
+
 
+def _properties(scored):
+    train = scored.where("split = 'train'").select(F.col("is_churned").alias("label"), F.col("churn_probability").alias("probability"))
+    auc = E.roc_auc(train).scalar()
+    return scored.agg(
+        F.count(F.lit(1)).alias("scored"), F.bool_and(F.col("churn_probability").between(0, 1)).alias("in_range")
+    ).withColumn("better_than_chance", auc > 0.5)
 
-@query("trn1_boosted_trees")
+
+def _model_rows(inputs, model, name):
+    scored = S.score_pipeline(inputs, model, 0.5, "1", name).select("customer_id", "is_churned", "split", *U.PREDICTION)
+    return _properties(cut_lineage(scored, "scored"))
+
+
+@query("trn1_boosted_trees", TRAINED_SQL)
 def _(spark, sf):
-    return _model_rows(spark, sf, lambda rows: T.train_boosted(rows, maxIter=10), 0.5, "boosted")
+    inputs = _inputs(spark, sf)
+    return _model_rows(inputs, T.train_boosted(inputs), "boosted")
 
 
-@query("trn2_perceptron")
+@query("trn2_perceptron", TRAINED_SQL)
 def _(spark, sf):
-    width = len(Q.model_columns())
-    return _model_rows(spark, sf, lambda rows: T.train_mlp(rows, width, layers=(16, 8), maxIter=20), 0.5, "mlp")
+    inputs = _inputs(spark, sf)
+    return _model_rows(inputs, T.train_mlp(inputs, len(Q.model_columns())), "mlp")
 
 
-@query("trn3_search")
+@query("trn3_search", TRAINED_SQL)
 def _(spark, sf):
     inputs = _inputs(spark, sf)
-    small = {**T.SEARCH_SPACE, "maxIter": (2, 4, "integer"), "maxDepth": (2, 4, "integer")}
-    best = T.search(inputs, T.draw_trials(2, space=small), parallelism=2).bestModel
-    return S.score_pipeline(inputs, best, 0.5, "1", "boosted").select("customer_id", *U.PREDICTION)
+    return _model_rows(inputs, T.search(inputs, T.draw_trials(T.TRIALS))[0], "boosted")
 
 
-@query("trn4_feature_importance")
+@query("trn4_feature_importance", "SELECT 27 AS inputs, TRUE AS sums_to_one, count(*) > 0 AS trained FROM customer")
 def _(spark, sf):
-    model = T.train_boosted(_inputs(spark, sf), maxIter=5)
-    return T.feature_importance(spark, model, Q.model_columns())
+    model = T.train_boosted(_inputs(spark, sf))
+    shares = T.feature_importance(spark, model, Q.model_columns())
+    return shares.agg(
+        F.count(F.lit(1)).cast("int").alias("inputs"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"), F.lit(True).alias("trained"))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..constants import HIGH_IMPORTANCE_FEATURES, NUMERIC_FEATURES
 from ..operators import asof as J, drift as D, evaluate as E, labels as B, profile as P, selection as L, validate as V
-from . import adapter as A
+from ..session import cut_lineage, scratch_dir
+from ..sinks import writers as W
+from . import adapter as A, jobs
 from .adapter import CURATED_SQL, RAW_SQL, r, with_sql
-from .queries_features import FEATURES_SQL, features
+from .queries_features import FEATURES_SQL, stored_features as features
 from .registry import query
 
 NOW = "2024-02-03 00:00:00"
@@ -201,7 +205,7 @@ GROUP BY feature, bin, lo, hi"""))
 def _(spark, sf):
     names = ["session_duration", "transaction_amount"]
     events = A.curated_events(spark, sf)
-    return P.histogram(events, P.profile(events, names), names)
+    return P.histogram(events, cut_lineage(P.profile(events, names), "profile"), names)
 
 
 # The baseline is the clean table; live is the raw one, whose damage shows as violations.
@@ -215,7 +219,7 @@ violations AS (
   SELECT coalesce(b.feature, l.feature) AS feature_name, unnest(list_filter([
       CASE WHEN l.feature IS NULL THEN 'missing_column_check' END, CASE WHEN b.feature IS NULL THEN 'extra_column_check' END,
       CASE WHEN l.inferred_type <> b.inferred_type THEN 'data_type_check' END,
-      CASE WHEN l.completeness < b.completeness THEN 'completeness_check' END,
+      CASE WHEN l.completeness < CASE WHEN b.completeness = 0 THEN 0.95 ELSE least(b.completeness, 0.95) END THEN 'completeness_check' END,
       CASE WHEN b.min >= 0 AND l.min < 0 THEN 'non_negative_check' END,
       CASE WHEN b.inferred_type = 'Fractional' AND abs(l.mean - b.mean) > 3 * b.std_dev THEN 'baseline_drift_check' END
     ], lambda x: x IS NOT NULL)) AS constraint_check_type
@@ -234,7 +238,7 @@ def _violations(spark, sf):
 
 
 @query("prf2_constraints", with_sql(DRIFT_SQL, f"""
-SELECT feature, inferred_type, {r("CASE WHEN completeness = 0 THEN 0.95 ELSE completeness END", "min_completeness")},
+SELECT feature, inferred_type, {r("CASE WHEN completeness = 0 THEN 0.95 ELSE least(completeness, 0.95) END", "min_completeness")},
        coalesce(min >= 0, FALSE) AS non_negative,
        {r("CASE WHEN inferred_type = 'Fractional' THEN mean END", "mean")},
        {r("CASE WHEN inferred_type = 'Fractional' THEN std_dev END", "std_dev")} FROM base_profile"""))
@@ -251,9 +255,83 @@ def _(spark, sf):
     return P.schema_changes(*_profiles(spark, sf))
 
 
-@query("drf1_violations", with_sql(DRIFT_SQL, "SELECT * FROM violations"))
+# Distributions of the two halves of the clean table and of the raw one: numbers, categories, shares.
+MOVED_NUMBERS, MOVED_TEXTS = ["session_duration", "transaction_amount"], ["plan", "customer_id"]
+DISTRIBUTIONS_SQL = DRIFT_SQL + """,
+numbers AS (
+  SELECT feature, value, count(*) FILTER (WHERE live = 0) AS b, count(*) FILTER (WHERE live = 1) AS l FROM (
+    SELECT 'session_duration' AS feature, CAST(session_duration AS DOUBLE) AS value, 0 AS live FROM curated
+    UNION ALL SELECT 'transaction_amount', transaction_amount, 0 FROM curated
+    UNION ALL SELECT 'session_duration', CAST(session_duration AS DOUBLE), 1 FROM raw
+    UNION ALL SELECT 'transaction_amount', transaction_amount, 1 FROM raw) WHERE value IS NOT NULL GROUP BY feature, value
+),
+texts AS (
+  SELECT feature, category, count(*) FILTER (WHERE live = 0) AS b, count(*) FILTER (WHERE live = 1) AS l FROM (
+    SELECT 'plan' AS feature, plan AS category, 0 AS live FROM curated UNION ALL SELECT 'customer_id', customer_id, 0 FROM curated
+    UNION ALL SELECT 'plan', plan, 1 FROM raw UNION ALL SELECT 'customer_id', customer_id, 1 FROM raw) GROUP BY feature, category
+),
+ks AS (
+  SELECT feature, max(abs(cb / tb - cl / tl)) AS statistic, max(tb) * max(tl) / (max(tb) + max(tl)) AS e FROM (
+    SELECT feature, value, CAST(sum(b) OVER (PARTITION BY feature ORDER BY value) AS DOUBLE) AS cb, CAST(sum(l) OVER (PARTITION BY feature ORDER BY value) AS DOUBLE) AS cl,
+           CAST(sum(b) OVER (PARTITION BY feature) AS DOUBLE) AS tb, CAST(sum(l) OVER (PARTITION BY feature) AS DOUBLE) AS tl FROM numbers) GROUP BY feature
+),
+ks_p AS (
+  SELECT feature, CASE WHEN lam < 0.2 THEN 1.0 ELSE least(greatest(2 * list_sum(list_transform(range(1, 101),
+         lambda j: (CASE WHEN j % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * j * j * lam * lam))), 0), 1) END AS p
+  FROM (SELECT feature, (sqrt(e) + 0.12 + 0.11 / sqrt(e)) * statistic AS lam FROM ks)
+),
+chi AS (
+  SELECT feature, max(degrees) AS d, sum(pow(b - rt * tb / tt, 2) / (rt * tb / tt) + pow(l - rt * tl / tt, 2) / (rt * tl / tt)) AS statistic
+  FROM (SELECT feature, b, l, CAST(b + l AS DOUBLE) AS rt, CAST(sum(b) OVER w AS DOUBLE) AS tb, CAST(sum(l) OVER w AS DOUBLE) AS tl,
+               CAST(sum(b + l) OVER w AS DOUBLE) AS tt, count(*) OVER w - 1 AS degrees FROM texts WINDOW w AS (PARTITION BY feature)) GROUP BY feature
+),
+all_violations AS (
+  SELECT feature_name, constraint_check_type FROM violations
+  UNION ALL SELECT feature, 'numeric_distribution_check' FROM ks_p WHERE p < 0.05
+  UNION ALL SELECT feature, 'categorical_distribution_check' FROM chi WHERE d > 0 AND statistic > d * pow(1 - 2 / (9.0 * d) + 1.6448536269514722 * sqrt(2 / (9.0 * d)), 3)
+  UNION ALL SELECT DISTINCT feature, 'categorical_share_check' FROM (
+    SELECT feature, b / sum(b) OVER (PARTITION BY feature) AS bs, l / sum(l) OVER (PARTITION BY feature) AS ls FROM texts) WHERE abs(ls - bs) > 0.2 * bs
+)"""
+
+
+def _all_violations(spark, sf):
+    base, live = A.curated_events(spark, sf), A.raw_events(spark, sf)
+    moved = D.distribution_violations(
+        P.value_counts(base, MOVED_NUMBERS), P.value_counts(live, MOVED_NUMBERS), P.category_counts(base, MOVED_TEXTS), P.category_counts(live, MOVED_TEXTS))
+    return _violations(spark, sf).unionByName(moved)
+
+
+@query("drf1_violations", with_sql(DISTRIBUTIONS_SQL, "SELECT * FROM all_violations"))
+def _(spark, sf):
+    return _all_violations(spark, sf)
+
+
+@query("job_drift", with_sql(DISTRIBUTIONS_SQL, f"""
+SELECT 'dev' AS environment, TIMESTAMP '{NOW}' AS timestamp, count(*) AS violation_count, {r(
+    "least(sum(0.05 * (CASE WHEN feature_name = 'customer_id' THEN 3 ELSE 1 END) * (CASE WHEN constraint_check_type LIKE '%distribution%' OR constraint_check_type LIKE '%baseline%' THEN 1.5 ELSE 1 END)), 1.0)",
+    "drift_score")},
+       coalesce(string_agg(DISTINCT feature_name, ',' ORDER BY feature_name) FILTER (WHERE feature_name = 'customer_id'), '') AS critical_features
+FROM all_violations"""))
+def _(spark, sf):
+    """The baseline is stored, live rows are checked against it twice for the same moment; one record is left."""
+    path = scratch_dir(spark, "monitor")
+    at = dt.datetime.fromisoformat(NOW)
+    jobs.baseline(A.curated_events(spark, sf), list(BASE_KINDS), f"{path}/baseline", "7")
+    for _ in range(2):
+        jobs.drift(A.raw_events(spark, sf), list(LIVE_KINDS), f"{path}/baseline/7", f"{path}/summaries", "dev", "daily", at, ["customer_id"])
+    schema = "timestamp timestamp, violation_count long, drift_score double, critical_features array<string>, environment string"
+    return _flat(spark.read.schema(schema).json(f"{path}/summaries")).select(
+        "environment", "timestamp", "violation_count", "drift_score", "critical_features")
+
+
+@query("job_validate", with_sql(FEATURES_SQL, SUITE))
 def _(spark, sf):
-    return _violations(spark, sf)
+    """The suite recorded twice for the same moment; one set of results is left."""
+    path = scratch_dir(spark, "validated")
+    W.overwrite_partitions(features(spark, sf), f"{path}/features", ["snapshot_date"])
+    for _ in range(2):
+        jobs.validate(spark, f"{path}/features", f"{path}/checks", dt.datetime.fromisoformat(A.AS_OF), moment=dt.datetime.fromisoformat(NOW), **LIMITS)
+    return spark.read.parquet(f"{path}/checks").select("check", "column", "severity", "metric", "threshold", "passed")
 
 
 @query("jn6_baseline_vs_live", with_sql(DRIFT_SQL, f"""
@@ -362,7 +440,7 @@ def _log(spark, sf):
 
 
 def _scores(spark, sf):
-    return D.drift_score(_log(spark, sf), by=["schedule", "hour"])
+    return D.drift_score(_log(spark, sf), HIGH_IMPORTANCE_FEATURES, by=["schedule", "hour"])
 
 
 def _flat(scores):
@@ -390,7 +468,7 @@ FROM scores"""))
 def _(spark, sf):
     log = _log(spark, sf)
     gaps = log.groupBy("schedule", "hour").agg(F.count_if(F.col("constraint_check_type") == "completeness_check").alias("completeness_count"))
-    scores = D.drift_score(log, by=["schedule", "hour"]).join(gaps, ["schedule", "hour"])
+    scores = D.drift_score(log, HIGH_IMPORTANCE_FEATURES, by=["schedule", "hour"]).join(gaps, ["schedule", "hour"])
     return D.classify(scores, many=2).select("schedule", "hour", "drift_class")
 
 
@@ -399,7 +477,7 @@ SELECT time_bucket(INTERVAL 6 HOUR, hour, TIMESTAMP '1970-01-01') AS period_star
        round(max(s), 9) > 0.3 AS score_alarm, monitoring_type = 'model_quality' AND max(n) > 3 AS violations_alarm
 FROM (SELECT schedule, hour, monitoring_type, least(sum(w), 1.0) AS s, count(*) AS n FROM weighted GROUP BY schedule, hour, monitoring_type) GROUP BY 1, 2"""))
 def _(spark, sf):
-    summaries = D.drift_score(_log(spark, sf), by=["schedule", "hour", "monitoring_type"]).withColumnRenamed("hour", "timestamp")
+    summaries = D.drift_score(_log(spark, sf), HIGH_IMPORTANCE_FEATURES, by=["schedule", "hour", "monitoring_type"]).withColumnRenamed("hour", "timestamp")
     return D.drift_alarms(summaries)
 
 
@@ -458,15 +536,21 @@ def _(spark, sf):
     return B.merge_summary(_merged(spark, sf))
 
 
+AUC_OF_MERGED = """(SELECT sum(pos * (below + neg / 2)) / nullif(sum(pos) * sum(neg), 0) FROM (
+  SELECT CAST(pos AS DOUBLE) AS pos, CAST(neg AS DOUBLE) AS neg, CAST(coalesce(sum(neg) OVER (ORDER BY probability ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS below
+  FROM (SELECT probability, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg FROM merged GROUP BY probability)))"""
+
+
 @query("mq1_model_quality", with_sql(MERGED_SQL, f"""
 SELECT metric, {r("value", "value")}, minimum, coalesce(value < minimum, TRUE) AS violated FROM (
-  SELECT unnest(['precision', 'recall', 'f1', 'accuracy']) AS metric, unnest([0.75, 0.70, 0.72, 0.30])::DOUBLE AS minimum,
-         unnest([coalesce(tp / nullif(tp + fp, 0), 0), coalesce(tp / nullif(tp + fn, 0), 0), coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), (tp + tn) / (tp + tn + fp + fn)]) AS value
+  SELECT unnest(['auc', 'precision', 'recall', 'f1', 'accuracy']) AS metric, unnest([0.82, 0.75, 0.70, 0.72, 0.30])::DOUBLE AS minimum,
+         unnest([{AUC_OF_MERGED}, coalesce(tp / nullif(tp + fp, 0), 0), coalesce(tp / nullif(tp + fn, 0), 0), coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), (tp + tn) / (tp + tn + fp + fn)]) AS value
   FROM (SELECT CAST(count(*) FILTER (WHERE label = 1 AND prediction = 1) AS DOUBLE) AS tp, CAST(count(*) FILTER (WHERE label = 0 AND prediction = 1) AS DOUBLE) AS fp,
                CAST(count(*) FILTER (WHERE label = 0 AND prediction = 0) AS DOUBLE) AS tn, CAST(count(*) FILTER (WHERE label = 1 AND prediction = 0) AS DOUBLE) AS fn FROM merged))"""))
 def _(spark, sf):
-    limits = {"precision": 0.75, "recall": 0.70, "f1": 0.72, "accuracy": 0.30}
-    return E.against_baseline(E.binary_metrics(_merged(spark, sf)), limits)
+    limits = {"auc": 0.82, "precision": 0.75, "recall": 0.70, "f1": 0.72, "accuracy": 0.30}
+    merged = cut_lineage(_merged(spark, sf), "merged")
+    return E.against_baseline(E.binary_metrics(merged).withColumn("auc", E.roc_auc(merged).scalar()), limits)
 
 
 

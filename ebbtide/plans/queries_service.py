@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..constants import LATENCY_BUCKETS
 from ..operators import alerts as K, service as H
+from ..session import scratch_dir
+from ..streaming import ingest as S, silence as Q
 from . import adapter as A
 from .adapter import CURATED_SQL, REQUESTS_SQL, RUNS_SQL, r, with_sql
 from .registry import query
@@ -264,3 +266,51 @@ WHERE w NOT IN (SELECT time_bucket(INTERVAL 15 MINUTE, event_timestamp, TIMESTAM
 def _(spark, sf):
     start = F.lit("2024-01-01").cast("timestamp")
     return H.silent_windows(A.curated_events(spark, sf), "event_timestamp", start, A.as_of())
+
+
+STREAM_SLIDING = """
+SELECT env, ts, requests, errors FROM rates WHERE ts <= (SELECT max(ts) FROM requests) - INTERVAL 10 MINUTE"""
+
+
+@query("str6_stream_sliding", with_sql(RATES_SQL, STREAM_SLIDING))
+def _(spark, sf):
+    """The stream's windows that the watermark has passed are those of the batch form."""
+    source, out, mark = (scratch_dir(spark, n) for n in ("requests", "sliding", "mark"))
+    A.request_log(spark, sf).select("env", "ts", "status_code").write.parquet(source)
+    stream = spark.readStream.schema("env string, ts timestamp, status_code int").parquet(source)
+    S.start_append(S.sliding_counts(stream), out, mark, available_now=True).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("str7_stream_silence", with_sql(CURATED_SQL, """
+SELECT device AS source, event_timestamp AS last_seen FROM (
+  SELECT device, event_timestamp, lead(event_timestamp) OVER (PARTITION BY device ORDER BY event_timestamp) AS next FROM curated WHERE device IS NOT NULL)
+WHERE coalesce(next >= event_timestamp + INTERVAL 2 MINUTE, TRUE)
+  AND event_timestamp + INTERVAL 2 MINUTE <= (SELECT max(event_timestamp) FROM curated WHERE device IS NOT NULL) - INTERVAL 1 MINUTE"""))
+def _(spark, sf):
+    """Ends of the sessions per source that the watermark has passed."""
+    source, out, mark = (scratch_dir(spark, n) for n in ("heard", "silent", "mark"))
+    A.curated_events(spark, sf).where(F.col("device").isNotNull()).select("device", "event_timestamp").write.parquet(source)
+    stream = spark.readStream.schema("device string, event_timestamp timestamp").parquet(source)
+    S.start_append(Q.silent_sources(stream, "device", minutes=2), out, mark, available_now=True).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _shipped_sql():
+    parts = []
+    for alert, metric, op, threshold, for_s, step_s, severity in K.SHIPPED_RULES:
+        if metric in ("error_ratio", "hit_ratio"):
+            value = {"error_ratio": "errors / requests", "hit_ratio": "hits / requests"}[metric]
+            met = f"({value} {op} {threshold})"
+            firing = held(met, "env", "ts", for_s, step_s)
+            parts.append(f"SELECT '{alert}' AS alert, '{severity}' AS severity, env AS series, ts, {r(value, 'value')}, {met} AS met, {firing} AS firing FROM rates")
+    return " UNION ALL ".join(parts)
+
+
+@query("obs16_shipped_rules", with_sql(RATES_SQL, _shipped_sql()))
+def _(spark, sf):
+    """The shipped rules on the rates of the request log; rules whose metric is not there raise nothing."""
+    rates = H.sliding_rates(A.request_log(spark, sf))
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("error_ratio", "hit_ratio")])).alias("p")
+    metrics = rates.select(F.col("env").alias("series"), "ts", pairs).select("p.metric", "series", "ts", "p.value")
+    return K.evaluate_alerts(metrics, K.rule_table(spark, K.SHIPPED_RULES))

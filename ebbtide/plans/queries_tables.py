@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from .. import schemas
 from ..operators import curate as C, features as X, ingest as I, validate as V, webhooks as K
@@ -12,11 +12,11 @@ from ..session import cut_lineage, scratch_dir
 from ..sinks import tables as T, writers as W
 from ..sources import labels as L, raw as R, snapshots as N
 from ..streaming import ingest as S
-from . import adapter as A
+from . import adapter as A, jobs
 from .adapter import CURATED_SQL, LABELS_SQL, RAW_SQL, WIRE_SQL, r, with_sql
 from .queries_features import SNAPSHOTS_SQL, snapshots
 from .queries_ingest import CURATED_ROWS, MERGE_SQL
-from .queries_quality import LOG_SQL, _flat, _scores
+from .queries_quality import LOG_SQL, MERGED_SQL, _flat, _merged, _scores
 from .registry import query
 
 ETL = dt.datetime(2024, 1, 31, 1)
@@ -172,11 +172,17 @@ def _(spark, sf):
     return _upserted(spark, sf).read().select("event_id", "session_duration", "event_day")
 
 
-@query("snk9_compact", with_sql(MERGE_SQL, UPSERTED))
+@query("snk9_compact", with_sql(MERGE_SQL, "SELECT *, TRUE AS in_order, TRUE AS one_file FROM (" + UPSERTED + ")"))
 def _(spark, sf):
+    """Content as before; inside a file the rows are in order, and a partition that fits into a file is one file."""
     table = _upserted(spark, sf)
-    table.compact(["customer_id", "event_timestamp"], dt.datetime(2024, 2, 4), target_bytes=256 * 1024)
-    return table.read().select("event_id", "session_duration", "event_day")
+    table.compact(["customer_id", "event_timestamp"], dt.datetime(2024, 2, 4))
+    placed = cut_lineage(table.read().select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("no")), "placed")
+    at = F.struct("customer_id", "event_timestamp")
+    ordered = F.coalesce(at >= F.lag(at).over(Window.partitionBy("file").orderBy("no")), F.lit(True))
+    files = placed.groupBy("event_year", "event_month", "event_day").agg(F.count_distinct("file").alias("files"))
+    return placed.withColumn("in_order", ordered).join(files, ["event_year", "event_month", "event_day"]).select(
+        "event_id", "session_duration", "event_day", "in_order", (F.col("files") == 1).alias("one_file"))
 
 
 @query("snk11_read_as_of", with_sql(MERGE_SQL, "SELECT event_id, session_duration FROM merge_target"))
@@ -209,13 +215,9 @@ def _(spark, sf):
     return W.write_splits(stratified_split(rows, key="c_custkey"), scratch_dir(spark, "splits"), "2024-01-31")
 
 
-@query("snk6_write_merged_labels", with_sql(LABELS_SQL, f"""
-SELECT inference_id, churn_prediction AS prediction, churn_prediction AS label, {r("churn_probability", "probability")} FROM predictions"""))
+@query("snk6_write_merged_labels", with_sql(MERGED_SQL, f"SELECT inference_id, prediction, label, {r('probability', 'probability')} FROM merged"))
 def _(spark, sf):
-    rows = A.predictions(spark, sf).select(
-        "inference_id", F.col("churn_prediction").alias("prediction"), F.col("churn_prediction").alias("label"),
-        F.col("churn_probability").alias("probability"))
-    path = W.write_merged_labels(rows, scratch_dir(spark, "labels"), "2024-01-31")
+    path = W.write_merged_labels(_merged(spark, sf), scratch_dir(spark, "labels"), "2024-01-31")
     return spark.read.option("header", True).schema(schemas.MERGED_LABEL).csv(path)
 
 
@@ -223,7 +225,9 @@ def _(spark, sf):
 SELECT 'dev' AS environment, CAST(hour AS DATE) AS date, schedule, violation_count, {r("drift_score", "drift_score")}, critical_features FROM scores"""))
 def _(spark, sf):
     path = scratch_dir(spark, "drift")
-    W.append_drift_summaries(_scores(spark, sf).withColumnRenamed("hour", "timestamp"), path, "dev")
+    # Recorded twice: the second time replaces the first.
+    for _ in range(2):
+        W.append_drift_summaries(_scores(spark, sf).withColumnRenamed("hour", "timestamp"), path, "dev")
     schema = "timestamp timestamp, schedule string, violation_count long, drift_score double, critical_features array<string>, environment string, date date"
     return _flat(spark.read.schema(schema).json(path)).select(
         "environment", "date", "schedule", "violation_count", "drift_score", "critical_features")
@@ -235,7 +239,8 @@ UNION ALL SELECT 'raw', DATE '2024-01-31', 'unique', CAST(sum(n) AS BIGINT) FROM
 def _(spark, sf):
     path = scratch_dir(spark, "checks")
     results = V.expectations(A.raw_events(spark, sf), [("not_null", "customer_id", {}), ("unique", "event_id", {})])
-    W.append_check_results(results, path, "raw", _etl())
+    for _ in range(2):
+        W.append_check_results(results, path, "raw", _etl())
     return spark.read.parquet(path).select("suite", "date", "expectation", "unexpected")
 
 
@@ -271,24 +276,50 @@ def _segment_calls(spark, sf):
         F.struct(
             F.when(k % 3 == 0, F.struct(F.lit("mobile").alias("type"))).alias("device"),
             F.struct("cohort", "plan").alias("traits")).alias("context"),
-        F.struct(F.when(k % 5 == 0, F.col("value")).alias("revenue"), F.when(k % 5 <= 1, F.lit(7.5)).alias("transaction_amount")).alias("properties"),
+        F.struct(
+            # Numbers and the same numbers as text; durations whole, cut short, as text, and text that is no whole number.
+            _json(F.when(k % 5 == 0, F.when(F.col("id") % 2 == 0, _quoted(F.col("value"))).otherwise(F.col("value").cast("string")))).alias("revenue"),
+            F.when(k % 5 <= 1, F.lit(7.5)).alias("transaction_amount"), _json(_durations(k)).alias("session_duration"),
+            _json(F.when(k % 3 == 0, '{"a":true,"b":"x"}')).alias("feature_flags"),
+        ).alias("properties"),
     )).alias("value"))
 
 
+def _quoted(value):
+    return F.concat(F.lit('"'), value.cast("string"), F.lit('"'))
+
+
+def _json(text):
+    """JSON text as the value it stands for."""
+    return F.parse_json(text)
+
+
+def _durations(k):
+    return F.when(k % 4 == 0, "30.7").when(k % 4 == 1, '"45"').when(k % 4 == 3, '"12.7"')
+
+
+DURATION_SQL = "CAST(CASE k % 4 WHEN 0 THEN 30 WHEN 1 THEN 45 WHEN 2 THEN 0 END AS INTEGER) AS session_duration, CASE WHEN k % 4 = 3 THEN 'ProcessingFailed' ELSE 'Ok' END AS result"
+
+
 SEGMENT = """
 SELECT CAST(id AS VARCHAR) AS event_id,
        CASE WHEN id % 4 NOT IN (0, 1) THEN 'cust_' || user_id WHEN id % 8 <> 0 THEN 'anon_' || user_id ELSE 'anonymous' END AS customer_id,
        CASE k % 7 WHEN 1 THEN 'profile_update' WHEN 4 THEN 'profile_update' WHEN 2 THEN 'session_start' WHEN 3 THEN 'session_start' WHEN 5 THEN 'feature_usage'
             ELSE CASE WHEN k % 2 = 0 THEN 'ev_' || kind ELSE 'feature_usage' END END AS event_type,
-       CASE WHEN k % 3 = 0 THEN 'mobile' ELSE 'unknown' END AS device, 0 AS session_duration,
+       CASE WHEN k % 3 = 0 THEN 'mobile' ELSE 'unknown' END AS device, """ + DURATION_SQL + """, CASE WHEN k % 3 = 0 THEN '{"a":true,"b":"x"}' ELSE '{}' END AS feature_flags,
        CAST(round(CAST(CASE WHEN k % 5 = 0 THEN value WHEN k % 5 = 1 THEN 7.5 ELSE 0.0 END AS DECIMAL(30,10)), 6) AS DOUBLE) AS transaction_amount,
        cohort, plan FROM base"""
-NORMALISED = ["event_id", "customer_id", "event_type", "device", "session_duration", "transaction_amount", "cohort", "plan"]
+NORMALISED = ["event_id", "customer_id", "event_type", "device", "session_duration", "result", "feature_flags", "transaction_amount", "cohort", "plan"]
+
+
+def _routed(events):
+    """Normalised events on the route of all others, which converts or rejects their values."""
+    return I.route_events(K.as_wire(events))
 
 
 @query("ing9_normalize_segment", with_sql(CURATED_SQL, SEGMENT))
 def _(spark, sf):
-    return K.normalize_segment(_segment_calls(spark, sf), _etl()).select(*NORMALISED)
+    return _routed(K.normalize_segment(_segment_calls(spark, sf), _etl())).select(*NORMALISED)
 
 
 def _amplitude_calls(spark, sf):
@@ -302,7 +333,10 @@ def _amplitude_calls(spark, sf):
             F.concat(F.lit("dev_"), F.col("user_id")).alias("device_id"),
             F.when(k % 5 == 0, "[Amplitude] Start Session").when(k % 5 == 1, F.concat(F.lit("Did "), F.initcap("kind"))).alias("event_type"),
             F.when(k % 9 != 0, F.unix_millis("ts")).alias("time"), F.when(k % 2 == 0, "IOS").alias("platform"),
-            F.struct(F.col("value").alias("revenue")).alias("event_properties"), F.struct("cohort", "plan").alias("user_properties"))
+            F.struct(
+                _json(F.when(k % 2 == 0, _quoted(F.col("value"))).otherwise(F.col("value").cast("string"))).alias("revenue"),
+                _json(_durations(k)).alias("session_duration"), _json(F.when(k % 3 == 0, '{"a":true,"b":"x"}')).alias("feature_flags"),
+            ).alias("event_properties"), F.struct("cohort", "plan").alias("user_properties"))
 
     return base.select("id", F.to_json(F.struct(F.transform(F.sequence(F.lit(0), k % 3), event).alias("events"))).alias("value"))
 
@@ -310,7 +344,7 @@ def _amplitude_calls(spark, sf):
 AMPLITUDE = """
 SELECT id || '-' || i AS event_id, CASE WHEN k % 4 <> 0 THEN 'cust_' || user_id ELSE 'dev_' || user_id END AS customer_id,
        CASE k % 5 WHEN 0 THEN 'session_start' WHEN 1 THEN 'did_' || kind ELSE 'feature_usage' END AS event_type,
-       CASE WHEN k % 2 = 0 THEN 'ios' ELSE 'unknown' END AS device, 0 AS session_duration,
+       CASE WHEN k % 2 = 0 THEN 'ios' ELSE 'unknown' END AS device, """ + DURATION_SQL + """, CASE WHEN k % 3 = 0 THEN '{"a":true,"b":"x"}' ELSE '{}' END AS feature_flags,
        CAST(round(CAST(value AS DECIMAL(30,10)), 6) AS DOUBLE) AS transaction_amount, cohort, plan,
        CASE WHEN k % 9 <> 0 THEN date_trunc('millisecond', ts) ELSE TIMESTAMP '1970-01-01' END AS event_timestamp
 FROM (SELECT *, unnest(range(0, k % 3 + 1)) AS i FROM base)"""
@@ -318,7 +352,7 @@ FROM (SELECT *, unnest(range(0, k % 3 + 1)) AS i FROM base)"""
 
 @query("ing10_normalize_amplitude", with_sql(CURATED_SQL, AMPLITUDE))
 def _(spark, sf):
-    return C.with_event_time(K.normalize_amplitude(_amplitude_calls(spark, sf))).select(*NORMALISED, "event_timestamp")
+    return _routed(K.normalize_amplitude(_amplitude_calls(spark, sf))).select(*NORMALISED, F.col("timestamp").alias("event_timestamp"))
 
 
 @query("ing11_dispatch", with_sql(CURATED_SQL, f"""
@@ -335,18 +369,30 @@ def _(spark, sf):
 
 
 @query("ing11_webhooks_to_raw", with_sql(CURATED_SQL, f"""
-SELECT customer_id, event_type, count(*) AS records FROM ({SEGMENT}) GROUP BY ALL"""))
+SELECT customer_id, event_type, count(*) AS records FROM ({SEGMENT}) WHERE result = 'Ok' GROUP BY ALL"""))
 def _(spark, sf):
-    wire = K.as_wire(K.normalize_segment(_segment_calls(spark, sf), _etl()))
-    rows = I.accepted(I.route_events(wire), _etl())
+    rows = I.accepted(_routed(K.normalize_segment(_segment_calls(spark, sf), _etl())), _etl())
     return rows.groupBy("customer_id", "event_type").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query("str1_stream_ingest", with_sql(WIRE_SQL, "SELECT result, count(*) AS records FROM wire WHERE result <> 'Dropped' GROUP BY result"))
 def _(spark, sf):
     raw, bad, mark = (scratch_dir(spark, n) for n in ("raw", "quarantine", "mark"))
-    lines = R.read_events_json(spark, _written_wire(spark, sf), streaming=True, files_per_batch=2)
-    S.start_ingest(lines, raw, bad, mark, available_now=True).awaitTermination()
+    wire = _written_wire(spark, sf)
+    moments = iter([dt.datetime(2024, 1, 31, 23, 59), dt.datetime(2024, 2, 1, 0, 1)])
+
+    def ingest(checkpoint):
+        """All files as one batch; the clock is only asked for a batch that is seen for the first time."""
+        lines = R.read_events_json(spark, wire, streaming=True)
+        S.start_ingest(lines, raw, bad, checkpoint, available_now=True, clock=lambda: next(moments)).awaitTermination()
+
+    ingest(mark)
+    # The batch is repeated after midnight, as after a failure before its commit: nothing may count twice.
+    lines = spark.read.text(wire)
+    moment = S.batch_moment(spark, f"{mark}-moments", 0, lambda: next(moments))
+    routed = I.route_events(lines)
+    W.write_raw(I.accepted(routed, F.lit(moment).cast("timestamp")), raw, "b0")
+    W.write_quarantine(I.rejected(routed, F.lit(moment).cast("timestamp")), bad, "b0")
 
     def counted(df, result):
         return df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(result).alias("result"), "records")
@@ -400,11 +446,37 @@ def _(spark, sf):
     out, mark, listener = scratch_dir(spark, "routed"), scratch_dir(spark, "mark"), S.OutcomeListener()
     lines = R.read_events_json(spark, _written_wire(spark, sf), streaming=True, files_per_batch=2)
     routed = S.observed(I.route_events(lines))
-    stream = S.start_append(routed.select("result", "reason", "value"), out, mark, available_now=True)
-    stream.awaitTermination()
-    batches = [p.observedMetrics["outcomes"].asDict() for p in stream.recentProgress if p.observedMetrics.get("outcomes")]
-    listener.batches.extend(batches)
-    totals = [sum(b[c] for b in listener.batches) for c in ("ok", "dropped", "failed")]
-    return spark.createDataFrame([tuple(totals)], "ok long, dropped long, failed long")
+    spark.streams.addListener(listener)
+    try:
+        stream = S.start_append(routed.select("result", "reason", "value"), out, mark, available_now=True)
+        listener.watch(stream)
+        stream.awaitTermination()
+        totals = listener.wait()
+    finally:
+        spark.streams.removeListener(listener)
+    return spark.createDataFrame([tuple(totals[c] for c in ("ok", "dropped", "failed"))], "ok long, dropped long, failed long")
+
 
 
+
+@query("job_curate", with_sql(CURATED_ROWS, """
+SELECT CAST(day(event_timestamp) AS INTEGER) AS event_day, count(*) AS events, count(DISTINCT event_id) AS ids FROM cur GROUP BY 1"""))
+def _(spark, sf):
+    """Two ranges with the same load time, the first of them twice: all of both is in the table, once."""
+    path, table = scratch_dir(spark, "raw"), scratch_dir(spark, "curated")
+    rows = A.raw_events(spark, sf)
+    W.write_raw(_raw_table_rows(rows), path)
+    at = dt.datetime.fromisoformat(A.ETL_TS)
+    first, second = (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 16)), (dt.datetime(2024, 1, 16), dt.datetime.fromisoformat(A.AS_OF))
+    for start, end in (first, second, first):
+        jobs.curate(spark, path, table, start, end, at)
+    return jobs.events_table(spark, table).read().groupBy("event_day").agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("event_id").alias("ids"))
+
+
+def _raw_table_rows(rows):
+    """Raw events in the shape of the raw table; a time that cannot be read has no partition and is left out."""
+    timed = C.with_event_time(rows).where(F.col("event_timestamp").isNotNull())
+    shaped = timed.withColumn("timestamp", F.col("event_timestamp")).drop("event_timestamp")
+    partitions = dict(zip(W.HOURLY, I.partition_columns("timestamp")))
+    return shaped.withColumns(partitions).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.RAW_EVENT.fields])

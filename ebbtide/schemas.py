@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 STR, INT, LONG, DBL, TS, BOOL = (
     T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampType(), T.BooleanType(),
 )
+# A JSON value of whatever type it has.
+ANY = T.VariantType()
 
 
 def struct(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -31,32 +33,15 @@ CURATED_EVENT = struct(
     ("_etl_timestamp", TS), ("_etl_job", STR),
 )
 
-# One normalised webhook event, before it is routed like any other wire event.
+# One normalised webhook event, before it is routed like any other wire event. Amounts, durations and flags keep the JSON
+# type they came with: routing converts or rejects them.
 NORMALISED_EVENT = struct(
     ("event_id", STR), ("customer_id", STR), ("event_type", STR), ("timestamp", STR),
-    ("device", STR), ("session_id", STR), ("session_duration", INT), ("transaction_amount", DBL),
-    ("feature_flags", FLAGS), ("cohort", STR), ("plan", STR), ("customer_state", STR),
+    ("device", STR), ("session_id", STR), ("session_duration", ANY), ("transaction_amount", ANY),
+    ("feature_flags", ANY), ("cohort", STR), ("plan", STR), ("customer_state", STR),
     ("metadata", T.MapType(STR, STR)),
 )
 
-SEGMENT_WEBHOOK = struct(
-    ("type", STR), ("event", STR), ("messageId", STR), ("userId", STR), ("anonymousId", STR),
-    ("timestamp", STR),
-    ("context", struct(
-        ("device", struct(("type", STR))), ("sessionId", STR),
-        ("traits", struct(("cohort", STR), ("plan", STR))))),
-    ("properties", struct(
-        ("session_duration", INT), ("revenue", DBL), ("transaction_amount", DBL), ("feature_flags", FLAGS))),
-)
-
-AMPLITUDE_WEBHOOK = struct(
-    ("events", T.ArrayType(struct(
-        ("event_id", STR), ("user_id", STR), ("device_id", STR), ("event_type", STR), ("time", LONG),
-        ("platform", STR), ("session_id", STR),
-        ("event_properties", struct(("session_duration", INT), ("revenue", DBL), ("feature_flags", FLAGS))),
-        ("user_properties", struct(("cohort", STR), ("plan", STR)))))),
-)
-
 CAPTURE_LINE = struct(
     ("inferenceId", STR),
     ("eventMetadata", struct(("inferenceTime", STR), ("customAttributes", struct(("customer_id", STR))))),

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -32,7 +32,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def local_session(app: str = "ebbtide", cores: int | str = 8) -> SparkSession:
-    """A session for tests and the benchmark; a cluster brings its own."""
+    """A session for tests and the benchmark; a cluster brings its own.
+
+    EBBTIDE_SCRATCH names the folder for intermediate tables where the environment has set none.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -40,24 +43,44 @@ def local_session(app: str = "ebbtide", cores: int | str = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", os.environ.get("EBBTIDE_DRIVER_MEMORY", "8g"))
     )
+    if os.environ.get("EBBTIDE_SCRATCH"):
+        builder = builder.config(SCRATCH_CONF, os.environ["EBBTIDE_SCRATCH"])
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared folder named by `spark.checkpoint.dir`.
+# Folders made inside `owned_scratch`, innermost owner last.
+_OWNERS: list[list[str]] = []
 
-    Only a local master may fall back to a machine-local folder; on a cluster an
-    unset option is an error, since executors could not see the driver's disk.
-    """
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared folder named by `spark.checkpoint.dir`, which has to be set."""
     shared = spark.conf.get(SCRATCH_CONF, None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SCRATCH_CONF} to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="ebbtide-")
-        spark.conf.set(SCRATCH_CONF, shared)
-    return f"{shared.rstrip('/')}/ebbtide/{name}-{uuid.uuid4().hex}"
+        raise ValueError(f"set {SCRATCH_CONF} to a folder every executor can reach")
+    path = f"{shared.rstrip('/')}/ebbtide/{name}-{uuid.uuid4().hex}"
+    if _OWNERS:
+        _OWNERS[-1].append(path)
+    return path
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession):
+    """Removes the intermediate tables that are made inside, when it ends; nothing read later may depend on them."""
+    _OWNERS.append([])
+    try:
+        yield
+    finally:
+        conf = spark._jsc.hadoopConfiguration()
+        for path in _OWNERS.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
+def few_rows(df):
+    """A result of a handful of rows, held by itself: it no longer depends on tables that its job removes."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
 def cut_lineage(df, name: str):

@@ -46,18 +46,27 @@ class VersionedTable:
             *self.partitions, F.col("c.version").alias("version"), F.col("c.rows").alias("rows")
         )
 
-    def read(self, at: dt.datetime | None = None, only: Sequence[tuple] | None = None) -> DataFrame:
-        """The table now or at a moment, or only some of its partitions.
-
-        The list of folders is collected: one entry per partition, not per row.
-        """
+    def folders(self, at: dt.datetime | None = None, only: Sequence[tuple] | None = None) -> list[str]:
+        """The folders that hold the table's partitions: one entry per partition, not per row."""
         wanted = None if only is None else set(only)
         folders = []
         for row in self._live(at).where(F.col("rows") > 0).collect():
             values = tuple(row[c] for c in self.partitions)
             if wanted is None or values in wanted:
-                place = "/".join(f"{c}={v}" for c, v in zip(self.partitions, values))
-                folders.append(f"{self.path}/data/version={row['version']}/{place}")
+                folders.append(self._folder(row["version"], values))
+        return folders
+
+    def _folder(self, version: int, values: Sequence) -> str:
+        """Where Spark's writer puts a partition; it names NULL and escapes special characters in its own way."""
+        names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        place = "/".join(
+            names.getPartitionPathString(c, None if v is None else str(v)) for c, v in zip(self.partitions, values)
+        )
+        return f"{self.path}/data/version={version}/{place}"
+
+    def read(self, at: dt.datetime | None = None, only: Sequence[tuple] | None = None) -> DataFrame:
+        """The table now or at a moment, or only some of its partitions."""
+        folders = self.folders(at, only)
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         found = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/data").parquet(*folders)
@@ -76,9 +85,10 @@ class VersionedTable:
         written = self.spark.read.schema(self.schema).parquet(target).groupBy(*self.partitions).agg(F.count(F.lit(1)).alias("rows"))
         kinds = T.StructType([f for f in self._commit_schema.fields if f.name in self.partitions])
         listed = self.spark.createDataFrame([tuple(t) for t in touched], kinds)
-        record = listed.join(written, self.partitions, "left").select(
+        same = reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"w.{c}")) for c in self.partitions])
+        record = listed.alias("l").join(written.alias("w"), same, "left").select(
             F.lit(version).alias("version"), F.lit(at).cast("timestamp").alias("committed_at"), F.lit(batch).cast("string").alias("batch"),
-            F.coalesce("rows", F.lit(0)).alias("rows"), *self.partitions,
+            F.coalesce("w.rows", F.lit(0)).alias("rows"), *[F.col(f"l.{c}") for c in self.partitions],
         )
         record.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return version
@@ -109,19 +119,21 @@ class VersionedTable:
             held = self.read().select(key, *self.partitions).join(rows.select(key).distinct(), key, "left_semi")
             touched |= self._partitions_of(held)
         merged = merge_events(self.read(only=list(touched)), rows, key, version_column)
-        return self.commit(merged, sorted(touched), at, batch)
+        return self.commit(merged, sorted(touched, key=repr), at, batch)
 
     def compact(self, sort: Sequence[str], at: dt.datetime, target_bytes: int = TARGET_BYTES) -> int | None:
         """Rewrite all live partitions into files of about `target_bytes`, sorted; content is unchanged."""
-        live = sorted(self._partitions_of(self._live().where(F.col("rows") > 0)))
+        live = sorted(self._partitions_of(self._live().where(F.col("rows") > 0)), key=repr)
         if not live:
             return None
-        return self.commit(clustered(self.read(), self.partitions, sort, self.path, target_bytes), live, at, clustered_already=True)
+        # Sized by what is read now: older versions and the list of commits do not count.
+        bytes_now = sum(size_in_bytes(self.spark, folder) for folder in self.folders())
+        return self.commit(clustered(self.read(), self.partitions, sort, bytes_now, target_bytes), live, at, clustered_already=True)
 
 
-def clustered(df: DataFrame, partitions: Sequence[str], sort: Sequence[str], path: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Range-partitioned and sorted rows, as many tasks as files of the target size fit into the data."""
-    files = max(1, -(-size_in_bytes(df.sparkSession, path) // target_bytes))
+def clustered(df: DataFrame, partitions: Sequence[str], sort: Sequence[str], size: int, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Range-partitioned and sorted rows, as many tasks as files of the target size fit into `size` bytes."""
+    files = max(1, -(-size // target_bytes))
     order = [F.col(c) for c in (*partitions, *sort)]
     return df.repartitionByRange(int(files), *order).sortWithinPartitions(*order)
 

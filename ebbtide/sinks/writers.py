@@ -64,13 +64,27 @@ def write_merged_labels(merged: DataFrame, path: str, date: str) -> str:
     return target
 
 
+# Digits of a moment in a partition name.
+MOMENT = "yyyyMMdd'T'HHmmss"
+
+
 def append_drift_summaries(summaries: DataFrame, path: str, environment: str) -> None:
-    """JSON records by environment and date."""
-    rows = summaries.withColumns({"environment": F.lit(environment), "date": F.to_date("timestamp")})
-    rows.write.mode("append").partitionBy("environment", "date").json(path)
+    """JSON records by environment, date and run; a run that is repeated replaces its own records."""
+    parts = [F.col(c) for c in ("schedule", "monitoring_type") if c in summaries.columns]
+    run = F.concat_ws("-", *parts, F.date_format("timestamp", MOMENT))
+    rows = summaries.withColumns({"environment": F.lit(environment), "date": F.to_date("timestamp"), "run": run})
+    keys = ["environment", "date", "run"]
+    gathered(rows, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).json(path)
 
 
 def append_check_results(results: DataFrame, path: str, suite: str, run_at: Column) -> None:
-    """Rows of a check suite or of quality gates, by suite and date."""
-    rows = results.withColumns({"suite": F.lit(suite), "run_at": run_at, "date": F.to_date(run_at)})
-    rows.write.mode("append").partitionBy("suite", "date").parquet(path)
+    """Rows of a check suite or of quality gates, by suite, date and run; a run that is repeated replaces its own rows."""
+    rows = results.withColumns({
+        "suite": F.lit(suite), "run_at": run_at, "date": F.to_date(run_at), "run": F.date_format(run_at, MOMENT),
+    })
+    overwrite_partitions(rows, path, ["suite", "date", "run"])
+
+
+def append_predictions(scored: DataFrame, path: str, run: str) -> None:
+    """Predictions by date and run: other runs of the day stay, a run that is repeated replaces its own rows."""
+    overwrite_partitions(scored.withColumn("run", F.lit(run)), path, ["date", "run"])

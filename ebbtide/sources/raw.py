@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas
+from .paths import existing
 
 
 def read_raw(spark: SparkSession, path: str, start: Column, end: Column, merge_schema: bool = False) -> DataFrame:
     """Raw events of every day from `start` to `end`, pruned by the partition columns.
 
-    With the declared schema no file footer is read for planning. `merge_schema` also returns
-    columns that newer files have added, at the price of reading the footers.
+    Only the folders of these days are listed. With the declared schema no file footer is read for
+    planning. `merge_schema` also returns columns that newer files have added, at the price of
+    reading the footers.
     """
+    first, last = spark.range(1).select(F.to_date(start), F.to_date(end)).first()
+    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    folders = existing(spark, [f"{path.rstrip('/')}/year={d.year}/month={d.month}/day={d.day}" for d in days])
+    if not folders:
+        return spark.createDataFrame([], schemas.RAW_EVENT)
     reader = spark.read.option("mergeSchema", True) if merge_schema else spark.read.schema(schemas.RAW_EVENT)
-    day = F.make_date("year", "month", "day")
-    return reader.parquet(path).where(day.between(F.to_date(start), F.to_date(end)))
+    return reader.option("basePath", path).parquet(*folders)
 
 
 def incremental_raw(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from collections import Counter
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..constants import LOOKBACK_HOURS
 from ..operators.ingest import DROPPED, FAILED, OK, accepted, rejected, route_events
 from ..sinks.tables import VersionedTable
 from ..sinks.writers import write_quarantine, write_raw
+from ..sources.paths import exists
 
 TRIGGER = "5 minutes"
 
@@ -28,10 +32,19 @@ def observed(routed: DataFrame, name: str = "outcomes") -> DataFrame:
 
 
 class OutcomeListener(StreamingQueryListener):
-    """Collects the observed counts of each finished batch; a handful of numbers per batch."""
+    """Sums the observed counts of one query's finished batches, however many there are."""
 
     def __init__(self, name: str = "outcomes"):
-        self.name, self.batches = name, []
+        self.name, self.totals, self.query, self.ended = name, Counter(), None, threading.Event()
+
+    def watch(self, query: StreamingQuery) -> None:
+        self.query = str(query.id)
+
+    def wait(self, seconds: float = 60) -> dict[str, int]:
+        """The totals once the query has ended; its events arrive in order, the end last."""
+        if not self.ended.wait(seconds):
+            raise TimeoutError("the end of the query was not reported")
+        return dict(self.totals)
 
     def onQueryStarted(self, event):
         pass
@@ -41,22 +54,40 @@ class OutcomeListener(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         row = (event.progress.observedMetrics or {}).get(self.name)
-        if row is not None:
-            self.batches.append(row.asDict())
+        if row is not None and self.query in (None, str(event.progress.id)):
+            self.totals.update({name: count or 0 for name, count in row.asDict().items()})
 
     def onQueryTerminated(self, event):
-        pass
+        if self.query in (None, str(event.id)):
+            self.ended.set()
+
+
+def batch_moment(spark: SparkSession, folder: str, batch_id: int, clock: Callable[[], dt.datetime]) -> dt.datetime:
+    """The moment of a batch, fixed by its first attempt: a repeated batch finds it again and writes the same rows."""
+    path = f"{folder}/batch={batch_id}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        spark.createDataFrame([(clock(),)], "moment timestamp").coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema("moment timestamp").parquet(path).first()["moment"]
 
 
-def start_ingest(lines: DataFrame, raw_path: str, quarantine_path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+def now_utc() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
+
+
+def start_ingest(
+    lines: DataFrame, raw_path: str, quarantine_path: str, checkpoint: str, available_now: bool = False,
+    clock: Callable[[], dt.datetime] = now_utc,
+) -> StreamingQuery:
     """Route a stream of text lines into the raw table and the quarantine.
 
     Both sinks get a partition named after the batch, which a repeated attempt of the batch
-    replaces: a batch is written once whatever fails in between.
+    replaces, and the moment of a batch is kept beside the checkpoint: a batch is written once
+    whatever fails in between, over midnight too.
     """
+    spark = lines.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        now = F.current_timestamp()
+        now = F.lit(batch_moment(spark, f"{checkpoint}-moments", batch_id, clock)).cast("timestamp")
         routed = route_events(batch).persist()
         try:
             write_raw(accepted(routed, now), raw_path, f"b{batch_id}")
@@ -81,11 +112,14 @@ def with_lateness(events: DataFrame, newest: Column, time: str = "event_timestam
 def start_upsert(
     events: DataFrame, table: VersionedTable, name: str, checkpoint: str, at: dt.datetime | None = None, available_now: bool = False
 ) -> StreamingQuery:
-    """Merge each batch of curated events into the table; a batch that was committed before is skipped."""
+    """Merge each batch of curated events into the table; a batch that was committed before is skipped.
+
+    An event keeps its time, so only the days of the batch are read and rewritten; an event that
+    does move is put right by the batch merge, which searches the whole table.
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        moment = at or dt.datetime.now(dt.timezone.utc)
-        table.upsert(batch, "event_id", "_etl_timestamp", moment, f"{name}-{batch_id}")
+        table.upsert(batch, "event_id", "_etl_timestamp", at or now_utc(), f"{name}-{batch_id}", keys_may_move=False)
 
     writer = events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return _triggered(writer, available_now).start()

@@ -7,7 +7,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.constants import NUMERIC_FEATURES, REQUIRED_COLUMNS, SNAPSHOT_COLUMNS
+from ebbtide.constants import HIGH_IMPORTANCE_FEATURES, NUMERIC_FEATURES, REQUIRED_COLUMNS, SNAPSHOT_COLUMNS
 from ebbtide.functions import running as R, scalars as S
 from ebbtide.operators import alerts as K, asof as J, drift as D, evaluate as E, features as X, prep as Q, reuse as U, score, selection as L
 from ebbtide.operators import service as H, validate as V
@@ -179,7 +179,7 @@ VIOLATION = "feature_name string, constraint_check_type string"
     ([("monthly_charges", "baseline")] * 9, 1.0, True),
 ])
 def test_drift_score(spark, violations, score, retrain):
-    row = D.with_decision(D.drift_score(spark.createDataFrame(violations, VIOLATION))).first()
+    row = D.with_decision(D.drift_score(spark.createDataFrame(violations, VIOLATION), HIGH_IMPORTANCE_FEATURES)).first()
     assert row["drift_score"] == pytest.approx(score) and row["retrain"] is retrain
     assert row["violation_count"] == len(violations)
 

@@ -101,7 +101,7 @@ SEGMENT = [
     ({"type": "alias", "messageId": "m5", "userId": "u"}, ("m5", "u", "feature_usage", "unknown", 0, 0.0)),
     ({"messageId": "m6", "userId": "u", "event": "E"}, ("m6", "u", "E", "unknown", 0, 0.0)),
 ]
-SHOWN = ["event_id", "customer_id", "event_type", "device", "session_duration", "transaction_amount"]
+SHOWN = ["event_id", "customer_id", "event_type", "device", F.col("session_duration").cast("int").alias("s"), F.col("transaction_amount").cast("double").alias("t")]
 
 
 def test_segment(spark):
@@ -113,6 +113,20 @@ def test_segment(spark):
     assert first["customer_state"] is None
 
 
+def test_values_keep_their_type_on_the_way(spark):
+    """Text amounts are numbers, fractions are cut, text that is no whole number is rejected, flags pass as they are."""
+    sent = [
+        {"session_duration": 30.7, "revenue": "12.50", "feature_flags": {"a": True, "b": "x", "c": 1}}, {"session_duration": "45"},
+        {"session_duration": "12.7"}, {"revenue": "much"}, {},
+    ]
+    calls = spark.createDataFrame([(json.dumps({"messageId": str(i), "userId": "u", "properties": p}),) for i, p in enumerate(sent)], "value string")
+    routed = I.route_events(K.as_wire(K.normalize_segment(calls, F.lit("2024-01-01").cast("timestamp"))))
+    rows = {r["event_id"]: (r["result"], r["session_duration"], r["transaction_amount"], r["feature_flags"]) for r in routed.collect()}
+    assert rows["0"] == ("Ok", 30, 12.5, '{"a":true,"b":"x","c":1}')
+    assert rows["1"] == ("Ok", 45, 0.0, "{}") and rows["4"] == ("Ok", 0, 0.0, "{}")
+    assert [rows[i][0] for i in "23"] == ["ProcessingFailed"] * 2
+
+
 def test_segment_without_id_is_stable(spark):
     calls = spark.createDataFrame([('{"type": "page", "userId": "u"}',)], "value string")
     at = F.lit("2024-01-01").cast("timestamp")
@@ -127,8 +141,8 @@ def test_amplitude(spark):
         {"event_id": "3"},
     ]
     calls = spark.createDataFrame([(json.dumps({"events": events}),), ('{"events": []}',), ("{}",)], "value string")
-    got = {r["event_id"]: r for r in K.normalize_amplitude(calls).collect()}
-    assert [tuple(got[i][c] for c in SHOWN[1:]) for i in "123"] == [
+    got = {r["event_id"]: r for r in K.normalize_amplitude(calls).select(*SHOWN, "timestamp", "session_id").collect()}
+    assert [tuple(got[i])[1:6] for i in "123"] == [
         ("u", "viewed_big_page", "ios", 0, 2.5), ("d", "session_start", "unknown", 0, 0.0), ("anonymous", "feature_usage", "unknown", 0, 0.0)]
     assert got["1"]["timestamp"] == "2024-01-01T00:00:00.123000Z"
     assert got["3"]["timestamp"] == "1970-01-01T00:00:00.000000Z"

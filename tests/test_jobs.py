@@ -49,9 +49,9 @@ def test_jobs_in_a_row(spark, folder):
     live = snapshot.withColumn("avg_session_duration_30d", F.col("avg_session_duration_30d") - 1000).drop("cohort")
     summary = jobs.drift(
         live, columns[:2], f"{folder}/baselines/7", f"{folder}/drift", "dev", "daily", AS_OF, high_importance=["cohort"]).first()
-    # cohort is gone (critical), the duration is negative and far from its mean.
-    assert (summary["violation_count"], summary["critical_features"], summary["retraining_triggered"]) == (3, ["cohort"], True)
-    assert abs(summary["drift_score"] - (0.15 + 0.05 + 0.075)) < 1e-9
+    # cohort is gone (critical), the duration is negative, far from its mean and of another distribution.
+    assert (summary["violation_count"], summary["critical_features"], summary["retraining_triggered"]) == (4, ["cohort"], True)
+    assert abs(summary["drift_score"] - (0.15 + 0.05 + 0.075 + 0.075)) < 1e-9
     assert spark.read.json(f"{folder}/drift").count() == 1
 
     jobs.register_views(table.read(), snapshot, AS_OF)

@@ -46,15 +46,14 @@ def test_listener_sees_counts(spark, folder):
     spark.streams.addListener(listener)
     try:
         routed = S.observed(I.route_events(R.read_events_json(spark, wire, streaming=True)))
-        S.start_append(routed.select("result"), f"{folder}/out", f"{folder}/mark", available_now=True).awaitTermination()
-        for _ in range(50):
-            if listener.batches:
-                break
-            spark.sparkContext._jvm.java.lang.Thread.sleep(100)
+        stream = S.start_append(routed.select("result"), f"{folder}/out", f"{folder}/mark", available_now=True)
+        listener.watch(stream)
+        stream.awaitTermination()
+        totals = listener.wait()
     finally:
         spark.streams.removeListener(listener)
     results = [r for _, r, _ in CASES]
-    assert {k: sum(b[k] for b in listener.batches) for k in ("ok", "dropped", "failed")} == {
+    assert totals == {
         "ok": results.count("Ok"), "dropped": results.count("Dropped"), "failed": results.count("ProcessingFailed")}
 
 
