@@ -12,6 +12,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -25,6 +26,13 @@ HEADLINES = [
 
 
 def main() -> None:
+    # The bench brings its own folder for intermediate tables and removes it.
+    with tempfile.TemporaryDirectory(prefix="ebbtide-") as scratch:
+        os.environ["EBBTIDE_SCRATCH"] = scratch
+        run()
+
+
+def run() -> None:
     from ebbtide.plans import catalogue
     from ebbtide.session import local_session
 

@@ -5,6 +5,8 @@ import tempfile
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+# Tests bring their own folder for intermediate tables.
+os.environ.setdefault("EBBTIDE_SCRATCH", tempfile.mkdtemp(prefix="ebbtide-"))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 
