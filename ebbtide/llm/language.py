@@ -9,8 +9,9 @@ likelihood less a penalty per language. Documents of a batch are estimated side
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,18 @@ WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
 
-def buckets(word: str) -> list[int]:
-    """Buckets of the n-grams of a word with its borders."""
-    framed = f"<{word}>"
-    return [zlib.crc32(framed[i : i + n].encode()) % BUCKETS for n in GRAMS for i in range(len(framed) - n + 1)]
+def grams(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per length of n-grams: buckets of the byte n-grams of all words with their borders, and the words they are of."""
+    data = np.frombuffer(f"<{'><'.join(words)}>".encode(), np.uint8).astype(np.uint32)
+    starts = np.flatnonzero(data == ord("<"))
+    word = np.repeat(np.arange(len(words)), np.diff(np.append(starts, len(data))))
+    rolled = data
+    for size in range(2, GRAMS[-1] + 1):
+        rolled = (rolled[:-1] * np.uint32(0x01000193)) ^ data[size - 1 :]
+        if size in GRAMS:
+            whole = word[: len(rolled)] == word[size - 1 :]
+            mixed = (rolled[whole] ^ (rolled[whole] >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+            yield (mixed ^ (mixed >> np.uint32(13))) % np.uint32(BUCKETS), word[: len(rolled)][whole]
 
 
 def held_out(key: Column, folds: int, remainder: int) -> Column:
@@ -50,8 +59,10 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
 
         def settle(lang):
             own = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            for word, n in words.pop(lang).items():
-                np.add.at(own, buckets(word), n)
+            counted = words.pop(lang)
+            times = np.fromiter(counted.values(), np.int64, len(counted))
+            for bucket, word in grams(list(counted)) if counted else ():
+                own += np.bincount(bucket, weights=times[word], minlength=BUCKETS).astype(np.int64)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -92,16 +103,23 @@ class Mixture:
         if len(self.place) + len(words) > self.most:
             self.place.clear()
         if len(words) > self.most:
-            return np.array([self.table[buckets(w)].sum(axis=0) for w in words], np.float64)
-        at = []
-        for word in words:
-            i = self.place.get(word)
-            if i is None:
-                i = self.place[word] = len(self.place)
-                self.known[i] = self.table[buckets(word)].sum(axis=0)
-            at.append(i)
+            return self._of(words).astype(np.float64)
+        first = len(self.place)
+        place = self.place
+        at = [place.setdefault(word, len(place)) for word in words]
+        if len(place) > first:
+            self.known[first : len(place)] = self._of(list(islice(reversed(place), len(place) - first))[::-1])
         return self.known[at].astype(np.float64)
 
+    def _of(self, words: list[str]) -> np.ndarray:
+        """Log likelihood of each word in each language: the sum over its n-grams."""
+        total = np.zeros((len(words), len(self.languages)), np.float32)
+        for bucket, word in grams(words):
+            if len(word):
+                first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                total[word[first]] += np.add.reduceat(self.table[bucket], first, axis=0)
+        return total
+
     def estimate(self, texts: list[str]) -> list[list[tuple[str, float]]]:
         """Languages with proportions, largest first, of each text; none where a text has no letter."""
         found: list[list[tuple[str, float]]] = [[] for _ in texts]
