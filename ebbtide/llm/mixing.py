@@ -114,7 +114,7 @@ def mix(rows: DataFrame, tables: Scratch, weights=WEIGHTS, most: int = MOST_COPI
     chosen = chosen.withColumn("extra", F.lit(1))
     copies = F.col("whole") + F.coalesce("extra", F.lit(0))
     return (
-        planned.join(chosen, "row", "left")
+        planned.join(chosen.hint("merge"), "row", "left")
         .withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0).cast("long"))
         .select("row", "key", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )
