@@ -15,6 +15,7 @@ anchors, so only strings whose anchor's gram is in two documents can repeat. Fou
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +32,10 @@ LENGTH, GRAM = 50, 16
 # A gram found in so many documents is split by whole strings.
 CROWDED = 20_000
 # Bytes of documents looked at together; bytes of fragments sorted together (more if one gram has more).
-PIECE_BYTES, SORT_BYTES = 1 << 20, 1 << 21
+PIECE_BYTES, SORT_BYTES = 1 << 20, 1 << 20
 CHUNKS_PER_PARTITION = 2
+# Bytes of a shard's fragments in memory; beyond that they wait in a file, in so many ranges of grams.
+SHARD_BYTES, RANGES = 128 << 20, 64
 LAST = (1 << 63) - 1
 
 U32 = np.uint64(32)
@@ -169,7 +172,7 @@ def _grams(shards: int, length: int):
     return run
 
 
-def _shared(length: int):
+def _shared(crowded_from: int):
     """Step 2: (chunk; grams that another document has too, whether they are crowded) of a shard."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -185,7 +188,7 @@ def _shared(length: int):
         first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
         runs = np.diff(np.append(first, len(gram)))
         several = (np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)) | (np.maximum.reduceat(count, first) > 1)
-        crowded = np.add.reduceat(count, first) >= CROWDED
+        crowded = np.add.reduceat(count, first) >= crowded_from
         keep = np.repeat(several, runs)
         gram, chunk, crowded = gram[keep], chunk[keep], np.repeat(crowded, runs)[keep]
         order = np.argsort(chunk, kind="stable")
@@ -217,56 +220,55 @@ def _fragments(shards: int, length: int):
         known, crowded = np.concatenate(known), np.concatenate(crowded)
         order = np.argsort(known)
         known, crowded = known[order], crowded[order]
-        row_keys = [_row_key(t) for t in texts]
-
-        # Of equal fragments the smallest document's occurrences are sent; all others are repeats of it.
-        first: dict[bytes, list] = {}
-        repeats: list[tuple[int, int, int, int]] = []
-
-        def add(fragment: bytes, doc: int, start: int, strings: int, shard: int, short: int) -> None:
-            key, entry = int(keys[doc]), first.get(fragment)
-            if entry is None:
-                first[fragment] = [key, shard, short, strings, [(doc, start)]]
-            elif key == entry[0]:
-                entry[4].append((doc, start))
-            elif key > entry[0]:
-                repeats.append((key, row_keys[doc], start, strings))
-            else:
-                repeats.extend((entry[0], row_keys[d], s, strings) for d, s in entry[4])
-                entry[0], entry[4] = key, [(doc, start)]
-
+        # Every string run around a shared anchor, as the number of its fragment among the distinct ones of the chunk.
+        place: dict[bytes, int] = {}
+        number, docs_, starts, runs, shard_of, gram_of = [], [], [], [], [], []
         for data, parts in pieces(texts, length):
             gram, doc, start, at, strings = anchor_runs(data, parts, length)
             shard, short = (gram >> U32) % np.uint64(shards), gram & LOW
             wanted = shard << U32 | short
-            place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-            hit = np.flatnonzero(known[place] == wanted)
-            full = crowded[place[hit]]
-            columns = [c[hit].tolist() for c in (doc, start, at, strings, shard, short)]
-            for d, s, a, n, to, g, split in zip(*columns, full.tolist()):
-                if not split:
-                    add(data[a : a + n + length - 1], d, s, n, to, g)
-                    continue
-                for j in range(n):
-                    string = data[a + j : a + j + length]
-                    h = xxhash.xxh64_intdigest(string)
-                    add(string, d, s + j, 1, (h >> 32) % shards, h & 0xFFFFFFFF)
-        rows: dict[int, list] = {}
-        for fragment, (key, shard, short, strings, places) in first.items():
-            rows.setdefault(shard, []).extend((short, key, row_keys[d], s, strings, fragment) for d, s in places)
-        back = repeats
+            at_known = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            hit = known[at_known] == wanted
+            split = hit & (crowded[at_known] > 0)
+            hit &= ~split
+            for column, values in ((docs_, doc), (starts, start), (runs, strings), (shard_of, shard), (gram_of, short)):
+                column.append(values[hit].astype(np.int64))
+            ends = at + strings + (length - 1)
+            number += [place.setdefault(data[x:y], len(place)) for x, y in zip(at[hit].tolist(), ends[hit].tolist())]
+            rows = np.flatnonzero(split)
+            if len(rows):
+                # Each string of a crowded gram goes its own way.
+                each = np.repeat(rows, strings[rows])
+                inner = np.arange(len(each)) - np.repeat(np.cumsum(strings[rows]) - strings[rows], strings[rows])
+                own = [data[x : x + length] for x in (at[each] + inner).tolist()]
+                hashes = np.array([xxhash.xxh64_intdigest(s) for s in own], np.uint64)
+                for column, values in (
+                    (docs_, doc[each]), (starts, start[each] + inner), (runs, np.ones(len(each))), (shard_of, (hashes >> U32) % np.uint64(shards)), (gram_of, hashes & LOW),
+                ):
+                    column.append(values.astype(np.int64))
+                number += [place.setdefault(s, len(place)) for s in own]
+        if not number:
+            return _messages([])
+        number = np.array(number, np.int64)
+        doc, start, strings, shard, short = [np.concatenate(c) for c in (docs_, starts, runs, shard_of, gram_of)]
+        key, row = keys[doc], np.array([_row_key(t) for t in texts], np.uint64)[doc]
+        least = np.full(len(place), LAST, np.int64)
+        np.minimum.at(least, number, key)
+        # Of equal fragments the smallest document's are sent; all others are repeats of it.
+        mine = key == least[number]
+        again = ~mine
+        sent = np.flatnonzero(mine)
+        sent = sent[np.lexsort((short[sent], shard[sent]))]
+        fragments = list(place)
+        none = [np.empty(0, k) for k in RUNS]
         out = []
-        if back and not rows:
-            rows[0] = []
-        for i, (shard, own) in enumerate(rows.items()):
-            own.sort(key=lambda r: r[0])
-            cols = list(zip(*own)) if own else [[]] * 6
-            sent = back if i == 0 else []
-            again = list(zip(*sent)) if sent else [[]] * 4
+        for i, (to, at) in enumerate(_split(shard[sent])):
+            rows = sent[at]
+            back = [c[again].astype(k) for c, k in zip((key, row, start, strings), RUNS)] if i == 0 else none
             out.append(
-                (shard, chunk, *pack(
-                    np.array(cols[0], np.uint32), np.array(cols[1], np.int64), np.array(cols[2], np.uint64), np.array(cols[3], np.uint32), np.array(cols[4], np.uint8),
-                    b"".join(cols[5]), *[np.array(c, k) for c, k in zip(again, RUNS)],
+                (to, chunk, *pack(
+                    short[rows].astype(np.uint32), *[c[rows].astype(k) for c, k in zip((key, row, start, strings), RUNS)],
+                    b"".join([fragments[f] for f in number[rows].tolist()]), *back,
                 ))
             )
         return _messages(out)
@@ -288,66 +290,134 @@ def first_documents(texts: list[bytes], keys: np.ndarray, strings: np.ndarray, l
     owner[begins] = np.repeat(np.arange(len(texts)), strings)
     order, prefix = suffix_order(text, length)
     # Neighbours with a common prefix of `length` hold the same string.
-    group = np.cumsum(prefix < length) - 1
+    first = np.flatnonzero(prefix < length)
     of = owner[order]
-    valid = of >= 0
-    least = np.full(int(group[-1]) + 1, LAST, np.int64)
-    np.minimum.at(least, group[valid], keys[of[valid]])
+    least = np.minimum.reduceat(np.where(of >= 0, keys[of], LAST), first)
     result = np.empty(len(text), np.int64)
-    result[order] = least[group]
+    result[order] = np.repeat(least, np.diff(np.append(first, len(order))))
     return result[begins]
 
 
-def _firsts(length: int):
-    """Step 4: (chunk; runs of strings that begin in a smaller document too) of a shard."""
-
-    def run(table: pa.Table) -> pa.Table:
-        chunks = table.column("chunk").to_pylist()
-        shard = table.column("to")[0].as_py()
-        kinds = (np.uint32, np.int64, np.uint64, np.uint32, np.uint8, bytes, *RUNS)
-        metas, texts, back = [], [], {}
-        for chunk, data, size in zip(chunks, table.column("data").to_pylist(), table.column("size").to_pylist()):
-            short, key, row, start, strings, text, *again = unpack(data, size, *kinds)
-            back.setdefault(chunk, []).append(tuple(again))
-            ends = np.cumsum(strings.astype(np.int64) + (length - 1))
-            texts += [text[b:e] for b, e in zip([0, *ends.tolist()], ends.tolist())]
-            metas.append((short, key, row, start, strings, np.full(len(short), chunk, np.int32)))
-        short, key, row, start, strings, chunk = [np.concatenate(c) for c in zip(*metas)]
-        order = np.argsort(short, kind="stable")
-        # Cut between grams, about SORT_BYTES each.
-        lengths = np.array([len(texts[i]) for i in order.tolist()])
-        total = np.cumsum(lengths)
-        change = np.flatnonzero(np.append(short[order][1:] != short[order][:-1], True)) + 1
-        cuts, reached = [0], 0
-        for c in change.tolist():
-            if total[c - 1] - reached >= SORT_BYTES or c == len(order):
-                cuts.append(c)
-                reached = total[c - 1]
-        for b, e in zip(cuts, cuts[1:]):
-            rows = order[b:e]
-            # Equal fragments are sorted once, for their smallest document.
-            place: dict[bytes, int] = {}
-            of = np.array([place.setdefault(texts[i], len(place)) for i in rows.tolist()])
-            least = np.full(len(place), LAST, np.int64)
-            np.minimum.at(least, of, key[rows])
-            own = np.empty(len(place), np.int64)
-            own[of] = strings[rows]
-            first = first_documents(list(place), least, own, length)
-            offset = np.cumsum(own) - own
-            n = strings[rows].astype(np.int64)
-            entry = np.repeat(np.arange(len(rows)), n)
-            within = np.arange(len(entry)) - np.repeat(np.cumsum(n) - n, n)
-            repeated = first[offset[of[entry]] + within] < key[rows][entry]
-            edge = np.append(True, (entry[1:] != entry[:-1]) | (repeated[1:] != repeated[:-1])) if len(entry) else np.empty(0, bool)
-            begin = np.flatnonzero(edge)
-            span = np.diff(np.append(begin, len(entry)))
-            begin, span = begin[repeated[begin]], span[repeated[begin]]
-            r = rows[entry[begin]]
-            by = np.argsort(chunk[r], kind="stable")
-            r, begin, span = r[by], begin[by], span[by]
-            for to, s in _split(chunk[r]):
-                back[to].append((key[r[s]], row[r[s]], (start[r[s]] + within[begin[s]]).astype(np.uint32), span[s].astype(np.uint8)))
-        return _messages([(shard, to, *pack(*[np.concatenate(c).astype(k) for c, k in zip(zip(*found), RUNS)])) for to, found in back.items() if sum(len(f[0]) for f in found)])
+class Shard:
+    """The fragments of one shard, in a temporary file by ranges of grams where they outgrow memory."""
+
+    KINDS = (np.uint32, np.int64, np.uint64, np.uint32, np.uint8)
+
+    def __init__(self, length: int, memory: int):
+        self.length, self.memory, self.held, self.bytes, self.file, self.places = length, memory, [], 0, None, {}
+
+    def add(self, chunk: int, columns: list[np.ndarray], text: bytes) -> None:
+        """Fragments in order of their grams: gram, key, row, start, strings, and their bytes one behind the other."""
+        self.held.append((chunk, columns, text))
+        self.bytes += len(text) + 25 * len(columns[0])
+        if self.bytes > self.memory:
+            self._spill()
+
+    def _spill(self) -> None:
+        self.file = self.file or tempfile.TemporaryFile()
+        edges = np.arange(1, RANGES, dtype=np.uint64) * np.uint64((1 << 32) // RANGES)
+        for chunk, columns, text in self.held:
+            ends = np.append(0, np.cumsum(columns[4].astype(np.int64) + (self.length - 1)))
+            cuts = [0, *np.searchsorted(columns[0], edges).tolist(), len(columns[0])]
+            for i, (b, e) in enumerate(zip(cuts, cuts[1:])):
+                if b < e:
+                    raw = b"".join([*[c[b:e].tobytes() for c in columns], text[ends[b] : ends[e]]])
+                    self.places.setdefault(i, []).append((chunk, e - b, self.file.tell(), len(raw)))
+                    self.file.write(raw)
+        self.held, self.bytes = [], 0
+
+    def parts(self) -> Iterator[list[tuple[int, list[np.ndarray], bytes]]]:
+        """All fragments; those of a gram come together."""
+        if self.file is None:
+            if self.held:
+                yield self.held
+            return
+        self._spill()
+        for i in sorted(self.places):
+            part = []
+            for chunk, n, at, size in self.places[i]:
+                self.file.seek(at)
+                raw, columns, used = self.file.read(size), [], 0
+                for kind in self.KINDS:
+                    columns.append(np.frombuffer(raw, kind, n, used))
+                    used += n * np.dtype(kind).itemsize
+                part.append((chunk, columns, raw[used:]))
+            yield part
+        self.file.close()
+
+
+def repeated_runs(part: list[tuple[int, list[np.ndarray], bytes]], length: int) -> Iterator[tuple[int, tuple]]:
+    """(chunk, runs of strings that begin in a smaller document too) of fragments, sorted about SORT_BYTES at a time."""
+    texts: list[bytes] = []
+    for _, columns, text in part:
+        ends = np.cumsum(columns[4].astype(np.int64) + (length - 1)).tolist()
+        texts += [text[b:e] for b, e in zip([0, *ends], ends)]
+    short, key, row, start, strings = [np.concatenate(c) for c in zip(*[columns for _, columns, _ in part])]
+    chunk = np.repeat([c for c, _, _ in part], [len(columns[0]) for _, columns, _ in part])
+    order = np.argsort(short, kind="stable")
+    # Cut between grams, about SORT_BYTES each.
+    total = np.cumsum(strings[order].astype(np.int64) + (length - 1))
+    cuts, reached = [0], 0
+    for c in (np.flatnonzero(np.append(short[order][1:] != short[order][:-1], True)) + 1).tolist():
+        if total[c - 1] - reached >= SORT_BYTES or c == len(order):
+            cuts.append(c)
+            reached = int(total[c - 1])
+    for b, e in zip(cuts, cuts[1:]):
+        rows = order[b:e]
+        # Equal fragments are sorted once, for their smallest document.
+        place: dict[bytes, int] = {}
+        of = np.array([place.setdefault(texts[i], len(place)) for i in rows.tolist()])
+        least = np.full(len(place), LAST, np.int64)
+        np.minimum.at(least, of, key[rows])
+        own = np.empty(len(place), np.int64)
+        own[of] = strings[rows]
+        first = first_documents(list(place), least, own, length)
+        offset = np.cumsum(own) - own
+        n = strings[rows].astype(np.int64)
+        entry = np.repeat(np.arange(len(rows)), n)
+        within = np.arange(len(entry)) - np.repeat(np.cumsum(n) - n, n)
+        repeated = first[offset[of[entry]] + within] < key[rows][entry]
+        begin = np.flatnonzero(np.append(True, (entry[1:] != entry[:-1]) | (repeated[1:] != repeated[:-1])))
+        span = np.diff(np.append(begin, len(entry)))
+        begin, span = begin[repeated[begin]], span[repeated[begin]]
+        r = rows[entry[begin]]
+        by = np.argsort(chunk[r], kind="stable")
+        r, begin, span = r[by], begin[by], span[by]
+        for to, s in _split(chunk[r]):
+            yield to, (key[r[s]], row[r[s]], start[r[s]] + within[begin[s]], span[s])
+
+
+def _firsts(length: int, memory: int):
+    """Step 4: (chunk; runs of strings that begin in a smaller document too), shard by shard."""
+
+    def messages(shard: int, back: dict[int, list[tuple]]) -> Iterator[pa.RecordBatch]:
+        rows = [(shard, to, *pack(*[np.concatenate(c).astype(k) for c, k in zip(zip(*found), RUNS)])) for to, found in back.items()]
+        yield from _messages(rows).to_batches()
+        back.clear()
+
+    def finish(shard: int, own: Shard, back: dict[int, list[tuple]]) -> Iterator[pa.RecordBatch]:
+        for part in own.parts():
+            for to, found in repeated_runs(part, length):
+                back.setdefault(to, []).append(found)
+            if own.file is not None:
+                yield from messages(shard, back)
+        yield from messages(shard, back)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, own, back = None, None, {}
+        for batch in batches:
+            for to, chunk, data, size in zip(*[batch.column(c).to_pylist() for c in ("to", "chunk", "data", "size")]):
+                if to != shard:
+                    if own is not None:
+                        yield from finish(shard, own, back)
+                    shard, own = to, Shard(length, memory)
+                *columns, text, key, row, start, strings = unpack(data, size, *Shard.KINDS, bytes, *RUNS)
+                if len(columns[0]):
+                    own.add(chunk, columns, text)
+                if len(key):
+                    back.setdefault(chunk, []).append((key, row, start, strings))
+        if own is not None:
+            yield from finish(shard, own, back)
 
     return run
 
@@ -388,13 +458,15 @@ def _cut(length: int, arrow: pa.Schema):
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, crowded_from: int = CROWDED, shard_bytes: int = SHARD_BYTES
+) -> DataFrame:
     """One row per input row: `key`, n_bytes, spans of removed bytes (start, end), kept (the rest, as bytes).
 
     Texts are UTF-8 bytes; a null text is empty. A byte is removed if a string of `length` bytes that covers it also begins
     in a document with a smaller key. Documents with the same key, repeated rows included, take nothing from each other;
     null keys come last. A text shorter than `length` stays as it is; an empty table gives no rows. Other columns are not
-    read. What is kept need not be valid UTF-8, since strings begin and end anywhere.
+    read. `crowded_from` and `shard_bytes` (documents of a gram, memory of a shard) change the way, not the result. What is kept need not be valid UTF-8, since strings begin and end anywhere.
     """
     spark = session(docs.sparkSession)
     if not 33 <= length <= 255:
@@ -405,9 +477,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     # One exchange of the texts serves the three steps that read them.
     base = docs.select(number.alias("chunk"), F.col(f"`{key}`").cast("long").alias("key"), body.alias("body")).repartition(parts, "chunk")
     grams = base.groupBy("chunk").applyInArrow(_grams(parts, length), MESSAGE)
-    shared = grams.groupBy("to").applyInArrow(_shared(length), MESSAGE)
+    shared = grams.groupBy("to").applyInArrow(_shared(crowded_from), MESSAGE)
     fragments = base.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_fragments(parts, length), MESSAGE)
-    runs = fragments.groupBy("to").applyInArrow(_firsts(length), MESSAGE)
+    runs = fragments.repartition(parts, "to").sortWithinPartitions("to").mapInArrow(_firsts(length, shard_bytes), MESSAGE)
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("spans", SPANS), T.StructField("kept", T.BinaryType())])
     from pyspark.sql.pandas.types import to_arrow_schema
 

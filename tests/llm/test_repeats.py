@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from ebbtide.llm import queries, repeats
@@ -56,10 +57,36 @@ def cases():
 
 
 @pytest.mark.parametrize("crowded", [20_000, 3])
-def test_cases(docs, awkward, monkeypatch, crowded):
-    monkeypatch.setattr(repeats, "CROWDED", crowded)
+@pytest.mark.parametrize("memory", [128 << 20, 200], ids=["memory", "disk"])
+def test_cases(docs, awkward, crowded, memory):
+    """Also with crowded grams, and with shards that outgrow memory."""
     rows = [*cases(), *[(k if k is None else 1000 + k, t) for k, t in awkward]]
-    assert got(repeats.remove_repeats(docs(rows))) == plain(rows)
+    assert got(repeats.remove_repeats(docs(rows), crowded_from=crowded, shard_bytes=memory)) == plain(rows)
+
+
+def test_sub_shards(monkeypatch):
+    """Fragments of many grams, sorted a few grams at a time and read back from a file."""
+    monkeypatch.setattr(repeats, "SORT_BYTES", 300)
+    rnd = random.Random(9)
+    grams = sorted(rnd.sample(range(1 << 32), 40) * 3)
+    texts = {g: ["".join(rnd.choice("ab") for _ in range(rnd.randint(50, 60))).encode() for _ in range(2)] for g in set(grams)}
+    entries = [(g, rnd.randint(1, 9), i, texts[g][rnd.randint(0, 1)]) for i, g in enumerate(grams)]
+    found = {}
+    for name, memory in (("memory", 1 << 20), ("disk", 100)):
+        shard = repeats.Shard(50, memory)
+        for chunk in (0, 1):
+            own = [e for i, e in enumerate(entries) if i % 2 == chunk]
+            cols = [np.array([e[0] for e in own], np.uint32), np.array([e[1] for e in own]), np.array([e[2] for e in own], np.uint64),
+                    np.zeros(len(own), np.uint32), np.array([len(e[3]) - 49 for e in own], np.uint8)]
+            shard.add(chunk, cols, b"".join(e[3] for e in own))
+        runs = [r for part in shard.parts() for _, r in repeats.repeated_runs(part, 50)]
+        found[name] = sorted((int(row), int(s) + j) for _, rows_, starts, spans in runs for row, s, n in zip(rows_, starts, spans) for j in range(int(n)))
+    first = {}
+    for _, key, _, t in entries:
+        for i in range(len(t) - 49):
+            first[t[i : i + 50]] = min(key, first.get(t[i : i + 50], key))
+    want = sorted((i, j) for _, key, i, t in entries for j in range(len(t) - 49) if first[t[j : j + 50]] < key)
+    assert found["memory"] == found["disk"] == want and want
 
 
 def test_small_pieces(monkeypatch):
