@@ -92,19 +92,29 @@ def names(text: np.ndarray, s_type: np.ndarray, sample: np.ndarray) -> tuple[np.
             key = (key << np.uint64(bits)) | np.where(at <= last, symbols[np.minimum(at, last)], np.uint64(0))
         return key
 
-    rows = np.arange(len(sample))
-    place = np.unique(word(rows, 0), return_inverse=True)[1].astype(np.int64)
-    first = per_word
-    rows = rows[end - sample >= first]
-    while len(rows):
-        # Longer pieces: told apart by the following symbols, if the ones so far do not suffice.
-        own = np.unique(word(rows, first), return_inverse=True)[1].astype(np.int64)
-        finer = np.zeros(len(sample), np.int64)
-        finer[rows] = own + 1
-        place = np.unique(place * (own.max() + 2) + finer, return_inverse=True)[1].astype(np.int64)
-        first += per_word
-        rows = rows[(end - sample)[rows] >= first]
-    return place + 1, int(place.max()) + 1
+    # The symbols of longer pieces beyond the first word, from the last word to the second, as one rank.
+    length = end - sample
+    tail = np.zeros(len(sample), np.int64)
+    for first in range(int(length.max()) // per_word * per_word, 0, -per_word):
+        rows = np.flatnonzero(length >= first)
+        tail[rows] = _dense(word(rows, first), tail[rows]) + 1
+    place = _dense(word(np.arange(len(sample)), 0), tail)
+    return (place + 1).astype(_positions(len(text))), int(place.max()) + 1
+
+
+def _positions(n: int) -> type:
+    """The smaller integer type that holds positions of a text of `n` characters."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
+def _dense(key: np.ndarray, minor: np.ndarray) -> np.ndarray:
+    """Places of (key, minor) among the distinct ones in order."""
+    order = np.lexsort((minor, key)) if minor.any() else np.argsort(key)
+    key, minor = key[order], minor[order]
+    fresh = np.append(False, (key[1:] != key[:-1]) | (minor[1:] != minor[:-1]))
+    place = np.empty(len(key), np.int64)
+    place[order] = np.cumsum(fresh)
+    return place
 
 
 def order_of_names(text: np.ndarray, count: int, depth: int) -> np.ndarray:
@@ -113,83 +123,120 @@ def order_of_names(text: np.ndarray, count: int, depth: int) -> np.ndarray:
     if depth <= 1 or count == n:
         return np.argsort(text, kind="stable")
     if n <= SMALL:
-        rank, known = text, 1
+        rank, known = text.astype(np.int64), 1
         while known < depth:
             pair = rank * (int(rank.max()) + 2) + np.append(rank[known:] + 1, np.zeros(min(known, n), np.int64))[:n]
             rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
             known *= 2
         return np.argsort(rank, kind="stable")
     s_type = types(text)
-    sample = sample_positions(s_type)
+    sample = sample_positions(s_type).astype(_positions(n))
     place, below = names(text, s_type, sample)
     seeds = sample[order_of_names(place, below, (depth + 1) // 2)]
     large = induce_names(text, ~s_type, seeds)
-    top = text.max()
-    small = induce_names(top - text, s_type, large[::-1])[::-1]
-    merged = np.concatenate([[n - 1], large, small[small != n - 1]])
-    return merged[np.argsort(text[merged], kind="stable")]
+    small = induce_names(text.max() - text, s_type, large[::-1])[::-1]
+    # By name, and within a name L suffixes before S suffixes; the last position is the smallest.
+    first = np.cumsum(np.bincount(text)) - np.bincount(text)
+    order = np.empty(n, _positions(n))
+    own = text[large]
+    order[first[own] + _within(own)] = large
+    end = np.cumsum(np.bincount(text))
+    own = text[small]
+    order[end[own] - 1 - _within(own[::-1])[::-1]] = small
+    order[0] = n - 1
+    return order
+
+
+def _within(groups: np.ndarray) -> np.ndarray:
+    """Places of the elements of runs of equal values."""
+    first = np.flatnonzero(np.append(True, groups[1:] != groups[:-1])) if len(groups) else np.empty(0, np.int64)
+    return np.arange(len(groups)) - np.repeat(first, np.diff(np.append(first, len(groups))))
 
 
 def induce_names(text: np.ndarray, wanted: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """The `wanted` suffixes in order, induced from `seeds` in order, over an alphabet of any size.
 
-    Neighbouring names share a queue; when it is opened, its entries are put in order of name and rank. Entries that come in
-    meanwhile for the same block are ranked behind the one that sent them, until no rank changes.
+    Neighbouring names share a queue. When it is opened, its entries have arrived in order of rank and are put in order of
+    name. Entries that come in meanwhile for the same block follow those of their name that were there, in the order of
+    the ones that sent them; seeds follow last.
     """
     counts = np.bincount(text[wanted], minlength=int(text.max()) + 1) + np.bincount(text[seeds], minlength=int(text.max()) + 1)
     block_of_name = (np.cumsum(counts) - counts) // BLOCK_ITEMS
-    block = block_of_name[text]
-    ends = np.searchsorted(block[seeds], np.arange(int(block_of_name[-1]) + 1), side="right")
-    queues = Queues(np.int64)
-    where = np.empty(len(text), np.int64)
+    low = np.searchsorted(block_of_name, np.arange(int(block_of_name[-1]) + 1))
+    block = block_of_name[text].astype(np.int32)
+    ends = np.searchsorted(block[seeds], np.arange(len(low)), side="right")
+    kind = _positions(len(text))
+    queues = Queues(kind)
+    where, state = np.empty(len(text), np.int32), np.empty(len(text), np.int8)
+    none = np.empty(0, kind)
     done, begin = [], 0
 
     def sent(entries: np.ndarray) -> np.ndarray:
         left = entries[entries > 0] - 1
         return left[wanted[left]]
 
+    def by_name(entries: np.ndarray, base: int, top: int) -> np.ndarray:
+        name = text[entries] - base
+        return np.argsort(name.astype(np.uint16) if top - base < 1 << 16 else name, kind="stable")
+
     for b, stop in enumerate(ends.tolist()):
         own = seeds[begin:stop]
         begin = stop
-        arrived = np.concatenate([np.empty(0, np.int64), *queues.pop(b)])
-        inner, now = [], np.concatenate([arrived, own])
+        arrived = np.concatenate([none, *queues.pop(b)])
+        base, top = int(low[b]), int(low[b + 1]) if b + 1 < len(low) else len(block_of_name)
+        entries = np.concatenate([arrived, own])
+        if not len(entries):
+            continue
+        now = sent(entries)
+        now = now[block[now] == b]
+        inside = []
         while len(now):
+            inside.append(now)
             now = sent(now)
             now = now[block[now] == b]
-            if len(now):
-                inner.append(now)
-        inside = np.concatenate([np.empty(0, np.int64), *inner])
-        entries = np.concatenate([arrived, inside, own])
-        if not len(entries):
-            continue
-        induced = len(arrived) + len(inside)
-        if len(inside):
-            where[entries] = np.arange(len(entries))
-            late = np.arange(len(entries)) >= induced
-            key = np.concatenate([np.arange(len(arrived)), np.zeros(len(inside), np.int64), np.arange(len(own))])
-            name, behind = text[entries], where[inside + 1]
-            rank = None
-            while True:
-                order = np.lexsort((key, late, name))
-                fresh = np.empty(len(entries), np.int64)
-                fresh[order] = np.arange(len(entries))
-                if rank is not None and np.array_equal(rank, fresh):
-                    break
-                rank = fresh
-                key[len(arrived) : induced] = len(arrived) + rank[behind]
-        else:
-            order = np.argsort(text[entries], kind="stable")
+        induced = len(arrived)
+        if inside:
+            late = np.concatenate(inside)
+            late = late[_behind(text, where, state, arrived, late, own, base, len(inside))]
+            entries = np.concatenate([arrived, late, own])
+            induced += len(late)
+        order = by_name(entries, base, top)
         done.append(entries[order[order < induced]])
         left = sent(entries[order])
         to = block[left]
         left, to = left[to > b], to[to > b]
         if len(left):
-            by = np.argsort(to, kind="stable")
+            by = np.argsort(to.astype(np.uint16) if len(low) < 1 << 16 else to, kind="stable")
             left, to = left[by], to[by]
             cut = np.flatnonzero(np.diff(to)) + 1
             for part, name in zip(np.split(left, cut), to[np.append(0, cut)].tolist()):
                 queues.push(name, part)
-    return np.concatenate([np.empty(0, np.int64), *done])
+    return np.concatenate([none, *done])
+
+
+def _behind(text, where, state, arrived, late, own, base: int, depth: int) -> np.ndarray:
+    """The order of entries that came in late, by the place of the ones that sent them.
+
+    A place is (name; arrived, late or seed; number). Numbers of the late ones follow from their own senders, so they are
+    right after as many rounds as the longest chain of them has links.
+    """
+    for number, entries in enumerate((arrived, late, own)):
+        where[entries] = np.arange(len(entries), dtype=np.int32)
+        state[entries] = number
+    sender = late + 1
+    fixed = (text[sender].astype(np.int64) - base) << 34 | state[sender].astype(np.int64) << 32
+    of = where[sender].astype(np.int64)
+    chained = np.flatnonzero(state[sender] == 1)
+    number = of.copy()
+    number[chained] = 0
+    for _ in range(depth):
+        order = np.argsort(fixed | number, kind="stable")
+        if not len(chained):
+            break
+        place = np.empty(len(late), np.int64)
+        place[order] = np.arange(len(late))
+        number[chained] = place[of[chained]]
+    return order
 
 
 def packed(text: np.ndarray) -> np.ndarray:
@@ -214,13 +261,9 @@ def common_prefix(words: np.ndarray, left: np.ndarray, right: np.ndarray, depth:
     return np.minimum(result, depth).astype(np.uint8)
 
 
-ENTRY = np.dtype([("at", np.int64), ("lcp", np.uint8)])
-
-
 def _entries(at: np.ndarray, lcp: np.ndarray) -> np.ndarray:
-    out = np.empty(len(at), ENTRY)
-    out["at"], out["lcp"] = at, lcp
-    return out
+    """Position and common prefix in one integer."""
+    return at << 8 | lcp
 
 
 class Passed:
@@ -283,13 +326,13 @@ def induce(text: np.ndarray, words: np.ndarray, wanted: np.ndarray, seeds: dict[
 
     In a character's stream the induced entries come first, then its seeds.
     """
-    queues = Queues(ENTRY)
+    queues = Queues(np.int64)
     passed = Passed(text, wanted, queues, depth)
     found = {}
     for c in chars:
         parts = []
         for part in queues.pop(c):
-            at, lcp = part["at"], part["lcp"].copy()
+            at, lcp = part >> 8, (part & 255).astype(np.uint8)
             if not parts:
                 lcp[0] = 0
             parts.append((at, lcp))
