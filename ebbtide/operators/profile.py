@@ -116,6 +116,13 @@ def suggest_constraints(profiled: DataFrame, min_completeness: float = 0.95) ->
     )
 
 
+def baseline_vs_live(baseline: DataFrame, live: DataFrame) -> DataFrame:
+    """Means and counts of both profiles side by side; a feature that one side lacks has NULL there."""
+    left = baseline.select("feature", F.col("mean").alias("base_mean"), F.col("num_present").alias("base_present"))
+    right = live.select("feature", F.col("mean").alias("live_mean"), F.col("num_present").alias("live_present"))
+    return left.join(right, "feature", "full")
+
+
 def schema_changes(baseline: DataFrame, live: DataFrame) -> DataFrame:
     """Features that appeared, vanished or changed their type, from two profiles."""
     old = baseline.select("feature", F.col("inferred_type").alias("old_type"))

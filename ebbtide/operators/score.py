@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import half_up, sigmoid
@@ -61,7 +62,7 @@ def score_foreign(
 
     def batches(frames: Iterator) -> Iterator:
         for frame in frames:
-            yield frame[[key]].assign(_p=[float(p) for p in predict(frame[names])])
+            yield frame[[key]].assign(_p=np.asarray(predict(frame[names]), dtype=float))
 
     kind = dict(df.dtypes)[key]
     scored = require_features(df, names).select(key, *names).mapInPandas(batches, f"{key} {kind}, _p double")

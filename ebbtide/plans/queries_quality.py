@@ -339,10 +339,7 @@ SELECT coalesce(b.feature, l.feature) AS feature, {r("b.mean", "base_mean")}, {r
        b.num_present AS base_present, l.num_present AS live_present
 FROM base_profile b FULL JOIN live_profile l ON b.feature = l.feature"""))
 def _(spark, sf):
-    base, live = _profiles(spark, sf)
-    left = base.select("feature", F.col("mean").alias("base_mean"), F.col("num_present").alias("base_present"))
-    right = live.select("feature", F.col("mean").alias("live_mean"), F.col("num_present").alias("live_present"))
-    return left.join(right, "feature", "full")
+    return P.baseline_vs_live(*_profiles(spark, sf))
 
 
 HALVES = f"CASE WHEN event_timestamp < TIMESTAMP '{A.HALF_TIME}' THEN 0 ELSE 1 END AS live"
