@@ -29,8 +29,13 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 # A match of ASSIGN holds one of these in lower case.
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+# A run ends at '=', except for '=' at its end: padding.
+RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?")
 LEAST_TOKEN = 20
+# Characters of the alphabets: maximal parts of a run within one of them are tokens too.
+PARTS = [re.compile(rf"[{c}]{{20,}}") for c in ("A-Za-z0-9+/", "A-Za-z0-9+", "A-Za-z0-9_-", "A-Za-z0-9_", "A-Za-z0-9-", "A-Za-z0-9", "a-z0-9", "A-Z0-9")]
+SIGNS = str.maketrans("", "", "-_")
+CLEAR = 0.001
 # A test of the battery rejects below this p-value; false discoveries are held to this rate; changes of character class
 # between neighbours of an ordinary token.
 REJECT, RATE, ORDINARY_CHANGES = 0.001, 0.01, 0.2
@@ -62,10 +67,9 @@ def encoding(token: str) -> str | None:
     if has <= set(DIGIT + UPPER):
         return DIGIT + UPPER
     if lower and upper:
-        if not has & set("-_"):
-            return UPPER + LOWER + DIGIT + "+/"
-        if not has & set("+/"):
-            return UPPER + LOWER + DIGIT + "-_"
+        for alphabet in (UPPER + LOWER + DIGIT + "+/", UPPER + LOWER + DIGIT + "-_"):
+            if has <= set(alphabet):
+                return alphabet
     return None
 
 
@@ -110,6 +114,9 @@ def character_class(c: str) -> int | None:
 def randomness(token: str) -> float | None:
     """p-value of being ordinary, for a token that may be random; None if it has no encoding or a test rejects it."""
     token = token.rstrip("=")
+    if not (any(c in LOWER for c in token) and any(c in UPPER for c in token)):
+        # A key of one case in groups: no alphabet of its kind has signs.
+        token = token.translate(SIGNS)
     alphabet = encoding(token) if len(token) >= LEAST_TOKEN else None
     if alphabet is None:
         return None
@@ -122,6 +129,21 @@ def randomness(token: str) -> float | None:
     return max(binomial_tail(sum(x != y for x, y in pairs), len(pairs), ORDINARY_CHANGES), 1e-300)
 
 
+def random_tokens(run: str) -> list[tuple[int, int, float]]:
+    """(start, end, p) of tokens of a run that may be random, without overlaps: of the run and its parts the longest with p <= CLEAR,
+    else that of least p. A p-value is multiplied by the number of tokens tried, as one of them is picked.
+    """
+    body = len(run.rstrip("="))
+    tried = {(0, body)} | {m.span() for part in PARTS for m in part.finditer(run, 0, body)}
+    found = [(max(p, CLEAR), s - e, p, s, e) for s, e in tried if (p := randomness(run[s:e])) is not None]
+    chosen: list[tuple[int, int, float]] = []
+    for _, _, p, s, e in sorted(found):
+        end = len(run) if e == body else e
+        if not any(a < end and s < b for a, b, _ in chosen):
+            chosen.append((s, end, min(1.0, p * len(tried))))
+    return chosen
+
+
 def find(text: str) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, p) by start, then kind; positions are code points, p is that of random tokens."""
     spans: list[tuple[int, int, int, float | None]] = []
@@ -134,10 +156,10 @@ def find(text: str) -> list[tuple[str, int, int, float | None]]:
     spans += [(m.start(), 2, m.end(), None) for m in HEX.finditer(text)]
     if any(len(w) >= LEAST_TOKEN and not w.isalpha() for w in text.split()):
         base = sorted((s, e) for s, _, e, _ in spans)
-        for m in TOKEN.finditer(text):
-            p = randomness(m[0])
-            if p is not None and not any(s < m.end() and m.start() < e for s, e in base):
-                spans.append((m.start(), 3, m.end(), p))
+        for m in RUN.finditer(text):
+            if any(s < m.end() and m.start() < e for s, e in base):
+                continue
+            spans += [(m.start() + s, 3, m.start() + e, p) for s, e, p in random_tokens(m[0])]
     return [(KINDS[k], s, e, p) for s, k, e, p in sorted(spans, key=lambda x: x[:3])]
 
 

@@ -49,6 +49,26 @@ def test_random_tokens_are_found_and_names_are_not(docs):
     assert not any(found[100 + i] for i in range(len(names) * 5))
 
 
+def test_random_tokens_beside_names_and_signs():
+    """A name before '=', other signs and groups neither stop the query nor hide the value."""
+    rnd = random.Random(4)
+
+    def key(letters, n=32):
+        return "".join(rnd.choice(letters) for _ in range(n))
+
+    low, mixed = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for text in ("sessionId=AbC123xyzABC9", "token=AbCd1234EfGh5678IjKl", "x=y=AbCd1234EfGh5678IjKl==z", "a" * 30 + "1B=="):
+        secret_spans.find(text)
+    for before, letters, after in [("sid=", low, ""), ("AWS_KEY=", mixed + "+/", "=="), ("a/b_c/", mixed, "/end-of_it"), ("https://x.org/p?sessionId=", mixed, "&a=b"), ("sk_live_", low, ""), ("key-", low, "-v2")]:
+        found = 0
+        for _ in range(40):
+            value = key(letters)
+            found += any(k == "random" and s <= len(before) and e >= len(before) + 32 and p < 0.05 for k, s, e, p in secret_spans.find(f"{before}{value}{after} x"))
+        assert found >= 20, (before, found)
+    groups = ["-".join(key(low, 4) for _ in range(8)) for _ in range(40)]
+    assert sum(any(k == "random" for k, *_ in secret_spans.find(g)) for g in groups) >= 30
+
+
 def test_battery_follows_its_level():
     """Uniform sequences are rejected about as often as the level says; sorted and constant ones always."""
     rnd = random.Random(1)
