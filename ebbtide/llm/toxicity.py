@@ -1,8 +1,8 @@
 """Toxicity of whole texts, scored after undoing disguises with a noisy-channel model.
 
 A disguised word is read as a lattice: every character may stand for itself or for letters that it resembles, a repeated
-character may be one, marks and spaces between single letters may be nothing. The Viterbi path through the lattice under a
-character trigram model is the restored word. The trigram model is counted over all documents; which restored words and word
+character may be one, a mark may be nothing, a blank between single characters may be nothing or end a word. The Viterbi path
+through the lattice under a character trigram model is the restored word, or the words of a run of single characters. The trigram model is counted over all documents; which restored words and word
 beginnings speak for toxicity is learned from labelled documents.
 
 The trigram model is hashed into a fixed number of buckets and the learned weights have a bound of their own, so what is
@@ -44,7 +44,11 @@ EDGE = ".,;:?!\"'()[]{}<>«»“”„‘’…-–—_*~`^=/\\"
 LETTER = re.compile(r"[^\W\d_]")
 TRAILING = re.compile(r"[*#%&$!|+]{3,}$")
 REPEATED = re.compile(r"(.)\1\1", re.S)
-SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+# Longer words are cut at marks that stand for no letter and part none.
+LONG_WORD = 40
+PIECES = re.compile(r"[^\w" + re.escape("".join(sorted((set(RESEMBLES) | SEPARATORS)))) + "]+")
+# Signs that make a word without letters and digits worth decoding.
+LETTERLIKE = set("@$")
 # Log costs of the channel: reading a sign as a letter, dropping a mark, dropping a repetition (a
 # character that is there just twice is rarely one too many).
 AS_LETTER, DROP_MARK, DROP_REPEAT, DROP_DOUBLE = -1.0, -0.5, -0.5, -4.0
@@ -80,42 +84,76 @@ def disguised(word: str) -> bool:
         return REPEATED.search(core) is not None
     signs = sum(c in RESEMBLES or c in SEPARATORS for c in core)
     letters = sum(c.isalpha() for c in word)
-    return letters >= 2 and (0 < signs <= 2 * letters or REPEATED.search(core) is not None) and len(word) <= 40
+    if not letters:
+        return len(core) > 2 and core == word and all(c in RESEMBLES and not c.isdigit() for c in core) and len(set(core)) > 1 and not LETTERLIKE.isdisjoint(core)
+    return 0 < signs <= 2 * letters or REPEATED.search(core) is not None
 
 
 def restore(word: str, model: Letters) -> str:
-    """The Viterbi path through the lattice of a word in lower case."""
+    """The Viterbi path through the lattice of a word in lower case, or of single characters with blanks between them."""
     word = TRAILING.sub("", word).lstrip(EDGE.replace("*", "").replace("(", "").replace("!", "")).rstrip(".,;:?!\"')]}")
-    paths = {("<", "<"): (0.0, "")}
-    previous = ""
-    for i, c in enumerate(word):
+    # A path is a chain of (path before, character).
+    paths: dict[tuple[str, str], tuple[float, tuple | None]] = {("<", "<"): (0.0, None)}
+    signs = word.replace(" ", "")
+    previous, i = "", -1
+    for c in word:
+        step: dict[tuple[str, str], tuple[float, tuple | None]] = {}
+        if c == " ":
+            # Nothing, or the end of a word.
+            ended = [(score + model.log(a, b, ">"), path) for (a, b), (score, path) in paths.items() if b != "<"]
+            step.update(paths)
+            if ended:
+                score, path = max(ended, key=lambda x: x[0])
+                if score > step.get(("<", "<"), (-1e300,))[0]:
+                    step["<", "<"] = score, (path, " ")
+            paths = step
+            continue
+        i += 1
         readings = [(c, 0.0)] if c.isalpha() else []
         readings += [(letter, AS_LETTER) for letter in RESEMBLES.get(c, "")]
-        long_run = c == previous and (word[i + 1 : i + 2] == c or word[i - 2 : i - 1] == c)
+        long_run = c == previous and (signs[i + 1 : i + 2] == c or signs[i - 2 : i - 1] == c)
         dropped = DROP_REPEAT if long_run else DROP_DOUBLE if c == previous else DROP_MARK if c in SEPARATORS or not readings else None
-        step: dict[tuple[str, str], tuple[float, str]] = {}
-        for (a, b), (score, text) in paths.items():
+        for (a, b), (score, path) in paths.items():
             for letter, cost in readings:
                 value = score + cost + model.log(a, b, letter)
                 if value > step.get((b, letter), (-1e300,))[0]:
-                    step[b, letter] = value, text + letter
+                    step[b, letter] = value, (path, letter)
             if dropped is not None and score + dropped > step.get((a, b), (-1e300,))[0]:
-                step[a, b] = score + dropped, text
+                step[a, b] = score + dropped, path
         if len(step) > BEAM:
             step = dict(sorted(step.items(), key=lambda x: -x[1][0])[:BEAM])
         paths, previous = step, c
-    return max((score + model.log(a, b, ">"), text) for (a, b), (score, text) in paths.items())[1]
+    path = max(((score + (model.log(a, b, ">") if b != "<" or " " not in word else 0.0), path) for (a, b), (score, path) in paths.items()), key=lambda x: x[0])[1]
+    found = []
+    while path is not None:
+        path, letter = path
+        found.append(letter)
+    return "".join(reversed(found))
 
 
 def raw_words(text: str) -> set[str]:
-    """Distinct words in lower case, and runs of single characters put together."""
+    """Distinct words in lower case; runs of single characters put together, and once more with blanks between them."""
     words = text.lower().split()
     found = set(words)
-    if b"\1\1\1" in bytes([len(w) == 1 for w in words]):
-        found.update(m[0].replace(" ", "").replace("\t", "") for m in SPACED.finditer(text.lower()))
+    single = bytes([len(w) == 1 for w in words])
+    at = single.find(b"\1\1\1")
+    while at >= 0:
+        end = single.find(b"\0", at)
+        run = words[at : end if end >= 0 else len(words)]
+        found.add("".join(run))
+        if any(c.isalpha() for c in run):
+            found.add(" ".join(run))
+        at = single.find(b"\1\1\1", at + len(run))
     return found
 
 
+def restored_words(raw: str, model: Letters) -> list[str]:
+    """The words that one of `raw_words` is restored to: several for a run of single characters and for a long word."""
+    if " " in raw:
+        return restore(raw, model).split()
+    return [plain(w, model) for w in ([raw] if len(raw) <= LONG_WORD else PIECES.split(raw)) if w]
+
+
 def plain(word: str, model: Letters) -> str:
     return restore(word, model) if disguised(word) else TRAILING.sub("", word).strip(EDGE)
 
@@ -193,7 +231,7 @@ def feature_rows(texts: DataFrame, letters, tried=None) -> DataFrame:
                 for word in raw_words(text):
                     found = cache.get(word)
                     if found is None:
-                        found = [f for f in features(plain(word, model)) if wanted is None or f in wanted]
+                        found = [f for w in restored_words(word, model) for f in features(w) if wanted is None or f in wanted]
                         if len(cache) > REMEMBERED_WORDS:
                             cache.clear()
                         cache[word] = found
@@ -230,14 +268,17 @@ def learn_weights(toxic: DataFrame, clean: DataFrame, letters) -> tuple[dict[str
 class Scorer:
     def __init__(self, letters, weights: dict[str, float], start: float):
         self.model, self.weights, self.start = Letters(*letters), weights, start
-        self.cache: dict[str, tuple[str, float]] = {}
+        self.cache: dict[str, list[tuple[str, float]]] = {}
 
-    def word(self, raw: str) -> tuple[str, float]:
+    def words(self, raw: str) -> list[tuple[str, float]]:
+        """Restored words that have a weight."""
         found = self.cache.get(raw)
         if found is None:
-            restored = plain(raw, self.model)
-            own = [self.weights[f] for f in features(restored) if f in self.weights]
-            found = restored, max(own, default=0.0)
+            found = []
+            for restored in restored_words(raw, self.model):
+                weight = max((self.weights[f] for f in features(restored) if f in self.weights), default=0.0)
+                if weight:
+                    found.append((restored, weight))
             if len(self.cache) > REMEMBERED_WORDS:
                 self.cache.clear()
             self.cache[raw] = found
@@ -247,9 +288,7 @@ class Scorer:
         """Probability-like score, and the restored words that speak for it."""
         own: dict[str, float] = {}
         for raw in raw_words(text):
-            restored, weight = self.word(raw)
-            if weight:
-                own[restored] = weight
+            own.update(self.words(raw))
         odds = self.start + sum(own.values())
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, odds)))), sorted(own)
 

@@ -145,6 +145,32 @@ def test_disguises_are_undone():
         assert toxicity.plain(word, letters) == word.strip(toxicity.EDGE)
 
 
+def words_of(text, letters):
+    return {w for raw in toxicity.raw_words(text) for w in toxicity.restored_words(raw, letters)}
+
+
+def test_spaced_words_are_segmented():
+    """Blanks between single characters are dropped or end a word, whatever white space they are."""
+    letters = model()
+    assert "stupid" in words_of("there a s t u p i d people", letters)
+    assert {"the", "idiot", "loser"} <= words_of("t h e i d i o t l o s e r", letters)
+    assert "stupid" in words_of("s  t  u  p  i  d", letters) and "stupid" in words_of("s\nt\nu\np\ni\nd", letters)
+    assert "idiot" in words_of("a 1 d 1 0 t", letters) and "idiot" in words_of("i d i i i i o t", letters)
+    assert words_of("1 2 3 4", letters) == {"1", "2", "3", "4", "1234"}
+
+
+def test_short_and_long_disguises_are_undone():
+    letters = model()
+    counts, pairs = letters.counts, letters.pairs
+    for gram in ("<<a", "<as", "ass", "ss>"):
+        counts[toxicity.bucket(gram)] += 20
+        pairs[toxicity.bucket(gram[:2])] += 20
+    for word in ("a$$", "@s$", "@$$"):
+        assert toxicity.plain(word, letters) == "ass", word
+    assert "idiot" in words_of("https://example.org/there/people/water/tree/1d10t", letters)
+    assert toxicity.plain("-".join("idiot" * 9), letters) != "-".join("idiot" * 9)
+
+
 def test_viterbi_path_is_the_best_one():
     """Against all readings of short words."""
     letters = model()
