@@ -1,10 +1,12 @@
 """Secrets in whole texts: fixed patterns, and tokens that a battery of randomness tests takes for random.
 
 A token is tested under the encoding inferred from its characters. Three tests ask whether it may be random: chi-squared
-uniformity over the alphabet, runs above and below the alphabet's middle, serial correlation of neighbours. A fourth asks
-whether it may be an ordinary name or number: those change between letters and digits, or cases, much less often than random
-tokens do, and the binomial tail of the number of changes, given the length, is its p-value. These p-values, of all tokens
-of the corpus that pass the three tests, go through the step-up procedure that controls the rate of false discoveries.
+uniformity over the alphabet, runs above and below the alphabet's middle, serial correlation of neighbours. Against ordinary
+text stands the likelihood ratio of two models over all neighbours of the token: the alphabet's uniform one, and that of
+ordinary words, counted over the short words of all documents (changes of character class; letters after letters, whatever
+their case). If a token were ordinary, a ratio of r or more would have a probability of 1/r at most, whatever length and
+encoding: that bound, divided by the least p-value of the battery (times three), is the token's p-value. The p-values of
+all tokens of the corpus go through the step-up procedure that controls the rate of false discoveries.
 """
 
 from __future__ import annotations
@@ -13,11 +15,13 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, map_texts, session
+from .common import TEXT, Scratch, map_texts, session
 
 # Kinds in order, patterns and least lengths of the base.
 KINDS = ["assign", "access", "hex", "random"]
@@ -37,8 +41,10 @@ PARTS = [re.compile(rf"[{c}]{{20,}}") for c in ("A-Za-z0-9+/", "A-Za-z0-9+", "A-
 SIGNS = str.maketrans("", "", "-_")
 CLEAR = 0.001
 # A test of the battery rejects below this p-value; false discoveries are held to this rate; changes of character class
-# between neighbours of an ordinary token.
-REJECT, RATE, ORDINARY_CHANGES = 0.001, 0.01, 0.2
+# between neighbours of an ordinary token, whatever the corpus shows in half of the weight; share of letters that any letter
+# may follow; counts that a class or letter starts from.
+REJECT, RATE, ORDINARY_CHANGES, ANY_LETTER, BEFORE = 0.001, 0.01, 0.2, 0.1, 20.0
+SHORT_RUN = re.compile(r"[A-Za-z0-9]+")
 # p-values are counted in tenths of their decimal logarithm, from 10^0 to 10^-40 and less.
 STEPS, LAST_STEP = 10, 400
 
@@ -98,21 +104,65 @@ def battery(values: list[int], size: int) -> list[float]:
     return [uniform, normal_tail((runs - mean) / spread), normal_tail((serial + 1 / n) * math.sqrt(n))]
 
 
-def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X >= k)."""
-    if k <= 0:
-        return 1.0
-    log = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log(1 - p) for i in range(k, n + 1)]
-    top = max(log)
-    return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in log))
-
-
 def character_class(c: str) -> int | None:
     return 0 if c in DIGIT else 1 if c in LOWER else 2 if c in UPPER else None
 
 
-def randomness(token: str) -> float | None:
-    """p-value of being ordinary, for a token that may be random; None if it has no encoding or a test rejects it."""
+class Ordinary:
+    """Log probability of a letter or digit after another one in ordinary text, from counts of pairs in short words."""
+
+    def __init__(self, pairs: dict[str, int] | None = None):
+        classes, letters = np.zeros((3, 3)), np.zeros((26, 26))
+        for (x, y), n in (pairs or {}).items():
+            a, b = character_class(x), character_class(y)
+            classes[a, b] += n
+            if a and b:
+                letters[LOWER.index(x.lower()), LOWER.index(y.lower())] += n
+        fixed = np.full((3, 3), ORDINARY_CHANGES / 2)
+        np.fill_diagonal(fixed, 1 - ORDINARY_CHANGES)
+        change = fixed / 2 + (classes + BEFORE * fixed) / (classes.sum(1, keepdims=True) + BEFORE) / 2
+        # Letters seen at all, for those before which little was seen.
+        single = (letters.sum(0) + BEFORE / 26) / (letters.sum() + BEFORE)
+        after = (letters + BEFORE * single) / (letters.sum(1, keepdims=True) + BEFORE)
+        after, single = (1 - ANY_LETTER) * after + ANY_LETTER / 26, (1 - ANY_LETTER) * single + ANY_LETTER / 26
+        self.log: dict[str, float] = {}
+        for x in DIGIT + LOWER + UPPER:
+            for y in DIGIT + LOWER + UPPER:
+                a, b = character_class(x), character_class(y)
+                which = 0.1 if not b else after[LOWER.index(x.lower()), LOWER.index(y.lower())] if a else single[LOWER.index(y.lower())]
+                self.log[x + y] = math.log(change[a, b] * which)
+
+
+PLAIN = Ordinary()
+
+
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """(pair, n): neighbours within the short words of column __text; 62 x 62 rows at most."""
+
+    def run(batches):
+        pairs: Counter = Counter()
+        words: Counter = Counter()
+
+        def settle():
+            for word, n in words.items():
+                for part in SHORT_RUN.findall(word):
+                    for pair in map("".join, zip(part, part[1:])):
+                        pairs[pair] += n
+            words.clear()
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                words.update(w for w in text.split() if len(w) < LEAST_TOKEN)
+                if len(words) > 200_000:
+                    settle()
+        settle()
+        yield pa.RecordBatch.from_arrays([pa.array(list(pairs), pa.string()), pa.array(list(pairs.values()), pa.int64())], names=["pair", "n"])
+
+    return texts.mapInArrow(run, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def randomness(token: str, ordinary: Ordinary = PLAIN) -> float | None:
+    """p-value of being ordinary: 1 if a test of the battery rejects randomness; None for a token without an encoding."""
     token = token.rstrip("=")
     if not (any(c in LOWER for c in token) and any(c in UPPER for c in token)):
         # A key of one case in groups: no alphabet of its kind has signs.
@@ -121,21 +171,22 @@ def randomness(token: str) -> float | None:
     if alphabet is None:
         return None
     place = {c: i for i, c in enumerate(alphabet)}
-    if min(battery([place[c] for c in token], len(alphabet))) * 3 < REJECT:
-        return None
+    random = min(battery([place[c] for c in token], len(alphabet))) * 3
+    if random < REJECT:
+        return 1.0
     # Signs part words in ordinary tokens: only neighbours that are letters or digits count.
-    classes = [character_class(c) for c in token]
-    pairs = [(x, y) for x, y in zip(classes, classes[1:]) if x is not None and y is not None]
-    return max(binomial_tail(sum(x != y for x, y in pairs), len(pairs), ORDINARY_CHANGES), 1e-300)
+    uniform = -math.log(len(alphabet))
+    ratio = sum(uniform - ordinary.log[pair] for x, y in zip(token, token[1:]) if (pair := x + y) in ordinary.log)
+    return max(min(1.0, math.exp(-ratio) / min(1.0, random)), 1e-300)
 
 
-def random_tokens(run: str) -> list[tuple[int, int, float]]:
+def random_tokens(run: str, ordinary: Ordinary = PLAIN) -> list[tuple[int, int, float]]:
     """(start, end, p) of tokens of a run that may be random, without overlaps: of the run and its parts the longest with p <= CLEAR,
     else that of least p. A p-value is multiplied by the number of tokens tried, as one of them is picked.
     """
     body = len(run.rstrip("="))
     tried = {(0, body)} | {m.span() for part in PARTS for m in part.finditer(run, 0, body)}
-    found = [(max(p, CLEAR), s - e, p, s, e) for s, e in tried if (p := randomness(run[s:e])) is not None]
+    found = [(max(p, CLEAR), s - e, p, s, e) for s, e in tried if (p := randomness(run[s:e], ordinary)) is not None]
     chosen: list[tuple[int, int, float]] = []
     for _, _, p, s, e in sorted(found):
         end = len(run) if e == body else e
@@ -144,7 +195,7 @@ def random_tokens(run: str) -> list[tuple[int, int, float]]:
     return chosen
 
 
-def find(text: str) -> list[tuple[str, int, int, float | None]]:
+def find(text: str, ordinary: Ordinary = PLAIN) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, p) by start, then kind; positions are code points, p is that of random tokens."""
     spans: list[tuple[int, int, int, float | None]] = []
     data = text.encode()
@@ -159,7 +210,7 @@ def find(text: str) -> list[tuple[str, int, int, float | None]]:
         for m in RUN.finditer(text):
             if any(s < m.end() and m.start() < e for s, e in base):
                 continue
-            spans += [(m.start() + s, 3, m.start() + e, p) for s, e, p in random_tokens(m[0])]
+            spans += [(m.start() + s, 3, m.start() + e, p) for s, e, p in random_tokens(m[0], ordinary)]
     return [(KINDS[k], s, e, p) for s, k, e, p in sorted(spans, key=lambda x: x[:3])]
 
 
@@ -193,8 +244,12 @@ def secret_spans(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     """
     spark = session(docs.sparkSession)
 
+    counts = pair_counts(docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(TEXT))).collect()
+    pairs = spark.sparkContext.broadcast({r["pair"]: r["n"] for r in counts})
+
     def make():
-        return lambda texts: [[[{"kind": k, "start": s, "end": e, "p": p} for k, s, e, p in find(t)] for t in texts]]
+        ordinary = Ordinary(pairs.value)
+        return lambda texts: [[[{"kind": k, "start": s, "end": e, "p": p} for k, s, e, p in find(t, ordinary)] for t in texts]]
 
     found = Scratch(spark, "secrets").write(map_texts(docs, text, docs.columns if keep is None else keep, [("spans", SPANS)], make), "spans")
     tested = found.select(F.explode("spans").alias("s")).filter("s.kind = 'random'").select("s.p")

@@ -69,6 +69,26 @@ def test_random_tokens_beside_names_and_signs():
     assert sum(any(k == "random" for k, *_ in secret_spans.find(g)) for g in groups) >= 30
 
 
+RECALL = [("0123456789abcdef", 24), ("0123456789ABCDEF", 24), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 52), ("abcdefghijklmnopqrstuvwxyz0123456789", 32)]
+
+
+def test_each_encoding_is_found(texts):
+    """Random tokens against a model counted over the small table; its own words in one piece are not found."""
+    rnd = random.Random(12)
+    pairs = Counter()
+    for t in texts.values():
+        for w in (t or "").split():
+            if len(w) < secret_spans.LEAST_TOKEN:
+                for part in secret_spans.SHORT_RUN.findall(w):
+                    pairs.update(map("".join, zip(part, part[1:])))
+    ordinary = secret_spans.Ordinary(pairs)
+    for letters, n in RECALL:
+        ps = [secret_spans.randomness("".join(rnd.choice(letters) for _ in range(n)), ordinary) for _ in range(300)]
+        assert sum(p is not None and p <= 0.001 for p in ps) >= 0.9 * 300, (letters, n)
+    for name in ("InternationalBusinessMachines2", "INTERNATIONALBUSINESSMACHINES2", "internationalbusinessmachines2024", "getHttpResponseCode404FromServer"):
+        assert (secret_spans.randomness(name, ordinary) or 1) > 0.01, name
+
+
 def test_battery_follows_its_level():
     """Uniform sequences are rejected about as often as the level says; sorted and constant ones always."""
     rnd = random.Random(1)
