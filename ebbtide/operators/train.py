@@ -14,9 +14,9 @@ from ..constants import LABEL
 from ..session import cut_lineage
 from . import prep
 
-# Defaults of the boosted trees, and how many trials a search makes. Trees are added until the loss on the
-# validation rows no longer falls by a hundredth of itself, or up to maxIter.
-BOOSTED_DEFAULTS = {"maxDepth": 6, "minInstancesPerNode": 5, "subsamplingRate": 0.8, "stepSize": 0.05, "maxIter": 500}
+# Defaults of the boosted trees, and how many trials a search makes. Trees are added until a
+# tree raises the loss on the validation rows, or up to maxIter; MLlib waits for no further rounds.
+BOOSTED_DEFAULTS = {"maxDepth": 6, "minInstancesPerNode": 5, "subsamplingRate": 0.8, "stepSize": 0.05, "maxIter": 500, "validationTol": 0.0}
 TRIALS = 20
 
 # Hidden layers of the perceptron.

@@ -395,3 +395,21 @@ def test_stdev_matches_statistics(spark):
     assert row["std_session_duration_7d"] == pytest.approx(statistics.stdev(durations))
 
 
+def test_boosting_goes_on_while_the_loss_falls(spark):
+    """Small steps gain less than a hundredth of the loss each; they are gains nevertheless."""
+    import random
+
+    from pyspark.ml.linalg import Vectors
+
+    from ebbtide.constants import LABEL
+    from ebbtide.operators import train
+
+    rnd = random.Random(2)
+    rows = []
+    for i in range(600):
+        x = rnd.random()
+        rows.append((Vectors.dense([x, rnd.random()]), int(rnd.random() < x), "validation" if i % 4 == 0 else "train"))
+    inputs = spark.createDataFrame(rows, ["features", LABEL, "split"])
+    params = {"maxIter": 8, "maxDepth": 2, "stepSize": 0.01}
+    short = train.train_boosted(inputs, **params, validationTol=0.01).getNumTrees
+    assert train.train_boosted(inputs, **params).getNumTrees > short
