@@ -36,6 +36,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session(spark).read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return session(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def unused(df: DataFrame, name: str) -> str:
     """`name`, with underscores in front until no column of `df` is called so."""
     taken = {c.lower() for c in df.columns}
@@ -112,4 +116,4 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
-__all__ = ["BATCH_ROWS", "SPACES", "SPACE_CLASS", "Scratch", "cut_lineage", "documents", "labels", "map_texts", "per_process", "session", "unused"]
+__all__ = ["BATCH_ROWS", "SPACES", "SPACE_CLASS", "Scratch", "cut_lineage", "documents", "embeddings", "labels", "map_texts", "per_process", "session", "unused"]

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decision_list, language, mixing, radix, repeats, secret_spans, simhash, token_counts, toxicity
-from .common import documents, labels
+from . import bpe, decision_list, hard_negatives, language, mixing, radix, repeats, secret_spans, simhash, token_counts, toxicity
+from .common import documents, embeddings, labels
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -99,6 +99,34 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(embeddings(spark, sf_dir), label=label)
+
+
+OP11_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    CAST(coalesce(list_sum(list_transform(list_zip(a.v, r.v), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id <> r.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+WHERE 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+WINDOW best AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER best <= 10
+"""
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -110,5 +138,6 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_bpe": op10_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
 }
-ORACLES = {"op9_exact_dedup": OP9_SQL}
+ORACLES = {"op9_exact_dedup": OP9_SQL, "op11_hard_negatives": OP11_SQL}
