@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decision_list, hard_negatives, language, mixing, radix, repeats, secret_spans, simhash, token_counts, toxicity
+from . import alignment, bpe, byte_pairs, decision_list, hard_negatives, language, mixing, radix, repeats, secret_spans, simhash, token_counts, toxicity
 from .common import documents, embeddings, labels
 
 WORD_FILE, BYTE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json"
+RANK_FILE, PIECE_FILE = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +128,21 @@ QUALIFY row_number() OVER best <= 10
 """
 
 
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(RANK_FILE)
+    decoded = byte_pairs.decode(byte_pairs.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN, keep=["doc_id"]), path)
+    shown = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return decoded.select("doc_id", "n_tokens", F.sha2(shown, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of groups is stored as its digest."""
+    digest = lambda g: F.when(g == "", "").otherwise(F.sha2(g, 256))
+    paths = public_tokenizers.path(BYTE_FILE), public_tokenizers.path(PIECE_FILE)
+    aligned = alignment.align(documents(spark, sf_dir), *paths, keep=["doc_id"], groups=digest)
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -139,5 +155,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_bpe": op10_bpe,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_byte_pairs": op12_byte_pairs,
+    "op13_alignment": op13_alignment,
 }
 ORACLES = {"op9_exact_dedup": OP9_SQL, "op11_hard_negatives": OP11_SQL}
