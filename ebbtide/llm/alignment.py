@@ -14,10 +14,12 @@ import hashlib
 import json
 import os
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +27,7 @@ from pyspark.taskcontext import TaskContext
 from tokenizers import Tokenizer
 
 from .common import Scratch, per_process, session, unused
-from .vocabulary import byte_alphabet
+from .vocabulary import PIECES, byte_alphabet
 
 
 class Pair:
@@ -33,13 +35,10 @@ class Pair:
 
     def __init__(self, first: bytes, second: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.first = Tokenizer.from_str(first.decode())
-        self.first.encode_special_tokens = True
-        self.first.no_truncation()
-        self.first.no_padding()
+        self.first = self._by_ranks(json.loads(first)) or self._by_library(first)
         self.second = sentencepiece.SentencePieceProcessor(model_proto=second)
         value = {c: b for b, c in enumerate(byte_alphabet())}
-        names = {i: s for s, i in self.first.get_vocab(with_added_tokens=False).items()}
+        names = {i: s for s, i in json.loads(first)["model"]["vocab"].items()}
         self.bytes_a = [bytes(value[c] for c in names.get(i, "")) for i in range(max(names) + 1)]
         sp = self.second
         self.bytes_b = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("▁", " ").encode() for i in range(sp.get_piece_size())]
@@ -49,13 +48,34 @@ class Pair:
         # Decimal ids with what follows them: another token of the group, or the end of the side.
         self.shown_a, self.shown_b = (np.array([f"{i}{mark}" for mark in (",", end) for i in range(len(table))], object) for table, end in ((self.bytes_a, "|"), (self.bytes_b, ";")))
 
+    @staticmethod
+    def _by_library(data: bytes):
+        """Ids of a text by the library the file is made for."""
+        library = Tokenizer.from_str(data.decode())
+        library.encode_special_tokens = True
+        library.no_truncation()
+        library.no_padding()
+        return lambda text: library.encode(text, add_special_tokens=False).ids
+
+    @staticmethod
+    def _by_ranks(content: dict):
+        """The same ids, sooner, where the file is plain: pieces by the usual split, merges in the order of the joined ids."""
+        ids, pre = content["model"]["vocab"], content["pre_tokenizer"] or {}
+        joined = [ids[a + b] for a, b in (m if isinstance(m, list) else m.split(" ") for m in content["model"]["merges"])]
+        plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not content["normalizer"]
+        if not plain or any(x >= y for x, y in zip(joined, joined[1:])) or content["model"].get("ignore_merges"):
+            return None
+        value = {c: b for b, c in enumerate(byte_alphabet())}
+        special = {t["id"] for t in content.get("added_tokens", [])}
+        ranks = {bytes(value[c] for c in s): i for s, i in ids.items() if i not in special}
+        return tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
     def encode(self, texts: list[str]) -> tuple[list, list]:
         """Ids of each text by both; none where the joined bytes of either are not a blank and the text."""
         own = [i for i, t in enumerate(texts) if t]
         a, b = [[]] * len(texts), [[]] * len(texts)
-        many = getattr(self.first, "encode_batch_fast", self.first.encode_batch)
-        for i, x, y in zip(own, many([f" {texts[i]}" for i in own], add_special_tokens=False), self.second.encode([texts[i] for i in own], num_threads=1)):
-            ids, raw = x.ids, f" {texts[i]}".encode()
+        for i, y in zip(own, self.second.encode([texts[i] for i in own], num_threads=1)):
+            ids, raw = self.first(f" {texts[i]}"), f" {texts[i]}".encode()
             if b"".join(map(self.bytes_a.__getitem__, ids)) == raw and b"".join(map(self.bytes_b.__getitem__, y)) == raw:
                 a[i], b[i] = ids, y
         return a, b
@@ -107,7 +127,8 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.
         k = np.searchsorted(ends_b, ends_a[i])
         cuts_a.append(i)
         cuts_b.append(k)
-        a, a2, b, b2 = np.concatenate([a, i + 1]), np.concatenate([i + 1, a2]), np.concatenate([b, k + 1]), np.concatenate([k + 1, b2])
+        # Halves side by side: intervals stay in order, which keeps bisecting within reach of the last place.
+        a, a2, b, b2 = (np.stack(x, 1).ravel() for x in ((a, i + 1), (i + 1, a2), (b, k + 1), (k + 1, b2)))
     return np.sort(np.concatenate(cuts_a)), np.sort(np.concatenate(cuts_b))
 
 
@@ -117,7 +138,7 @@ class Aligned:
     def __init__(self, pair: Pair, texts: list[str]):
         a, b = pair.encode(texts)
         self.n_a, self.n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-        ids_a, ids_b = (np.fromiter((i for x in ids for i in x), np.int64, n.sum()) for ids, n in ((a, self.n_a), (b, self.n_b)))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(ids), np.int64, n.sum()) for ids, n in ((a, self.n_a), (b, self.n_b)))
         i, k = shared_cuts(np.cumsum(pair.size_a[ids_a]), np.cumsum(pair.size_b[ids_b]))
         document = np.searchsorted(np.cumsum(self.n_a), i, side="right")
         self.n_groups = np.bincount(document, minlength=len(texts))
