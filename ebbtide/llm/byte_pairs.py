@@ -1,12 +1,12 @@
 """Byte-level BPE by a rank file: Spark higher-order functions fold the ranked merges over the bytes of words.
 
 A word is a string with one character per token. It starts as its bytes (characters U+0000 to U+00FF); folding replaces, again
-and again, all occurrences of the adjacent pair of lowest rank by the character of the joined token, whose code point rises
-with its rank. The rank map is a literal: an array of small maps, found by the pair's checksum. Decoding joins the tokens'
-bytes. No Python runs on the executors.
+and again, the leftmost adjacent pair of lowest rank by the character of the joined token, whose code point rises with its
+rank, and looks up the two pairs that are new; in a long word all occurrences of the pair at once, which comes to the same. The rank map is a literal: an array of small maps, found by the pair's hash.
+Decoding joins the tokens' bytes. No Python runs on the executors.
 
-Words repeat: those that are frequent in the corpus, one per slot of a table of fixed size, are folded once and looked up; all
-others are folded where they stand. Texts never travel.
+Words repeat: the distinct words of a bounded number of texts, the most frequent one per slot of a table of fixed size, are
+folded once and looked up; every other word is folded where it stands, to the same result. Texts never travel.
 """
 
 from __future__ import annotations
@@ -14,18 +14,23 @@ from __future__ import annotations
 import base64
 import json
 import re
-import zlib
 from collections.abc import Callable
 from functools import lru_cache
 
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import session, unused
+from .vocabulary import PIECES
 
-# Maps of the rank table; slots for frequent words, and the most bytes of such a word: both bound what is sent to tasks.
-MAPS, SLOTS, SLOT_BYTES = 1 << 16, 1 << 18, 32
+# Maps of the rank table; slots for frequent words, and the most bytes of such a word: both bound what is sent to tasks. Texts
+# that frequent words are looked for in, chosen by a hash: which words are found changes speed only.
+MAPS, SLOTS, SLOT_BYTES, SAMPLED = 1 << 16, 1 << 18, 32, 20_000
+
+# Pairs from which on all occurrences are replaced at once: looking all pairs up again is then the lesser work.
+LONG = 64
 
 FIRST, SURROGATES, SURROGATE_COUNT = 0x100, 0xD800, 0x800
 
@@ -52,8 +57,7 @@ def read_ranks(path: str) -> dict:
     """Tokens by rank, and the rank map as JSON; bounded by the file.
 
     The file has to hold all single bytes, and each longer token has to be the merge of two tokens that lower ranks lead
-    to: then merges never go back to a lower rank, each token has one pair, and all occurrences of the lowest pair may be
-    replaced at once. Else a ValueError is raised.
+    to: then merges never go back to a lower rank, and each token comes from one pair. Else a ValueError is raised.
     """
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
@@ -69,8 +73,7 @@ def read_ranks(path: str) -> dict:
             if len(parts) != 2:
                 raise ValueError(f"token {rank} is not the merge of two tokens of lower rank")
             pair = symbol[parts[0]] + symbol[parts[1]]
-            # The joined token comes first: the least value is that of the lowest rank.
-            maps[zlib.crc32(pair.encode()) % MAPS][pair] = symbol[token] + pair
+            maps[xxhash.xxh64_intdigest(pair.encode(), seed=42) % MAPS][pair] = symbol[token]
     byte_ranks = [ranks[bytes([b])] for b in range(256)]
     return {"maps": json.dumps(maps), "bytes": json.dumps(byte_ranks), "tokens": json.dumps([tokens[r].decode("latin-1") for r in range(len(tokens))])}
 
@@ -85,33 +88,48 @@ def _literal(text: str, kind: str) -> Column:
 
 
 def merged(word: Column, maps: Column) -> Column:
-    """A word with one character per token, as folding leaves it."""
+    """A word with one character per token, as folding leaves it. The state holds what each adjacent pair would become."""
+    none = F.array().cast("array<string>")
 
     def joined(pair: Column) -> Column:
-        return F.try_element_at(F.element_at(maps, (F.crc32(pair) % MAPS).cast("int") + 1), pair)
+        return F.try_element_at(F.get(maps, F.xxhash64(pair).bitwiseAND(F.lit(MAPS - 1)).cast("int")), pair)
 
-    def lowest(s: Column) -> Column:
-        pairs = lambda c: F.zip_with(c, F.slice(c, 2, F.length(s)), lambda a, b: F.when(b.isNotNull(), joined(F.concat(a, b))))
-        return F.array_min(_let(F.split(s, ""), pairs))
+    def state(s: Column, pairs: Column) -> Column:
+        return F.struct(s.alias("s"), pairs.alias("pairs"))
 
-    def state(s: Column, more: Column) -> Column:
-        return F.struct(s.alias("s"), more.alias("more"))
+    def paired(s: Column) -> Column:
+        return _let(F.split(s, ""), lambda c: F.zip_with(F.slice(c, 1, F.length(s) - 1), F.slice(c, 2, F.length(s)), lambda a, b: joined(F.concat(a, b))))
 
     def step(x: Column, _: Column) -> Column:
-        def replaced(found: Column) -> Column:
-            return F.when(found.isNull(), state(x["s"], F.lit(False))).otherwise(state(F.replace(x["s"], F.substring(found, 2, 2), F.substring(found, 1, 1)), F.lit(True)))
+        s, pairs = x["s"], x["pairs"]
+
+        def replaced(low: Column) -> Column:
+            def at(p: Column) -> Column:
+                left = F.concat(F.slice(pairs, 1, p - 2), F.array(joined(F.concat(F.substring(s, p - 1, 1), low))))
+                right = F.concat(F.array(joined(F.concat(low, F.substring(s, p + 2, 1)))), F.slice(pairs, p + 2, F.size(pairs)))
+                return state(F.overlay(s, low, p, F.lit(2)), F.concat(F.when(p > 1, left).otherwise(none), F.when(p < F.size(pairs), right).otherwise(none)))
+
+            def everywhere(p: Column) -> Column:
+                return _let(F.replace(s, F.substring(s, p, 2), low), lambda t: state(t, F.when(F.length(t) > 1, paired(t)).otherwise(none)))
 
-        return F.when(x["more"], _let(lowest(x["s"]), replaced)).otherwise(x)
+            # Characters rise with ranks: the least is the lowest rank.
+            place = F.array_position(pairs, low).cast("int")
+            return F.when(low.isNull(), state(s, none)).when(F.size(pairs) >= LONG, _let(place, everywhere)).otherwise(_let(place, at))
+
+        return F.when(F.size(pairs) > 0, _let(F.array_min(pairs), replaced)).otherwise(x)
 
     def fold(s: Column) -> Column:
-        return F.when(F.length(s) < 2, s).otherwise(F.aggregate(F.sequence(F.lit(2), F.length(s)), state(s, F.lit(True)), step, lambda x: x["s"]))
+        return F.when(F.length(s) < 2, s).otherwise(F.aggregate(F.sequence(F.lit(2), F.length(s)), state(s, paired(s)), step, lambda x: x["s"]))
 
     return _let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), fold)
 
 
 # Letters, numbers and white space of the newest tables at hand; Java's may be older.
 _CLASSES = {"L": r"\p{L}", "N": r"\p{N}", "s": r"\s"}
-_PATTERNS: dict[tuple, str] = {}
+_PATTERNS: dict[tuple, tuple[str, str, str]] = {}
+
+# The usual split with its frequent alternatives first: the others begin with an apostrophe and cannot match there.
+FREQUENT_FIRST = {PIECES: r""" ?\p{L}+| ?\p{N}+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""}
 
 
 def _ranges(points: list[int]) -> str:
@@ -125,10 +143,11 @@ def _ranges(points: list[int]) -> str:
     return "".join(out)
 
 
-def java_pattern(spark: SparkSession, pattern: str) -> str:
-    """The split pattern for Java's engine, with the classes L, N and white space of this side's Unicode tables.
+def java_pattern(spark: SparkSession, pattern: str) -> tuple[str, str, str]:
+    """The split pattern for Java's engine as it is, the same with the classes L, N and white space of this side's Unicode
+    tables, and the class of the characters that make the difference.
 
-    A small job asks Java for its classes of all code points; those that differ are added or taken away.
+    A small job asks Java for its classes of all code points.
     """
     key = (spark.sparkContext.applicationId, pattern)
     if key in _PATTERNS:
@@ -153,7 +172,7 @@ def java_pattern(spark: SparkSession, pattern: str) -> str:
             raise ValueError(f"characters {less} are in Java's class {short} only")
         inside[short], outside[short] = short + more, f"[{short}[{more}]]" if more else short
     # Newer characters are a class of their own inside; a negated class excludes them before it is asked.
-    newer = "".join(inside[s][len(s) :] for s in _CLASSES.values())
+    newer = "".join(sorted(re.findall(r"\\x\{[0-9A-F]+\}-\\x\{[0-9A-F]+\}", "".join(inside.values())), key=lambda r: int(r[3 : r.index("}")], 16)))
 
     def translate(m: re.Match) -> str:
         part = m[0]
@@ -163,23 +182,36 @@ def java_pattern(spark: SparkSession, pattern: str) -> str:
             return f"[^{inside[chr(92) + 's']}]"
         return outside.get(part, part)
 
-    _PATTERNS[key] = "(?U)" + re.sub(r"\[[^\]]*\]|\\p\{[LN]\}|\\[sS]", translate, pattern)
+    ordered = FREQUENT_FIRST.get(pattern, pattern)
+    _PATTERNS[key] = "(?U)" + ordered, "(?U)" + re.sub(r"\[[^\]]*\]|\\p\{[LN]\}|\\[sS]", translate, ordered), newer
     return _PATTERNS[key]
 
 
-def _pieces(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
+def _pieces(text: Column, patterns: tuple[str, str, str]) -> Column:
+    """All matches; the longer pattern is asked only for texts that hold a character newer than Java's tables."""
+    usual, extended, newer = patterns
+    text = F.coalesce(text, F.lit(""))
+    found = F.regexp_extract_all(text, F.lit(usual), F.lit(0))
+    if not newer:
+        return found
+    first = newer[: newer.index("-")]
+    return F.when(text.rlike(f"[{first}-\\x{{10FFFF}}]") & text.rlike(f"[{newer}]"), F.regexp_extract_all(text, F.lit(extended), F.lit(0))).otherwise(found)
 
 
 def _slot(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
 
 
-def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict) -> tuple[str, str]:
-    """The most frequent word of each slot over all rows, and its folded form; as JSON arrays with nulls."""
-    words = docs.select(F.explode(_pieces(F.col(f"`{text}`"), pattern)).alias("word")).filter(F.octet_length("word") <= SLOT_BYTES)
+def frequent_words(docs: DataFrame, text: str, patterns: tuple[str, str, str], ranks: dict) -> tuple[str, str]:
+    """The most frequent word of each slot in a bounded number of texts, and its folded form; as JSON arrays with nulls."""
+    texts = docs.select(F.col(f"`{text}`").alias("text")).filter(F.col("text") != "")
+    share = min(1.0, SAMPLED / max(1, texts.count()))
+    chosen = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else texts
+    words = chosen.select(F.explode(_pieces(F.col("text"), patterns)).alias("word")).filter(F.octet_length("word") <= SLOT_BYTES)
     counted = words.groupBy("word").agg(F.count("*").alias("n"))
     best = counted.groupBy(_slot(F.col("word")).alias("slot")).agg(F.max_by("word", F.struct("n", "word")).alias("word"))
+    # A fold is dear for its bytes: as many tasks as any shuffle has.
+    best = best.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "slot")
     folded = best.select("slot", "word", _let(_literal(ranks["maps"], "array<map<string,string>>"), lambda m: merged(F.col("word"), m)).alias("code"))
     found = folded.toArrow()  # at most SLOTS rows of SLOT_BYTES bytes
     keys: list = [None] * SLOTS
@@ -197,8 +229,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
     row; input columns named `ids` or `n_tokens` are replaced. An empty table gives no rows.
     """
     spark = session(docs.sparkSession)
-    ranks, pattern = read_ranks(ranks_path), java_pattern(spark, pattern)
-    keys, codes = frequent_words(docs, text, pattern, ranks)
+    ranks, patterns = read_ranks(ranks_path), java_pattern(spark, pattern)
+    keys, codes = frequent_words(docs, text, patterns, ranks)
 
     def word_code(maps: Column, keys: Column, codes: Column) -> Callable[[Column], Column]:
         def one(word: Column) -> Column:
@@ -208,7 +240,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
 
     code, kept = unused(docs, "__code"), [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "n_tokens")]
     tables = [_literal(ranks["maps"], "array<map<string,string>>"), _literal(keys, "array<string>"), _literal(codes, "array<string>")]
-    whole = _pieces(F.col(f"`{text}`"), pattern)
+    whole = _pieces(F.col(f"`{text}`"), patterns)
     joined = _let(tables[0], lambda m: _let(tables[1], lambda k: _let(tables[2], lambda c: F.array_join(F.transform(whole, word_code(m, k, c)), ""))))
     folded = docs.select(*[F.col(f"`{c}`") for c in kept], joined.alias(code))
 
