@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import TEXT, Scratch, map_texts, session
+from .common import TEXT, Scratch, map_texts, only_used, session
 
 # Labelled rows that weights are learned from at most, of each class, chosen by a hash of their key; most weights.
 FIT_ROWS, MOST_WEIGHTS = 20_000, 50_000
@@ -32,7 +32,8 @@ TRIED_SHARE, TRIED_ROWS, LEAST_WEIGHT, CONFIDENCE = 0.003, 5, 2.0, 1.65
 START = -4.0
 BEGINNINGS = (4, 5, 6, 7)
 BUCKETS = 1 << 18
-REMEMBERED_WORDS = 300_000
+# Words of up to so many characters are remembered, up to so many per task: changes speed only.
+REMEMBERED_CHARS, REMEMBERED_WORDS = 64, 100_000
 
 # Letters that a sign may stand for.
 RESEMBLES = {
@@ -52,11 +53,23 @@ LETTERLIKE = set("@$")
 # Log costs of the channel: reading a sign as a letter, dropping a mark, dropping a repetition (a
 # character that is there just twice is rarely one too many).
 AS_LETTER, DROP_MARK, DROP_REPEAT, DROP_DOUBLE = -1.0, -0.5, -0.5, -4.0
-BEAM = 24
+
+
+# Odd multipliers of the gram hash, and the 64 bits it lives in.
+MULTIPLIERS, FINISH, WORD_BITS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9), 0xD6E8FEB86659FD93, (1 << 64) - 1
 
 
 def bucket(gram: str) -> int:
-    return zlib.crc32(gram.encode()) % BUCKETS
+    """Of two or three characters; `buckets` gives the same for many at once."""
+    h = sum(ord(c) * m for c, m in zip(gram, MULTIPLIERS)) & WORD_BITS
+    return ((h ^ h >> 32) * FINISH & WORD_BITS) >> 46
+
+
+def buckets(points: np.ndarray, size: int) -> np.ndarray:
+    """Of all runs of `size` code points."""
+    n = len(points) - size + 1
+    h = sum(points[i : n + i] * np.uint64(MULTIPLIERS[i]) for i in range(size))
+    return ((h ^ (h >> np.uint64(32))) * np.uint64(FINISH)) >> np.uint64(46)
 
 
 class Letters:
@@ -120,8 +133,7 @@ def restore(word: str, model: Letters) -> str:
                     step[b, letter] = value, (path, letter)
             if dropped is not None and score + dropped > step.get((a, b), (-1e300,))[0]:
                 step[a, b] = score + dropped, path
-        if len(step) > BEAM:
-            step = dict(sorted(step.items(), key=lambda x: -x[1][0])[:BEAM])
+        # States are pairs of characters that signs here may stand for: the alphabet bounds them, none is dropped.
         paths, previous = step, c
     path = max(((score + (model.log(a, b, ">") if b != "<" or " " not in word else 0.0), path) for (a, b), (score, path) in paths.items()), key=lambda x: x[0])[1]
     found = []
@@ -167,15 +179,23 @@ def letter_counts(texts: DataFrame) -> DataFrame:
     """(kind, bucket, n) of trigrams and of their first two characters over all words of column __text."""
 
     def run(batches):
-        sums = np.zeros((2, BUCKETS), np.int64)
+        with only_used():
+            sums = np.zeros((2, BUCKETS), np.int64)
         words: Counter = Counter()
 
         def settle():
-            for word, n in words.items():
-                framed = f"<<{word}>"
-                for i in range(len(framed) - 2):
-                    sums[0, bucket(framed[i : i + 3])] += n
-                    sums[1, bucket(framed[i : i + 2])] += n
+            if not words:
+                return
+            points = np.frombuffer("".join(f"<<{w}>" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+            sizes = np.fromiter(map(len, words), np.int64, len(words)) + 3
+            # Grams that begin at the last two characters of a word would reach into the next.
+            begins = np.ones(len(points), bool)
+            ends = np.cumsum(sizes)
+            begins[ends - 1] = begins[ends - 2] = False
+            times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)[begins]
+            for kind, size in ((0, 3), (1, 2)):
+                hashed = np.append(buckets(points, size), np.zeros(size - 1, np.uint64))[begins]
+                sums[kind] += np.bincount(hashed.astype(np.int64), weights=times, minlength=BUCKETS).astype(np.int64)
             words.clear()
 
         for batch in batches:
@@ -217,7 +237,8 @@ def feature_rows(texts: DataFrame, letters, tried=None) -> DataFrame:
     """(feature, n): documents of column __text with each feature, or with each of the `tried` features."""
 
     def run(batches):
-        model = Letters(*letters.value)
+        with only_used():
+            model = Letters(*letters.value)
         wanted = None if tried is None else tried.value
         sums: Counter = Counter()
         cache: dict[str, list[str]] = {}
@@ -232,9 +253,10 @@ def feature_rows(texts: DataFrame, letters, tried=None) -> DataFrame:
                     found = cache.get(word)
                     if found is None:
                         found = [f for w in restored_words(word, model) for f in features(w) if wanted is None or f in wanted]
-                        if len(cache) > REMEMBERED_WORDS:
-                            cache.clear()
-                        cache[word] = found
+                        if len(word) <= REMEMBERED_CHARS:
+                            if len(cache) >= REMEMBERED_WORDS:
+                                cache.clear()
+                            cache[word] = found
                     own.update(found)
                 sums.update(own)
             if len(sums) > 500_000:
@@ -279,9 +301,10 @@ class Scorer:
                 weight = max((self.weights[f] for f in features(restored) if f in self.weights), default=0.0)
                 if weight:
                     found.append((restored, weight))
-            if len(self.cache) > REMEMBERED_WORDS:
-                self.cache.clear()
-            self.cache[raw] = found
+            if len(raw) <= REMEMBERED_CHARS:
+                if len(self.cache) >= REMEMBERED_WORDS:
+                    self.cache.clear()
+                self.cache[raw] = found
         return found
 
     def score(self, text: str) -> tuple[float, list[str]]:
