@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.taskcontext import TaskContext
 from tokenizers import Tokenizer
 
-from .common import Scratch, per_process, session, unused
+from .common import Scratch, only_used, per_process, session, unused
 from .vocabulary import PIECES, byte_alphabet
 
 
@@ -196,7 +196,8 @@ def align(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = per_process(("alignment", digest), lambda: Pair(*shared.value))
+        with only_used():
+            pair = per_process(("alignment", digest), lambda: Pair(*shared.value))
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
             n = batch.num_rows

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,8 @@ from ebbtide.session import cut_lineage, prepare, scratch_dir
 SPACES = " \t\n\x0b\f\r"
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
 
-# Rows per Arrow batch: a batch of long texts must fit into a task's share of memory.
-BATCH_ROWS = 512
+# Rows and bytes per Arrow batch: a batch of long texts must fit into a task's share of memory.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
 TEXT = "__text"
 
@@ -25,6 +26,7 @@ def session(spark: SparkSession) -> SparkSession:
     """Options that the operators of this folder rely on."""
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
@@ -73,7 +75,8 @@ def map_texts(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
+        with only_used():
+            work = make()
         for batch in batches:
             columns = work([empty if t is None else t for t in batch.column(at).to_pylist()])
             arrays = [batch.column(i).cast(arrow.field(i).type) for i in range(len(kept))]
@@ -84,10 +87,12 @@ def map_texts(
 
 
 _KEPT: dict = {}
+_USED: set = set()
 
 
 def per_process(key: tuple, build: Callable):
     """What `build` makes, once per worker process: later tasks of the process find what earlier ones learned."""
+    _USED.add(key)
     if key not in _KEPT:
         for other in [k for k in _KEPT if k[0] == key[0]]:
             del _KEPT[other]
@@ -95,6 +100,15 @@ def per_process(key: tuple, build: Callable):
     return _KEPT[key]
 
 
+@contextmanager
+def only_used() -> Iterator[None]:
+    """Whatever the process keeps that is not asked for inside is let go: the tables of one operator are held at a time."""
+    _USED.clear()
+    yield
+    for key in [k for k in _KEPT if k not in _USED]:
+        del _KEPT[key]
+
+
 class Scratch:
     """Tables of one run in the shared folder; `drop` removes those that are no longer read."""
 
@@ -116,4 +130,4 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
-__all__ = ["BATCH_ROWS", "SPACES", "SPACE_CLASS", "Scratch", "cut_lineage", "documents", "embeddings", "labels", "map_texts", "per_process", "session", "unused"]
+__all__ = ["BATCH_ROWS", "SPACES", "SPACE_CLASS", "Scratch", "cut_lineage", "documents", "embeddings", "labels", "map_texts", "only_used", "per_process", "session", "unused"]

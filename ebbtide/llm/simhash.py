@@ -169,9 +169,10 @@ def near_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     spark = session(docs.sparkSession)
     tables = Scratch(spark, "simhash")
     row, fp = unused(docs, "row"), unused(docs, "fp")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    whole = tables.write(fingerprints(numbered, text, out=fp), "documents")
-    prints = whole.select(F.col(f"`{fp}`").alias("fp"), F.struct(F.col(f"`{key}`").isNull().alias("a"), F.col(f"`{key}`").alias("b"), F.col(f"`{row}`").alias("c")).alias("at"))
+    whole = tables.write(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    # Only numbers come back from Python; other columns stay where they are.
+    printed = tables.write(fingerprints(whole, text, keep=[key, row], out=fp), "prints")
+    prints = printed.select(F.col(f"`{fp}`").alias("fp"), F.struct(F.col(f"`{key}`").isNull().alias("a"), F.col(f"`{key}`").alias("b"), F.col(f"`{row}`").alias("c")).alias("at"))
     labels = components_of_prints(prints, tables)
     best = prints.groupBy("fp").agg(F.min("at").alias("at")).join(labels, "fp").groupBy("label").agg(F.min("at").alias("at"))
     staying = tables.write(best.select(F.col("at.c").alias(row)), "staying")
