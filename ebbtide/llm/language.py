@@ -8,13 +8,13 @@ likelihood less a penalty per language. Documents of a batch are estimated side
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +27,8 @@ ROUNDS, SHARE, PENALTY = 12, 0.01, 3.0
 # Words that a process remembers: their likelihoods take so many bytes at most.
 REMEMBERED_BYTES = 32 << 20
 MOST_LANGUAGES = 1024
-WORD = re.compile(r"[^\W\d_]+")
+# Letters of any script; number signs are none.
+WORD = regex.compile(r"\p{L}+")
 UNKNOWN = "und"
 
 

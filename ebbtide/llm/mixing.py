@@ -94,7 +94,7 @@ def mix(rows: DataFrame, tables: Scratch, weights=WEIGHTS, most: int = MOST_COPI
     units = planned.filter(f"p >= {NEAR} AND size > 0").select("source", "size", F.xxhash64("key", "size", F.lit(SEED)).alias("h"), "row", "p")
 
     # Documents of a source in order of size, cut into blocks; later levels put neighbouring blocks together.
-    placed = running(tables.write(units, "units"), ["source"], [F.col(c) for c in ("size", "h", "row")], {"place": ("sum", F.lit(1))}, stored=True)
+    placed = running(tables.write(units, "units"), ["source"], [F.col(c) for c in ("size", "h", "row")], {"place": ("sum", F.lit(1))})
     units = placed.withColumn("block", F.expr(f"(place - 1) div {BLOCK}")).drop("place")
     picked, level = [], 0
     while True:

@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import session
+from ..functions.running import running
+from .common import Scratch, session
 from .induced_sort import suffix_order
 
 LENGTH, GRAM = 50, 16
@@ -464,13 +465,16 @@ def remove_repeats(
     """One row per input row: `key`, n_bytes, spans of removed bytes (start, end), kept (the rest, as bytes).
 
     Texts are UTF-8 bytes; a null text is empty. A byte is removed if a string of `length` bytes that covers it also begins
-    in a document with a smaller key. Documents with the same key, repeated rows included, take nothing from each other;
+    in a document with a smaller key. Keys may be of any type that has an order: those that are no whole numbers are
+    replaced by their places, which costs a join of the texts. Documents with the same key, repeated rows included, take nothing from each other;
     null keys come last. A text shorter than `length` stays as it is; an empty table gives no rows. Other columns are not
     read. `crowded_from` and `shard_bytes` (documents of a gram, memory of a shard) change the way, not the result. What is kept need not be valid UTF-8, since strings begin and end anywhere.
     """
     spark = session(docs.sparkSession)
     if not 33 <= length <= 255:
         raise ValueError("strings of 33 to 255 bytes are supported")
+    if not isinstance(docs.schema[key].dataType, T.IntegralType):
+        return _by_place(docs, text, key, length, crowded_from, shard_bytes)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
     number = F.pmod(F.xxhash64(F.col(f"`{key}`"), body), F.lit(parts * CHUNKS_PER_PARTITION)).cast("int")
@@ -485,3 +489,13 @@ def remove_repeats(
 
     cut = base.groupBy("chunk").cogroup(runs.groupBy("chunk")).applyInArrow(_cut(length, to_arrow_schema(schema)), schema)
     return cut.withColumnRenamed("key", key)
+
+
+def _by_place(docs: DataFrame, text: str, key: str, length: int, crowded_from: int, shard_bytes: int) -> DataFrame:
+    """The same by the places of the distinct keys in their order."""
+    given = docs.select(F.col(f"`{key}`").alias("__given"), F.col(f"`{text}`").alias("text"))
+    distinct = given.select("__given").filter(F.col("__given").isNotNull()).distinct()
+    places = Scratch(docs.sparkSession, "repeats").write(running(distinct, [], [F.col("__given")], {"place": ("sum", F.lit(1))}), "places")
+    placed = given.join(places, "__given", "left").select(F.col("place").cast("long").alias("place"), "text")
+    cut = remove_repeats(placed, "text", "place", length, crowded_from, shard_bytes)
+    return cut.join(places, "place", "left").select(F.col("__given").alias(key), "n_bytes", "spans", "kept")

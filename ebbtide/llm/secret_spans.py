@@ -207,10 +207,19 @@ def find(text: str, ordinary: Ordinary = PLAIN) -> list[tuple[str, int, int, flo
     spans += [(m.start(), 2, m.end(), None) for m in HEX.finditer(text)]
     if any(len(w) >= LEAST_TOKEN and not w.isalpha() for w in text.split()):
         base = sorted((s, e) for s, _, e, _ in spans)
+        at = 0
         for m in RUN.finditer(text):
-            if any(s < m.end() and m.start() < e for s, e in base):
-                continue
-            spans += [(m.start() + s, 3, m.start() + e, p) for s, e, p in random_tokens(m[0], ordinary)]
+            # What a pattern's match leaves of a run is tested by itself.
+            begin = m.start()
+            while at < len(base) and base[at][0] < m.end():
+                if base[at][1] > begin:
+                    spans += [(begin + s, 3, begin + e, p) for s, e, p in random_tokens(text[begin : max(begin, base[at][0])], ordinary)]
+                    begin = base[at][1]
+                if base[at][1] >= m.end():
+                    break  # it may reach into the next run
+                at += 1
+            if begin < m.end():
+                spans += [(begin + s, 3, begin + e, p) for s, e, p in random_tokens(text[begin : m.end()], ordinary)]
     return [(KINDS[k], s, e, p) for s, k, e, p in sorted(spans, key=lambda x: x[:3])]
 
 
@@ -237,8 +246,8 @@ SPANS = T.ArrayType(
 def secret_spans(docs: DataFrame, text: str = "text", keep: list[str] | None = None, rate: float = RATE) -> DataFrame:
     """Columns `keep` (all by default) and `spans`: array of (kind, start, end, p) by start, then kind.
 
-    Kinds are assign, access and hex by pattern, and random by test; p is the p-value of random tokens, else null. Random
-    tokens that overlap a pattern's match are left to it. Positions are code points of the whole text, the end exclusive.
+    Kinds are assign, access and hex by pattern, and random by test; p is the p-value of random tokens, else null. What a
+    pattern matches is left to it, the rest of a run of characters before and after it is tested. Positions are code points of the whole text, the end exclusive.
     A null or empty text has no spans; repeated rows each give a row and each count as tests; an input column `spans` is
     replaced; an empty table gives no rows.
     """

@@ -80,11 +80,15 @@ class WordCounts(dict):
         return count
 
 
+# Capital letters that are newer than Python's tables, with their small ones.
+NEWER_CAPITALS = {0xA7CB: 0x0264, 0xA7DC: 0x019B}
+
+
 def normalised(text: str) -> str:
     """Composed form in lower case, each character by itself (so a final sigma is not special)."""
     if text.isascii():
         return text.lower()
-    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").translate(NEWER_CAPITALS).lower()
 
 
 class TextCounter:
