@@ -7,7 +7,9 @@ over about a third of the bins, whatever the type or shape of its values. The wi
 Where the cuts fall affects speed only, never the result. The number of bins is the session's
 number of shuffle partitions, which is sized with the cluster.
 
-The cut rows are written to the shared folder once, since both windows read them.
+The cut rows are written to the shared folder once, since both windows read them and have to see the
+same cuts. Nothing else is written: finding the cuts samples the input, which for a shuffled input
+reads its shuffle files again.
 """
 
 from __future__ import annotations
@@ -27,13 +29,8 @@ _COMBINE = {
 }
 
 
-def binned(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bins: int | None = None, stored: bool = False) -> DataFrame:
-    """`df` cut along (keys, order), with the number of the cut in `_bin`, and stored.
-
-    Finding the cuts reads the input once more, so it is written first unless the caller says that
-    it is a stored table already.
-    """
-    df = df if stored else cut_lineage(df, "running")
+def binned(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bins: int | None = None) -> DataFrame:
+    """`df` cut along (keys, order), with the number of the cut in `_bin`, and stored."""
     bins = bins or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(bins, *[F.col(k) for k in keys], *order)
     return cut_lineage(ranged.withColumn("_bin", F.spark_partition_id()), "bins")
@@ -46,22 +43,25 @@ def running(
     totals: Mapping[str, tuple[str, Column]],
     inclusive: bool = True,
     bins: int | None = None,
-    stored: bool = False,
+    whole: Mapping[str, str] = {},
 ) -> DataFrame:
     """Add `totals` = {name: (sum|max|min, column)} accumulated along `order` inside `keys`.
 
-    Rows with equal order values are peers only if the caller made them one row; give a total order.
+    `whole` = {name: name of a total} adds the total over all rows of the key. Rows with equal order values are peers only
+    if the caller made them one row; give a total order.
     """
     upto = W.currentRow if inclusive else -1
-    cut = binned(df, keys, order, bins, stored)
+    cut = binned(df, keys, order, bins)
     group = [*keys, "_bin"]
     per_bin = cut.groupBy(*group).agg(
         *[_AGGREGATE[how](col).alias(f"_b_{name}") for name, (how, col) in totals.items()]
     )
     # At most `bins` rows per key, whatever the size of the input.
     across = W.partitionBy(*(keys or [F.lit(0)])).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
+    everything = W.partitionBy(*(keys or [F.lit(0)]))
     before = per_bin.select(
-        *group, *[_AGGREGATE[how](f"_b_{name}").over(across).alias(f"_b_{name}") for name, (how, _) in totals.items()]
+        *group, *[_AGGREGATE[how](f"_b_{name}").over(across).alias(f"_b_{name}") for name, (how, _) in totals.items()],
+        *[_AGGREGATE[totals[name][0]](f"_b_{name}").over(everything).alias(f"_w_{new}") for new, name in whole.items()],
     )
     inside = W.partitionBy(*group).orderBy(*order).rowsBetween(W.unboundedPreceding, upto)
     local = cut.select(
@@ -72,6 +72,7 @@ def running(
     return joined.select(
         *[F.col(f"l.{c}") for c in df.columns],
         *[_COMBINE[how](F.col(f"_l_{name}"), F.col(f"_b_{name}")).alias(name) for name, (how, _) in totals.items()],
+        *[F.col(f"_w_{new}").alias(new) for new in whole],
     )
 
 
@@ -93,15 +94,7 @@ def exact_percentiles(
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    counts = cut_lineage(counts, "value-counts")
-    upto = {"_upto": ("sum", F.col("_n"))}
-    ranked = running(counts, keys, [F.col("_v")], upto, bins=bins, stored=True)
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    if keys:
-        same = reduce(lambda a, b: a & b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
-        ranked = ranked.alias("a").join(sizes.alias("b"), same).select("a.*", "b._size")
-    else:
-        ranked = ranked.withColumn("_size", sizes.scalar())
+    ranked = running(counts, keys, [F.col("_v")], {"_upto": ("sum", F.col("_n"))}, bins=bins, whole={"_size": "_upto"})
 
     def at(rank: Column) -> Column:
         """The value at a zero-based rank."""

@@ -89,13 +89,18 @@ def rule_table(spark, rules: Sequence[tuple[str, str, str, float, int, int, str]
     )
 
 
-def evaluate_alerts(metrics: DataFrame, rules: DataFrame) -> DataFrame:
-    """Metric samples (metric, series, ts, value) against rules: one row per rule and sample, with `firing`."""
+def rule_met() -> Column:
+    """Whether columns value, op and threshold of a sample with its rule hold; NULL without a value or a known op."""
     met = None
     for op, compare in _COMPARE.items():
         branch = compare(F.col("value"), F.col("threshold"))
         met = F.when(F.col("op") == op, branch) if met is None else met.when(F.col("op") == op, branch)
-    judged = metrics.join(rules, "metric").withColumn("_met", met)
+    return met
+
+
+def evaluate_alerts(metrics: DataFrame, rules: DataFrame) -> DataFrame:
+    """Metric samples (metric, series, ts, value) against rules: one row per rule and sample, with `firing`."""
+    judged = metrics.join(rules, "metric").withColumn("_met", rule_met())
     fired = sustained(judged, ["alert", "series"], "ts", F.col("_met"), F.col("for_s"), F.col("step_s"))
     return fired.select("alert", "severity", "series", "ts", "value", F.coalesce("_met", F.lit(False)).alias("met"), "firing")
 

@@ -10,6 +10,7 @@ from ..constants import (
     CRITICAL_WEIGHT, DISTRIBUTION_WEIGHT, DRIFT_STEP, RETRAIN_SCORE, RETRAIN_VIOLATIONS,
 )
 from ..functions.running import running
+from ..functions.special import chi_squared_p_value
 from ..session import cut_lineage
 from .profile import category_counts, value_counts
 
@@ -60,16 +61,13 @@ def ks_two_sample(base: DataFrame, live: DataFrame, features: Sequence[str], alp
 
 def ks_of_counts(base: DataFrame, live: DataFrame, alpha: float = 0.05) -> DataFrame:
     """The same from (feature, value, n) of both sides, such as a stored baseline's."""
-    counts = cut_lineage(_two_counts(base, live, ["feature", "value"]), "value-counts")
     upto = running(
-        counts, ["feature"], [F.col("value")],
-        {"c_base": ("sum", F.col("n_base")), "c_live": ("sum", F.col("n_live"))}, stored=True,
+        _two_counts(base, live, ["feature", "value"]), ["feature"], [F.col("value")],
+        {"c_base": ("sum", F.col("n_base")), "c_live": ("sum", F.col("n_live"))}, whole={"t_base": "c_base", "t_live": "c_live"},
     )
-    # Shares need the totals, which are the largest running counts; distances are taken after that.
-    totals = counts.groupBy("feature").agg(F.sum("n_base").alias("t_base"), F.sum("n_live").alias("t_live"))
     gap = F.abs(F.col("c_base") / F.col("t_base") - F.col("c_live") / F.col("t_live"))
     both = (F.col("t_base") > 0) & (F.col("t_live") > 0)
-    found = upto.join(totals, "feature").where(both).groupBy("feature").agg(
+    found = upto.where(both).groupBy("feature").agg(
         F.max(gap).alias("statistic"), F.max("t_base").alias("n_base"), F.max("t_live").alias("n_live")
     )
     p = ks_p_value(F.col("statistic"), F.col("n_base").cast("double"), F.col("n_live").cast("double"))
@@ -77,7 +75,7 @@ def ks_of_counts(base: DataFrame, live: DataFrame, alpha: float = 0.05) -> DataF
 
 
 def chi_squared(base: DataFrame, live: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Chi-squared homogeneity statistic of categories between baseline and live, with degrees of freedom."""
+    """Chi-squared homogeneity statistic of categories between baseline and live, with degrees of freedom and p-value (NULL at 0)."""
     return chi_squared_of_counts(category_counts(base, features), category_counts(live, features))
 
 
@@ -95,17 +93,8 @@ def chi_squared_of_counts(base: DataFrame, live: DataFrame) -> DataFrame:
         return F.try_divide((F.col(observed) - expected) * (F.col(observed) - expected), expected)
 
     parts = F.coalesce(term("n_base", "t_base"), F.lit(0.0)) + F.coalesce(term("n_live", "t_live"), F.lit(0.0))
-    return counts.join(totals, "feature").groupBy("feature", "degrees").agg(F.sum(parts).alias("statistic"))
-
-
-# One-sided normal quantiles by level, for the critical values below.
-NORMAL_QUANTILE = {0.10: 1.2815515655446004, 0.05: 1.6448536269514722, 0.01: 2.3263478740408408, 0.001: 3.090232306167813}
-
-
-def chi_squared_critical(degrees: Column, alpha: float = 0.05) -> Column:
-    """Critical value of the chi-squared distribution: its cube root is nearly normal (Wilson and Hilferty)."""
-    spread = F.lit(2.0) / (9.0 * degrees)
-    return degrees * F.pow(1.0 - spread + NORMAL_QUANTILE[alpha] * F.sqrt(spread), F.lit(3.0))
+    found = counts.join(totals, "feature").groupBy("feature", "degrees").agg(F.sum(parts).alias("statistic"))
+    return found.withColumn("p_value", chi_squared_p_value(F.col("statistic"), F.col("degrees")))
 
 
 def distribution_violations(
@@ -118,9 +107,8 @@ def distribution_violations(
     than `share_tolerance` of its share in the baseline. A feature that one side lacks is a matter of the constraints.
     """
     numbers = ks_of_counts(base_values, live_values, alpha).where("drifted").select("feature", F.lit("numeric_distribution_check").alias("rule"))
-    tested = chi_squared_of_counts(base_categories, live_categories).where(F.col("degrees") > 0)
-    texts = tested.where(F.col("statistic") > chi_squared_critical(F.col("degrees"), alpha)).select(
-        "feature", F.lit("categorical_distribution_check").alias("rule"))
+    tested = chi_squared_of_counts(base_categories, live_categories)
+    texts = tested.where(F.col("p_value") < alpha).select("feature", F.lit("categorical_distribution_check").alias("rule"))
     counts = _two_counts(base_categories, live_categories, ["feature", "category"])
     totals = counts.groupBy("feature").agg(F.sum("n_base").alias("t_base"), F.sum("n_live").alias("t_live"))
     joined = counts.join(totals, "feature").where((F.col("t_base") > 0) & (F.col("t_live") > 0))

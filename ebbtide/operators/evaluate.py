@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..constants import QUALITY_GATES
 from ..functions.running import running
 from ..functions.scalars import ratio_or_zero
-from ..session import cut_lineage
 
 FIRST_CENT, LAST_CENT = 10, 89
 
@@ -50,17 +49,15 @@ def binary_metrics(predicted: DataFrame) -> DataFrame:
 
 
 def _per_score(scored: DataFrame, probability: str) -> DataFrame:
-    """Positives and negatives per distinct score, combined before the shuffle and stored for several readers."""
-    counts = scored.groupBy(F.col(probability).cast("double").alias("score")).agg(
+    """Positives and negatives per distinct score, combined before the shuffle."""
+    return scored.groupBy(F.col(probability).cast("double").alias("score")).agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
-    return cut_lineage(counts, "score-counts")
-
 
 def roc_auc(scored: DataFrame, probability: str = "probability") -> DataFrame:
     """Probability that a positive outranks a negative, ties counting half; NULL with one class only."""
     counts = _per_score(scored, probability)
-    upto = running(counts, [], [F.col("score")], {"neg_upto": ("sum", F.col("neg"))}, stored=True)
+    upto = running(counts, [], [F.col("score")], {"neg_upto": ("sum", F.col("neg"))})
     wins = F.col("pos").cast("double") * (F.col("neg_upto") - F.col("neg") + F.col("neg") / 2)
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return upto.agg(F.try_divide(F.sum(wins), pairs).alias("auc"))
@@ -69,14 +66,12 @@ def roc_auc(scored: DataFrame, probability: str = "probability") -> DataFrame:
 def curve_points(scored: DataFrame, probability: str = "probability") -> DataFrame:
     """ROC and precision-recall coordinates at every distinct score used as threshold."""
     counts = _per_score(scored, probability)
-    upto = running(
-        counts, [], [F.col("score").desc()], {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}, stored=True
-    )
-    totals = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
+    sums = {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}
+    upto = running(counts, [], [F.col("score").desc()], sums, whole={"p": "tp", "n": "fp"})
     return upto.select(
         F.col("score").alias("threshold"),
-        F.try_divide(F.col("tp"), totals.getField("p")).alias("tpr"),
-        F.try_divide(F.col("fp"), totals.getField("n")).alias("fpr"),
+        F.try_divide(F.col("tp"), F.col("p")).alias("tpr"),
+        F.try_divide(F.col("fp"), F.col("n")).alias("fpr"),
         F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
     )
 

@@ -68,17 +68,13 @@ def stratified_split(
     label, and whole rows are compared with it where they are. Rows with the same label and key
     fall on the same side of a cut.
     """
-    narrow = cut_lineage(df.select(F.col(label).alias("_label"), split_hash(F.col(key), seed).alias("_hash"), F.col(key).alias("_key")), "hashed")
-    placed = running(narrow, ["_label"], [F.col("_hash"), F.col("_key")], {"_place": ("sum", F.lit(1))}, stored=True)
-    sizes = narrow.groupBy(F.col("_label").alias("_of")).agg(F.count(F.lit(1)).alias("_size"))
+    narrow = df.select(F.col(label).alias("_of"), split_hash(F.col(key), seed).alias("_hash"), F.col(key).alias("_key"))
+    placed = running(narrow, ["_of"], [F.col("_hash"), F.col("_key")], {"_place": ("sum", F.lit(1))}, whole={"_size": "_place"})
     n_test = F.floor(F.col("_size") * F.lit(test) + 0.5)
     n_val = F.floor(F.col("_size") * F.lit(val) + 0.5)
     at = F.struct("_hash", "_key")
-    cuts = cut_lineage(
-        placed.join(sizes, F.col("_label").eqNullSafe(F.col("_of"))).groupBy("_of").agg(
-            F.max(F.when(F.col("_place") <= n_test, at)).alias("_test"), F.max(F.when(F.col("_place") <= n_test + n_val, at)).alias("_val")
-        ),
-        "cuts",
+    cuts = placed.groupBy("_of").agg(
+        F.max(F.when(F.col("_place") <= n_test, at)).alias("_test"), F.max(F.when(F.col("_place") <= n_test + n_val, at)).alias("_val")
     )
     row = F.struct(split_hash(F.col(key), seed).alias("_hash"), F.col(key).alias("_key"))
     split = F.when(row <= F.col("_test"), "test").when(row <= F.col("_val"), "validation").otherwise("train")

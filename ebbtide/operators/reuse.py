@@ -62,7 +62,7 @@ def to_store(scored: DataFrame, scored_at: Column) -> DataFrame:
 
 
 def write_store(scored: DataFrame, path: str, scored_at: Column, run: str) -> None:
-    """Add what was scored now by date and run; a repeated run replaces its own rows."""
+    """Add what was scored now by date; a repeated run replaces its own rows."""
     append_predictions(to_store(scored, scored_at), path, run)
 
 

@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame, functions as F
 from ..constants import LABEL
 from ..session import cut_lineage
 from . import prep
+from .boosting import MOST_TREES, PATIENCE, Fitted, fit_with_patience
 
-# Defaults of the boosted trees, and how many trials a search makes. Trees are added until a
-# tree raises the loss on the validation rows, or up to maxIter; MLlib waits for no further rounds.
-BOOSTED_DEFAULTS = {"maxDepth": 6, "minInstancesPerNode": 5, "subsamplingRate": 0.8, "stepSize": 0.05, "maxIter": 500, "validationTol": 0.0}
+# Defaults of the boosted trees, and how many trials a search makes.
+BOOSTED_DEFAULTS = {"maxDepth": 6, "minInstancesPerNode": 5, "subsamplingRate": 0.8, "stepSize": 0.05, "maxIter": MOST_TREES}
 TRIALS = 20
 
+# Trees of each trial in the first round of a search.
+FIRST_TREES = 16
+
 # Hidden layers of the perceptron.
 MLP_LAYERS = [256, 128, 64]
 
@@ -55,16 +58,21 @@ def fit_inputs(split: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, DataFr
     return cut_lineage(inputs, "inputs"), scaler, encoders
 
 
-def train_boosted(inputs: DataFrame, seed: int = 42, **params):
-    """Boosted trees on the train rows, stopped early on the validation rows."""
-    from pyspark.ml.classification import GBTClassifier
+def boosted_rows(inputs: DataFrame) -> DataFrame:
+    """Weighted train and validation rows, stored: every fit and every look at the losses reads them."""
+    rows = weighted(inputs.where(F.col("split").isin("train", "validation"))).select("features", LABEL, "weight", "split")
+    return cut_lineage(rows, "boosted")
 
-    rows = weighted(inputs.where(F.col("split").isin("train", "validation"))).withColumn("held_out", F.col("split") == "validation")
-    trees = GBTClassifier(
-        featuresCol="features", labelCol=LABEL, weightCol="weight", validationIndicatorCol="held_out", seed=seed,
-        **{**BOOSTED_DEFAULTS, **params},
-    )
-    return trees.fit(rows)
+
+def fit_boosted(rows: DataFrame, patience: int = PATIENCE, seed: int = 42, **params) -> Fitted:
+    """Boosted trees of stored rows, stopped after `patience` rounds without gain on the validation rows."""
+    train, validation = (rows.where(F.col("split") == part).drop("split") for part in ("train", "validation"))
+    return fit_with_patience(train, validation, patience, seed, **{**BOOSTED_DEFAULTS, **params})
+
+
+def train_boosted(inputs: DataFrame, patience: int = PATIENCE, seed: int = 42, **params):
+    """The model of `fit_boosted`."""
+    return fit_boosted(boosted_rows(inputs), patience, seed, **params).model
 
 
 def train_mlp(inputs: DataFrame, width: int, layers: Sequence[int] = tuple(MLP_LAYERS), seed: int = 42, **params):
@@ -90,22 +98,33 @@ def draw_trials(trials: int, seed: int = 42, space: dict = SEARCH_SPACE) -> list
     return [{name: draw(*limits) for name, limits in space.items()} for _ in range(trials)]
 
 
-def search(inputs: DataFrame, trials: Sequence[dict], parallelism: int = 4, seed: int = 42):
-    """(model, trial, AUC) of the boosted trees that rank the validation rows best; trained on the train rows only.
+def search(inputs: DataFrame, trials: Sequence[dict], first_trees: int = FIRST_TREES, parallelism: int = 4, seed: int = 42):
+    """(model, trial, AUC) of the trial that ranks the validation rows best, by successive halving; trained on train rows only.
 
-    Each trial is stopped early like any training. The driver starts a few trainings at a time and keeps their models.
+    All trials begin with `first_trees` trees. The better half of a round goes on with twice as many, until one is left; that
+    one is trained in full and stopped like any training. All fits read the same stored rows; the driver starts a few at a
+    time and keeps no model of a trial that has dropped out.
     """
+    from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
     judge = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
-    validation = inputs.where(F.col("split") == "validation")
+    rows = boosted_rows(inputs)
+    train, validation = (rows.where(F.col("split") == part).drop("split") for part in ("train", "validation"))
 
-    def attempt(trial: dict):
-        model = train_boosted(inputs, seed=seed, **trial)
-        return model, trial, judge.evaluate(model.transform(validation))
+    def attempt(trial: dict, trees: int) -> float:
+        params = {**BOOSTED_DEFAULTS, **trial, "maxIter": min(trees, trial.get("maxIter", trees))}
+        model = GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight", seed=seed, **params).fit(train)
+        return judge.evaluate(model.transform(validation))
 
+    alive, trees = list(trials), first_trees
     with ThreadPoolExecutor(parallelism) as pool:
-        return max(pool.map(inheritable_thread_target(inputs.sparkSession)(attempt), trials), key=lambda found: found[2])
+        while len(alive) > 1:
+            found = list(pool.map(inheritable_thread_target(inputs.sparkSession)(attempt), alive, [trees] * len(alive)))
+            order = sorted(range(len(alive)), key=lambda i: -found[i])
+            alive, trees = [alive[i] for i in order[: (len(alive) + 1) // 2]], 2 * trees
+    fitted = fit_boosted(rows, seed=seed, **alive[0])
+    return fitted.model, alive[0], judge.evaluate(fitted.model.transform(validation))
 
 
 def feature_importance(spark, model, columns: Sequence[str]) -> DataFrame:

@@ -233,7 +233,7 @@ def _store(spark, sf, rows):
 
 
 def _written_store(spark, sf, rows):
-    """The store as files by date and run; a run of another month lies beside it."""
+    """The store as files by date; a run of another month lies beside it."""
     path = scratch_dir(spark, "store")
     stored = _store(spark, sf, rows).withColumn("cached", F.lit(False))
     held = stored.select("prediction_key", "customer_id", *U.PREDICTION, "scored_at", F.to_date("scored_at").alias("date"))

@@ -288,7 +288,7 @@ chi AS (
 all_violations AS (
   SELECT feature_name, constraint_check_type FROM violations
   UNION ALL SELECT feature, 'numeric_distribution_check' FROM ks_p WHERE p < 0.05
-  UNION ALL SELECT feature, 'categorical_distribution_check' FROM chi WHERE d > 0 AND statistic > d * pow(1 - 2 / (9.0 * d) + 1.6448536269514722 * sqrt(2 / (9.0 * d)), 3)
+  UNION ALL SELECT feature, 'categorical_distribution_check' FROM chi WHERE d > 0 AND 1 - list_sum(list_transform(range(0, 2000), lambda n: exp((d / 2.0 + n) * ln(statistic / 2) - statistic / 2 - lgamma(d / 2.0 + n + 1)))) < 0.05
   UNION ALL SELECT DISTINCT feature, 'categorical_share_check' FROM (
     SELECT feature, b / sum(b) OVER (PARTITION BY feature) AS bs, l / sum(l) OVER (PARTITION BY feature) AS ls FROM texts) WHERE abs(ls - bs) > 0.2 * bs
 )"""
@@ -378,7 +378,7 @@ def _(spark, sf):
     return found.select("feature", F.round(F.col("p_value").cast("decimal(30,10)"), 5).cast("double").alias("p_value"))
 
 
-@query("drf3_chi_squared", with_sql(CURATED_SQL, f"""
+CHI_SQL = f"""
 SELECT feature, max(degrees) AS degrees, {r("sum(pow(b - rt * tb / tt, 2) / (rt * tb / tt) + pow(l - rt * tl / tt, 2) / (rt * tl / tt))", "statistic")}
 FROM (SELECT feature, b, l, CAST(b + l AS DOUBLE) AS rt, CAST(sum(b) OVER w AS DOUBLE) AS tb, CAST(sum(l) OVER w AS DOUBLE) AS tl,
              CAST(sum(b + l) OVER w AS DOUBLE) AS tt, count(*) OVER w - 1 AS degrees
@@ -386,9 +386,19 @@ FROM (SELECT feature, b, l, CAST(b + l AS DOUBLE) AS rt, CAST(sum(b) OVER w AS D
             FROM (SELECT 'device' AS feature, device AS category, {HALVES} FROM curated
                   UNION ALL SELECT 'event_type', event_type, {HALVES} FROM curated
                   UNION ALL SELECT 'plan', plan, {HALVES} FROM curated) GROUP BY ALL) WINDOW w AS (PARTITION BY feature))
-GROUP BY feature"""))
+GROUP BY feature"""
+
+
+@query("drf3_chi_squared", with_sql(CURATED_SQL, CHI_SQL))
+def _(spark, sf):
+    return D.chi_squared(*_halves(spark, sf), ["device", "event_type", "plan"]).drop("p_value")
+
+
+@query("drf3_p_value", with_sql(CURATED_SQL, f"""
+SELECT feature, degrees, {r('''1 - list_sum(list_transform(range(0, 2000), lambda n: exp((degrees / 2.0 + n) * ln(statistic / 2) - statistic / 2 - lgamma(degrees / 2.0 + n + 1))))''', "p_value")}
+FROM ({CHI_SQL.replace(', 6)', ', 12)')})"""))
 def _(spark, sf):
-    return D.chi_squared(*_halves(spark, sf), ["device", "event_type", "plan"])
+    return D.chi_squared(*_halves(spark, sf), ["device", "event_type", "plan"]).drop("statistic")
 
 
 @query("drf3_category_shift", with_sql(CURATED_SQL, f"""

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
+from ..sources.paths import exists
+
 HOURLY = ["year", "month", "day", "hour"]
 
 
@@ -64,27 +68,48 @@ def write_merged_labels(merged: DataFrame, path: str, date: str) -> str:
     return target
 
 
-# Digits of a moment in a partition name.
+def replace_runs(records: DataFrame, path: str, days: Sequence[str], kind: str = "parquet") -> None:
+    """Write records by the partition columns `days`; a run (column `run`) that is written again replaces its own.
+
+    The days that the records touch are read, rows of the same runs are left out, and these days alone are overwritten:
+    one folder per day, however many runs it has. Only the list of days passes the driver. An empty name is NULL, as in
+    any partition.
+    """
+    spark = records.sparkSession
+    named = {f.name: F.nullif(F.col(f.name), F.lit("")) for f in records.schema.fields if f.name in days and f.dataType.typeName() == "string"}
+    fresh = cut_lineage(records.withColumns(named) if named else records, "records")
+    rows = fresh
+    if exists(spark, path):
+        # One text per day, from partition columns alone: the scan is pruned by it.
+        day = F.concat_ws("\x01", *[F.coalesce(F.col(d).cast("string"), F.lit("\x02")) for d in days])
+        touched = [r.day for r in fresh.select(day.alias("day")).distinct().collect()]
+        held = spark.read.schema(fresh.schema).format(kind).load(path).where(day.isin(touched))
+        runs = fresh.select(*[F.col(c).alias(f"_{c}") for c in (*days, "run")]).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*days, "run")])
+        rows = fresh.unionByName(held.join(runs, same, "left_anti").select(*fresh.columns))
+    gathered(rows, days).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*days).format(kind).save(path)
+
+
+# Digits of a moment in the name of a run.
 MOMENT = "yyyyMMdd'T'HHmmss"
 
 
 def append_drift_summaries(summaries: DataFrame, path: str, environment: str) -> None:
-    """JSON records by environment, date and run; a run that is repeated replaces its own records."""
+    """JSON records by environment and date; a run (schedule, type and moment) that is repeated replaces its own records."""
     parts = [F.col(c) for c in ("schedule", "monitoring_type") if c in summaries.columns]
     run = F.concat_ws("-", *parts, F.date_format("timestamp", MOMENT))
     rows = summaries.withColumns({"environment": F.lit(environment), "date": F.to_date("timestamp"), "run": run})
-    keys = ["environment", "date", "run"]
-    gathered(rows, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).json(path)
+    replace_runs(rows, path, ["environment", "date"], "json")
 
 
 def append_check_results(results: DataFrame, path: str, suite: str, run_at: Column) -> None:
-    """Rows of a check suite or of quality gates, by suite, date and run; a run that is repeated replaces its own rows."""
+    """Rows of a check suite or of quality gates, by suite and date; a run that is repeated replaces its own rows."""
     rows = results.withColumns({
         "suite": F.lit(suite), "run_at": run_at, "date": F.to_date(run_at), "run": F.date_format(run_at, MOMENT),
     })
-    overwrite_partitions(rows, path, ["suite", "date", "run"])
+    replace_runs(rows, path, ["suite", "date"])
 
 
 def append_predictions(scored: DataFrame, path: str, run: str) -> None:
-    """Predictions by date and run: other runs of the day stay, a run that is repeated replaces its own rows."""
-    overwrite_partitions(scored.withColumn("run", F.lit(run)), path, ["date", "run"])
+    """Predictions by date: other runs of the day stay, a run that is repeated replaces its own rows."""
+    replace_runs(scored.withColumn("run", F.lit(run)), path, ["date"])
