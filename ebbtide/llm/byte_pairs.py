@@ -1,37 +1,45 @@
-"""Byte-level BPE by a rank file: Spark higher-order functions fold the ranked merges over the bytes of words.
+"""Byte-level BPE by a rank file: Spark higher-order functions fold the ranked merges over the bytes of distinct words.
 
 A word is a string with one character per token. It starts as its bytes (characters U+0000 to U+00FF); folding replaces, again
 and again, the leftmost adjacent pair of lowest rank by the character of the joined token, whose code point rises with its
-rank, and looks up the two pairs that are new; in a long word all occurrences of the pair at once, which comes to the same. The rank map is a literal: an array of small maps, found by the pair's hash.
-Decoding joins the tokens' bytes. No Python runs on the executors.
+rank, and looks up the two pairs that are new; in a long word all occurrences of the pair at once, which comes to the same.
+The rank map is a literal: an array of small maps, found by the pair's hash.
 
-Words repeat: the distinct words of a bounded number of texts, the most frequent one per slot of a table of fixed size, are
-folded once and looked up; every other word is folded where it stands, to the same result. Texts never travel.
+Texts never travel. The distinct words of a bounded number of texts are folded once and sent to the tasks; a task cuts its
+texts into words, takes what is known from there and leaves the other words of each text to a fold beside it. Which words are
+known changes speed only. Decoding concatenates the tokens' bytes.
 """
 
 from __future__ import annotations
 
 import base64
 import json
-import re
-from collections.abc import Callable
+import uuid
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import session, unused
+from .common import map_texts, only_used, per_process, session, unused
 from .vocabulary import PIECES
 
-# Maps of the rank table; slots for frequent words, and the most bytes of such a word: both bound what is sent to tasks. Texts
-# that frequent words are looked for in, chosen by a hash: which words are found changes speed only.
-MAPS, SLOTS, SLOT_BYTES, SAMPLED = 1 << 16, 1 << 18, 32, 20_000
+# Maps of the rank table. Texts that frequent words are looked for in, how many words are known at most, and the most bytes of
+# such a word: these bound what is sent to tasks.
+MAPS, SAMPLED, KNOWN, KNOWN_BYTES = 1 << 16, 20_000, 1 << 20, 32
 
 # Pairs from which on all occurrences are replaced at once: looking all pairs up again is then the lesser work.
 LONG = 64
 
+# Stands for a word that is not known; no token has this character.
+UNKNOWN = "\U0010fffd"
+
 FIRST, SURROGATES, SURROGATE_COUNT = 0x100, 0xD800, 0x800
 
 
@@ -74,8 +82,8 @@ def read_ranks(path: str) -> dict:
                 raise ValueError(f"token {rank} is not the merge of two tokens of lower rank")
             pair = symbol[parts[0]] + symbol[parts[1]]
             maps[xxhash.xxh64_intdigest(pair.encode(), seed=42) % MAPS][pair] = symbol[token]
-    byte_ranks = [ranks[bytes([b])] for b in range(256)]
-    return {"maps": json.dumps(maps), "bytes": json.dumps(byte_ranks), "tokens": json.dumps([tokens[r].decode("latin-1") for r in range(len(tokens))])}
+    content = [tokens[r] for r in range(len(tokens))]
+    return {"maps": json.dumps(maps), "bytes": [ranks[bytes([b])] for b in range(256)], "tokens": content, "digest": xxhash.xxh64_hexdigest(b"\0".join(content))}
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -83,8 +91,9 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _literal(text: str, kind: str) -> Column:
-    return F.from_json(F.lit(text), kind)
+def folded(words: Column, ranks: dict) -> Column:
+    """An array of words as an array of their folded forms."""
+    return _let(F.from_json(F.lit(ranks["maps"]), "array<map<string,string>>"), lambda maps: F.transform(words, lambda w: merged(w, maps)))
 
 
 def merged(word: Column, maps: Column) -> Column:
@@ -124,101 +133,51 @@ def merged(word: Column, maps: Column) -> Column:
     return _let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), fold)
 
 
-# Letters, numbers and white space of the newest tables at hand; Java's may be older.
-_CLASSES = {"L": r"\p{L}", "N": r"\p{N}", "s": r"\s"}
-_PATTERNS: dict[tuple, tuple[str, str, str]] = {}
-
 # The usual split with its frequent alternatives first: the others begin with an apostrophe and cannot match there.
 FREQUENT_FIRST = {PIECES: r""" ?\p{L}+| ?\p{N}+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""}
 
 
-def _ranges(points: list[int]) -> str:
-    out, i = [], 0
-    while i < len(points):
-        k = i
-        while k + 1 < len(points) and points[k + 1] == points[k] + 1:
-            k += 1
-        out.append(f"\\x{{{points[i]:X}}}-\\x{{{points[k]:X}}}")
-        i = k + 1
-    return "".join(out)
+def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict) -> dict[str, str]:
+    """The words of about SAMPLED texts with their folded forms: about KNOWN of at most KNOWN_BYTES bytes, the frequent ones first."""
+    texts = docs.select(F.col(f"`{text}`").alias("text")).filter(F.col("text") != "")
+    share = SAMPLED / max(1, texts.count())
+    chosen = texts.filter(F.rand(7) < share) if share < 1 else texts
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with only_used():
+            find, counts = regex.compile(pattern).findall, Counter()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                counts.update(find(t))
+            if len(counts) > 500_000:
+                yield pa.RecordBatch.from_pydict({"word": list(counts), "n": list(counts.values())})
+                counts.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+    words = chosen.mapInArrow(run, "word string, n long").filter(F.octet_length("word") <= KNOWN_BYTES).groupBy("word").agg(F.sum("n").alias("n"))
+    # The least count that still fits, and what share of the words of the next count does.
+    least, room, part = 1, KNOWN, 0.0
+    for row in words.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect():  # as many rows as there are counts
+        if row.words > room:
+            least, part = row.n + 1, room / row.words
+            break
+        room -= row.words
+    lucky = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(part * (1 << 20))
+    kept = words.filter((F.col("n") >= least) | ((F.col("n") == least - 1) & lucky)).select("word")
+    # A fold is dear for its bytes: as many tasks as any shuffle has.
+    kept = kept.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
+    found = kept.select("word", F.get(folded(F.array("word"), ranks), F.lit(0)).alias("code")).toArrow()
+    return dict(zip(found["word"].to_pylist(), found["code"].to_pylist()))
+
 
+class Known(dict):
+    """Folded forms of words; others are listed in `left`."""
 
-def java_pattern(spark: SparkSession, pattern: str) -> tuple[str, str, str]:
-    """The split pattern for Java's engine as it is, the same with the classes L, N and white space of this side's Unicode
-    tables, and the class of the characters that make the difference.
+    left: list[str]
 
-    A small job asks Java for its classes of all code points.
-    """
-    key = (spark.sparkContext.applicationId, pattern)
-    if key in _PATTERNS:
-        return _PATTERNS[key]
-    block = 4096
-    char = lambda i: F.decode(F.unhex(F.lpad(F.hex(i), 8, "0")), "UTF-32")
-    flag = lambda c: F.when(c.rlike(r"^\p{L}$"), "L").when(c.rlike(r"^\p{N}$"), "N").when(c.rlike(r"(?U)^\s\z"), "s").otherwise("-")
-    surrogate = lambda i: (i >= SURROGATES) & (i < SURROGATES + SURROGATE_COUNT)
-    blocks = spark.range(0x110000 // block).select("id", F.sequence(F.col("id") * block, F.col("id") * block + block - 1).alias("points"))
-    flags = blocks.select("id", F.array_join(F.transform("points", lambda i: F.when(surrogate(i), "-").otherwise(flag(char(i)))), "").alias("flags"))
-    java = "".join(r.flags for r in sorted(flags.collect(), key=lambda r: r.id))
-    everything = "".join(chr(i) if not SURROGATES <= i < SURROGATES + SURROGATE_COUNT else "-" for i in range(0x110000))
-    here = ["-"] * 0x110000
-    for name, short in _CLASSES.items():
-        for m in regex.finditer(short, everything):
-            here[m.start()] = name
-    inside, outside = {}, {}
-    for name, short in _CLASSES.items():
-        more = _ranges([i for i in range(0x110000) if here[i] == name != java[i]])
-        less = _ranges([i for i in range(0x110000) if java[i] == name != here[i]])
-        if less:
-            raise ValueError(f"characters {less} are in Java's class {short} only")
-        inside[short], outside[short] = short + more, f"[{short}[{more}]]" if more else short
-    # Newer characters are a class of their own inside; a negated class excludes them before it is asked.
-    newer = "".join(sorted(re.findall(r"\\x\{[0-9A-F]+\}-\\x\{[0-9A-F]+\}", "".join(inside.values())), key=lambda r: int(r[3 : r.index("}")], 16)))
-
-    def translate(m: re.Match) -> str:
-        part = m[0]
-        if part == r"[^\s\p{L}\p{N}]" and newer:
-            return f"(?:(?![{newer}]){part})"
-        if part == r"\S":
-            return f"[^{inside[chr(92) + 's']}]"
-        return outside.get(part, part)
-
-    ordered = FREQUENT_FIRST.get(pattern, pattern)
-    _PATTERNS[key] = "(?U)" + ordered, "(?U)" + re.sub(r"\[[^\]]*\]|\\p\{[LN]\}|\\[sS]", translate, ordered), newer
-    return _PATTERNS[key]
-
-
-def _pieces(text: Column, patterns: tuple[str, str, str]) -> Column:
-    """All matches; the longer pattern is asked only for texts that hold a character newer than Java's tables."""
-    usual, extended, newer = patterns
-    text = F.coalesce(text, F.lit(""))
-    found = F.regexp_extract_all(text, F.lit(usual), F.lit(0))
-    if not newer:
-        return found
-    first = newer[: newer.index("-")]
-    return F.when(text.rlike(f"[{first}-\\x{{10FFFF}}]") & text.rlike(f"[{newer}]"), F.regexp_extract_all(text, F.lit(extended), F.lit(0))).otherwise(found)
-
-
-def _slot(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
-
-
-def frequent_words(docs: DataFrame, text: str, patterns: tuple[str, str, str], ranks: dict) -> tuple[str, str]:
-    """The most frequent word of each slot in a bounded number of texts, and its folded form; as JSON arrays with nulls."""
-    texts = docs.select(F.col(f"`{text}`").alias("text")).filter(F.col("text") != "")
-    share = min(1.0, SAMPLED / max(1, texts.count()))
-    chosen = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else texts
-    words = chosen.select(F.explode(_pieces(F.col("text"), patterns)).alias("word")).filter(F.octet_length("word") <= SLOT_BYTES)
-    counted = words.groupBy("word").agg(F.count("*").alias("n"))
-    best = counted.groupBy(_slot(F.col("word")).alias("slot")).agg(F.max_by("word", F.struct("n", "word")).alias("word"))
-    # A fold is dear for its bytes: as many tasks as any shuffle has.
-    best = best.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "slot")
-    folded = best.select("slot", "word", _let(_literal(ranks["maps"], "array<map<string,string>>"), lambda m: merged(F.col("word"), m)).alias("code"))
-    found = folded.toArrow()  # at most SLOTS rows of SLOT_BYTES bytes
-    keys: list = [None] * SLOTS
-    codes: list = [None] * SLOTS
-    for slot, word, code in zip(*(found[n].to_pylist() for n in ("slot", "word", "code"))):
-        keys[slot], codes[slot] = word, code
-    return json.dumps(keys), json.dumps(codes)
+    def __missing__(self, word: str) -> str:
+        self.left.append(word)
+        return UNKNOWN
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -229,36 +188,61 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
     row; input columns named `ids` or `n_tokens` are replaced. An empty table gives no rows.
     """
     spark = session(docs.sparkSession)
-    ranks, patterns = read_ranks(ranks_path), java_pattern(spark, pattern)
-    keys, codes = frequent_words(docs, text, patterns, ranks)
-
-    def word_code(maps: Column, keys: Column, codes: Column) -> Callable[[Column], Column]:
-        def one(word: Column) -> Column:
-            return _let(_slot(word) + 1, lambda i: F.when(F.element_at(keys, i) == word, F.element_at(codes, i)).otherwise(merged(word, maps)))
-
-        return one
-
-    code, kept = unused(docs, "__code"), [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "n_tokens")]
-    tables = [_literal(ranks["maps"], "array<map<string,string>>"), _literal(keys, "array<string>"), _literal(codes, "array<string>")]
-    whole = _pieces(F.col(f"`{text}`"), patterns)
-    joined = _let(tables[0], lambda m: _let(tables[1], lambda k: _let(tables[2], lambda c: F.array_join(F.transform(whole, word_code(m, k, c)), ""))))
-    folded = docs.select(*[F.col(f"`{c}`") for c in kept], joined.alias(code))
-
-    def rank(at: Column, single: Column) -> Column:
-        several = at - F.when(at < SURROGATES, FIRST).otherwise(FIRST + SURROGATE_COUNT)
-        return F.when(at < FIRST, F.element_at(single, at + 1)).otherwise(several)
-
-    characters = F.when(F.col(code) == "", F.array().cast("array<string>")).otherwise(F.split(code, ""))
-    ids = _let(_literal(ranks["bytes"], "array<int>"), lambda single: F.transform(characters, lambda c: _let(F.ascii(c), lambda at: rank(at, single))))
-    return folded.select(*[F.col(f"`{c}`") for c in kept], ids.alias("ids")).withColumn("n_tokens", F.size("ids").cast("long"))
+    ranks, pattern = read_ranks(ranks_path), FREQUENT_FIRST.get(pattern, pattern)
+    words = spark.sparkContext.broadcast(frequent_words(docs, text, pattern, ranks))
+    run = uuid.uuid4().hex  # each call has words of its own
+    code, left, both = (unused(docs, f"__{n}") for n in ("code", "left", "both"))
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "n_tokens")]
+    single = np.array(ranks["bytes"], np.uint32)
+
+    def cut():
+        known = per_process(("known", run), lambda: Known(words.value))
+        find = regex.compile(pattern).findall
+
+        def work(texts):
+            codes, rest = [], []
+            for t in texts:
+                known.left = []
+                codes.append("".join(map(known.__getitem__, find(t))))
+                rest.append(known.left)
+            return [codes, rest]
+
+        return work
+
+    def join():
+        def one(row) -> np.ndarray:
+            s = row[code]
+            if row[left]:
+                parts = s.split(UNKNOWN)
+                s = "".join(x for pair in zip(parts, [*row[left], ""]) for x in pair)
+            points = np.frombuffer(s.encode("utf-32-le"), np.uint32)
+            ids = points - np.uint32(FIRST) - np.where(points >= SURROGATES, np.uint32(SURROGATE_COUNT), np.uint32(0))
+            low = points < FIRST
+            ids[low] = single[points[low]]
+            return ids.view(np.int32)
+
+        def work(rows):
+            ids = [one(r) for r in rows]
+            return [ids, [len(i) for i in ids]]
+
+        return work
+
+    listed = T.ArrayType(T.StringType())
+    rows = map_texts(docs, text, kept, [(code, T.StringType()), (left, listed)], cut)
+    rows = rows.select(*[F.col(f"`{c}`") for c in kept], F.struct(code, folded(F.col(left), ranks).alias(left)).alias(both))
+    return map_texts(rows, both, kept, [("ids", T.ArrayType(T.IntegerType())), ("n_tokens", T.LongType())], join)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    """Columns `keep` (all by default) with `decoded`, the joined bytes of the tokens.
+    """Columns `keep` (all by default) with `decoded`, the concatenated bytes of the tokens.
 
     Null or empty ids give no bytes; an id outside of the file is an error; a clashing input column `decoded` is replaced.
     """
-    kept = [c for c in (encoded.columns if keep is None else keep) if c != "decoded"]
-    given = F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>"))
-    pieces = _let(_literal(read_ranks(ranks_path)["tokens"], "array<string>"), lambda t: F.array_join(F.transform(given, lambda i: F.element_at(t, i + 1)), ""))
-    return encoded.select(*[F.col(f"`{c}`") for c in kept], F.encode(pieces, "ISO-8859-1").alias("decoded"))
+    ranks = read_ranks(ranks_path)
+    tokens = encoded.sparkSession.sparkContext.broadcast(ranks["tokens"])
+
+    def make():
+        piece = per_process(("tokens", ranks["digest"]), lambda: tokens.value).__getitem__
+        return lambda rows: [[b"".join(map(piece, own)) for own in rows]]
+
+    return map_texts(encoded, ids, encoded.columns if keep is None else keep, [("decoded", T.BinaryType())], make, empty=())
