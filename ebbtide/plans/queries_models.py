@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..constants import NUMERIC_FEATURES
-from ..operators import evaluate as E, prep as Q, reuse as U, score as S, train as T
+from ..operators import evaluate as E, network as N, prep as Q, reuse as U, score as S, train as T
 from ..session import cut_lineage, scratch_dir
 from ..sinks import writers as W
 from ..sources import raw
@@ -346,6 +346,55 @@ def _(spark, sf):
     return _model_rows(inputs, T.search(inputs, T.draw_trials(T.TRIALS))[0], "boosted")
 
 
+# A label that the features tell: more events in a month than the average customer.
+LEARNED_SQL = with_sql(FEATURES_SQL, "SELECT count(*) AS customers, TRUE AS found_on_held_out_rows FROM features")
+
+
+def _planted(spark, sf):
+    rows = features(spark, sf)
+    many = F.coalesce(F.col("total_events_30d"), F.lit(0)) > rows.agg(F.avg(F.coalesce(F.col("total_events_30d"), F.lit(0)))).scalar()
+    return T.fit_inputs(Q.stratified_split(rows.withColumn("is_churned", many.cast("int"))))[0]
+
+
+def _found(inputs, scored, probability="churn_probability", least=0.9):
+    """Whether the test rows, which no training has seen, are ranked right."""
+    held = scored.where("split = 'test'").select(F.col("is_churned").alias("label"), F.col(probability).alias("probability"))
+    return inputs.agg(F.count(F.lit(1)).alias("customers")).withColumn("found_on_held_out_rows", E.roc_auc(held).scalar() > least)
+
+
+@query("trn1_learned", LEARNED_SQL)
+def _(spark, sf):
+    inputs = _planted(spark, sf)
+    return _found(inputs, S.score_pipeline(inputs, T.train_boosted(inputs, patience=5, maxIter=30), 0.5, "1", "boosted"))
+
+
+@query("trn2_learned", LEARNED_SQL)
+def _(spark, sf):
+    """The network with validation stop and a step that is lowered on plateaus."""
+    inputs = _planted(spark, sf)
+    rows = T.boosted_rows(inputs)
+    train, validation = (rows.where(F.col("split") == part).drop("split") for part in ("train", "validation"))
+    net = N.train_network(train, validation, len(Q.model_columns()), epochs=15, batch=16, step=0.01, patience=8, plateau=3)
+    return _found(inputs, net.probabilities(inputs), "probability", 0.8)
+
+
+@query("trn3_learned", LEARNED_SQL)
+def _(spark, sf):
+    inputs = _planted(spark, sf)
+    trials = [{**t, "maxIter": 32} for t in T.draw_trials(4)]
+    return _found(inputs, S.score_pipeline(inputs, T.search(inputs, trials, first_trees=8)[0], 0.5, "1", "boosted"))
+
+
+@query("trn4_planted_first", with_sql(FEATURES_SQL, "SELECT 'total_events_30d' AS feature, TRUE AS more_than_one_split, count(*) AS customers FROM features"))
+def _(spark, sf):
+    """The most important input of a model whose label was made from it."""
+    inputs = _planted(spark, sf)
+    model = T.train_boosted(inputs, patience=5, maxIter=20)
+    first = T.feature_importance(spark, model, Q.model_columns()).orderBy(F.desc("importance"), "feature").limit(1)
+    return first.select("feature", F.lit(model.totalNumNodes > model.getNumTrees).alias("more_than_one_split")).crossJoin(
+        inputs.agg(F.count(F.lit(1)).alias("customers")))
+
+
 @query("trn4_feature_importance", "SELECT 27 AS inputs, TRUE AS sums_to_one, count(*) > 0 AS trained FROM customer")
 def _(spark, sf):
     model = T.train_boosted(_inputs(spark, sf))

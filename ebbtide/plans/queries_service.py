@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from ..constants import LATENCY_BUCKETS
 from ..operators import alerts as K, service as H
 from ..session import scratch_dir
-from ..streaming import ingest as S, silence as Q
+from ..sources.paths import exists
+from ..streaming import ingest as S, silence as Q, stateful as Y
 from . import adapter as A
 from .adapter import CURATED_SQL, REQUESTS_SQL, RUNS_SQL, r, with_sql
 from .registry import query
@@ -254,6 +257,22 @@ def _(spark, sf):
     return K.firing_alerts(_evaluated(spark, sf))
 
 
+DELAY_S = 615  # no sample lies on the watermark
+
+
+@query("obs16_stream_states", with_sql(RATES_SQL, f"""
+SELECT * FROM ({EVALUATED}) WHERE ts < (SELECT max(ts) FROM rates) - INTERVAL {DELAY_S} SECOND"""))
+def _(spark, sf):
+    """The rules as state machines on the stream of rates: the rows that the watermark has passed are those of the batch form."""
+    source, out, mark = (scratch_dir(spark, n) for n in ("metrics", "states", "mark"))
+    rates = H.sliding_rates(A.request_log(spark, sf)).withColumn("requests", F.col("requests").cast("double"))
+    metrics = rates.unpivot(["env", "ts"], ["error_ratio", "hit_ratio", "requests"], "metric", "value")
+    metrics.select("metric", F.col("env").alias("series"), "ts", "value").write.parquet(source)
+    stream = spark.readStream.schema("metric string, series string, ts timestamp, value double").parquet(source)
+    S.start_append(Y.alert_states(stream, K.rule_table(spark, RULES), f"{DELAY_S} seconds"), out, mark, available_now=True).awaitTermination()
+    return spark.read.parquet(out).where(F.col("met").isNotNull()).drop("state")
+
+
 @query("str5_arrivals", with_sql(CURATED_SQL, """
 SELECT time_bucket(INTERVAL 15 MINUTE, event_timestamp, TIMESTAMP '1970-01-01') AS window_start, count(*) AS records FROM curated GROUP BY 1"""))
 def _(spark, sf):
@@ -296,6 +315,27 @@ def _(spark, sf):
     return spark.read.parquet(out)
 
 
+@query("str7_silence_of_all", with_sql(CURATED_SQL, """
+SELECT device AS source, max(event_timestamp) AS last_seen FROM curated WHERE device IS NOT NULL GROUP BY 1"""))
+def _(spark, sf):
+    """All events arrive, then nothing does: every source falls silent by the stream's own clock, once."""
+    source, out, mark = (scratch_dir(spark, n) for n in ("heard", "silent", "mark"))
+    A.curated_events(spark, sf).where(F.col("device").isNotNull()).select("device", "event_timestamp").write.parquet(source)
+    heard = spark.read.parquet(source).select("device").distinct().count()
+    stream = spark.readStream.schema("device string, event_timestamp timestamp").parquet(source)
+    found = Y.silent_by_timer(stream, "device", seconds=1).writeStream.format("parquet").option("path", out).option("checkpointLocation", mark)
+    running = found.trigger(processingTime="500 milliseconds").start()
+    try:
+        until = time.monotonic() + 120
+        while time.monotonic() < until and not (exists(spark, f"{out}/_spark_metadata") and spark.read.schema("source string").parquet(out).count() >= heard):
+            if running.exception():
+                raise running.exception()
+            time.sleep(0.5)
+    finally:
+        running.stop()
+    return spark.read.parquet(out).select("source", "last_seen")
+
+
 def _shipped_sql():
     parts = []
     for alert, metric, op, threshold, for_s, step_s, severity in K.SHIPPED_RULES:

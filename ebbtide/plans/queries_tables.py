@@ -11,7 +11,7 @@ from ..operators import curate as C, features as X, ingest as I, validate as V,
 from ..session import cut_lineage, scratch_dir
 from ..sinks import tables as T, writers as W
 from ..sources import labels as L, raw as R, snapshots as N
-from ..streaming import ingest as S
+from ..streaming import ingest as S, stateful as Y
 from . import adapter as A, jobs
 from .adapter import CURATED_SQL, LABELS_SQL, RAW_SQL, WIRE_SQL, r, with_sql
 from .queries_features import SNAPSHOTS_SQL, snapshots
@@ -419,6 +419,22 @@ def _(spark, sf):
     return marked.groupBy("late").agg(F.count(F.lit(1)).alias("records"))
 
 
+@query("str3_late_rows", with_sql(CURATED_SQL, f"""
+SELECT CASE WHEN event_timestamp < TIMESTAMP '{A.HALF_TIME}' AND event_timestamp < (SELECT max(event_timestamp) FROM curated) - INTERVAL 25 HOUR THEN 'late' ELSE 'first' END AS fate,
+       count(*) AS records FROM curated GROUP BY 1"""))
+def _(spark, sf):
+    """The newer half of the events arrives first, then the older half: what is behind the watermark goes to a table of its own."""
+    source, out, late, mark = (scratch_dir(spark, n) for n in ("events", "taken", "late", "mark"))
+    events = A.curated_events(spark, sf).select("event_id", "event_timestamp")
+    newer = F.col("event_timestamp") >= F.lit(A.HALF_TIME).cast("timestamp")
+    for half in (newer, ~newer):
+        events.where(half).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        Y.start_with_late_table(stream, out, late, mark, available_now=True).awaitTermination()
+    fates = [spark.read.parquet(path).select(F.lit(fate).alias("fate")) for path, fate in ((out, "first"), (late, "late"))]
+    return fates[0].unionByName(fates[1]).groupBy("fate").agg(F.count(F.lit(1)).alias("records"))
+
+
 @query("str4_stream_upsert", with_sql(CURATED_ROWS, "SELECT event_id, customer_id, session_duration FROM cur"))
 def _(spark, sf):
     source, mark, table = scratch_dir(spark, "curated"), scratch_dir(spark, "mark"), _event_table(spark)

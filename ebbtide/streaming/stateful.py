@@ -156,35 +156,46 @@ class _Alert(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         last = self.state.get()[1] if self.state.exists() else None
-        for r in rows:
-            # What is behind the last sample that counted comes too late to count.
-            if r["ts"] is not None and (last is None or r["ts"] > last):
-                self.waiting.appendValue((r["ts"], r["value"], bool(r["met"]), r["for_s"], r["step_s"], r["severity"]))
-                self.handle.registerTimer(_ms(r["ts"]))
+        # What is behind the last sample that counted comes too late to count.
+        fresh = [(r["ts"], r["value"], bool(r["met"]), r["for_s"], r["step_s"], r["severity"]) for r in rows if r["ts"] is not None and (last is None or r["ts"] > last)]
+        if fresh:
+            self.waiting.appendList(fresh)
+            self.handle.registerTimer(_ms(min(s[0] for s in fresh)))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        upto = expiredTimerInfo.getExpiryTimeInMs()
+        upto = timerValues.getCurrentWatermarkInMs()
         since, last, firing, step, severity = self.state.get() if self.state.exists() else (None, None, False, 0, None)
         held = sorted(self.waiting.get(), key=lambda s: s[0]) if self.waiting.exists() else []
-        due, later = [s for s in held if _ms(s[0]) <= upto], [s for s in held if _ms(s[0]) > upto]
-        if held:
-            self.waiting.put([tuple(s) for s in later]) if later else self.waiting.clear()
+        due, later = [s for s in held if _ms(s[0]) <= upto], [tuple(s) for s in held if _ms(s[0]) > upto]
         out = []
+
+        def row(ts, value, met, fires, state):
+            out.append(Row(alert=key[0], series=key[1], severity=severity, ts=ts, value=value, met=met, firing=fires, state=state))
+
         for ts, value, met, wait, step, severity in due:
-            gap = last is not None and ts - last > step * 1_000_000
-            since = None if not met else ts if since is None or gap else since
+            if last is not None and ts - last > step * 1_000_000:
+                if firing:
+                    row(last + step * 1_000_000, None, None, False, RESOLVED)
+                since, firing = None, False
+            since = None if not met else ts if since is None else since
             fires = met and ts - since >= wait * 1_000_000
-            state = FIRING if fires else PENDING if met else RESOLVED if firing else INACTIVE
-            out.append(Row(alert=key[0], series=key[1], severity=severity, ts=ts, value=value, met=met, firing=fires, state=state))
+            row(ts, value, met, fires, FIRING if fires else PENDING if met else RESOLVED if firing else INACTIVE)
             last, firing = ts, fires
-        if not due and firing and last is not None and upto * 1000 - last > step * 1_000_000:
+        if firing and upto * 1000 - last > step * 1_000_000:
             # No sample for longer than a step: what fired is over.
-            out.append(Row(alert=key[0], series=key[1], severity=severity, ts=upto * 1000, value=None, met=False, firing=False, state=RESOLVED))
+            row(last + step * 1_000_000, None, None, False, RESOLVED)
             since, firing = None, False
-        self.state.update((since, last, firing, step, severity))
-        if firing and due:
+        if due:
+            if later:
+                self.waiting.put(later)
+            else:
+                self.waiting.clear()
+        if later:
+            self.handle.registerTimer(_ms(later[0][0]))
+        if firing:
             self.handle.registerTimer(_ms(last) + step * 1000 + 1)
+        self.state.update((since, last, firing, step, severity))
         return iter(out)
 
     def close(self) -> None:
@@ -196,7 +207,8 @@ def alert_states(metrics: DataFrame, rules: DataFrame, delay: str = "10 minutes"
 
     `state` goes from inactive over pending to firing and, when the condition or the samples end, to resolved; met and firing
     are those of `operators.alerts.evaluate_alerts` over the same samples. Samples wait for `delay`; one that comes later
-    than that, or again, changes nothing. A silence longer than a step resolves an alert that fires, in a row without value.
+    than that, or again, changes nothing. A silence longer than a step resolves an alert that fires, in a row without
+    value and met.
     """
     from ..operators.alerts import rule_met
 
