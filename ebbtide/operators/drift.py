@@ -74,6 +74,31 @@ def ks_of_counts(base: DataFrame, live: DataFrame, alpha: float = 0.05) -> DataF
     return found.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < alpha)
 
 
+# Error of a share of values between two points of a quantile sketch of size k, at 99 %, is SCALE / k ** POWER.
+SKETCH_SCALE, SKETCH_POWER = 2.446, 0.9433
+
+
+def ks_of_sketches(base: DataFrame, live: DataFrame, k: int, alpha: float = 0.05, points: int = 4000) -> DataFrame:
+    """The same from quantile sketches (feature, sketch, n) of size `k` of both sides, with the error of the distance.
+
+    Each side enters by its quantiles at `points` even steps. `error` bounds how far the distance may be from the exact one:
+    the sketches' own error (at 99 %) and what can happen between two quantiles. `certain` says whether the drift stands with
+    the least distance that this leaves.
+    """
+    ranks = F.array(*[F.lit(i / points) for i in range(points + 1)])
+
+    def quantiles(side: DataFrame) -> DataFrame:
+        values = side.select("feature", F.explode(F.kll_sketch_get_quantile_double("sketch", ranks)).alias("value"))
+        return values.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    sizes = base.select("feature", F.col("n").alias("n_base")).join(live.select("feature", F.col("n").alias("n_live")), "feature")
+    found = ks_of_counts(quantiles(base), quantiles(live)).select("feature", "statistic").join(sizes, "feature")
+    error = 2 * SKETCH_SCALE / k**SKETCH_POWER + 4 / points
+    n, m = F.col("n_base").cast("double"), F.col("n_live").cast("double")
+    p, least = ks_p_value(F.col("statistic"), n, m), ks_p_value(F.greatest(F.col("statistic") - error, F.lit(0.0)), n, m)
+    return found.withColumns({"error": F.lit(error), "p_value": p, "drifted": p < alpha, "certain": least < alpha})
+
+
 def chi_squared(base: DataFrame, live: DataFrame, features: Sequence[str]) -> DataFrame:
     """Chi-squared homogeneity statistic of categories between baseline and live, with degrees of freedom and p-value (NULL at 0)."""
     return chi_squared_of_counts(category_counts(base, features), category_counts(live, features))
@@ -98,15 +123,17 @@ def chi_squared_of_counts(base: DataFrame, live: DataFrame) -> DataFrame:
 
 
 def distribution_violations(
-    base_values: DataFrame, live_values: DataFrame, base_categories: DataFrame, live_categories: DataFrame,
-    alpha: float = 0.05, share_tolerance: float = 0.20,
+    base_values: DataFrame | None, live_values: DataFrame | None, base_categories: DataFrame, live_categories: DataFrame,
+    alpha: float = 0.05, share_tolerance: float = 0.20, numbers: DataFrame | None = None,
 ) -> DataFrame:
     """Features whose distribution has moved, one row per broken rule, from stored counts.
 
     Numbers by the Kolmogorov-Smirnov test, categories by the chi-squared test, and any category whose share moved by more
-    than `share_tolerance` of its share in the baseline. A feature that one side lacks is a matter of the constraints.
+    than `share_tolerance` of its share in the baseline. `numbers` may give the result of another test of the numbers, such as
+    that of sketches, in place of counts. A feature that one side lacks is a matter of the constraints.
     """
-    numbers = ks_of_counts(base_values, live_values, alpha).where("drifted").select("feature", F.lit("numeric_distribution_check").alias("rule"))
+    tested = ks_of_counts(base_values, live_values, alpha) if numbers is None else numbers
+    moved = tested.where("drifted").select("feature", F.lit("numeric_distribution_check").alias("rule"))
     tested = chi_squared_of_counts(base_categories, live_categories)
     texts = tested.where(F.col("p_value") < alpha).select("feature", F.lit("categorical_distribution_check").alias("rule"))
     counts = _two_counts(base_categories, live_categories, ["feature", "category"])
@@ -115,7 +142,7 @@ def distribution_violations(
     base_share, live_share = F.col("n_base") / F.col("t_base"), F.col("n_live") / F.col("t_live")
     shares = joined.where(F.abs(live_share - base_share) > share_tolerance * base_share).select(
         "feature", F.lit("categorical_share_check").alias("rule")).distinct()
-    return numbers.unionByName(texts).unionByName(shares).select(
+    return moved.unionByName(texts).unionByName(shares).select(
         F.col("feature").alias("feature_name"), F.col("rule").alias("constraint_check_type"))
 
 

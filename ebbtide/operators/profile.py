@@ -69,6 +69,18 @@ def value_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return long_form(df, features).where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Size of a quantile sketch: its memory and error depend on this number, not on the rows.
+SKETCH_K = 4096
+
+
+def value_sketches(df: DataFrame, features: Sequence[str], k: int = SKETCH_K) -> DataFrame:
+    """(feature, sketch, n) of numeric columns: a quantile sketch per feature, merged over tasks; NULL and NaN are left out."""
+    if not features:
+        return df.sparkSession.createDataFrame([], "feature string, sketch binary, n long")
+    rows = long_form(df, features).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return rows.groupBy("feature").agg(F.kll_sketch_agg_double("value", k).alias("sketch"), F.count(F.lit(1)).alias("n"))
+
+
 def category_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature, category, n) of text columns; NULL is a category."""
     if not features:

@@ -17,6 +17,7 @@ from ..session import cut_lineage, few_rows, owned_scratch, prepare
 from ..sinks import writers as W
 from ..sinks.tables import VersionedTable
 from ..sources import labels as L, raw, snapshots as N
+from ..sources.paths import exists
 
 EVENT_PARTITIONS = ["event_year", "event_month", "event_day"]
 
@@ -128,14 +129,19 @@ def ground_truth(
 
 
 @job
-def baseline(training: DataFrame, columns: list[str], out_path: str, model_version: str, **limits) -> DataFrame:
-    """What live data is compared with, stored under the model version: profile, constraints, counts of values and categories."""
+def baseline(training: DataFrame, columns: list[str], out_path: str, model_version: str, sketched: bool = False, **limits) -> DataFrame:
+    """What live data is compared with, stored under the model version: profile, constraints, counts of values and categories.
+
+    `sketched` stores a quantile sketch per number instead of its distinct values: a baseline whose size does not depend on
+    the rows, at an error that the comparison states.
+    """
     profiled = cut_lineage(P.profile(training, columns), "profile")
     numbers, texts = P.split_kinds(training, columns)
     stored = {
         "profile": profiled, "constraints": P.suggest_constraints(profiled, **limits),
-        "values": P.value_counts(training, numbers), "categories": P.category_counts(training, texts),
+        "categories": P.category_counts(training, texts),
     }
+    stored |= {"sketches": P.value_sketches(training, numbers)} if sketched else {"values": P.value_counts(training, numbers)}
     for name, frame in stored.items():
         frame.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out_path}/{model_version}/{name}")
     return training.sparkSession.read.parquet(f"{out_path}/{model_version}/constraints")
@@ -155,9 +161,12 @@ def drift(
     read = live.sparkSession.read.parquet
     broken = D.constraint_violations(P.profile(live, columns), read(f"{baseline_path}/constraints"))
     numbers, texts = P.split_kinds(live, columns)
-    moved = D.distribution_violations(
-        read(f"{baseline_path}/values"), P.value_counts(live, numbers), read(f"{baseline_path}/categories"), P.category_counts(live, texts), **limits
-    )
+    texts_of = read(f"{baseline_path}/categories"), P.category_counts(live, texts)
+    if exists(live.sparkSession, f"{baseline_path}/sketches"):
+        tested = D.ks_of_sketches(read(f"{baseline_path}/sketches"), P.value_sketches(live, numbers), P.SKETCH_K, limits.get("alpha", 0.05))
+        moved = D.distribution_violations(None, None, *texts_of, **limits, numbers=tested)
+    else:
+        moved = D.distribution_violations(read(f"{baseline_path}/values"), P.value_counts(live, numbers), *texts_of, **limits)
     decided = D.with_decision(D.drift_score(broken.unionByName(moved), high_importance))
     summary = cut_lineage(D.drift_summary(decided, _ts(at), schedule, monitoring_type, baseline_path), "drift-summary")
     W.append_drift_summaries(summary, summaries_path, environment)

@@ -367,6 +367,16 @@ def _(spark, sf):
     return D.ks_two_sample(*_halves(spark, sf), ["session_duration", "transaction_amount"]).drop("p_value", "drifted")
 
 
+@query("drf2_ks_sketched", with_sql(CURATED_SQL, f"SELECT feature, n_base, n_live, TRUE AS within_error FROM ({KS_SQL})"))
+def _(spark, sf):
+    """The distance from two quantile sketches lies within its stated error of the exact one."""
+    base, live = _halves(spark, sf)
+    features = ["session_duration", "transaction_amount"]
+    found = D.ks_of_sketches(P.value_sketches(base, features), P.value_sketches(live, features), P.SKETCH_K)
+    exact = D.ks_two_sample(base, live, features).select("feature", F.col("statistic").alias("exact"))
+    return found.join(exact, "feature").select("feature", "n_base", "n_live", (F.abs(F.col("statistic") - F.col("exact")) <= F.col("error")).alias("within_error"))
+
+
 @query("drf2_ks_p_value", with_sql(CURATED_SQL, f"""
 SELECT feature, {r('''CASE WHEN lam < 0.2 THEN 1.0 ELSE least(greatest(2 * list_sum(list_transform(range(1, 101),
        lambda j: (CASE WHEN j % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * j * j * lam * lam))), 0), 1) END''', "p_value", 5)}
