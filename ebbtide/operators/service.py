@@ -6,9 +6,10 @@ and slot with partial aggregation before anything is multiplied by the overlap o
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..constants import CANARY_MAX_ERROR_RATE, CANARY_MAX_P99_MS, CANARY_MAX_RATE_DEVIATION, LATENCY_BUCKETS
 from ..functions.running import exact_percentiles
@@ -63,11 +64,45 @@ def prediction_rate_anomaly(log: DataFrame, limit: float = 0.50, window_s: int =
     return sustained(rates, ["env"], "ts", F.col("positive_ratio") > limit, for_s, step_s).select("env", "ts", "positive_ratio", "firing")
 
 
+# Bucket of values that have no logarithm.
+LEAST_BUCKET = -(1 << 31)
+
+
 def latency_percentiles(log: DataFrame, by: Sequence[str] = ("env",), slot_s: int = WINDOW_S) -> DataFrame:
     slotted = log.withColumn("slot", time_slot(F.col("ts"), slot_s))
     return exact_percentiles(slotted, [*by, "slot"], "latency_ms", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
 
 
+def sliding_quantiles(
+    log: DataFrame, probabilities: Mapping[str, float], value: str = "latency_ms", by: Sequence[str] = ("env",), window_s: int = WINDOW_S, step_s: int = SLOT_S,
+    error: float = 0.01,
+) -> DataFrame:
+    """Quantiles of overlapping windows (by, ts = end of the window, n, one column per probability), without counting a row twice.
+
+    Rows are counted once per slot and bucket; buckets grow by (1 + error) / (1 - error), so that a bucket's middle is within
+    `error` of every value in it. Windows add the counts of their slots. A quantile is the middle of the bucket that holds the
+    value of rank floor(p (n - 1)), counted from 0, and so within `error` of that value. Values of 0 or less count as 0; NULL
+    and NaN are left out. A window has at most as many rows as there are buckets.
+    """
+    growth = math.log((1 + error) / (1 - error))
+    x = F.col(value).cast("double")
+    bucket = F.when(x > 0, F.ceil(F.log(x) / growth).cast("int")).otherwise(F.lit(LEAST_BUCKET))
+    slots = log.where(x.isNotNull() & ~F.isnan(x)).groupBy(*by, (time_slot(F.col("ts"), step_s) + F.make_dt_interval(secs=F.lit(step_s))).alias("_end"), bucket.alias("_bucket"))
+    counts = slots.agg(F.count(F.lit(1)).alias("_n"))
+    ends = F.transform(F.sequence(F.lit(0), F.lit(window_s // step_s - 1)), lambda i: F.col("_end") + F.make_dt_interval(secs=i * step_s))
+    merged = counts.withColumn("ts", F.explode(ends)).groupBy(*by, "ts", "_bucket").agg(F.sum("_n").alias("_n"))
+    series = W.partitionBy(*by, "ts").orderBy("_bucket")
+    ranked = merged.withColumns({
+        "_upto": F.sum("_n").over(series.rowsBetween(W.unboundedPreceding, W.currentRow)), "_all": F.sum("_n").over(W.partitionBy(*by, "ts"))})
+    middle = F.when(F.col("_bucket") == LEAST_BUCKET, F.lit(0.0)).otherwise(F.exp(F.col("_bucket") * growth) * (1 - error))
+
+    def at(p: float) -> Column:
+        rank = F.floor(F.lit(float(p)) * (F.col("_all") - 1))
+        return F.max(F.when((rank >= F.col("_upto") - F.col("_n")) & (rank < F.col("_upto")), middle))
+
+    return ranked.groupBy(*by, "ts").agg(F.max("_all").alias("n"), *[at(p).alias(name) for name, p in probabilities.items()])
+
+
 def high_latency(log: DataFrame, limit_ms: float = 300.0, for_s: int = 600) -> DataFrame:
     found = latency_percentiles(log)
     # Two neighbouring slots cover ten minutes.

@@ -67,6 +67,28 @@ def _(spark, sf):
     return H.latency_percentiles(A.request_log(spark, sf))
 
 
+GROWTH = "ln(1.01 / 0.99)"
+# The bucket of the value of that rank; windows of five minutes end every half minute.
+SLIDING_SQL = REQUESTS_SQL + f""",
+ends AS (SELECT env, latency_ms, make_timestamp((epoch_us(ts) // 30000000 + 1) * 30000000) + to_seconds(i * 30) AS ts FROM requests, range(0, 10) g(i) WHERE latency_ms IS NOT NULL),
+ordered AS (SELECT env, ts, count(*) AS n, list_sort(list(latency_ms)) AS xs FROM ends GROUP BY env, ts),
+sliding AS (SELECT env, ts, n, exp(ceil(ln(xs[CAST(floor(0.99 * (n - 1)) AS BIGINT) + 1]) / {GROWTH}) * {GROWTH}) * 0.99 AS p99 FROM ordered)"""
+
+
+@query("obs2_sliding_quantiles", with_sql(SLIDING_SQL, f"SELECT env, ts, n, {r('p99', 'p99')} FROM sliding"))
+def _(spark, sf):
+    return H.sliding_quantiles(A.request_log(spark, sf), {"p99": 0.99})
+
+
+@query("obs16_shipped_latency", with_sql(SLIDING_SQL, f"""
+SELECT 'InferenceHighLatency' AS alert, 'warning' AS severity, env AS series, ts, {r("p99 / 1000", "value")}, p99 / 1000 > 0.3 AS met, {held("p99 / 1000 > 0.3", "env", "ts", 600, 30)} AS firing FROM sliding"""))
+def _(spark, sf):
+    """The shipped rule of latency on sliding windows, as its wording asks."""
+    found = H.sliding_quantiles(A.request_log(spark, sf), {"p99": 0.99})
+    metrics = found.select(F.lit("p99_seconds").alias("metric"), F.col("env").alias("series"), "ts", (F.col("p99") / 1000).alias("value"))
+    return K.evaluate_alerts(metrics, K.rule_table(spark, K.SHIPPED_RULES))
+
+
 @query("obs2_high_latency", with_sql(REQUESTS_SQL, f"""
 SELECT env, slot, {r("p99", "p99")}, {held("p99 > 300", "env", "slot", 300, 300)} AS firing
 FROM (SELECT env, {SLOTTED} AS slot, quantile_cont(latency_ms, 0.99) AS p99 FROM requests GROUP BY 1, 2)"""))
