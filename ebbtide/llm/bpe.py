@@ -22,15 +22,24 @@ REMEMBERED_CHARS, REMEMBERED_PIECES = 48, 400_000
 NEVER = 1 << 60
 
 
+def token_bytes(vocabulary: dict) -> dict[int, bytes]:
+    """The bytes of every id; all that decoding needs."""
+    value = {c: b for b, c in enumerate(byte_alphabet())}
+    data = {i: bytes(value[c] for c in s) for s, i in vocabulary["ids"].items()}
+    return data | {i: s.encode() for s, i in vocabulary["special"].items()}
+
+
+def decode_packed(packed: bytes, data: dict[int, bytes]) -> str:
+    return b"".join(map(data.__getitem__, np.frombuffer(packed, "<u4").tolist())).decode("utf-8", "replace")
+
+
 class Encoder(dict):
     """Packed ids (unsigned 32 bits, little-endian) by piece; unknown pieces are encoded on first sight."""
 
     def __init__(self, vocabulary: dict):
-        value = {c: b for b, c in enumerate(byte_alphabet())}
         ids = vocabulary["ids"]
-        self.data: dict[int, bytes] = {i: bytes(value[c] for c in s) for s, i in ids.items()}
+        self.data = token_bytes(vocabulary)
         self.special = vocabulary["special"]
-        self.data.update({i: s.encode() for s, i in self.special.items()})
         self.find = regex.compile(vocabulary["split"]).findall
         marks = sorted(self.special, key=len, reverse=True)
         self.marks = marks
@@ -128,13 +137,14 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, self.find(text)))
 
     def decode(self, packed: bytes) -> str:
-        return b"".join(map(self.data.__getitem__, np.frombuffer(packed, "<u4").tolist())).decode("utf-8", "replace")
+        return decode_packed(packed, self.data)
 
 
-def _work(docs: DataFrame, tokenizer_path: str):
+def _work(docs: DataFrame, tokenizer_path: str, name: str, build):
+    """What `build` makes of the vocabulary, once per process; encoding and decoding run in processes of their own."""
     vocabulary = read_vocabulary(tokenizer_path)
     shared, digest = docs.sparkSession.sparkContext.broadcast(vocabulary), vocabulary["digest"]
-    return lambda: per_process(("bpe", digest), lambda: Encoder(shared.value))
+    return lambda: per_process((name, digest), lambda: build(shared.value))
 
 
 def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -143,7 +153,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: list[
     Texts are encoded whole, special strings in them as their special ids. A null or empty text has no ids; repeated rows
     each give a row; input columns named `ids` or `n_tokens` are replaced. The vocabulary is broadcast (the file bounds it).
     """
-    encoder = _work(docs, tokenizer_path)
+    encoder = _work(docs, tokenizer_path, "bpe", Encoder)
 
     def make():
         own = encoder()
@@ -163,11 +173,11 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", keep: list
     Null or empty ids give an empty text; bytes that are no UTF-8 become the replacement character; a clashing input
     column `decoded` is replaced.
     """
-    encoder = _work(encoded, tokenizer_path)
+    pieces = _work(encoded, tokenizer_path, "bpe-pieces", token_bytes)
 
     def make():
-        own = encoder()
-        return lambda packed: [[own.decode(p) for p in packed]]
+        data = pieces()
+        return lambda packed: [[decode_packed(p, data) for p in packed]]
 
     columns = encoded.columns if keep is None else keep
     return map_texts(encoded, ids, columns, [("decoded", T.StringType())], make, empty=b"")
