@@ -20,7 +20,7 @@ BOOSTED_DEFAULTS = {"maxDepth": 6, "minInstancesPerNode": 5, "subsamplingRate":
 TRIALS = 20
 
 # Trees of each trial in the first round of a search.
-FIRST_TREES = 16
+FIRST_TREES = 8
 
 # Hidden layers of the perceptron.
 MLP_LAYERS = [256, 128, 64]
