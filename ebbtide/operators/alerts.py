@@ -44,19 +44,31 @@ def sustained(
     )
 
 
-def counter_increase(samples: DataFrame, keys: Sequence[str], ts: str, value: str, window_s: int) -> DataFrame:
+def counter_increase(samples: DataFrame, keys: Sequence[str], ts: str, value: str, window_s: int, ties: Sequence[str] = ()) -> DataFrame:
     """Add `increase` of a counter over the trailing window; a drop means it was reset to zero.
 
-    Only pairs of samples that both lie in the window count.
+    Only pairs of samples that both lie in the window count; `ties` order those of one moment. The steps of a window are the difference of two running totals: up
+    to its end, and at its first sample, which a probe at its start finds as the next one. A frame that slides would add all of
+    its rows up again for every row.
     """
-    copies = _looking_back(samples, ts, F.lit(window_s), 1)
-    series = W.partitionBy(*keys, "_bucket").orderBy(F.unix_micros(ts))
+    copies = _looking_back(samples, ts, F.lit(window_s), 1).withColumn("_at", F.unix_micros(ts))
+    bucket = W.partitionBy(*keys, "_bucket")
+    series, moments = bucket.orderBy("_at", *ties), bucket.orderBy("_at")
     before = F.lag(value).over(series)
     step = F.when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
-    stepped = copies.withColumn("_step", F.coalesce(step, F.lit(0)))
-    trailing = series.rangeBetween(-window_s * 1_000_000 + 1, W.currentRow)
-    increase = F.sum("_step").over(trailing) - F.first("_step").over(trailing)
-    return stepped.withColumn("increase", increase).where(F.col("_bucket") == F.col("_own")).select(*samples.columns, "increase")
+    # Samples of one moment are numbered, so that both windows see them in one order.
+    stepped = copies.withColumns({"_step": F.coalesce(step, F.lit(0)), "_no": F.row_number().over(series)})
+    numbered = bucket.orderBy("_at", "_no")
+    totals = stepped.withColumns({
+        "_total": F.sum("_step").over(numbered.rowsBetween(W.unboundedPreceding, W.currentRow)),
+        "_upto": F.sum("_step").over(moments.rangeBetween(W.unboundedPreceding, W.currentRow)),
+    })
+    own = F.col("_bucket") == F.col("_own")
+    probed = totals.withColumn("_probe", F.explode(F.when(own, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    place = F.when(F.col("_probe"), F.col("_at") - window_s * 1_000_000 + 1).otherwise(F.col("_at"))
+    backwards = bucket.orderBy(place.desc(), F.col("_probe"), F.col("_no").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    first = F.last(F.when(~F.col("_probe"), F.col("_total")), ignorenulls=True).over(backwards)
+    return probed.withColumn("increase", F.col("_upto") - first).where("_probe").select(*samples.columns, "increase")
 
 
 _COMPARE = {">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b, "==": lambda a, b: a == b}

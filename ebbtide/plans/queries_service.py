@@ -227,7 +227,7 @@ FROM (SELECT *, coalesce(CASE WHEN restarts < lag(restarts) OVER s THEN restarts
       FROM samples WINDOW s AS (PARTITION BY node ORDER BY ts))
 WINDOW w AS (PARTITION BY node ORDER BY ts RANGE BETWEEN INTERVAL '899.999999 seconds' PRECEDING AND CURRENT ROW)"""))
 def _(spark, sf):
-    risen = K.counter_increase(_samples(spark, sf), ["node"], "ts", "restarts", 900)
+    risen = K.counter_increase(_samples(spark, sf), ["node"], "ts", "restarts", 900, ["request_id"])
     return risen.select("request_id", "increase", (F.col("increase") > 3).alias("looping"))
 
 

@@ -342,6 +342,22 @@ def test_counter_with_reset(spark):
     assert got == {0: 0.0, 5: 2.0, 10: 3.0, 14: 6.0, 20: 3.0, 60: 0.0}
 
 
+def test_counter_in_a_dense_window(spark):
+    """Against brute force, with several samples at one moment; no frame slides, whose work grows with the square of the rows."""
+    rng = random.Random(8)
+    data = sorted((rng.randrange(3_000), no, rng.randrange(100)) for no in range(1_500))
+    df = spark.createDataFrame([(ts("2024-01-01") + dt.timedelta(seconds=s), no, v) for s, no, v in data], "ts timestamp, no int, v int")
+    risen = K.counter_increase(df.withColumn("key", F.lit("a")), ["key"], "ts", "v", 900, ["no"])
+    steps = [0] + [b if b < a else b - a for (_, _, a), (_, _, b) in zip(data, data[1:])]
+    want = {}
+    for s, no, _ in data:
+        seen = [step for (other, _, _), step in zip(data, steps) if s - 900 < other <= s]
+        want[no] = sum(seen) - seen[0]
+    assert {r["no"]: r["increase"] for r in risen.collect()} == want
+    plan = risen._jdf.queryExecution().optimizedPlan().toString()
+    assert "RangeFrame, -" not in plan and "RowFrame, unboundedpreceding" in plan
+
+
 def test_histogram_quantile(spark):
     log = spark.createDataFrame([("prod", ms) for ms in (5.0, 5.0, 8.0, 9000.0)], "env string, latency_ms double")
     histogram = H.latency_histogram(log)
