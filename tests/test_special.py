@@ -50,3 +50,12 @@ def test_any_level(spark, alpha):
 def test_values_at_the_edges(spark):
     rows = spark.createDataFrame([(0, 1.0), (1, 0.0), (1, -1.0), (1, None), (None, 1.0), (1, 5000.0)], "n int, x double")
     assert [r[0] for r in rows.select(chi_squared_p_value(F.col("x"), F.col("n"))).collect()] == [None, 1.0, 1.0, None, None, 0.0]
+
+
+@pytest.mark.parametrize("degrees, statistic", [(1502, 13556.826409041782), (9002, 81329.59020354219), (9002, 9200.0), (90002, 90500.0)])
+def test_many_degrees(spark, degrees, statistic):
+    """The whole series, from below its largest terms to far above them; one that stops after 2,000 terms gives 1 everywhere here."""
+    a, x = degrees / 2, statistic / 2
+    below = math.fsum(math.exp((a + n) * math.log(x) - x - math.lgamma(a + n + 1)) for n in range(60_000))
+    got = spark.createDataFrame([(statistic, degrees)], "s double, d int").select(chi_squared_p_value(F.col("s"), F.col("d"))).first()[0]
+    assert got == pytest.approx(1 - below, abs=1e-6)
