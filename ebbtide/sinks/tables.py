@@ -122,20 +122,33 @@ class VersionedTable:
         return self.commit(merged, sorted(touched, key=repr), at, batch)
 
     def compact(self, sort: Sequence[str], at: dt.datetime, target_bytes: int = TARGET_BYTES) -> int | None:
-        """Rewrite all live partitions into files of about `target_bytes`, sorted; content is unchanged."""
-        live = sorted(self._partitions_of(self._live().where(F.col("rows") > 0)), key=repr)
+        """Rewrite all live partitions into files of about `target_bytes`, sorted; content is unchanged.
+
+        A partition that fits into a file is one file.
+        """
+        live = sorted((tuple(row[c] for c in (*self.partitions, "version")) for row in self._live().where(F.col("rows") > 0).collect()), key=repr)
         if not live:
             return None
         # Sized by what is read now: older versions and the list of commits do not count.
-        bytes_now = sum(size_in_bytes(self.spark, folder) for folder in self.folders())
-        return self.commit(clustered(self.read(), self.partitions, sort, bytes_now, target_bytes), live, at, clustered_already=True)
+        sizes = {tuple(values): size_in_bytes(self.spark, self._folder(version, values)) for *values, version in live}
+        large = [values for values, size in sizes.items() if size > target_bytes]
+        placed = clustered(self.read(), self.partitions, sort, sum(sizes.values()), target_bytes, large)
+        return self.commit(placed, list(sizes), at, clustered_already=True)
 
 
-def clustered(df: DataFrame, partitions: Sequence[str], sort: Sequence[str], size: int, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Range-partitioned and sorted rows, as many tasks as files of the target size fit into `size` bytes."""
+def clustered(
+    df: DataFrame, partitions: Sequence[str], sort: Sequence[str], size: int, target_bytes: int = TARGET_BYTES, large: Sequence[tuple] = (),
+) -> DataFrame:
+    """Range-partitioned and sorted rows, as many tasks as files of the target size fit into `size` bytes.
+
+    Only the partitions named in `large` are cut along the sort columns: any other lies in one task and becomes one file.
+    """
     files = max(1, -(-size // target_bytes))
     order = [F.col(c) for c in (*partitions, *sort)]
-    return df.repartitionByRange(int(files), *order).sortWithinPartitions(*order)
+    cuts = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partitions, values)]) for values in large]
+    cut = reduce(lambda a, b: a | b, cuts) if cuts else F.lit(False)
+    ranges = [*(F.col(c) for c in partitions), *(F.when(cut, F.col(c)) for c in sort if cuts)]
+    return df.repartitionByRange(int(files), *ranges).sortWithinPartitions(*order)
 
 
 def expirable_versions(commits: DataFrame, as_of: Column, max_age_days: int = 7, keep: int = 10) -> DataFrame:

@@ -10,6 +10,7 @@ from ebbtide import schemas
 from ebbtide.operators import curate as C, merge as M
 from ebbtide.plans import jobs
 from ebbtide.sinks import tables as T, writers as W
+from ebbtide.sources.paths import size_in_bytes
 from ebbtide.sources import labels as L, raw as R, snapshots as N
 
 
@@ -113,6 +114,26 @@ def test_table_moves_keys_and_keeps_history(spark, folder):
     assert now() == after
 
 
+def test_compaction_cuts_only_what_exceeds_a_file(spark, folder):
+    """Three days of about the same size in files of up to one and a half days; then in files of less than a day."""
+    table = T.VersionedTable(spark, folder, TABLE, ["day"])
+    rows = spark.range(6000).select(
+        F.col("id").cast("string").alias("event_id"), F.col("id").cast("int").alias("value"), F.lit("2024-01-01").cast("timestamp").alias("_etl_timestamp"),
+        (F.col("id") % 3).cast("int").alias("day"))
+    table.upsert(rows, "event_id", "_etl_timestamp", ts("2024-01-01"))
+
+    def files():
+        placed = table.read().select("*", F.input_file_name().alias("file"))
+        return {r["day"]: r["files"] for r in placed.groupBy("day").agg(F.count_distinct("file").alias("files")).collect()}
+
+    day = max(size_in_bytes(spark, f) for f in table.folders())
+    table.compact(["event_id"], ts("2024-01-02"), target_bytes=day * 3 // 2)
+    assert files() == {0: 1, 1: 1, 2: 1}
+    table.compact(["event_id"], ts("2024-01-03"), target_bytes=day // 4)
+    assert all(n > 1 for n in files().values())
+    assert {(r["event_id"], r["day"]) for r in table.read().collect()} == {(str(i), i % 3) for i in range(6000)}
+
+
 def test_expirable_versions(spark):
     commits = spark.createDataFrame([(v, ts("2024-01-01") + dt.timedelta(days=v), v % 3) for v in range(1, 21)], "version int, committed_at timestamp, day int")
     old = T.expirable_versions(commits, F.lit("2024-01-22").cast("timestamp"), max_age_days=7, keep=10)
