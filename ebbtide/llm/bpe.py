@@ -7,6 +7,8 @@ read off along back-pointers, without merging anything.
 
 from __future__ import annotations
 
+from array import array
+
 import ahocorasick
 import numpy as np
 import regex
@@ -16,8 +18,9 @@ from pyspark.sql import types as T
 from .common import map_texts, per_process
 from .vocabulary import byte_alphabet, read_vocabulary
 
-# Ids of pieces up to this length are remembered, up to so many per task process.
-REMEMBERED_CHARS, REMEMBERED_PIECES = 48, 400_000
+# Ids of pieces up to this length are remembered, up to so many per task process: the newer half, and what was the newer half
+# before. The answers for so many pairs of tokens are remembered as well.
+REMEMBERED_CHARS, REMEMBERED_PIECES, REMEMBERED_PAIRS = 48, 400_000, 250_000
 
 NEVER = 1 << 60
 
@@ -38,6 +41,9 @@ class Encoder(dict):
 
     def __init__(self, vocabulary: dict):
         ids = vocabulary["ids"]
+        self.older: dict[str, bytes] = {}
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.answers = 0
         self.data = token_bytes(vocabulary)
         self.special = vocabulary["special"]
         self.find = regex.compile(vocabulary["split"]).findall
@@ -105,15 +111,27 @@ class Encoder(dict):
                         return False
         return True
 
+    def _answer(self, left: int, token: int) -> bool:
+        if self.answers >= REMEMBERED_PAIRS:
+            self.pairs.clear()
+            self.answers = 0
+        self.answers += 1
+        found = self.pairs.setdefault(left, {})[token] = self.compatible(left, token)
+        return found
+
     def piece(self, raw: bytes) -> list[int]:
+        none: dict[int, bool] = {}
         last: list[int] = [-1] * (len(raw) + 1)
         size: list[int] = [0] * (len(raw) + 1)
         for end, (token, length) in self.automaton.iter(raw.decode("latin-1")):
             end += 1
             if last[end] < 0:
-                before = end - length
-                if not before or self.compatible(last[before], token):
-                    last[end], size[end] = token, length
+                if length < end:
+                    left = last[end - length]
+                    fits = self.pairs.get(left, none).get(token)
+                    if not (self._answer(left, token) if fits is None else fits):
+                        continue
+                last[end], size[end] = token, length
         ids, at = [], len(raw)
         while at:
             ids.append(last[at])
@@ -121,9 +139,12 @@ class Encoder(dict):
         return ids[::-1]
 
     def __missing__(self, piece: str) -> bytes:
-        packed = np.array(self.piece(piece.encode()), "<u4").tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            packed = array("I", self.piece(piece.encode())).tobytes()
         if len(piece) <= REMEMBERED_CHARS:
-            if len(self) >= REMEMBERED_PIECES:
+            if 2 * len(self) >= REMEMBERED_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed

@@ -76,3 +76,21 @@ def test_other_models_are_refused(tmp_path):
     path.write_text('{"model": {"type": "Unigram"}, "pre_tokenizer": null}')
     with pytest.raises(ValueError):
         read_vocabulary(str(path))
+
+
+def test_pairs_are_judged_once_and_bounds_change_nothing(monkeypatch):
+    """New words meet pairs of tokens that others had; small memories, turned over many times, give the same ids."""
+    library = Tokenizer.from_file(BYTE)
+    words = [f" {a}{b}{c}" for a in ("re", "an", "thou") for b in ("tion", "ea", "onou", "ly") for c in ("s", "ing", "neth", "er", "wh")]
+    text = "".join(words) * 2
+    plain = bpe.Encoder(read_vocabulary(BYTE))
+    asked, judge = [], bpe.Encoder.compatible
+    monkeypatch.setattr(bpe.Encoder, "compatible", lambda self, *pair: asked.append(pair) or judge(self, *pair))
+    ids = plain.encode(text)
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(asked) == len(set(asked))
+    monkeypatch.setattr(bpe, "REMEMBERED_PIECES", 6)
+    monkeypatch.setattr(bpe, "REMEMBERED_PAIRS", 5)
+    small = bpe.Encoder(read_vocabulary(BYTE))
+    assert small.encode(text) == ids
+    assert len(small) <= 3 and len(small.older) <= 3 and sum(map(len, small.pairs.values())) <= 5
