@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import LABEL
-from ..session import cut_lineage
+from ..session import cut_lineage, dealt
 from . import prep
 from .boosting import MOST_TREES, PATIENCE, Fitted, fit_with_patience
 
@@ -49,19 +49,19 @@ def balanced(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def fit_inputs(split: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
-    """Model inputs of all rows, stored, with scaler and encoders fitted on the training rows only."""
+    """Model inputs of all rows, stored in even parts, with scaler and encoders fitted on the training rows only."""
     split = cut_lineage(split, "split")
     train = prep.fill_missing(split.where(F.col("split") == "train"))
     scaler = prep.fit_scaler(train)
     encoders = {c: prep.fit_encoder(train, c) for c in prep.CATEGORICAL_FEATURES}
     inputs = prep.assemble(prep.prepare_inputs(split, scaler, encoders))
-    return cut_lineage(inputs, "inputs"), scaler, encoders
+    return cut_lineage(dealt(inputs), "inputs"), scaler, encoders
 
 
 def boosted_rows(inputs: DataFrame) -> DataFrame:
-    """Weighted train and validation rows, stored: every fit and every look at the losses reads them."""
+    """Weighted train and validation rows, stored in even parts: every fit and every look at the losses reads them."""
     rows = weighted(inputs.where(F.col("split").isin("train", "validation"))).select("features", LABEL, "weight", "split")
-    return cut_lineage(rows, "boosted")
+    return cut_lineage(dealt(rows), "boosted")
 
 
 def fit_boosted(rows: DataFrame, patience: int = PATIENCE, seed: int = 42, **params) -> Fitted:

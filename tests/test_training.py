@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -119,3 +120,12 @@ def test_network_without_a_judgement(spark):
     rows = T.boosted_rows(planted(spark, 60)).where("split = 'train'").drop("split")
     net = N.train_network(rows, rows.limit(0), 3, (4,), epochs=3)
     assert len(net.history) == 3 and net.best_epoch == 3 and all(math.isnan(a) for _, a, _ in net.history)
+
+
+def test_rows_of_one_file_are_trained_by_several_tasks(spark):
+    """Few bytes made one file and one task, whatever the cores; a small table stays in one part."""
+    for n, parts in ((4 * 2048, 4), (100, 1)):
+        rows = cut_lineage(spark.range(n).coalesce(1).select(
+            array_to_vector(F.array(F.col("id").cast("double"))).alias("features"), (F.col("id") % 2).cast("int").alias(LABEL), F.lit("train").alias("split")), "one")
+        held = T.boosted_rows(rows).groupBy(F.spark_partition_id()).count().collect()
+        assert len(held) == parts and sum(r["count"] for r in held) == n and max(r["count"] for r in held) <= n / parts + 8
