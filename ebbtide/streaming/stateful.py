@@ -73,32 +73,52 @@ def silent_by_timer(events: DataFrame, source: str, time: str = "event_timestamp
 FIRST, REPEATED, LATE = "first", "repeated", "late"
 
 
+# Fixed value: groups of ids. The ids of a group are one state, so that a batch costs a few calls to the store per group and not
+# per id. It may not change under a checkpoint.
+BUCKETS = 4096
+
+
 class _Fates(StatefulProcessor):
-    """Whether a delivery is the first of its id, a repetition, or behind the watermark."""
+    """Whether a delivery is the first of its id, a repetition, or behind the watermark; for the ids of one bucket."""
 
-    def __init__(self, columns: list[str], keep_ms: int):
-        self.columns, self.keep_ms = columns, keep_ms
+    def __init__(self, columns: list[str], key: str, kind: T.DataType, keep_ms: int):
+        self.columns, self.key, self.kind, self.keep_ms = columns, columns.index(key), kind, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("yes", T.BooleanType())]))
+        # The ids that were seen, and until when each is remembered.
+        fields = [T.StructField("ids", T.ArrayType(self.kind)), T.StructField("until", T.ArrayType(T.LongType()))]
+        self.held = handle.getValueState("held", T.StructType(fields))
+
+    def _seen(self) -> dict:
+        return dict(zip(*self.held.get())) if self.held.exists() else {}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
+        watermark, seen, row = timerValues.getCurrentWatermarkInMs(), self._seen(), Row(*self.columns, "fate")
+        known, earliest, at_index = len(seen), min(seen.values(), default=None), self.columns.index("_at")
         for r in rows:
-            at = r["_at"]
+            at, name = r[at_index], r[self.key]
             if at is None or _ms(at) < watermark:
                 fate = LATE
-            elif self.seen.exists():
+            elif name in seen:
                 fate = REPEATED
             else:
                 fate = FIRST
-                self.seen.update((True,))
-                self.handle.registerTimer(_ms(at) + self.keep_ms)
-            yield Row(**{c: r[c] for c in self.columns}, fate=fate)
+                seen[name] = _ms(at) + self.keep_ms
+            yield row(*r[: len(self.columns)], fate)
+        if len(seen) > known:
+            self.held.update((list(seen), list(seen.values())))
+            if earliest is None or min(seen.values()) < earliest:
+                self.handle.registerTimer(min(seen.values()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.seen.clear()
+        passed = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        seen = {name: until for name, until in self._seen().items() if until > passed}
+        if seen:
+            self.held.update((list(seen), list(seen.values())))
+            self.handle.registerTimer(min(seen.values()))
+        else:
+            self.held.clear()
         return iter([])
 
     def close(self) -> None:
@@ -110,7 +130,7 @@ def with_fate(events: DataFrame, key: str = "event_id", time: str = "event_times
 
     Rows behind the watermark, which trails the newest event by `hours`, are not dropped but marked late, as are rows without
     a time; an id is forgotten once the watermark has passed its first delivery by as much again. No row is lost: the three
-    fates together are the input.
+    fates together are the input. Ids are remembered in BUCKETS groups; a task holds the ids of one group at a time.
     """
     with_state_store(events.sparkSession)
     span = f"{int(hours * 3600)} seconds"
@@ -118,8 +138,9 @@ def with_fate(events: DataFrame, key: str = "event_id", time: str = "event_times
     # The time as a number carries no watermark, so that late rows reach the operator.
     copied = marked.select(*[c for c in events.columns if c != time], F.unix_micros(time).alias("_at"))
     schema = T.StructType([*copied.schema.fields, T.StructField("fate", T.StringType())])
-    found = copied.groupBy(key).transformWithState(
-        statefulProcessor=_Fates(copied.columns, int(hours * 3600_000)), outputStructType=schema, outputMode="Append", timeMode="EventTime",
+    found = copied.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS))).groupBy("_bucket").transformWithState(
+        statefulProcessor=_Fates(copied.columns, key, copied.schema[key].dataType, int(hours * 3600_000)), outputStructType=schema,
+        outputMode="Append", timeMode="EventTime",
     )
     return found.select(*[F.timestamp_micros("_at").alias(c) if c == time else F.col(c) for c in events.columns], "fate")
 

@@ -64,6 +64,29 @@ def test_late_rows_are_kept_aside(spark, folder):
     assert ids("out") == ["a", "b", "c", "d"] and ids("late") == ["none", "old", "old"]
 
 
+def test_ids_are_remembered_in_few_states(spark, folder, monkeypatch):
+    """Many ids, few states; each id is known, forgotten and known again by itself."""
+    monkeypatch.setattr(Y, "BUCKETS", 4)
+
+    def run():
+        stream = spark.readStream.schema(EVENTS).parquet(f"{folder}/events")
+        query = Y.start_with_late_table(stream, f"{folder}/out", f"{folder}/late", f"{folder}/mark", available_now=True)
+        query.awaitTermination()
+        return [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+
+    day = [(f"e{i}", ts("2024-01-01") + dt.timedelta(minutes=i), "x") for i in range(300)]
+    put(spark, folder, "events", [*day, *day], EVENTS)
+    held = run()
+    assert held and max(held) <= 30
+    # The watermark passes e0 to e99 by as much again, so that these are new when they come back.
+    put(spark, folder, "events", [("new", ts("2024-01-01T01:40:00") + dt.timedelta(hours=50, seconds=-1), "x")], EVENTS)
+    run()
+    put(spark, folder, "events", [(e, ts("2024-01-03"), "x") for e, _, _ in day], EVENTS)
+    run()
+    out = {r["event_id"]: r["count"] for r in spark.read.parquet(f"{folder}/out").groupBy("event_id").count().collect()}
+    assert out == {"new": 1, **{f"e{i}": 2 if i < 100 else 1 for i in range(300)}}
+
+
 SAMPLE = "metric string, series string, ts timestamp, value double"
 
 
