@@ -47,9 +47,21 @@ def _value(call: Column, *paths: str, default: str) -> Column:
     return F.coalesce(*[F.try_variant_get(call, path, "variant") for path in paths], F.parse_json(F.lit(default)))
 
 
+def _parsed(calls: DataFrame, value: str, wanted: Column | None = None) -> DataFrame:
+    """Add `_text` and `e`, the value of a call if wanted, NULL where there is none.
+
+    One explode of a one-element array: what is asked of `e` later is not pushed below it, so that a call is read once.
+    """
+    read = F.try_parse_json(value) if wanted is None else F.when(wanted, F.try_parse_json(value))
+    return calls.select("*", F.col(value).alias("_text"), F.explode(F.array(read)).alias("e"))
+
+
 def normalize_segment(calls: DataFrame, received_at: Column, value: str = "value") -> DataFrame:
     """One event per call."""
-    raw = calls.select(F.col(value).alias("_text"), F.try_parse_json(value).alias("e")).where(F.col("e").isNotNull())
+    return _segment_events(_parsed(calls, value).where(F.col("e").isNotNull()), received_at)
+
+
+def _segment_events(raw: DataFrame, received_at: Column) -> DataFrame:
     e = F.col("e")
     kind = F.coalesce(_text(e, "$.type"), F.lit("track"))
     event_type = F.when(kind == "track", F.coalesce(_text(e, "$.event"), F.lit(DEFAULT_TYPE))).otherwise(
@@ -74,8 +86,11 @@ def normalize_segment(calls: DataFrame, received_at: Column, value: str = "value
 
 def normalize_amplitude(calls: DataFrame, value: str = "value") -> DataFrame:
     """One event per element of a call's batch."""
-    events = F.try_variant_get(F.try_parse_json(value), "$.events", "array<variant>")
-    raw = calls.select(F.col(value).alias("_text"), F.posexplode(events).alias("_pos", "e"))
+    return _amplitude_events(calls.select(F.col(value).alias("_text"), F.try_parse_json(value).alias("e")))
+
+
+def _amplitude_events(read: DataFrame) -> DataFrame:
+    raw = read.select("_text", F.posexplode(F.try_variant_get("e", "$.events", "array<variant>")).alias("_pos", "e"))
     e = F.col("e")
     named = F.replace(F.lower(F.coalesce(_text(e, "$.event_type"), F.lit(DEFAULT_TYPE))), F.lit(" "), F.lit("_"))
     moment = F.timestamp_millis(F.coalesce(F.try_variant_get(e, "$.time", "bigint"), F.lit(0)))
@@ -96,18 +111,18 @@ def normalize_amplitude(calls: DataFrame, value: str = "value") -> DataFrame:
     })
 
 
-def readable(calls: DataFrame, value: str = "value") -> Column:
-    kind = F.schema_of_variant(F.try_parse_json(value))
-    return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+def _is_object(text: Column) -> Column:
+    """Of text that is JSON: whether it is an object; blanks are those of JSON."""
+    return F.ltrim(text, F.lit(" \t\n\r")).startswith("{")
 
 
 def dispatch(calls: DataFrame, received_at: Column, source: str = "source", value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(events, rejected): each call normalised by its source; other sources and unreadable bodies are rejected."""
     known = F.coalesce(F.col(source).isin("segment", "amplitude"), F.lit(False))
-    judged = calls.withColumn("_ok", readable(calls, value))
+    judged = _parsed(calls, value, known).withColumn("_ok", F.coalesce(F.col("e").isNotNull() & _is_object(F.col("_text")), F.lit(False)))
     good = judged.where(known & F.col("_ok"))
-    events = normalize_segment(good.where(F.col(source) == "segment"), received_at, value).unionByName(
-        normalize_amplitude(good.where(F.col(source) == "amplitude"), value)
+    events = _segment_events(good.where(F.col(source) == "segment"), received_at).unionByName(
+        _amplitude_events(good.where(F.col(source) == "amplitude"))
     )
     reason = F.when(~known, "unknown_source").otherwise("invalid_json")
     rejected = judged.where(~known | ~F.col("_ok")).select(

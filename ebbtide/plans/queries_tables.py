@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 
 from .. import schemas
 from ..operators import curate as C, features as X, ingest as I, validate as V, webhooks as K
-from ..session import cut_lineage, scratch_dir
+from ..session import cut_lineage, dealt, scratch_dir
 from ..sinks import tables as T, writers as W
 from ..sources import labels as L, raw as R, snapshots as N
 from ..streaming import ingest as S, stateful as Y
@@ -264,7 +264,7 @@ def _(spark, sf):
 
 
 def _segment_calls(spark, sf):
-    base, k = A.with_customer(spark, sf), F.col("k")
+    base, k = dealt(A.with_customer(spark, sf)), F.col("k")
     types = F.array(*[F.lit(t) for t in ("track", "identify", "page", "screen", "group", "alias")])
     kind = F.get(types, k % 7)
     return base.select("id", F.to_json(F.struct(
@@ -324,7 +324,7 @@ def _(spark, sf):
 
 def _amplitude_calls(spark, sf):
     """Calls with one to three events each."""
-    base, k = A.with_customer(spark, sf), F.col("k")
+    base, k = dealt(A.with_customer(spark, sf)), F.col("k")
 
     def event(i):
         return F.struct(

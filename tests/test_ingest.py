@@ -1,6 +1,7 @@
 """Wire events and webhooks, against results written by hand."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +157,15 @@ def test_dispatch(spark):
     events, rejected = K.dispatch(calls, F.lit("2024-01-01").cast("timestamp"))
     assert sorted(r["customer_id"] for r in events.collect()) == ["u", "v"]
     assert sorted(r["error_type"] for r in rejected.collect()) == ["invalid_json", "unknown_source", "unknown_source"]
+
+
+def test_webhook_calls_are_read_once(spark, folder):
+    """The filter on what was read used to read every call again; the outcome is told from the text and its one value."""
+    bodies = ["\t\n {}", "{", "[1]", "null", None, " 7", '{"events":[{"event_id":"a"},{}]}']
+    spark.createDataFrame([(b, "amplitude") for b in bodies], "value string, source string").coalesce(1).write.parquet(f"{folder}/calls")
+    calls = spark.read.parquet(f"{folder}/calls")
+    received = F.lit("2024-01-01").cast("timestamp")
+    plan = K.normalize_segment(calls, received)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"parseJson\(value#", plan)) == 1
+    events, rejected = K.dispatch(calls, received)
+    assert events.count() == 2 and rejected.where("reason = 'invalid_json'").count() == 5
