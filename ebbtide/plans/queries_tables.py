@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import Window, functions as F
 
@@ -61,9 +62,15 @@ def _(spark, sf):
     return _per_hour(spark.read.schema(schemas.RAW_EVENT).parquet(out))
 
 
+# Fixed value: lines of a wire file.
+FILE_LINES = 1 << 18
+
+
 def _written_wire(spark, sf, files=4):
+    """Wire text in `files` files, more of them for more lines."""
     path = scratch_dir(spark, "wire")
-    A.wire_lines(spark, sf).select("value").repartition(files).write.text(path)
+    lines = A.wire_lines(spark, sf).select("value")
+    lines.repartition(max(files, math.ceil(lines.count() / FILE_LINES))).write.text(path)
     return path
 
 
@@ -390,9 +397,7 @@ def _(spark, sf):
     # The batch is repeated after midnight, as after a failure before its commit: nothing may count twice.
     lines = spark.read.text(wire)
     moment = S.batch_moment(spark, f"{mark}-moments", 0, lambda: next(moments))
-    routed = I.route_events(lines)
-    W.write_raw(I.accepted(routed, F.lit(moment).cast("timestamp")), raw, "b0")
-    W.write_quarantine(I.rejected(routed, F.lit(moment).cast("timestamp")), bad, "b0")
+    S.write_batch(lines, 0, raw, bad, F.lit(moment).cast("timestamp"))
 
     def counted(df, result):
         return df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(result).alias("result"), "records")

@@ -74,6 +74,16 @@ def now_utc() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+def write_batch(lines: DataFrame, batch_id: int, raw_path: str, quarantine_path: str, now: Column) -> None:
+    """Route a batch of text lines, once for both sinks, into partitions named after it; a repeated attempt replaces them."""
+    routed = route_events(lines).persist()
+    try:
+        write_raw(accepted(routed, now), raw_path, f"b{batch_id}")
+        write_quarantine(rejected(routed, now), quarantine_path, f"b{batch_id}")
+    finally:
+        routed.unpersist()
+
+
 def start_ingest(
     lines: DataFrame, raw_path: str, quarantine_path: str, checkpoint: str, available_now: bool = False,
     clock: Callable[[], dt.datetime] = now_utc,
@@ -88,12 +98,7 @@ def start_ingest(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         now = F.lit(batch_moment(spark, f"{checkpoint}-moments", batch_id, clock)).cast("timestamp")
-        routed = route_events(batch).persist()
-        try:
-            write_raw(accepted(routed, now), raw_path, f"b{batch_id}")
-            write_quarantine(rejected(routed, now), quarantine_path, f"b{batch_id}")
-        finally:
-            routed.unpersist()
+        write_batch(batch, batch_id, raw_path, quarantine_path, now)
 
     writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _triggered(writer, available_now).start()

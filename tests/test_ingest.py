@@ -169,3 +169,18 @@ def test_webhook_calls_are_read_once(spark, folder):
     assert len(re.findall(r"parseJson\(value#", plan)) == 1
     events, rejected = K.dispatch(calls, received)
     assert events.count() == 2 and rejected.where("reason = 'invalid_json'").count() == 5
+
+
+def test_a_batch_is_routed_once_for_both_sinks(spark, folder):
+    from ebbtide.streaming import ingest as S
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(i):
+        seen.add(1)
+        return json.dumps({"event_id": str(i), "customer_id": "c", "event_type": "login", "timestamp": "2024-01-01T00:00:00Z"}) if i % 4 else "{"
+
+    for _ in range(2):
+        S.write_batch(spark.range(40).select(read("id").alias("value")), 0, f"{folder}/raw", f"{folder}/bad", F.lit("2024-01-31").cast("timestamp"))
+    assert seen.value == 80 and spark.read.parquet(f"{folder}/raw").count() == 30 and spark.read.parquet(f"{folder}/bad").count() == 10
