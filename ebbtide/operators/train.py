@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..constants import LABEL
 from ..session import cut_lineage, dealt
 from . import prep
-from .boosting import MOST_TREES, PATIENCE, Fitted, fit_with_patience
+from .boosting import MOST_TREES, PATIENCE, Fitted, fit_trees, fit_with_patience
 
 # Defaults of the boosted trees, and how many trials a search makes.
 BOOSTED_DEFAULTS = {"maxDepth": 6, "minInstancesPerNode": 5, "subsamplingRate": 0.8, "stepSize": 0.05, "maxIter": MOST_TREES}
@@ -64,10 +64,10 @@ def boosted_rows(inputs: DataFrame) -> DataFrame:
     return cut_lineage(dealt(rows), "boosted")
 
 
-def fit_boosted(rows: DataFrame, patience: int = PATIENCE, seed: int = 42, **params) -> Fitted:
+def fit_boosted(rows: DataFrame, patience: int = PATIENCE, seed: int = 42, begun=None, **params) -> Fitted:
     """Boosted trees of stored rows, stopped after `patience` rounds without gain on the validation rows."""
     train, validation = (rows.where(F.col("split") == part).drop("split") for part in ("train", "validation"))
-    return fit_with_patience(train, validation, patience, seed, **{**BOOSTED_DEFAULTS, **params})
+    return fit_with_patience(train, validation, patience, seed, begun, **{**BOOSTED_DEFAULTS, **params})
 
 
 def train_boosted(inputs: DataFrame, patience: int = PATIENCE, seed: int = 42, **params):
@@ -98,32 +98,33 @@ def draw_trials(trials: int, seed: int = 42, space: dict = SEARCH_SPACE) -> list
     return [{name: draw(*limits) for name, limits in space.items()} for _ in range(trials)]
 
 
-def search(inputs: DataFrame, trials: Sequence[dict], first_trees: int = FIRST_TREES, parallelism: int = 4, seed: int = 42):
+def search(inputs: DataFrame, trials: Sequence[dict], first_trees: int = FIRST_TREES, parallelism: int = TRIALS, seed: int = 42):
     """(model, trial, AUC) of the trial that ranks the validation rows best, by successive halving; trained on train rows only.
 
     All trials begin with `first_trees` trees. The better half of a round goes on with twice as many, until one is left; that
-    one is trained in full and stopped like any training. All fits read the same stored rows; the driver starts a few at a
-    time and keeps no model of a trial that has dropped out.
+    one is trained in full and stopped like any training, from its last ensemble on. All fits read the same stored rows. A fit
+    is a chain of small jobs that leave most cores idle, so the trials of a round go side by side; no model of a trial that has
+    dropped out is kept.
     """
-    from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
     judge = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC")
     rows = boosted_rows(inputs)
     train, validation = (rows.where(F.col("split") == part).drop("split") for part in ("train", "validation"))
 
-    def attempt(trial: dict, trees: int) -> float:
-        params = {**BOOSTED_DEFAULTS, **trial, "maxIter": min(trees, trial.get("maxIter", trees))}
-        model = GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight", seed=seed, **params).fit(train)
-        return judge.evaluate(model.transform(validation))
+    def attempt(trial: dict, trees: int) -> tuple:
+        params = {**BOOSTED_DEFAULTS, **trial}
+        model = fit_trees(train, min(trees, trial.get("maxIter", trees)), seed, **params)
+        return judge.evaluate(model.transform(validation)), model
 
-    alive, trees = list(trials), first_trees
+    alive, trees, begun = list(trials), first_trees, None
     with ThreadPoolExecutor(parallelism) as pool:
         while len(alive) > 1:
             found = list(pool.map(inheritable_thread_target(inputs.sparkSession)(attempt), alive, [trees] * len(alive)))
-            order = sorted(range(len(alive)), key=lambda i: -found[i])
+            order = sorted(range(len(alive)), key=lambda i: -found[i][0])
+            begun = found[order[0]][1]
             alive, trees = [alive[i] for i in order[: (len(alive) + 1) // 2]], 2 * trees
-    fitted = fit_boosted(rows, seed=seed, **alive[0])
+    fitted = fit_boosted(rows, seed=seed, begun=begun, **alive[0])
     return fitted.model, alive[0], judge.evaluate(fitted.model.transform(validation))
 
 
