@@ -6,8 +6,9 @@ rank, and looks up the two pairs that are new; in a long word all occurrences of
 The rank map is a literal: an array of small maps, found by the pair's hash.
 
 Texts never travel. The distinct words of a bounded number of texts are folded once and sent to the tasks; a task cuts its
-texts into words, takes what is known from there and leaves the other words of each text to a fold beside it. Which words are
-known changes speed only. Decoding concatenates the tokens' bytes.
+texts into words, takes what is known from there and leaves the other words to a fold beside the text that has them first: two
+characters beyond those of the tokens stand for each, here and in the task's later texts. Which words are known or remembered
+changes speed only. Decoding joins the tokens' bytes, one character each, from a literal array.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import base64
 import json
 import uuid
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts, only_used, per_process, session, unused
+from .common import cut_lineage, map_texts, only_used, per_process, session, unused
 from .vocabulary import PIECES
 
 # Maps of the rank table. Texts that frequent words are looked for in, how many words are known at most, and the most bytes of
@@ -37,8 +38,11 @@ MAPS, SAMPLED, KNOWN, KNOWN_BYTES = 1 << 16, 20_000, 1 << 20, 32
 # Pairs from which on all occurrences are replaced at once: looking all pairs up again is then the lesser work.
 LONG = 64
 
-# Stands for a word that is not known; no token has this character.
-UNKNOWN = "\U0010fffd"
+# Known words that a task remembers, and words left to the fold that it remembers; one text may have more.
+REMEMBERED, LEFT = 1 << 17, 1 << 18
+
+# A left word's number is written in two digits of this base (the first one may be greater).
+DIGITS = 1 << 12
 
 FIRST, SURROGATES, SURROGATE_COUNT = 0x100, 0xD800, 0x800
 
@@ -62,7 +66,7 @@ def _split_once(token: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 
 @lru_cache(maxsize=2)
 def read_ranks(path: str) -> dict:
-    """Tokens by rank, and the rank map as JSON; bounded by the file.
+    """Tokens by rank, also as JSON with one character per byte, and the rank map as JSON; bounded by the file.
 
     The file has to hold all single bytes, and each longer token has to be the merge of two tokens that lower ranks lead
     to: then merges never go back to a lower rank, and each token comes from one pair. Else a ValueError is raised.
@@ -83,7 +87,8 @@ def read_ranks(path: str) -> dict:
             pair = symbol[parts[0]] + symbol[parts[1]]
             maps[xxhash.xxh64_intdigest(pair.encode(), seed=42) % MAPS][pair] = symbol[token]
     content = [tokens[r] for r in range(len(tokens))]
-    return {"maps": json.dumps(maps), "bytes": [ranks[bytes([b])] for b in range(256)], "tokens": content, "digest": xxhash.xxh64_hexdigest(b"\0".join(content))}
+    pieces = json.dumps([t.decode("latin-1") for t in content])
+    return {"maps": json.dumps(maps), "bytes": [ranks[bytes([b])] for b in range(256)], "tokens": content, "pieces": pieces}
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -107,7 +112,10 @@ def merged(word: Column, maps: Column) -> Column:
         return F.struct(s.alias("s"), pairs.alias("pairs"))
 
     def paired(s: Column) -> Column:
-        return _let(F.split(s, ""), lambda c: F.zip_with(F.slice(c, 1, F.length(s) - 1), F.slice(c, 2, F.length(s)), lambda a, b: joined(F.concat(a, b))))
+        n = F.length(s)
+        if_long = _let(F.split(s, ""), lambda c: F.zip_with(F.slice(c, 1, n - 1), F.slice(c, 2, n), lambda a, b: joined(F.concat(a, b))))
+        # A piece of a string is sought from its start: cheap only in a short one.
+        return F.when(n < LONG, F.transform(F.sequence(F.lit(1), n - 1), lambda i: joined(F.substring(s, i, 2)))).otherwise(if_long)
 
     def step(x: Column, _: Column) -> Column:
         s, pairs = x["s"], x["pairs"]
@@ -137,7 +145,34 @@ def merged(word: Column, maps: Column) -> Column:
 FREQUENT_FIRST = {PIECES: r""" ?\p{L}+| ?\p{N}+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""}
 
 
-def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict) -> dict[str, str]:
+class Known(Mapping):
+    """Words with their folded forms in flat arrays, sorted by the words' hashes: no object per word, wherever they are sent."""
+
+    def __init__(self, keys: pa.Array, words: pa.Array, codes: pa.Array):
+        order = np.argsort(keys.to_numpy())
+        self.keys, self.words, self.codes = keys.to_numpy()[order], words.take(pa.array(order)), codes.take(pa.array(order))
+
+    def forms(self, words: list[str]) -> list[str | None]:
+        """Of each word, None where it is not known. Of words with the same hash one is found, the others are not known."""
+        if not len(self.keys):
+            return [None] * len(words)
+        keys = np.array([xxhash.xxh64_intdigest(w, seed=42) for w in words], np.uint64).view(np.int64)
+        at = pa.array(np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1))
+        return [code if w == found else None for w, found, code in zip(words, self.words.take(at).to_pylist(), self.codes.take(at).to_pylist())]
+
+    def __getitem__(self, word: str) -> str:
+        if (code := self.forms([word])[0]) is None:
+            raise KeyError(word)
+        return code
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.words.to_pylist())
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+
+def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict) -> Known:
     """The words of about SAMPLED texts with their folded forms: about KNOWN of at most KNOWN_BYTES bytes, the frequent ones first."""
     texts = docs.select(F.col(f"`{text}`").alias("text")).filter(F.col("text") != "")
     share = SAMPLED / max(1, texts.count())
@@ -155,6 +190,7 @@ def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict) -> dic
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
     words = chosen.mapInArrow(run, "word string, n long").filter(F.octet_length("word") <= KNOWN_BYTES).groupBy("word").agg(F.sum("n").alias("n"))
+    words = cut_lineage(words, "words")  # read twice
     # The least count that still fits, and what share of the words of the next count does.
     least, room, part = 1, KNOWN, 0.0
     for row in words.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect():  # as many rows as there are counts
@@ -166,18 +202,8 @@ def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict) -> dic
     kept = words.filter((F.col("n") >= least) | ((F.col("n") == least - 1) & lucky)).select("word")
     # A fold is dear for its bytes: as many tasks as any shuffle has.
     kept = kept.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
-    found = kept.select("word", F.get(folded(F.array("word"), ranks), F.lit(0)).alias("code")).toArrow()
-    return dict(zip(found["word"].to_pylist(), found["code"].to_pylist()))
-
-
-class Known(dict):
-    """Folded forms of words; others are listed in `left`."""
-
-    left: list[str]
-
-    def __missing__(self, word: str) -> str:
-        self.left.append(word)
-        return UNKNOWN
+    found = kept.select("word", F.get(folded(F.array("word"), ranks), F.lit(0)).alias("code"), F.xxhash64("word").alias("key")).toArrow()
+    return Known(*(found[c].combine_chunks() for c in ("key", "word", "code")))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -191,34 +217,64 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
     ranks, pattern = read_ranks(ranks_path), FREQUENT_FIRST.get(pattern, pattern)
     words = spark.sparkContext.broadcast(frequent_words(docs, text, pattern, ranks))
     run = uuid.uuid4().hex  # each call has words of its own
-    code, left, both = (unused(docs, f"__{n}") for n in ("code", "left", "both"))
+    code, left, base, both = (unused(docs, f"__{n}") for n in ("code", "left", "base", "both"))
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "n_tokens")]
     single = np.array(ranks["bytes"], np.uint32)
+    beyond = max(0x10000, _code_point(len(ranks["tokens"])))  # no token has this character or a later one
 
     def cut():
-        known = per_process(("known", run), lambda: Known(words.value))
+        known = per_process(("known", run), lambda: words.value)
         find = regex.compile(pattern).findall
+        forms: dict[str, str] = {}  # of known words, and the digits of those that are left
+        count = 0
+
+        def one(t: str) -> tuple[str, list[str], int]:
+            """The text's characters, the words that are left to the fold now, and how many were left before."""
+            nonlocal forms, count
+            own = find(t)
+            words = set(own)
+            new = list(words.difference(forms))
+            if count + len(new) > LEFT:
+                forms, count, new = {}, 0, list(words)
+            elif len(forms) - count + len(new) > REMEMBERED:  # known words are found again
+                forms = {w: form for w, form in forms.items() if ord(form[0]) >= beyond}
+                new = list(words.difference(forms))
+            rest, begin = [], count
+            for w, form in zip(new, known.forms(new)):
+                if form is None:
+                    form = chr(beyond + count // DIGITS) + chr(beyond + count % DIGITS)
+                    count += 1
+                    rest.append(w)
+                forms[w] = form
+            return "".join(map(forms.__getitem__, own)), rest, begin
+
+        return lambda texts: [list(c) for c in zip(*map(one, texts))] if texts else [[], [], []]
 
-        def work(texts):
-            codes, rest = [], []
-            for t in texts:
-                known.left = []
-                codes.append("".join(map(known.__getitem__, find(t))))
-                rest.append(known.left)
-            return [codes, rest]
+    def join():
+        pool, ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # characters of the task's left words, and where each ends
 
-        return work
+        def points(codes: list[str]) -> np.ndarray:
+            return np.frombuffer("".join(codes).encode("utf-32-le"), np.uint32)
 
-    def join():
         def one(row) -> np.ndarray:
-            s = row[code]
+            nonlocal pool, ends
+            if row[base] + 1 < len(ends):  # the task began anew
+                pool, ends = pool[: ends[row[base]]], ends[: row[base] + 1]
             if row[left]:
-                parts = s.split(UNKNOWN)
-                s = "".join(x for pair in zip(parts, [*row[left], ""]) for x in pair)
-            points = np.frombuffer(s.encode("utf-32-le"), np.uint32)
-            ids = points - np.uint32(FIRST) - np.where(points >= SURROGATES, np.uint32(SURROGATE_COUNT), np.uint32(0))
-            low = points < FIRST
-            ids[low] = single[points[low]]
+                pool = np.concatenate([pool, points(row[left])])
+                ends = np.concatenate([ends, ends[-1] + np.cumsum([len(w) for w in row[left]])])
+            own = points([row[code]])
+            at = np.flatnonzero(own >= beyond)
+            if len(at):
+                digit = own[at].astype(np.int64) - beyond
+                word = digit[::2] * DIGITS + digit[1::2]
+                sizes, begins = np.ones(len(own), np.int64), np.arange(len(own)) + len(pool)
+                sizes[at[::2]], sizes[at[1::2]], begins[at[::2]] = ends[word + 1] - ends[word], 0, ends[word]
+                shift = begins - (np.cumsum(sizes) - sizes)
+                own = np.concatenate([pool, own])[np.arange(sizes.sum()) + np.repeat(shift, sizes)]
+            ids = own - np.uint32(FIRST) - np.where(own >= SURROGATES, np.uint32(SURROGATE_COUNT), np.uint32(0))
+            low = own < FIRST
+            ids[low] = single[own[low]]
             return ids.view(np.int32)
 
         def work(rows):
@@ -227,22 +283,26 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
 
         return work
 
-    listed = T.ArrayType(T.StringType())
-    rows = map_texts(docs, text, kept, [(code, T.StringType()), (left, listed)], cut)
-    rows = rows.select(*[F.col(f"`{c}`") for c in kept], F.struct(code, folded(F.col(left), ranks).alias(left)).alias(both))
+    made = [(code, T.StringType()), (left, T.ArrayType(T.StringType())), (base, T.IntegerType())]
+    rows = map_texts(docs, text, kept, made, cut)
+    rows = rows.select(*[F.col(f"`{c}`") for c in kept], F.struct(code, folded(F.col(left), ranks).alias(left), base).alias(both))
     return map_texts(rows, both, kept, [("ids", T.ArrayType(T.IntegerType())), ("n_tokens", T.LongType())], join)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """Columns `keep` (all by default) with `decoded`, the concatenated bytes of the tokens.
 
-    Null or empty ids give no bytes; an id outside of the file is an error; a clashing input column `decoded` is replaced.
+    Null or empty ids give no bytes; an id outside of the file, or a null one, is an error; a clashing input column `decoded` is replaced.
     """
-    ranks = read_ranks(ranks_path)
-    tokens = encoded.sparkSession.sparkContext.broadcast(ranks["tokens"])
+    session(encoded.sparkSession)
+    own, kept = F.col(f"`{ids}`"), [c for c in (encoded.columns if keep is None else keep) if c != "decoded"]
+
+    def joined(pieces: Column) -> Column:
+        def piece(i: Column) -> Column:
+            return F.coalesce(F.get(pieces, i), F.raise_error(F.lit("an id outside of the file")))
 
-    def make():
-        piece = per_process(("tokens", ranks["digest"]), lambda: tokens.value).__getitem__
-        return lambda rows: [[b"".join(map(piece, own)) for own in rows]]
+        return F.array_join(F.transform(own, piece), "")
 
-    return map_texts(encoded, ids, encoded.columns if keep is None else keep, [("decoded", T.BinaryType())], make, empty=())
+    pieces = F.from_json(F.lit(read_ranks(ranks_path)["pieces"]), "array<string>")
+    decoded = F.encode(F.coalesce(_let(pieces, joined), F.lit("")), "ISO-8859-1")
+    return encoded.select(*[F.col(f"`{c}`") for c in kept], decoded.alias("decoded"))

@@ -49,6 +49,45 @@ def test_words_beyond_the_table(spark, library, monkeypatch, known):
     assert [r.ids for r in encoded(spark, texts)] == [library.encode_ordinary(t) for t in texts]
 
 
+@pytest.mark.parametrize("remembered, left, digits", [(1 << 19, 1 << 18, 4), (12, 1 << 18, 1 << 12), (1 << 19, 5, 3)])
+def test_words_left_to_the_fold_are_remembered(spark, library, monkeypatch, remembered, left, digits):
+    """Numbers of several digits, tasks that begin anew, and texts with more words than are remembered."""
+    for name, value in (("KNOWN", 2), ("REMEMBERED", remembered), ("LEFT", left), ("DIGITS", digits)):
+        monkeypatch.setattr(byte_pairs, name, value)
+    texts = [" ".join(f"word{(7 * i + j) % 31}é the" for j in range(i % 9)) for i in range(60)] + [None, "", "漢字 漢字"]
+    assert [r.ids for r in encoded(spark, texts)] == [library.encode_ordinary(t or "") for t in texts]
+
+
+def test_a_word_is_folded_once_a_task(spark, monkeypatch):
+    """Before, every occurrence of a word that was not known went to the fold."""
+    monkeypatch.setattr(byte_pairs, "KNOWN", 0)
+    made, map_texts = [], byte_pairs.map_texts
+    monkeypatch.setattr(byte_pairs, "map_texts", lambda *a, **k: made.append(map_texts(*a, **k)) or made[-1])
+    frame = spark.createDataFrame([(i, "same words in all texts same words") for i in range(50)], "doc_id long, text string").coalesce(1)
+    assert byte_pairs.encode(frame, RANKS, PATTERN).count() == 50
+    assert sorted(w for r in made[0].collect() for w in r["__left"]) == [" all", " in", " same", " texts", " words", "same"]
+
+
+def test_known_words_are_flat_and_those_of_one_hash_are_told_apart():
+    import pyarrow as pa
+    import xxhash
+
+    key = lambda w: xxhash.xxh64_intdigest(w, seed=42) - (1 << 64 if xxhash.xxh64_intdigest(w, seed=42) >> 63 else 0)
+    known = byte_pairs.Known(pa.array([key("b"), key("a"), key("c")]), pa.array(["b", "a", "other"]), pa.array(["B", "A", "O"]))
+    assert known.forms(["a", "b", "c", "d"]) == ["A", "B", None, None] and known["a"] == "A" and "c" not in known
+    assert byte_pairs.Known(pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.string())).forms(["a"]) == [None]
+
+
+def test_decoding_of_nulls_and_foreign_ids(spark, library):
+    rows = [(0, [1, 2, 300]), (1, None), (2, []), (3, [5])]
+    frame = spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1)
+    found = {r.doc_id: bytes(r.decoded) for r in byte_pairs.decode(frame, RANKS).collect()}
+    assert found == {k: library.decode_bytes(ids or []) for k, ids in rows}
+    for bad in ([1, 10**8], [-1], [None]):
+        with pytest.raises(Exception):
+            byte_pairs.decode(spark.createDataFrame([(0, bad)], "doc_id long, ids array<int>"), RANKS).collect()
+
+
 def test_awkward_rows(spark, docs, awkward, library):
     frame = docs(awkward).selectExpr("*", "1 AS ids", "2 AS n_tokens", "3 AS decoded", "4 AS __code")
     found = byte_pairs.decode(byte_pairs.encode(frame, RANKS, PATTERN), RANKS)
