@@ -1,9 +1,10 @@
 """Byte-level BPE by a rank file: Spark higher-order functions fold the ranked merges over the bytes of distinct words.
 
-A word is a string with one character per token. It starts as its bytes (characters U+0000 to U+00FF); folding replaces, again
-and again, the leftmost adjacent pair of lowest rank by the character of the joined token, whose code point rises with its
-rank, and looks up the two pairs that are new; in a long word all occurrences of the pair at once, which comes to the same.
-The rank map is a literal: an array of small maps, found by the pair's hash.
+A word is a string with one character per token. It starts as its bytes (characters U+0000 to U+00FF). Merges never go back to
+a lower rank, so taking the merges in the order of their ranks, each at all of its places from the left, comes to the same as
+looking for the lowest pair again and again. Only the merge of a token whose bytes occur in the word can ever apply: these
+ranks are listed where the words are cut, and the fold replaces one listed pair after the other by the character of the
+joined token. Pairs and characters are literal arrays, found by rank.
 
 Texts never travel. The distinct words of a bounded number of texts are folded once and sent to the tasks; a task cuts its
 texts into words, takes what is known from there and leaves the other words to a fold beside the text that has them first: two
@@ -14,12 +15,15 @@ changes speed only. Decoding joins the tokens' bytes, one character each, from a
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
+import re
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator, Mapping
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -31,16 +35,16 @@ from pyspark.sql import types as T
 from .common import cut_lineage, map_texts, only_used, per_process, session, unused
 from .vocabulary import PIECES
 
-# Maps of the rank table. Texts that frequent words are looked for in, how many words are known at most, and the most bytes of
-# such a word: these bound what is sent to tasks.
-MAPS, SAMPLED, KNOWN, KNOWN_BYTES = 1 << 16, 20_000, 1 << 20, 32
+# Texts that frequent words are looked for in, how many words are known at most, and the most bytes of such a word: these bound
+# what is sent to tasks.
+SAMPLED, KNOWN, KNOWN_BYTES = 20_000, 1 << 17, 32
 
-# Pairs from which on all occurrences are replaced at once: looking all pairs up again is then the lesser work.
-LONG = 64
-
-# Known words that a task remembers, and words left to the fold that it remembers; one text may have more.
+# Known words that a task remembers beside those it left to the fold, and words left that it remembers; one text may have more.
 REMEMBERED, LEFT = 1 << 17, 1 << 18
 
+# Characters of texts whose tokens are joined at once.
+JOINED = 1 << 18
+
 # A left word's number is written in two digits of this base (the first one may be greater).
 DIGITS = 1 << 12
 
@@ -66,29 +70,36 @@ def _split_once(token: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 
 @lru_cache(maxsize=2)
 def read_ranks(path: str) -> dict:
-    """Tokens by rank, also as JSON with one character per byte, and the rank map as JSON; bounded by the file.
+    """Tokens by rank, also as JSON with one character per byte, and by rank the pair that a merge joins and the character of
+    the joined token, as JSON; bounded by the file.
 
     The file has to hold all single bytes, and each longer token has to be the merge of two tokens that lower ranks lead
     to: then merges never go back to a lower rank, and each token comes from one pair. Else a ValueError is raised.
     """
     with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        data = f.read()
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line.strip())}
     tokens = {r: t for t, r in ranks.items()}
     if len(tokens) != len(ranks) or sorted(tokens) != list(range(len(tokens))) or any(bytes([b]) not in ranks for b in range(256)):
         raise ValueError("ranks from 0 on and all single bytes are expected")
     symbol = {t: t.decode("latin-1") if len(t) == 1 else chr(_code_point(r)) for t, r in ranks.items()}
-    maps: list[dict] = [{} for _ in range(MAPS)]
+    pairs = []
     for rank in range(len(tokens)):
-        token = tokens[rank]
+        token, parts = tokens[rank], []
         if len(token) > 1:
             parts = _split_once(token, ranks)
             if len(parts) != 2:
                 raise ValueError(f"token {rank} is not the merge of two tokens of lower rank")
-            pair = symbol[parts[0]] + symbol[parts[1]]
-            maps[xxhash.xxh64_intdigest(pair.encode(), seed=42) % MAPS][pair] = symbol[token]
+        pairs.append("".join(symbol[part] for part in parts))
     content = [tokens[r] for r in range(len(tokens))]
-    pieces = json.dumps([t.decode("latin-1") for t in content])
-    return {"maps": json.dumps(maps), "bytes": [ranks[bytes([b])] for b in range(256)], "tokens": content, "pieces": pieces}
+    return {
+        "digest": hashlib.sha256(data).hexdigest(),
+        "tokens": content,
+        "bytes": [ranks[bytes([b])] for b in range(256)],
+        "pieces": json.dumps([t.decode("latin-1") for t in content]),
+        "pairs": json.dumps(pairs),
+        "symbols": json.dumps([symbol[t] for t in content]),
+    }
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -96,55 +107,95 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def folded(words: Column, ranks: dict) -> Column:
-    """An array of words as an array of their folded forms."""
-    return _let(F.from_json(F.lit(ranks["maps"]), "array<map<string,string>>"), lambda maps: F.transform(words, lambda w: merged(w, maps)))
-
-
-def merged(word: Column, maps: Column) -> Column:
-    """A word with one character per token, as folding leaves it. The state holds what each adjacent pair would become."""
-    none = F.array().cast("array<string>")
+def folded(words: Column, merges: Column, ranks: dict) -> Column:
+    """An array of words, with the ranks of each that `ranks_within` lists, as an array of their folded forms."""
+    pairs, symbols = (F.from_json(F.lit(ranks[name]), "array<string>") for name in ("pairs", "symbols"))
 
-    def joined(pair: Column) -> Column:
-        return F.try_element_at(F.get(maps, F.xxhash64(pair).bitwiseAND(F.lit(MAPS - 1)).cast("int")), pair)
+    def step(s: Column, rank: Column) -> Column:
+        return F.replace(s, F.get(pairs, rank), F.get(symbols, rank))
 
-    def state(s: Column, pairs: Column) -> Column:
-        return F.struct(s.alias("s"), pairs.alias("pairs"))
+    def fold(word: Column, listed: Column) -> Column:
+        return F.aggregate(listed, F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), step)
 
-    def paired(s: Column) -> Column:
-        n = F.length(s)
-        if_long = _let(F.split(s, ""), lambda c: F.zip_with(F.slice(c, 1, n - 1), F.slice(c, 2, n), lambda a, b: joined(F.concat(a, b))))
-        # A piece of a string is sought from its start: cheap only in a short one.
-        return F.when(n < LONG, F.transform(F.sequence(F.lit(1), n - 1), lambda i: joined(F.substring(s, i, 2)))).otherwise(if_long)
+    return F.zip_with(words, merges, fold)
 
-    def step(x: Column, _: Column) -> Column:
-        s, pairs = x["s"], x["pairs"]
 
-        def replaced(low: Column) -> Column:
-            def at(p: Column) -> Column:
-                left = F.concat(F.slice(pairs, 1, p - 2), F.array(joined(F.concat(F.substring(s, p - 1, 1), low))))
-                right = F.concat(F.array(joined(F.concat(low, F.substring(s, p + 2, 1)))), F.slice(pairs, p + 2, F.size(pairs)))
-                return state(F.overlay(s, low, p, F.lit(2)), F.concat(F.when(p > 1, left).otherwise(none), F.when(p < F.size(pairs), right).otherwise(none)))
+def ranks_within(ranks: dict) -> Callable[[], Callable[[str], list[int]]]:
+    """What makes, in a task, the function that lists the ranks of the tokens of several bytes that occur in a word, rising."""
+    tokens, digest = ranks["tokens"], ranks["digest"]
 
-            def everywhere(p: Column) -> Column:
-                return _let(F.replace(s, F.substring(s, p, 2), low), lambda t: state(t, F.when(F.length(t) > 1, paired(t)).otherwise(none)))
+    def build():
+        found = ahocorasick.Automaton()
+        for rank, token in enumerate(tokens):
+            if len(token) > 1:
+                found.add_word(token.decode("latin-1"), rank)
+        if not len(found):  # single bytes only
+            return lambda word: []
+        found.make_automaton()
+        return lambda word: sorted({rank for _, rank in found.iter(word.encode().decode("latin-1"))})
 
-            # Characters rise with ranks: the least is the lowest rank.
-            place = F.array_position(pairs, low).cast("int")
-            return F.when(low.isNull(), state(s, none)).when(F.size(pairs) >= LONG, _let(place, everywhere)).otherwise(_let(place, at))
-
-        return F.when(F.size(pairs) > 0, _let(F.array_min(pairs), replaced)).otherwise(x)
-
-    def fold(s: Column) -> Column:
-        return F.when(F.length(s) < 2, s).otherwise(F.aggregate(F.sequence(F.lit(2), F.length(s)), state(s, paired(s)), step, lambda x: x["s"]))
-
-    return _let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), fold)
+    return lambda: per_process(("byte-pairs", digest), build)
 
 
 # The usual split with its frequent alternatives first: the others begin with an apostrophe and cannot match there.
 FREQUENT_FIRST = {PIECES: r""" ?\p{L}+| ?\p{N}+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""}
 
 
+def _class(members: str) -> str:
+    """The characters of the basic plane that an expression of the regex module matches, as ranges for a class of any engine."""
+    ranges: list[list[int]] = []
+    for match in regex.finditer(members, "".join(chr(i) for i in range(0x10000))):
+        if ranges and ranges[-1][1] == match.start() - 1:
+            ranges[-1][1] += 1
+        else:
+            ranges.append([match.start(), match.start()])
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges)
+
+
+def _finder(pattern: str) -> Callable[[str], list[str]]:
+    """All matches in a text. For the usual split, texts within the basic plane go to the plain engine, whose classes are quick there."""
+    find = regex.compile(pattern).findall
+    if pattern != FREQUENT_FIRST[PIECES]:
+        return find
+    letters, numbers, blanks = _class(r"\p{L}"), _class(r"\p{N}"), _class(r"\s")
+    marks = f" ?[^{blanks}{letters}{numbers}]+|[{blanks}]+(?![^{blanks}])|[{blanks}]+"
+    plain = re.compile(f" ?[{letters}]+| ?[{numbers}]+|'s|'t|'re|'ve|'m|'ll|'d|{marks}").findall
+    beyond = re.compile("[\U00010000-\U0010ffff]").search
+    return lambda text: find(text) if beyond(text) else plain(text)
+
+
+def finder(pattern: str) -> Callable[[str], list[str]]:
+    return per_process(("finder", pattern), lambda: _finder(pattern))
+
+
+class Forms(dict):
+    """Of the words a task has seen: the form of a known one, the two digits of the number of one that is left to the fold."""
+
+    def __init__(self, known: dict[str, str], beyond: int, digits: int, most_known: int, most_left: int):
+        self.known, self.beyond, self.digits = known, beyond, digits
+        self.most_known, self.most_left = most_known, most_left
+        self.count, self.left = 0, []
+
+    def begin(self) -> int:
+        """Before a text: words left for an earlier one stay numbered while they are not too many. How many these are."""
+        if self.count >= self.most_left:
+            self.clear()
+            self.count = 0
+        self.left = []
+        return self.count
+
+    def __missing__(self, word: str) -> str:
+        form = self.known.get(word)
+        if form is None:
+            form = chr(self.beyond + self.count // self.digits) + chr(self.beyond + self.count % self.digits)
+            self.count += 1
+            self.left.append(word)
+        elif len(self) - self.count >= self.most_known:
+            return form
+        self[word] = form
+        return form
+
+
 class Known(Mapping):
     """Words with their folded forms in flat arrays, sorted by the words' hashes: no object per word, wherever they are sent."""
 
@@ -160,6 +211,10 @@ class Known(Mapping):
         at = pa.array(np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1))
         return [code if w == found else None for w, found, code in zip(words, self.words.take(at).to_pylist(), self.codes.take(at).to_pylist())]
 
+    def table(self) -> dict[str, str]:
+        """All words with their forms, for a process that looks many of them up."""
+        return dict(zip(self.words.to_pylist(), self.codes.to_pylist()))
+
     def __getitem__(self, word: str) -> str:
         if (code := self.forms([word])[0]) is None:
             raise KeyError(word)
@@ -178,9 +233,18 @@ def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict) -> Kno
     share = SAMPLED / max(1, texts.count())
     chosen = texts.filter(F.rand(7) < share) if share < 1 else texts
 
+    within = ranks_within(ranks)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with only_used():
+            of = within()
+        for batch in batches:
+            merges = pa.array(list(map(of, batch.column(0).to_pylist())), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), merges], names=["word", "merges"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with only_used():
-            find, counts = regex.compile(pattern).findall, Counter()
+            find, counts = finder(pattern), Counter()
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 counts.update(find(t))
@@ -202,7 +266,9 @@ def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict) -> Kno
     kept = words.filter((F.col("n") >= least) | ((F.col("n") == least - 1) & lucky)).select("word")
     # A fold is dear for its bytes: as many tasks as any shuffle has.
     kept = kept.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
-    found = kept.select("word", F.get(folded(F.array("word"), ranks), F.lit(0)).alias("code"), F.xxhash64("word").alias("key")).toArrow()
+    kept = kept.mapInArrow(listed, "word string, merges array<int>")
+    code = F.get(folded(F.array("word"), F.array("merges"), ranks), F.lit(0))
+    found = kept.select("word", code.alias("code"), F.xxhash64("word").alias("key")).toArrow()
     return Known(*(found[c].combine_chunks() for c in ("key", "word", "code")))
 
 
@@ -216,76 +282,72 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
     spark = session(docs.sparkSession)
     ranks, pattern = read_ranks(ranks_path), FREQUENT_FIRST.get(pattern, pattern)
     words = spark.sparkContext.broadcast(frequent_words(docs, text, pattern, ranks))
+    single = np.array(ranks["bytes"], np.int32)
     run = uuid.uuid4().hex  # each call has words of its own
-    code, left, base, both = (unused(docs, f"__{n}") for n in ("code", "left", "base", "both"))
+    within = ranks_within(ranks)
+    code, left, merges, base, both = (unused(docs, f"__{n}") for n in ("code", "left", "merges", "base", "both"))
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "n_tokens")]
-    single = np.array(ranks["bytes"], np.uint32)
     beyond = max(0x10000, _code_point(len(ranks["tokens"])))  # no token has this character or a later one
 
     def cut():
-        known = per_process(("known", run), lambda: words.value)
-        find = regex.compile(pattern).findall
-        forms: dict[str, str] = {}  # of known words, and the digits of those that are left
-        count = 0
-
-        def one(t: str) -> tuple[str, list[str], int]:
-            """The text's characters, the words that are left to the fold now, and how many were left before."""
-            nonlocal forms, count
-            own = find(t)
-            words = set(own)
-            new = list(words.difference(forms))
-            if count + len(new) > LEFT:
-                forms, count, new = {}, 0, list(words)
-            elif len(forms) - count + len(new) > REMEMBERED:  # known words are found again
-                forms = {w: form for w, form in forms.items() if ord(form[0]) >= beyond}
-                new = list(words.difference(forms))
-            rest, begin = [], count
-            for w, form in zip(new, known.forms(new)):
-                if form is None:
-                    form = chr(beyond + count // DIGITS) + chr(beyond + count % DIGITS)
-                    count += 1
-                    rest.append(w)
-                forms[w] = form
-            return "".join(map(forms.__getitem__, own)), rest, begin
-
-        return lambda texts: [list(c) for c in zip(*map(one, texts))] if texts else [[], [], []]
+        find, of, known = finder(pattern), within(), per_process(("known", run), lambda: words.value.table())
+        forms = Forms(known, beyond, DIGITS, REMEMBERED, LEFT)
+
+        def one(t: str) -> tuple[str, list[str], list[list[int]], int]:
+            """The text's characters, the words that are left to the fold now with their ranks, and how many were left before."""
+            begin = forms.begin()
+            return "".join(map(forms.__getitem__, find(t))), forms.left, list(map(of, forms.left)), begin
+
+        return lambda texts: [list(c) for c in zip(*map(one, texts))] if texts else [[], [], [], []]
 
     def join():
         pool, ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # characters of the task's left words, and where each ends
+        rank = np.arange(beyond, dtype=np.int32) - FIRST  # of a character
+        rank[SURROGATES:] -= SURROGATE_COUNT
+        rank[:FIRST] = single
 
         def points(codes: list[str]) -> np.ndarray:
             return np.frombuffer("".join(codes).encode("utf-32-le"), np.uint32)
 
-        def one(row) -> np.ndarray:
+        def ids(rows: list) -> list[np.ndarray]:
+            """Of texts between which the task did not begin anew."""
             nonlocal pool, ends
-            if row[base] + 1 < len(ends):  # the task began anew
-                pool, ends = pool[: ends[row[base]]], ends[: row[base] + 1]
-            if row[left]:
-                pool = np.concatenate([pool, points(row[left])])
-                ends = np.concatenate([ends, ends[-1] + np.cumsum([len(w) for w in row[left]])])
-            own = points([row[code]])
-            at = np.flatnonzero(own >= beyond)
-            if len(at):
-                digit = own[at].astype(np.int64) - beyond
-                word = digit[::2] * DIGITS + digit[1::2]
-                sizes, begins = np.ones(len(own), np.int64), np.arange(len(own)) + len(pool)
-                sizes[at[::2]], sizes[at[1::2]], begins[at[::2]] = ends[word + 1] - ends[word], 0, ends[word]
-                shift = begins - (np.cumsum(sizes) - sizes)
-                own = np.concatenate([pool, own])[np.arange(sizes.sum()) + np.repeat(shift, sizes)]
-            ids = own - np.uint32(FIRST) - np.where(own >= SURROGATES, np.uint32(SURROGATE_COUNT), np.uint32(0))
-            low = own < FIRST
-            ids[low] = single[own[low]]
-            return ids.view(np.int32)
+            if rows[0][base] + 1 < len(ends):
+                pool, ends = pool[: ends[rows[0][base]]], ends[: rows[0][base] + 1]
+            if new := [w for row in rows for w in row[left]]:
+                pool = np.concatenate([pool, points(new)])
+                ends = np.concatenate([ends, ends[-1] + np.cumsum(list(map(len, new)))])
+            own = points([row[code] for row in rows])
+            stops = np.cumsum([0, *(len(row[code]) for row in rows)])
+            first, second = np.flatnonzero(own >= beyond).reshape(-1, 2).T
+            if len(first):
+                word = (own[first].astype(np.int64) - beyond) * DIGITS + (own[second].astype(np.int64) - beyond)
+                sizes, begins = np.ones(len(own), np.int64), np.arange(len(pool), len(pool) + len(own))
+                sizes[first], sizes[second], begins[first] = ends[word + 1] - ends[word], 0, ends[word]
+                after = np.concatenate([[0], np.cumsum(sizes)])
+                own = np.concatenate([pool, own])[np.arange(after[-1]) + np.repeat(begins - after[:-1], sizes)]
+                stops = after[stops]
+            found = rank[own]
+            return [found[a:b] for a, b in zip(stops, stops[1:])]
 
         def work(rows):
-            ids = [one(r) for r in rows]
-            return [ids, [len(i) for i in ids]]
+            found, part, size = [], [], 0
+            for row in rows:
+                if part and (size >= JOINED or row[base] < part[-1][base] + len(part[-1][left])):
+                    found += ids(part)
+                    part, size = [], 0
+                part.append(row)
+                size += len(row[code])
+            if part:
+                found += ids(part)
+            return [found, [len(i) for i in found]]
 
         return work
 
-    made = [(code, T.StringType()), (left, T.ArrayType(T.StringType())), (base, T.IntegerType())]
+    lists = T.ArrayType(T.ArrayType(T.IntegerType()))
+    made = [(code, T.StringType()), (left, T.ArrayType(T.StringType())), (merges, lists), (base, T.IntegerType())]
     rows = map_texts(docs, text, kept, made, cut)
-    rows = rows.select(*[F.col(f"`{c}`") for c in kept], F.struct(code, folded(F.col(left), ranks).alias(left), base).alias(both))
+    rows = rows.select(*[F.col(f"`{c}`") for c in kept], F.struct(code, folded(F.col(left), F.col(merges), ranks).alias(left), base).alias(both))
     return map_texts(rows, both, kept, [("ids", T.ArrayType(T.IntegerType())), ("n_tokens", T.LongType())], join)
 
 

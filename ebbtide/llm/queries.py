@@ -131,7 +131,8 @@ QUALIFY row_number() OVER best <= 10
 def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANK_FILE)
     decoded = byte_pairs.decode(byte_pairs.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN, keep=["doc_id"]), path)
-    shown = F.btrim(F.replace(F.col("ids").cast("string"), F.lit(",")), F.lit("[]"))  # an array as text has a blank after each comma
+    decimals = F.sequence(F.lit(0), F.lit(len(byte_pairs.read_ranks(path)["tokens"]) - 1)).cast("array<string>")  # a literal once planned
+    shown = F.array_join(F.transform("ids", lambda i: F.get(decimals, i)), " ")
     return decoded.select("doc_id", "n_tokens", F.sha2(shown, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

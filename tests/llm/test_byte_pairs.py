@@ -1,5 +1,7 @@
 import base64
 import hashlib
+import random
+import time
 
 import public_tokenizers
 import pytest
@@ -127,3 +129,40 @@ def test_query_against_the_library(spark, texts, library):
         ids = library.encode_ordinary(texts[r.doc_id])
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode_bytes(ids)).hexdigest()
+
+
+def test_a_long_word_of_many_merges(spark, library):
+    """Before, each merge of a long word made all of its pairs be looked up again: 137 s for this one, 12 s since."""
+    word = "".join(random.Random(5).choices("abcdefghijklmnopqrstuvwxyzéüñ", k=120_000))
+    frame = spark.createDataFrame([(0, word)], "doc_id long, text string")
+    begin = time.monotonic()
+    (row,) = byte_pairs.encode(frame, RANKS, PATTERN).collect()
+    assert time.monotonic() - begin < 45
+    assert row.ids == library.encode_ordinary(word)
+
+
+def test_known_words_fit_the_driver(spark):
+    """What a table of many frequent words sends to the driver and to each task; before, all 200,000 words."""
+    frame = spark.createDataFrame([(i, " ".join(f"w{chr(97 + j % 26)}x{i * 100 + j:x}" for j in range(100))) for i in range(2000)], "doc_id long, text string")
+    known = byte_pairs.frequent_words(frame, "text", r"\S+", byte_pairs.read_ranks(RANKS))
+    assert 100_000 < len(known) < 140_000
+    assert known.keys.nbytes + known.words.nbytes + known.codes.nbytes < 8 << 20
+
+
+def test_the_plain_engine_cuts_like_the_other():
+    import regex
+
+    draw, pattern = random.Random(3), byte_pairs.FREQUENT_FIRST[PATTERN]
+    signs = ["a", "é", "漢", "ß", "1", "²", "٣", "Ⅷ", " ", "\n", "\t", "\x1c", "\x85", " ", " ", "　", "'s", "'ll", "'", "!", "́", "‍", "🙂", "𝒳", "𝟙"]
+    find, cut = byte_pairs._finder(pattern), regex.compile(pattern).findall
+    for n in range(4000):
+        text = "".join(draw.choices(signs if n % 2 else signs[:-3], k=draw.randrange(30)))
+        assert find(text) == cut(text), ascii(text)
+
+
+def test_a_file_of_single_bytes(spark, tmp_path):
+    path = tmp_path / "single.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(bytes([b])) + b" %d\n" % b for b in range(256)))
+    frame = spark.createDataFrame([(0, "one é")], "doc_id long, text string")
+    (row,) = byte_pairs.decode(byte_pairs.encode(frame, str(path), PATTERN), str(path)).collect()
+    assert row.ids == list("one é".encode()) and bytes(row.decoded) == "one é".encode()
