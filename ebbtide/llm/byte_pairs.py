@@ -264,7 +264,7 @@ def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict) -> Kno
         room -= row.words
     lucky = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(part * (1 << 20))
     kept = words.filter((F.col("n") >= least) | ((F.col("n") == least - 1) & lucky)).select("word")
-    # A fold is dear for its bytes: as many tasks as any shuffle has.
+    # Few bytes make few files and those few tasks: as many as any shuffle has.
     kept = kept.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
     kept = kept.mapInArrow(listed, "word string, merges array<int>")
     code = F.get(folded(F.array("word"), F.array("merges"), ranks), F.lit(0))
